@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed application has no streaming code (its real-time module is
+absent), so there are no watermark, window or state semantics to rebuild.
+All queries are batch DataFrame plans; any of them can be applied to a
+micro-batch through ``writeStream.foreachBatch`` by the caller.
+"""
