@@ -15,6 +15,7 @@ ACTION_COLUMNS = [
     "order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids", "city_id",
 ]
 PLACEHOLDERS = ("user_name", "professional", "product_name")
+ENRICHMENT = ("professional", "user_name", "product_name")
 TIE = "action_id"
 
 
@@ -45,12 +46,16 @@ def attach_product_name(actions: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def base_actions(tables: ModelTables, condition: Condition | None = None,
-                 keep_tie: bool = True) -> DataFrame:
+                 enrich: tuple[str, ...] = ENRICHMENT, keep_tie: bool = True) -> DataFrame:
     """Actions of known users, enriched with profession, user name, product name.
 
-    Unknown users are dropped (inner join); condition fields on users (age,
-    profession, gender) filter the user side before the join, fields on
-    actions (date, city, keyword, category) filter the scan.
+    Unknown users are dropped; condition fields on users (age, profession,
+    gender) filter the user side before the join, fields on actions (date,
+    city, keyword, category) filter the scan. ``enrich`` names the enrichment
+    columns the caller needs: without user columns the user join is a
+    semi-join (keys only, no fan-out), without ``product_name`` the product
+    join is skipped. Catalyst cannot drop an unused outer join by itself
+    because it does not know the dimension keys are unique.
     """
     cond = condition or Condition()
     acts = tables.actions.drop(*PLACEHOLDERS)
@@ -61,7 +66,15 @@ def base_actions(tables: ModelTables, condition: Condition | None = None,
     user_preds = cond.user_predicates()
     if user_preds:
         users = users.filter(conjunction(user_preds))
-    users = users.select("user_id", "professional", F.col("username").alias("user_name"))
-    joined = attach_product_name(acts.join(users, "user_id", "inner"), tables.products)
+    user_cols = [F.col("professional")] if "professional" in enrich else []
+    if "user_name" in enrich:
+        user_cols.append(F.col("username").alias("user_name"))
+    if user_cols:
+        joined = acts.join(users.select("user_id", *user_cols), "user_id", "inner")
+    else:
+        joined = acts.join(users.select("user_id"), "user_id", "left_semi")
+    if "product_name" in enrich:
+        joined = attach_product_name(joined, tables.products)
+    columns = [c for c in ACTION_COLUMNS if c not in PLACEHOLDERS or c in enrich]
     extra = tie_columns(joined) if keep_tie else []
-    return joined.select(*ACTION_COLUMNS, *extra)
+    return joined.select(*columns, *extra)

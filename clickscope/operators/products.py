@@ -69,7 +69,7 @@ def hot_product_user_visits(tables: ModelTables, actions: DataFrame, run_id: str
     """
     buyers = top2_buyers_per_hot_product(actions, run_id, k_products, k_buyers).select("product_id", "user_id")
     named = buyers.join(tables.products.select("product_id", "product_name"), "product_id", "left")
-    visits = actions.drop("product_name")  # the name shown is the hot product's, not the clicked one
+    visits = actions.drop("product_name")  # the name shown is the hot product's, not the clicked one (if present)
     if date is not None:
         visits = visits.filter(F.col("date") == F.lit(date))
     op_type, op_obj = classify_operation()

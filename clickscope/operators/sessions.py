@@ -46,20 +46,24 @@ def _order_key(actions: DataFrame) -> Column:
 def session_stats(actions: DataFrame) -> DataFrame:
     """One row per session: sessionId, startTime, endTime, stepLength, visitLength, professional.
 
-    ``professional`` is the last non-empty profession in time order (it is a
-    user attribute, so constant within a session in practice).
+    ``professional`` (only when the actions carry it) is the last non-empty
+    profession in time order; it is a user attribute, so constant within a
+    session in practice.
     """
-    prof = F.col("professional")
-    stats = actions.groupBy("session_id").agg(
+    aggs = [
         F.min("action_time").alias("startTime"),
         F.max("action_time").alias("endTime"),
         F.count(F.lit(1)).alias("stepLength"),
-        F.max_by(prof, F.when(non_empty(prof), _order_key(actions))).alias("professional"),
-    )
+    ]
+    has_prof = "professional" in actions.columns
+    if has_prof:
+        prof = F.col("professional")
+        aggs.append(F.max_by(prof, F.when(non_empty(prof), _order_key(actions))).alias("professional"))
+    stats = actions.groupBy("session_id").agg(*aggs)
     return stats.select(
         F.col("session_id").alias("sessionId"), "startTime", "endTime", "stepLength",
         seconds_between("startTime", "endTime").alias("visitLength"),
-        F.coalesce("professional", F.lit("")).alias("professional"),
+        *([F.coalesce("professional", F.lit("")).alias("professional")] if has_prof else []),
     )
 
 

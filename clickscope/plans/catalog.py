@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickscope.conditions import Condition
 from clickscope.operators import areas, categories, pages, products, professions, sessions
-from clickscope.operators.actions import base_actions
+from clickscope.operators.actions import ENRICHMENT, base_actions
 from clickscope.plans.params import (
     FILTERS,
     FIXTURE_PROFESSIONS,
@@ -28,11 +28,13 @@ from clickscope.session import checkpoint_dir
 from clickscope.sources import load_fixture_tables, overwrite_table
 
 Query = Callable[[SparkSession, str], DataFrame]
+PROF = ("professional",)
 
 
-def _on_base(fn: Callable[[DataFrame], DataFrame]) -> Query:
+def _on_base(fn: Callable[[DataFrame], DataFrame], enrich: tuple[str, ...] = ()) -> Query:
+    """Run ``fn`` on the unfiltered base actions carrying only ``enrich`` columns."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(base_actions(load_fixture_tables(spark, sf_dir)))
+        return fn(base_actions(load_fixture_tables(spark, sf_dir), enrich=enrich))
     return run
 
 
@@ -50,7 +52,7 @@ def _filtered(cond: Condition) -> Query:
 
 def _table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the top-10 categories twice with replace semantics, read back once."""
-    top = categories.category_top10(base_actions(load_fixture_tables(spark, sf_dir)), RUN_ID)
+    top = categories.category_top10(base_actions(load_fixture_tables(spark, sf_dir), enrich=()), RUN_ID)
     table = "clickscope_category_top10"
     location = f"{checkpoint_dir(spark).rstrip('/')}/tables/{table}-{uuid.uuid4().hex}"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -63,10 +65,10 @@ QUERIES: dict[str, Query] = {
     "city_dimension": _on_tables(lambda t: t.cities),
     "base_actions": _filtered(Condition()),
     **{name: _filtered(cond) for name, cond in FILTERS.items()},
-    "session_rollup": _on_base(lambda a: sessions.session_rollup(a, RUN_ID)),
+    "session_rollup": _on_base(lambda a: sessions.session_rollup(a, RUN_ID), PROF),
     "session_bucket_stats": _on_base(lambda a: sessions.session_bucket_stats(a, RUN_ID, Condition())),
     "hourly_session_counts": _on_base(sessions.hourly_session_counts),
-    "session_sample": _on_base(lambda a: sessions.session_sample(a, RUN_ID, SAMPLE_SIZE, SAMPLE_SEED)),
+    "session_sample": _on_base(lambda a: sessions.session_sample(a, RUN_ID, SAMPLE_SIZE, SAMPLE_SEED), PROF),
     "category_event_counts": _on_base(categories.category_event_counts),
     "category_top10": _on_base(lambda a: categories.category_top10(a, RUN_ID)),
     "top_sessions_per_top_category": _on_base(lambda a: categories.top_sessions_per_top_category(a, RUN_ID)),
@@ -77,14 +79,15 @@ QUERIES: dict[str, Query] = {
     "city_remark": _on_tables(lambda t: areas.area_product_clicks(t, REMARK_TOP_CITIES)
                               .select("click_product_id", "area", "city_remark")),
     "area_top3_products": _on_tables(areas.area_top3_products),
-    "repeat_click_sessions": _on_base(professions.repeat_click_groups),
+    "repeat_click_sessions": _on_base(professions.repeat_click_groups, PROF),
     "professional_share": _on_base(lambda a: professions.professional_share(
-        a, RUN_ID, "session", FIXTURE_PROFESSIONS)),
+        a, RUN_ID, "session", FIXTURE_PROFESSIONS), PROF),
     "product_click_top10": _on_base(lambda a: products.product_click_top10(a, RUN_ID)),
-    "paid_hot_actions": _on_base(products.paid_hot_actions),
+    "paid_hot_actions": _on_base(products.paid_hot_actions, ENRICHMENT),
     "user_product_purchases": _on_base(products.user_product_purchases),
     "top2_buyers_per_hot_product": _on_base(lambda a: products.top2_buyers_per_hot_product(a, RUN_ID)),
-    "hot_product_user_visits": _on_tables(lambda t: products.hot_product_user_visits(t, base_actions(t), RUN_ID)),
+    "hot_product_user_visits": _on_tables(lambda t: products.hot_product_user_visits(
+        t, base_actions(t, enrich=("user_name",)), RUN_ID)),
     "table_overwrite": _table_overwrite,
 }
 
