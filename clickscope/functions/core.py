@@ -64,11 +64,22 @@ def hour_key(start_time) -> Column:
     return F.substring_index(_c(start_time), ":", 1)
 
 
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+
+def action_ts(text) -> Column:
+    """Parse 'yyyy-MM-dd HH:mm:ss' text into a zone-free timestamp."""
+    return F.to_timestamp_ntz(_c(text), F.lit(TIME_FORMAT))
+
+
+def format_ts(ts) -> Column:
+    """Zone-free timestamp back to 'yyyy-MM-dd HH:mm:ss' text."""
+    return F.date_format(_c(ts), TIME_FORMAT)
+
+
 def seconds_between(start_text, end_text) -> Column:
     """Whole seconds between two 'yyyy-MM-dd HH:mm:ss' texts (zone-free)."""
-    fmt = F.lit("yyyy-MM-dd HH:mm:ss")
-    return F.timestamp_diff("SECOND", F.to_timestamp_ntz(_c(start_text), fmt),
-                            F.to_timestamp_ntz(_c(end_text), fmt))
+    return F.timestamp_diff("SECOND", action_ts(start_text), action_ts(end_text))
 
 
 def classify_operation() -> tuple[Column, Column]:

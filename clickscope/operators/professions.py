@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.functions import non_empty, percent_half_up, task_id
-from clickscope.operators.actions import tie_columns
+from clickscope.functions import action_ts, percent_half_up, task_id
 
 # Profession labels of the shop's user table, per output column.
 DEFAULT_PROFESSIONS = {
@@ -17,35 +16,38 @@ DEFAULT_PROFESSIONS = {
 }
 
 
-def repeat_click_groups(actions: DataFrame, by: str = "session", min_clicks: int = 2) -> DataFrame:
+def repeat_click_groups(actions: DataFrame, users: DataFrame, by: str = "session",
+                        min_clicks: int = 2) -> DataFrame:
     """Sessions (``by='session'``) or users (``by='user'``) with >= ``min_clicks``
-    clicks on one product, with their profession (last non-empty, time order).
+    clicks on one product, with the profession of the group's (last) user.
 
-    Two partial aggregations: per (group, product) then per group. A huge
-    session is combined map-side at both levels; nothing is collected.
+    Two hash aggregations with fixed-width buffers only: clicks per (group,
+    product), then per group; both combine map-side, so a huge session is
+    never gathered in one place. The profession is a user attribute, so it is
+    looked up in the user dimension for the (much smaller) set of groups.
     """
     key = {"session": "session_id", "user": "user_id"}[by]
-    prof = F.col("professional")
-    order_key = F.struct("action_time", *tie_columns(actions))
+    t = action_ts(F.col("action_time"))
     per_product = actions.groupBy(key, "click_product_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.max_by(prof, F.when(non_empty(prof), order_key)).alias("prof"),
-        F.max(F.when(non_empty(prof), order_key)).alias("prof_at"),
+        F.max_by("user_id", t).alias("last_user"),
+        F.max(t).alias("last_at"),
     )
     repeated = (F.col("click_product_id") > 0) & (F.col("n") >= F.lit(min_clicks))
     per_group = per_product.groupBy(key).agg(
         F.max(repeated.cast("int")).alias("repeat"),
-        F.max_by("prof", "prof_at").alias("professional"),
+        F.max_by("last_user", "last_at").alias("user_id"),
     )
-    return (per_group.filter(F.col("repeat") == 1)
-            .select(F.col(key).alias("group_id"), F.coalesce("professional", F.lit("")).alias("professional")))
+    groups = per_group.filter(F.col("repeat") == 1).select(F.col(key).alias("group_id"), "user_id")
+    return (groups.join(users.select("user_id", "professional"), "user_id", "left")
+            .select("group_id", F.coalesce("professional", F.lit("")).alias("professional")))
 
 
-def professional_share(actions: DataFrame, run_id: str, by: str = "session",
+def professional_share(actions: DataFrame, users: DataFrame, run_id: str, by: str = "session",
                        professions: dict[str, str] | None = None) -> DataFrame:
     """One row: userCount (groups counted) and the share of each profession in percent."""
     mapping = professions or DEFAULT_PROFESSIONS
-    groups = repeat_click_groups(actions, by)
+    groups = repeat_click_groups(actions, users, by)
     counts = groups.agg(
         F.count(F.lit(1)).alias("userCount"),
         *[F.count_if(F.col("professional") == F.lit(label)).alias(f"_{name}") for name, label in mapping.items()],

@@ -12,12 +12,14 @@ Two rollups exist on purpose:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.conditions import Condition
 from clickscope.functions import (
+    action_ts,
     chunked_list_join,
+    format_ts,
     hour_key,
     non_empty,
     percent_half_up,
@@ -39,31 +41,22 @@ LIST_FIELDS = [
 ]
 
 
-def _order_key(actions: DataFrame) -> Column:
-    return F.struct("action_time", *tie_columns(actions))
-
-
 def session_stats(actions: DataFrame) -> DataFrame:
-    """One row per session: sessionId, startTime, endTime, stepLength, visitLength, professional.
+    """One row per session: sessionId, startTime, endTime (text), stepLength, visitLength.
 
-    ``professional`` (only when the actions carry it) is the last non-empty
-    profession in time order; it is a user attribute, so constant within a
-    session in practice.
+    Times are aggregated as zone-free timestamps (fixed-width values), which
+    keeps the aggregation hash-based; min/max over the text column would
+    force a sort-based aggregation of the whole action log.
     """
-    aggs = [
-        F.min("action_time").alias("startTime"),
-        F.max("action_time").alias("endTime"),
-        F.count(F.lit(1)).alias("stepLength"),
-    ]
-    has_prof = "professional" in actions.columns
-    if has_prof:
-        prof = F.col("professional")
-        aggs.append(F.max_by(prof, F.when(non_empty(prof), _order_key(actions))).alias("professional"))
-    stats = actions.groupBy("session_id").agg(*aggs)
+    t = action_ts(F.col("action_time"))
+    stats = actions.groupBy("session_id").agg(
+        F.min(t).alias("t0"), F.max(t).alias("t1"), F.count(F.lit(1)).alias("stepLength"))
     return stats.select(
-        F.col("session_id").alias("sessionId"), "startTime", "endTime", "stepLength",
-        seconds_between("startTime", "endTime").alias("visitLength"),
-        *([F.coalesce("professional", F.lit("")).alias("professional")] if has_prof else []),
+        F.col("session_id").alias("sessionId"),
+        format_ts(F.col("t0")).alias("startTime"),
+        format_ts(F.col("t1")).alias("endTime"),
+        "stepLength",
+        F.timestamp_diff("SECOND", F.col("t0"), F.col("t1")).alias("visitLength"),
     )
 
 
@@ -143,16 +136,19 @@ def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clicks
     reproducible permutation. The literal ``rn <= need`` filter lets Spark
     keep only ``need`` rows per hour in each map task before the shuffle
     (WindowGroupLimit), so a hot hour never reaches one reducer in full.
+    Both branches read the same session-start aggregation, so its shuffle
+    is computed once and reused.
     """
-    stats = session_stats(actions).select("sessionId", hour_key("startTime").alias("hour"))
-    hours = stats.groupBy("hour").agg(F.count(F.lit(1)).alias("hour_count"))
+    starts = (actions.groupBy("session_id").agg(F.min(action_ts(F.col("action_time"))).alias("t0"))
+              .select(F.col("session_id").alias("sessionId"), F.date_format("t0", "yyyy-MM-dd HH").alias("hour")))
+    hours = starts.groupBy("hour").agg(F.count(F.lit(1)).alias("hour_count"))
     total = F.sum("hour_count").over(Window.partitionBy())  # one row per hour: small
     hours = hours.select(
         "hour",
         F.least(F.call_function("div", F.col("hour_count") * F.lit(need), total), F.col("hour_count")).alias("quota"),
     )
     w = Window.partitionBy("hour").orderBy(F.md5(F.concat(F.lit(seed), F.col("sessionId"))), "sessionId")
-    ranked = stats.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.lit(need))
+    ranked = starts.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.lit(need))
     return (ranked.join(hours, "hour")
             .filter(F.col("rn") <= F.col("quota"))
             .select("sessionId", "hour", "rn"))

@@ -79,9 +79,10 @@ QUERIES: dict[str, Query] = {
     "city_remark": _on_tables(lambda t: areas.area_product_clicks(t, REMARK_TOP_CITIES)
                               .select("click_product_id", "area", "city_remark")),
     "area_top3_products": _on_tables(areas.area_top3_products),
-    "repeat_click_sessions": _on_base(professions.repeat_click_groups, PROF),
-    "professional_share": _on_base(lambda a: professions.professional_share(
-        a, RUN_ID, "session", FIXTURE_PROFESSIONS), PROF),
+    "repeat_click_sessions": _on_tables(lambda t: professions.repeat_click_groups(
+        base_actions(t, enrich=()), t.users)),
+    "professional_share": _on_tables(lambda t: professions.professional_share(
+        base_actions(t, enrich=()), t.users, RUN_ID, "session", FIXTURE_PROFESSIONS)),
     "product_click_top10": _on_base(lambda a: products.product_click_top10(a, RUN_ID)),
     "paid_hot_actions": _on_base(products.paid_hot_actions, ENRICHMENT),
     "user_product_purchases": _on_base(products.user_product_purchases),
