@@ -36,9 +36,10 @@ def repeat_click_groups(actions: DataFrame, users: DataFrame, by: str = "session
     repeated = (F.col("click_product_id") > 0) & (F.col("n") >= F.lit(min_clicks))
     per_group = per_product.groupBy(key).agg(
         F.max(repeated.cast("int")).alias("repeat"),
-        F.max_by("last_user", "last_at").alias("user_id"),
+        F.max_by("last_user", "last_at").alias("_user"),
     )
-    groups = per_group.filter(F.col("repeat") == 1).select(F.col(key).alias("group_id"), "user_id")
+    groups = (per_group.filter(F.col("repeat") == 1)
+              .select(F.col(key).alias("group_id"), F.col("_user").alias("user_id")))
     return (groups.join(users.select("user_id", "professional"), "user_id", "left")
             .select("group_id", F.coalesce("professional", F.lit("")).alias("professional")))
 

@@ -68,7 +68,9 @@ def session_rollup(actions: DataFrame, run_id: str) -> DataFrame:
     holds more than one range partition of a session.
     """
     ties = tie_columns(actions)
-    needed = ["session_id", "action_time", "professional", *ties, *{f[1] for f in LIST_FIELDS}]
+    if "professional" not in actions.columns:
+        actions = actions.withColumn("professional", F.lit(None).cast("string"))
+    needed = ["session_id", "action_time", "professional", *ties, *sorted({f[1] for f in LIST_FIELDS})]
     ordered = ordered_actions(actions.select(*needed), order=["action_time", *ties])
     prof = F.col("professional")
     per_chunk = ordered.groupBy("session_id", "_chunk").agg(

@@ -1,0 +1,41 @@
+from clickscope.operators import categories
+from clickscope.operators.actions import base_actions
+from tests.helpers import action, rows, tables
+
+
+def acts(spark, extra=()):
+    r = [
+        action("s1", "2018-11-26 10:00:00", click_category=1, click_product=1),
+        action("s1", "2018-11-26 10:00:01", click_category=1, click_product=1),
+        action("s2", "2018-11-26 10:00:02", click_category=1, click_product=2),
+        action("s2", "2018-11-26 10:00:03", click_category=2, click_product=2),
+        action("s3", "2018-11-26 10:00:04", click_category=2, click_product=2),
+        action("s3", "2018-11-26 10:00:05", order_categories="2,3,", order_products="1"),
+        action("s3", "2018-11-26 10:00:06", pay_categories="3,,3", pay_products="1"),
+        action("s4", "2018-11-26 10:00:07", click_category=3, click_product=3),
+        action("s4", "2018-11-26 10:00:08", click_category=3, click_product=3),
+        *extra,
+    ]
+    return base_actions(tables(spark, r), enrich=())
+
+
+def test_counts_per_kind(spark):
+    got = rows(categories.category_event_counts(acts(spark)), "category_id", "click_count", "order_count",
+               "pay_count")
+    # '3,,3' counts category 3 twice; empty items are ignored
+    assert got == [("1", 3, 0, 0), ("2", 2, 1, 0), ("3", 2, 1, 2)]
+
+
+def test_top_ties_use_order_then_pay_then_id(spark):
+    # categories 2 and 3 both have 2 clicks and 1 order: pay decides (3 wins);
+    top = [r["category_id"] for r in categories.category_top10(acts(spark), "t").collect()]
+    assert top == ["1", "3", "2"]
+    top2 = [r["category_id"] for r in categories.category_top10(acts(spark), "t", k=2).collect()]
+    assert top2 == ["1", "3"]
+
+
+def test_top_sessions_per_category(spark):
+    df = categories.top_sessions_per_top_category(acts(spark), "t", k_categories=2, k_sessions=1)
+    got = rows(df, "categoryId", "sessionId", "clickCount")
+    assert got == [("1", "s1", 2), ("3", "s4", 2)]
+    assert {r["taskId"] for r in df.collect()} == {"t"}

@@ -1,0 +1,10 @@
+from clickscope.sources import overwrite_table
+
+
+def test_overwrite_replaces_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    overwrite_table(df, "sink_test")
+    overwrite_table(df, "sink_test")
+    assert spark.table("sink_test").count() == 2
+    overwrite_table(df.limit(1), "sink_test")
+    assert spark.table("sink_test").count() == 1
