@@ -19,13 +19,27 @@ CHUNK_BITS = 33  # monotonically_increasing_id keeps the partition index above b
 
 
 def ordered_actions(actions: DataFrame, session: str = "session_id",
-                    order: list[str] | None = None) -> DataFrame:
-    """Add ``_seq`` (global order key) and ``_chunk`` (range partition index)."""
+                    order: list[str] | None = None, unique: bool | None = None) -> DataFrame:
+    """Add ``_seq`` (global order key) and ``_chunk`` (range partition index).
+
+    The sort key must be a total order so that a partition recomputed after
+    an executor loss is numbered exactly as before. When ``order`` does not
+    end in a unique column (``unique`` False, or no ``action_id`` in it), a
+    hash of the whole row breaks the remaining ties; rows equal in every
+    column are interchangeable, so their relative order cannot matter.
+    """
     order = order or ["action_time"]
+    if unique is None:
+        unique = "action_id" in order
     keys = [session, *order]
+    if not unique:
+        actions = actions.withColumn("_row_hash", F.xxhash64(*actions.columns))
+        keys.append("_row_hash")
     numbered = (actions.repartitionByRange(*keys)
                 .sortWithinPartitions(*keys)
                 .withColumn("_seq", F.monotonically_increasing_id()))
+    if not unique:
+        numbered = numbered.drop("_row_hash")
     return numbered.withColumn("_chunk", F.shiftright(F.col("_seq"), CHUNK_BITS))
 
 
