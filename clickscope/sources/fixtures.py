@@ -7,7 +7,7 @@ and only the referenced parquet columns are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickscope.sources.tables import ModelTables
@@ -24,39 +24,39 @@ DRIVER_SCHEMAS = {
 
 # ``props`` is a one-key JSON object such as {"k": 69}. Extracting the integer
 # with a targeted pattern is ~8x cheaper per row than a general JSON path.
-K_PATTERN = r'"k"\s*:\s*(-?\d+)'
+K_PATTERN = r'"k"\\s*:\\s*(-?\\d+)'  # as a SQL string literal (backslashes escaped)
 
 
-def _ids(*exprs: Column) -> Column:
-    return F.concat_ws(",", *[e.cast("string") for e in exprs])
+def _ids(*exprs: str) -> str:
+    return "concat_ws(',', " + ", ".join(f"CAST({e} AS STRING)" for e in exprs) + ")"
 
 
 def user_visit_action_from_events(events: DataFrame) -> DataFrame:
-    k = F.nullif(F.regexp_extract(F.col("props"), K_PATTERN, 1), F.lit("")).cast("long")
-    kind = F.col("event_type")
-    ts = F.col("ts")
-    return (
-        events.select("event_id", "ts", "user_id", "event_type", k.alias("k"))
-        .select(
-            F.col("event_id").alias("action_id"),
-            F.date_format(ts, "yyyy-MM-dd").alias("date"),
-            F.col("user_id"),
-            F.lit(None).cast("string").alias("user_name"),
-            F.lit(None).cast("string").alias("professional"),
-            F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-            (F.col("k") % 10 + 1).alias("page_id"),
-            F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-            F.when(kind == "view", F.concat(F.lit("kw"), (F.col("k") % 6).cast("string"))).alias("search_keyword"),
-            F.when(kind == "click", F.col("k") % 20 + 1).otherwise(F.lit(-1)).cast("long").alias("click_category_id"),
-            F.when(kind == "click", (F.col("k") * 3) % 20 + 1).otherwise(F.lit(-1)).cast("long").alias("click_product_id"),
-            F.lit(None).cast("string").alias("product_name"),
-            F.when(kind == "signup", _ids(F.col("k") % 20 + 1, (F.col("k") + 7) % 20 + 1)).alias("order_category_ids"),
-            F.when(kind == "signup", _ids((F.col("k") * 3) % 20 + 1, (F.col("k") * 3 + 11) % 20 + 1)).alias("order_product_ids"),
-            F.when(kind == "purchase", _ids(F.col("k") % 20 + 1, (F.col("k") + 5) % 20 + 1,
-                                            (F.col("k") + 13) % 20 + 1)).alias("pay_category_ids"),
-            F.when(kind == "purchase", _ids((F.col("k") * 3) % 20 + 1, (F.col("k") * 3 + 4) % 20 + 1)).alias("pay_product_ids"),
-            ((F.col("user_id") * 7 + F.col("k")) % 25).cast("long").alias("city_id"),
-        )
+    """One model action per event (FIXTURES.md section 2), as SQL expressions."""
+    with_k = events.selectExpr(
+        "event_id", "ts", "user_id", "event_type",
+        f"CAST(nullif(regexp_extract(props, '{K_PATTERN}', 1), '') AS BIGINT) AS k")
+    return with_k.selectExpr(
+        "event_id AS action_id",
+        "date_format(ts, 'yyyy-MM-dd') AS date",
+        "user_id",
+        "CAST(NULL AS STRING) AS user_name",
+        "CAST(NULL AS STRING) AS professional",
+        "concat(CAST(user_id AS STRING), '-', date_format(ts, 'yyyyMMdd')) AS session_id",
+        "k % 10 + 1 AS page_id",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 6 AS STRING)) END AS search_keyword",
+        "CAST(CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS BIGINT) AS click_category_id",
+        "CAST(CASE WHEN event_type = 'click' THEN (k * 3) % 20 + 1 ELSE -1 END AS BIGINT) AS click_product_id",
+        "CAST(NULL AS STRING) AS product_name",
+        f"CASE WHEN event_type = 'signup' THEN {_ids('k % 20 + 1', '(k + 7) % 20 + 1')} END AS order_category_ids",
+        f"CASE WHEN event_type = 'signup' THEN {_ids('(k * 3) % 20 + 1', '(k * 3 + 11) % 20 + 1')} END"
+        " AS order_product_ids",
+        f"CASE WHEN event_type = 'purchase' THEN {_ids('k % 20 + 1', '(k + 5) % 20 + 1', '(k + 13) % 20 + 1')} END"
+        " AS pay_category_ids",
+        f"CASE WHEN event_type = 'purchase' THEN {_ids('(k * 3) % 20 + 1', '(k * 3 + 4) % 20 + 1')} END"
+        " AS pay_product_ids",
+        "CAST((user_id * 7 + k) % 25 AS BIGINT) AS city_id",
     )
 
 
