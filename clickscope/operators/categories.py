@@ -5,32 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.functions import split_ids, task_id
+from clickscope.functions import task_id
 
 
-def _category_events(actions: DataFrame) -> DataFrame:
-    """One row per (kind, category) occurrence, straight from the actions.
-
-    A click counts its category once; an order/pay counts every listed id.
-    """
-    tag = lambda kind: (lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("category_id")))
-    click = F.when(F.col("click_category_id") > 0,
-                   F.array(tag("click")(F.col("click_category_id").cast("string"))))
-    events = F.concat(
-        F.coalesce(click, F.array().cast("array<struct<kind:string,category_id:string>>")),
-        F.transform(split_ids("order_category_ids"), tag("order")),
-        F.transform(split_ids("pay_category_ids"), tag("pay")),
-    )
-    return actions.select(F.explode(events).alias("e")).select("e.kind", "e.category_id")
+def _id_list(c: str):
+    """Comma list column -> array of items ('' for NULL; empty items are kept and filtered later)."""
+    return F.split(F.coalesce(F.col(c), F.lit("")), ",")
 
 
 def category_event_counts(actions: DataFrame) -> DataFrame:
-    """Per category id (string): click_count, order_count, pay_count; missing kinds are 0."""
-    kind = F.col("kind")
-    return _category_events(actions).groupBy("category_id").agg(
-        F.count_if(kind == "click").alias("click_count"),
-        F.count_if(kind == "order").alias("order_count"),
-        F.count_if(kind == "pay").alias("pay_count"),
+    """Per category id (string): click_count, order_count, pay_count; missing kinds are 0.
+
+    Each action becomes one array [clicked id or '', order ids..., pay ids...]
+    exploded with its position, so the kind follows from the position: a
+    click counts its category once, an order/pay every listed id. Plain
+    split/concat/posexplode keep the stage in generated code (no per-row
+    lambdas), and the counts combine map-side before the shuffle.
+    """
+    click = F.when(F.col("click_category_id") > 0, F.col("click_category_id").cast("string")).otherwise(F.lit(""))
+    parts = actions.select(F.array(click).alias("c"), _id_list("order_category_ids").alias("o"),
+                           _id_list("pay_category_ids").alias("p"))
+    items = (parts.select(F.size("o").alias("n_order"), F.posexplode(F.concat("c", "o", "p")).alias("pos", "category_id"))
+             .filter(F.col("category_id") != ""))
+    pos, n_order = F.col("pos"), F.col("n_order")
+    return items.groupBy("category_id").agg(
+        F.count_if(pos == 0).alias("click_count"),
+        F.count_if((pos >= 1) & (pos <= n_order)).alias("order_count"),
+        F.count_if(pos > n_order).alias("pay_count"),
     )
 
 

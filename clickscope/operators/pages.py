@@ -27,16 +27,14 @@ def targeted_page_views(actions: DataFrame, flow: list[int] | tuple[int, ...]) -
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("view_count")))
 
 
-def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFrame:
-    """Count of consecutive page pairs (by time inside a session) that are flow pairs.
+def _ordered_pages(actions: DataFrame) -> DataFrame:
+    ties = tie_columns(actions)
+    return ordered_actions(actions.select("session_id", "action_time", "page_id", *ties),
+                           order=["action_time", *ties])
 
-    Adjacency is computed on all actions first, then the pairs are filtered:
-    filtering pages first would invent jumps over removed actions.
-    """
+
+def _jumps_from_ordered(ordered: DataFrame, flow) -> DataFrame:
     pairs = flow_pairs(flow)
-    ties = tie_columns(actions)
-    ordered = ordered_actions(actions.select("session_id", "action_time", "page_id", *ties),
-                              order=["action_time", *ties])
     steps = successor_pairs(ordered, "page_id")
     wanted = F.struct("from_value", "to_value").isin(
         [F.struct(F.lit(a).cast("long"), F.lit(b).cast("long")) for a, b in pairs]) if pairs else F.lit(False)
@@ -47,14 +45,26 @@ def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFra
                     "from_page", "to_page", "jump_count"))
 
 
+def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFrame:
+    """Count of consecutive page pairs (by time inside a session) that are flow pairs.
+
+    Adjacency is computed on all actions first, then the pairs are filtered:
+    filtering pages first would invent jumps over removed actions.
+    """
+    return _jumps_from_ordered(_ordered_pages(actions), flow)
+
+
 def page_conversion_rate(actions: DataFrame, run_id: str, flow: list[int] | tuple[int, ...]) -> DataFrame:
     """rate(a_b) = jumps(a->b) / views(a) in percent (HALF_UP, 2 decimals).
 
-    Pairs that never occur produce no row. Both sides are tiny (one row per
-    flow pair / flow page), so the final join is broadcast by AQE.
+    Pairs that never occur produce no row. Views are counted from the same
+    range-partitioned actions as the jumps, so the log is shuffled once and
+    that exchange is reused. Both final sides are tiny (one row per flow
+    pair / flow page), so AQE broadcasts the last join.
     """
-    jumps = page_jumps(actions, flow)
-    views = targeted_page_views(actions, flow).withColumnRenamed("page_id", "from_page")
+    ordered = _ordered_pages(actions)
+    jumps = _jumps_from_ordered(ordered, flow)
+    views = targeted_page_views(ordered, flow).withColumnRenamed("page_id", "from_page")
     return (jumps.join(views, "from_page", "inner")
             .select(task_id(run_id), "pageJump",
                     percent_half_up("jump_count", "view_count").alias("rate")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.functions import classify_operation, split_ids, task_id
+from clickscope.functions import classify_operation, task_id
 from clickscope.operators.actions import tie_columns
 from clickscope.sources.tables import ModelTables
 
@@ -25,8 +25,9 @@ def _hot_ids(actions: DataFrame, k: int) -> Column:
 
 
 def _paid_products(actions: DataFrame) -> Column:
-    """Distinct product ids of one pay action (a repeated id counts once)."""
-    return F.array_distinct(F.transform(split_ids("pay_product_ids"), lambda x: x.cast("long")))
+    """Distinct product ids of one pay action (a repeated id counts once; '' items become NULL)."""
+    items = F.split(F.coalesce(F.col("pay_product_ids"), F.lit("")), ",")
+    return F.array_distinct(items.try_cast("array<bigint>"))
 
 
 def paid_hot_actions(actions: DataFrame, k: int = 10) -> DataFrame:
@@ -43,8 +44,9 @@ def user_product_purchases(actions: DataFrame, hot_only_k: int | None = None) ->
 
     With ``hot_only_k`` only the hot products are counted.
     """
-    paid = actions.filter(F.col("pay_product_ids").isNotNull()).select(
-        "user_id", F.explode(_paid_products(actions)).alias("product_id"))
+    paid = (actions.filter(F.col("pay_product_ids").isNotNull())
+            .select("user_id", F.explode(_paid_products(actions)).alias("product_id"))
+            .filter(F.col("product_id").isNotNull()))
     if hot_only_k is not None:
         paid = paid.filter(F.array_contains(_hot_ids(actions, hot_only_k), F.col("product_id")))
     return paid.groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("purchase_count"))

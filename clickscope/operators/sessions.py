@@ -28,6 +28,7 @@ from clickscope.functions import (
 )
 from clickscope.operators.actions import tie_columns
 from clickscope.operators.ordering import fragment_list, ordered_actions
+from clickscope.session import checkpoint_dir
 
 LIST_FIELDS = [
     # (output name, value column, keep predicate)
@@ -156,12 +157,20 @@ def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clicks
             .select("sessionId", "hour", "rn"))
 
 
-def session_sample(actions: DataFrame, run_id: str, need: int = 1000, seed: str = "clickscope") -> DataFrame:
+def session_sample(actions: DataFrame, run_id: str, need: int = 1000, seed: str = "clickscope",
+                   materialize: bool = True) -> DataFrame:
     """Session records (with lists) of the proportional hourly sample.
 
     The sample holds at most ``need`` ids by construction, so it is broadcast
-    to select the sampled sessions' actions before their lists are built.
+    to select the sampled sessions' actions. Building ordered lists samples
+    and then sorts that selection (two passes); with ``materialize`` the
+    selection is checkpointed once to the shared checkpoint folder, so the
+    full action log is scanned once for it instead of twice, and the lineage
+    behind the list building is cut.
     """
     ids = sample_session_ids(actions, need, seed).select(F.col("sessionId").alias("session_id"))
     picked = actions.join(F.broadcast(ids), "session_id", "left_semi")
+    if materialize:
+        checkpoint_dir(picked.sparkSession)
+        picked = picked.checkpoint(eager=True)
     return session_rollup(picked, run_id)
