@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickscope.functions import classify_operation, task_id
 from clickscope.operators.actions import tie_columns
+from clickscope.session import checkpoint_dir
 from clickscope.sources.tables import ModelTables
 
 
@@ -62,22 +63,30 @@ def top2_buyers_per_hot_product(actions: DataFrame, run_id: str, k_products: int
 
 
 def hot_product_user_visits(tables: ModelTables, actions: DataFrame, run_id: str, date: str | None = None,
-                            k_products: int = 10, k_buyers: int = 2) -> DataFrame:
+                            k_products: int = 10, k_buyers: int = 2, materialize: bool = True) -> DataFrame:
     """Every action (on ``date``, or all days) of each hot product's top buyers, time-ordered.
 
     One output row per (hot product, action of one of its top buyers). The
     buyer table has at most k_products * k_buyers rows, so it is broadcast
-    (with the hot product's name attached) against the action scan.
+    (with the hot product's name attached) against the action scan. The
+    global time order needs a range shuffle, whose sampling pass would scan
+    the whole log again; with ``materialize`` the selected visits are
+    checkpointed to the shared checkpoint folder first, so both passes of the
+    sort read only them.
     """
     buyers = top2_buyers_per_hot_product(actions, run_id, k_products, k_buyers).select("product_id", "user_id")
     named = buyers.join(tables.products.select("product_id", "product_name"), "product_id", "left")
     visits = actions.drop("product_name")  # the name shown is the hot product's, not the clicked one (if present)
     if date is not None:
         visits = visits.filter(F.col("date") == F.lit(date))
+    ties = tie_columns(visits)
     op_type, op_obj = classify_operation()
     rows = visits.join(F.broadcast(named), "user_id", "inner").select(
         task_id(run_id), "product_id", "product_name",
         F.col("user_id").cast("string").alias("user_id"), "user_name", "action_time",
-        op_type, op_obj, *tie_columns(visits),
+        op_type, op_obj, *ties,
     )
-    return rows.orderBy("action_time", *tie_columns(visits), "product_id").drop(*tie_columns(visits))
+    if materialize:
+        checkpoint_dir(rows.sparkSession)
+        rows = rows.checkpoint(eager=True)
+    return rows.orderBy("action_time", *ties, "product_id").drop(*ties)
