@@ -14,9 +14,10 @@ from clickscope.functions.core import (
     seconds_between,
     split_ids,
     task_id,
+    ts_seconds_between,
 )
 
 __all__ = [
     "TASK_ID_COLUMN", "action_ts", "chunked_list_join", "format_ts", "city_remark", "classify_operation", "hour_key",
-    "non_empty", "percent_half_up", "percent_text", "seconds_between", "split_ids", "task_id",
+    "non_empty", "percent_half_up", "percent_text", "seconds_between", "split_ids", "task_id", "ts_seconds_between",
 ]

@@ -73,13 +73,28 @@ def action_ts(text) -> Column:
 
 
 def format_ts(ts) -> Column:
-    """Zone-free timestamp back to 'yyyy-MM-dd HH:mm:ss' text."""
-    return F.date_format(_c(ts), TIME_FORMAT)
+    """Zone-free timestamp back to 'yyyy-MM-dd HH:mm:ss' text.
+
+    Casting TIMESTAMP_NTZ to text never consults the session time zone
+    (``date_format`` would round-trip through it and shift wall-clock times
+    that fall into a daylight-saving gap).
+    """
+    return F.substring(_c(ts).cast("string"), 1, 19)
+
+
+def ts_seconds_between(t0, t1) -> Column:
+    """Whole seconds from zone-free timestamp t0 to t1, without any time zone."""
+    t0, t1 = _c(t0), _c(t1)
+
+    def second_of_day(t):
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+    return (F.date_diff(t1, t0).cast("long") * 86400 + second_of_day(t1) - second_of_day(t0)).cast("long")
 
 
 def seconds_between(start_text, end_text) -> Column:
     """Whole seconds between two 'yyyy-MM-dd HH:mm:ss' texts (zone-free)."""
-    return F.timestamp_diff("SECOND", action_ts(start_text), action_ts(end_text))
+    return ts_seconds_between(action_ts(start_text), action_ts(end_text))
 
 
 def classify_operation() -> tuple[Column, Column]:

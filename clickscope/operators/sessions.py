@@ -25,6 +25,7 @@ from clickscope.functions import (
     percent_half_up,
     seconds_between,
     task_id,
+    ts_seconds_between,
 )
 from clickscope.operators.actions import tie_columns
 from clickscope.operators.ordering import fragment_list, ordered_actions
@@ -57,7 +58,7 @@ def session_stats(actions: DataFrame) -> DataFrame:
         format_ts(F.col("t0")).alias("startTime"),
         format_ts(F.col("t1")).alias("endTime"),
         "stepLength",
-        F.timestamp_diff("SECOND", F.col("t0"), F.col("t1")).alias("visitLength"),
+        ts_seconds_between("t0", "t1").alias("visitLength"),
     )
 
 
@@ -143,7 +144,7 @@ def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clicks
     is computed once and reused.
     """
     starts = (actions.groupBy("session_id").agg(F.min(action_ts(F.col("action_time"))).alias("t0"))
-              .select(F.col("session_id").alias("sessionId"), F.date_format("t0", "yyyy-MM-dd HH").alias("hour")))
+              .select(F.col("session_id").alias("sessionId"), hour_key(format_ts("t0")).alias("hour")))
     hours = starts.groupBy("hour").agg(F.count(F.lit(1)).alias("hour_count"))
     total = F.sum("hour_count").over(Window.partitionBy())  # one row per hour: small
     hours = hours.select(

@@ -33,18 +33,20 @@ def _ids(*exprs: str) -> str:
 
 def user_visit_action_from_events(events: DataFrame) -> DataFrame:
     """One model action per event (FIXTURES.md section 2), as SQL expressions."""
+    # ``ts`` is zone-free (TIMESTAMP_NTZ); its text form never depends on the
+    # session time zone, so the wall-clock fields are cut from that text.
     with_k = events.selectExpr(
-        "event_id", "ts", "user_id", "event_type",
+        "event_id", "substring(CAST(ts AS STRING), 1, 19) AS t", "user_id", "event_type",
         f"CAST(nullif(regexp_extract(props, '{K_PATTERN}', 1), '') AS BIGINT) AS k")
     return with_k.selectExpr(
         "event_id AS action_id",
-        "date_format(ts, 'yyyy-MM-dd') AS date",
+        "substring(t, 1, 10) AS date",
         "user_id",
         "CAST(NULL AS STRING) AS user_name",
         "CAST(NULL AS STRING) AS professional",
-        "concat(CAST(user_id AS STRING), '-', date_format(ts, 'yyyyMMdd')) AS session_id",
+        "concat(CAST(user_id AS STRING), '-', substring(t, 1, 4), substring(t, 6, 2), substring(t, 9, 2)) AS session_id",
         "k % 10 + 1 AS page_id",
-        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS action_time",
+        "t AS action_time",
         "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 6 AS STRING)) END AS search_keyword",
         "CAST(CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1 END AS BIGINT) AS click_category_id",
         "CAST(CASE WHEN event_type = 'click' THEN (k * 3) % 20 + 1 ELSE -1 END AS BIGINT) AS click_product_id",

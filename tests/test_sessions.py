@@ -79,3 +79,19 @@ def test_sample_is_proportional_and_distinct(spark):
     assert full.count() == 10
     again = sorted(r["sessionId"] for r in sessions.sample_session_ids(acts, need=10).collect())
     assert again == sorted(r["sessionId"] for r in ids)  # reproducible
+
+
+def test_times_ignore_the_session_time_zone(spark):
+    # 2018-03-11 02:00-03:00 does not exist in Los Angeles (spring forward)
+    rows = [action("dst", "2018-03-11 01:59:50", action_id=1), action("dst", "2018-03-11 02:30:00", action_id=2),
+            action("dst", "2018-03-11 03:00:10", action_id=3)]
+    acts = base_actions(tables(spark, rows))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = sessions.session_stats(acts).collect()[0]
+        full = sessions.session_rollup(acts, "t").collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (r["startTime"], r["endTime"], r["visitLength"]) == ("2018-03-11 01:59:50", "2018-03-11 03:00:10", 3620)
+    assert (full["startTime"], full["visitLength"]) == ("2018-03-11 01:59:50", 3620)
