@@ -46,26 +46,33 @@ def ordered_actions(actions: DataFrame, session: str = "session_id",
 def successor_pairs(ordered: DataFrame, value: str, session: str = "session_id") -> DataFrame:
     """(session, from, to) for every two consecutive actions of a session.
 
-    Inside a chunk: ``lead`` over the chunk (bounded by the range partition
-    size). Across chunks: the last row of each chunk meets the first row of
-    the next non-empty chunk; that table has one row per chunk.
+    Pairs inside a chunk come from ``lead`` over the chunk (bounded by the
+    range partition size). For pairs across a chunk border, the first row of
+    every chunk (recognisable by itself: its row number inside the partition,
+    the low bits of ``_seq``, is 0) is also copied into the previous
+    non-empty chunk, where it sorts last and becomes the ``lead`` of that
+    chunk's last row. The head rows (one per partition) are the only input
+    of the small window that finds each previous chunk. One window pass over
+    the data, no aggregation, and every branch reads the same range exchange.
     """
+    is_head = (F.col("_seq").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)) == 0)
+    cols = [session, value, "_seq"]
+    # One head row per non-empty chunk, so this window has at most one row
+    # per partition; it hands every head to the previous non-empty chunk.
+    # Heads carry the same columns as the main branch, so both read the same
+    # range exchange (a narrower projection would plan a second range shuffle).
+    heads = (ordered.filter(is_head)
+             .select(F.lag("_chunk").over(Window.orderBy("_chunk")).alias("_prev"), *cols)
+             .filter(F.col("_prev").isNotNull())
+             .select(F.col("_prev").alias("_chunk"), *cols))
+    rows = ordered.select("_chunk", *cols).unionByName(heads)
     w = Window.partitionBy("_chunk").orderBy("_seq")
-    inner = (ordered
-             .select(session, F.col(value).alias("from_value"),
-                     F.lead(value).over(w).alias("to_value"),
-                     F.lead(session).over(w).alias("_next_session"))
-             .filter(F.col("_next_session") == F.col(session))
-             .drop("_next_session"))
-    row = F.struct(F.col(session).alias("s"), F.col(value).alias("v"))
-    bounds = ordered.groupBy("_chunk").agg(F.min_by(row, "_seq").alias("first"),
-                                           F.max_by(row, "_seq").alias("last"))
-    edges = (bounds
-             .select("last", F.lead("first").over(Window.orderBy("_chunk")).alias("next_first"))
-             .filter(F.col("last.s") == F.col("next_first.s"))
-             .select(F.col("last.s").alias(session), F.col("last.v").alias("from_value"),
-                     F.col("next_first.v").alias("to_value")))
-    return inner.unionByName(edges)
+    return (rows
+            .select(session, F.col(value).alias("from_value"),
+                    F.lead(value).over(w).alias("to_value"),
+                    F.lead(session).over(w).alias("_next_session"))
+            .filter(F.col("_next_session") == F.col(session))
+            .drop("_next_session"))
 
 
 def fragment_list(value: Column, keep: Column) -> Column:

@@ -57,14 +57,12 @@ def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFra
 def page_conversion_rate(actions: DataFrame, run_id: str, flow: list[int] | tuple[int, ...]) -> DataFrame:
     """rate(a_b) = jumps(a->b) / views(a) in percent (HALF_UP, 2 decimals).
 
-    Pairs that never occur produce no row. Views are counted from the same
-    range-partitioned actions as the jumps, so the log is shuffled once and
-    that exchange is reused. Both final sides are tiny (one row per flow
-    pair / flow page), so AQE broadcasts the last join.
+    Pairs that never occur produce no row. Views are a plain filtered count
+    (combined map-side). Both final sides are tiny (one row per flow pair /
+    flow page), so AQE broadcasts the last join.
     """
-    ordered = _ordered_pages(actions)
-    jumps = _jumps_from_ordered(ordered, flow)
-    views = targeted_page_views(ordered, flow).withColumnRenamed("page_id", "from_page")
+    jumps = page_jumps(actions, flow)
+    views = targeted_page_views(actions, flow).withColumnRenamed("page_id", "from_page")
     return (jumps.join(views, "from_page", "inner")
             .select(task_id(run_id), "pageJump",
                     percent_half_up("jump_count", "view_count").alias("rate")))
