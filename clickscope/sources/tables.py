@@ -26,6 +26,25 @@ class ModelTables:
         return self
 
 
+def duplicate_keys(tables: ModelTables) -> DataFrame:
+    """Dimension keys that occur more than once (table, key, n), as a distributed plan.
+
+    The enrichment joins assume unique dimension keys; a duplicate would
+    multiply action rows. Empty result = safe.
+    """
+    from pyspark.sql import functions as F
+
+    parts = []
+    for table, df, key in (("user_info", tables.users, "user_id"), ("product_info", tables.products, "product_id"),
+                           ("city_info", tables.cities, "city_id")):
+        parts.append(df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+                     .filter(F.col("n") > 1).select(F.lit(table).alias("table"), "key", "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def read_catalog_tables(spark: SparkSession, database: str | None = None) -> ModelTables:
     """Read the four managed tables, qualified by ``database`` when given."""
     prefix = f"{database}." if database else ""

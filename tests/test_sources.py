@@ -1,0 +1,37 @@
+import pytest
+
+from clickscope import schemas
+from clickscope.sources import default_city_info, duplicate_keys, load_fixture_tables
+from clickscope.sources.tables import ModelTables
+from tests.helpers import tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_fixture_tables_match_the_model(spark):
+    t = load_fixture_tables(spark, SF).validate()
+    assert duplicate_keys(t).count() == 0
+    row = t.actions.orderBy("action_id").first()
+    assert len(row["action_time"]) == 19 and row["date"] == row["action_time"][:10]
+    assert row["session_id"] == f"{row['user_id']}-{row['date'].replace('-', '')}"
+
+
+def test_duplicate_dimension_keys_are_reported(spark):
+    t = tables(spark, [], products=[(1, "a", "x"), (1, "b", "x"), (2, "c", "x")])
+    got = [(r["table"], r["key"], r["n"]) for r in duplicate_keys(t).collect()]
+    assert got == [("product_info", 1, 2)]
+
+
+def test_schema_mismatch_is_reported(spark):
+    t = tables(spark, [])
+    bad = ModelTables(actions=t.actions.drop("city_id"), users=t.users, products=t.products, cities=t.cities)
+    with pytest.raises(schemas.SchemaMismatch, match="city_id"):
+        bad.validate()
+    with pytest.raises(schemas.SchemaMismatch, match="age"):
+        schemas.validate_schema(t.users.withColumn("age", t.users["age"].cast("string")), schemas.USER_INFO)
+
+
+def test_built_in_city_table(spark):
+    cities = default_city_info(spark)
+    assert cities.count() == 26
+    assert cities.select("area").distinct().count() == 7
