@@ -146,7 +146,7 @@ def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clicks
     starts = (actions.groupBy("session_id").agg(F.min(action_ts(F.col("action_time"))).alias("t0"))
               .select(F.col("session_id").alias("sessionId"), hour_key(format_ts("t0")).alias("hour")))
     hours = starts.groupBy("hour").agg(F.count(F.lit(1)).alias("hour_count"))
-    total = F.sum("hour_count").over(Window.partitionBy())  # one row per hour: small
+    total = hours.agg(F.sum("hour_count")).scalar()  # scalar subquery, evaluated once
     hours = hours.select(
         "hour",
         F.least(F.call_function("div", F.col("hour_count") * F.lit(need), total), F.col("hour_count")).alias("quota"),
