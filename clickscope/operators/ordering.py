@@ -19,7 +19,8 @@ CHUNK_BITS = 33  # monotonically_increasing_id keeps the partition index above b
 
 
 def ordered_actions(actions: DataFrame, session: str = "session_id",
-                    order: list[str] | None = None, unique: bool | None = None) -> DataFrame:
+                    order: list[str] | None = None, unique: bool | None = None,
+                    partitions: int | None = None) -> DataFrame:
     """Add ``_seq`` (global order key) and ``_chunk`` (range partition index).
 
     The sort key must be a total order so that a partition recomputed after
@@ -27,6 +28,9 @@ def ordered_actions(actions: DataFrame, session: str = "session_id",
     end in a unique column (``unique`` False, or no ``action_id`` in it), a
     hash of the whole row breaks the remaining ties; rows equal in every
     column are interchangeable, so their relative order cannot matter.
+
+    ``partitions`` fixes the number of chunks (default: the session's shuffle
+    partitions, which AQE may coalesce); chunk size bounds every task below.
     """
     order = order or ["action_time"]
     if unique is None:
@@ -35,7 +39,8 @@ def ordered_actions(actions: DataFrame, session: str = "session_id",
     if not unique:
         actions = actions.withColumn("_row_hash", F.xxhash64(*actions.columns))
         keys.append("_row_hash")
-    numbered = (actions.repartitionByRange(*keys)
+    ranged = actions.repartitionByRange(partitions, *keys) if partitions else actions.repartitionByRange(*keys)
+    numbered = (ranged
                 .sortWithinPartitions(*keys)
                 .withColumn("_seq", F.monotonically_increasing_id()))
     if not unique:

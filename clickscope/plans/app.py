@@ -43,12 +43,15 @@ def append_to_table(name: str, df: DataFrame) -> None:
 
 def demand_plans(tables: ModelTables, condition: Condition, run_id: str, flow=(1, 2, 3, 4, 5, 6, 7),
                  persist_base: bool = False) -> dict[str, DataFrame]:
-    """The result DataFrames (lazy), keyed by result table role.
+    """The result DataFrames, keyed by result table role (plus ``_base``,
+    the shared action set).
 
     Demands 1-5 and the two exercises use the condition-filtered actions;
-    the area report reads the raw log, as in the original.
+    the area report reads the raw log, as in the original. The sample and
+    the buyers' visits checkpoint their small selections when built.
     """
-    acts = base_actions(tables, condition)
+    # No demand reads the clicked product's name: skip that join.
+    acts = base_actions(tables, condition, enrich=("professional", "user_name"))
     if persist_base:
         acts = acts.persist(StorageLevel.MEMORY_AND_DISK)
     flow = tuple(condition.target_page_flow) or tuple(flow)
@@ -61,21 +64,35 @@ def demand_plans(tables: ModelTables, condition: Condition, run_id: str, flow=(1
         "area_top3": areas.area_top3_products(tables),
         "professional_stat": professions.professional_share(acts, tables.users, run_id),
         "hot_product_user_info": products.hot_product_user_visits(tables, acts, run_id),
+        "_base": acts,
     }
 
 
 def run_demands(tables: ModelTables, condition: Condition | None = None, run_id: str | None = None,
                 write: Writer = append_to_table, only: list[str] | None = None,
-                table_prefix: str = "") -> str:
-    """Run the demands one after another and hand each result to ``write``."""
+                table_prefix: str = "", persist_base: bool = False) -> str:
+    """Run the demands one after another and hand each result to ``write``.
+
+    With ``persist_base`` the enriched, filtered action set is kept (memory
+    and disk) while the demands run, instead of being rebuilt from the scan
+    by each of them, and released at the end.
+    """
     run_id = run_id or str(uuid.uuid4())
-    plans = demand_plans(tables, condition or Condition(), run_id)
-    for role, df in plans.items():
-        if only is None or role in only:
-            write(f"{table_prefix}{RESULT_TABLES[role]}", df)
+    plans = demand_plans(tables, condition or Condition(), run_id, persist_base=persist_base)
+    try:
+        for role, df in plans.items():
+            if role in RESULT_TABLES and (only is None or role in only):
+                write(f"{table_prefix}{RESULT_TABLES[role]}", df)
+    finally:
+        if persist_base:
+            base_actions_of(plans).unpersist()
     return run_id
 
 
+def base_actions_of(plans: dict[str, DataFrame]) -> DataFrame:
+    return plans["_base"]
+
+
 def _condition_from_json(text: str) -> Condition:
     data = json.loads(text) if text else {}
     for key in ("professionals", "keywords", "category_ids", "target_page_flow"):
@@ -90,10 +107,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--condition", default="{}", help="JSON object of Condition fields")
     parser.add_argument("--run-id", default=None)
     parser.add_argument("--table-prefix", default="")
+    parser.add_argument("--persist-base", action="store_true",
+                        help="keep the filtered, enriched actions between demands")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("clickscope").getOrCreate()
     tables = read_catalog_tables(spark, args.database)
-    run_id = run_demands(tables, _condition_from_json(args.condition), args.run_id, table_prefix=args.table_prefix)
+    run_id = run_demands(tables, _condition_from_json(args.condition), args.run_id, table_prefix=args.table_prefix,
+                         persist_base=args.persist_base)
     print(run_id)
 
 

@@ -17,7 +17,7 @@ def test_run_all_demands_appends_per_run(spark):
     def capture(name, df):
         written[name] = df.count()
 
-    run_demands(tables, Condition(), "r-1", write=capture, table_prefix="t_")
+    run_demands(tables, Condition(), "r-1", write=capture, table_prefix="t_", persist_base=True)
     assert set(written) == {f"t_{n}" for n in RESULT_TABLES.values()}
     assert written["t_session_stat"] == 1 and written["t_category_top10"] == 10
     run_demands(tables, Condition(), "r-1", only=["category_top10"], table_prefix="app_")
