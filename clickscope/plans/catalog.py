@@ -57,7 +57,7 @@ def _table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     location = f"{checkpoint_dir(spark).rstrip('/')}/tables/{table}-{uuid.uuid4().hex}"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     for _ in range(2):
-        top.write.mode("overwrite").format("parquet").option("path", location).saveAsTable(table)
+        overwrite_table(top, table, path=location)
     return spark.table(table)
 
 

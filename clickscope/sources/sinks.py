@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None = None,
-                    fmt: str = "parquet") -> None:
-    """Drop-and-replace a managed table (the catalog decides the location).
+                    fmt: str = "parquet", path: str | None = None) -> None:
+    """Drop-and-replace a table. Without ``path`` the catalog places it
+    (managed table); with ``path`` its files go there (e.g. a shared folder).
 
     Large fact tables should be written with ``partition_by=["date"]`` so date
     conditions prune whole directories on read.
@@ -15,6 +16,8 @@ def overwrite_table(df: DataFrame, table: str, partition_by: list[str] | None =
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(table)
 
 

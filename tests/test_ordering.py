@@ -64,3 +64,23 @@ def test_jumps_use_all_actions_before_page_filter(spark):
     acts = base_actions(tables(spark, rows), enrich=())
     got = {r["pageJump"]: r["jump_count"] for r in pages.page_jumps(acts, [1, 2, 3]).collect()}
     assert got == {"2_3": 1}
+
+
+def test_without_action_id_the_row_hash_orders_ties(spark):
+    rows = make_rows(seed=11)
+    # unique times per session so the expected order is defined; drop the id column
+    seen, unique_rows = set(), []
+    for r in rows:
+        if (r["session_id"], r["action_time"]) not in seen:
+            seen.add((r["session_id"], r["action_time"]))
+            unique_rows.append(r)
+    acts = base_actions(tables(spark, unique_rows), enrich=()).drop("action_id")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = ordered_actions(acts.select("session_id", "action_time", "page_id"))
+        got = sorted(tuple(r) for r in successor_pairs(ordered, "page_id").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == brute_pairs(unique_rows)
