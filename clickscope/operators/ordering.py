@@ -12,6 +12,8 @@ using one small row per chunk.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,36 +50,58 @@ def ordered_actions(actions: DataFrame, session: str = "session_id",
     return numbered.withColumn("_chunk", F.shiftright(F.col("_seq"), CHUNK_BITS))
 
 
-def successor_pairs(ordered: DataFrame, value: str, session: str = "session_id") -> DataFrame:
-    """(session, from, to) for every two consecutive actions of a session.
+def successor_pair_counts(ordered: DataFrame, value: str, session: str = "session_id",
+                          keep: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """(from_value, to_value, n): how often ``to`` directly follows ``from``
+    inside a session (consecutive actions in time order).
 
-    Pairs inside a chunk come from ``lead`` over the chunk (bounded by the
-    range partition size). For pairs across a chunk border, the first row of
-    every chunk (recognisable by itself: its row number inside the partition,
-    the low bits of ``_seq``, is 0) is also copied into the previous
-    non-empty chunk, where it sorts last and becomes the ``lead`` of that
-    chunk's last row. The head rows (one per partition) are the only input
-    of the small window that finds each previous chunk. One window pass over
-    the data, no aggregation, and every branch reads the same range exchange.
+    One window pass over the chunks (``lead``/``lag`` partitioned by chunk,
+    bounded by the range partition size) gives every pair inside a chunk.
+    For pairs across a chunk border, each chunk's first and last row is also
+    emitted as a border record carrying its global order number ``_seq``.
+    A single aggregation then counts the inner pairs and keeps the border
+    records as individual groups (at most two per chunk); a small window over
+    those, ordered by ``_seq``, pairs every chunk's first row with the last
+    row of the chunk before it. Chunk numbers and ``_seq`` are produced once,
+    in the stage that feeds this window, so every decision here reads the
+    same numbering. ``keep(from, to)`` filters the wanted pairs early.
     """
-    is_head = (F.col("_seq").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)) == 0)
-    cols = [session, value, "_seq"]
-    # One head row per non-empty chunk, so this window has at most one row
-    # per partition; it hands every head to the previous non-empty chunk.
-    # Heads carry the same columns as the main branch, so both read the same
-    # range exchange (a narrower projection would plan a second range shuffle).
-    heads = (ordered.filter(is_head)
-             .select(F.lag("_chunk").over(Window.orderBy("_chunk")).alias("_prev"), *cols)
-             .filter(F.col("_prev").isNotNull())
-             .select(F.col("_prev").alias("_chunk"), *cols))
-    rows = ordered.select("_chunk", *cols).unionByName(heads)
     w = Window.partitionBy("_chunk").orderBy("_seq")
-    return (rows
-            .select(session, F.col(value).alias("from_value"),
-                    F.lead(value).over(w).alias("to_value"),
-                    F.lead(session).over(w).alias("_next_session"))
-            .filter(F.col("_next_session") == F.col(session))
-            .drop("_next_session"))
+    marked = ordered.select(
+        session, value, "_seq",
+        F.lead(value).over(w).alias("_next_value"),
+        F.lead(session).over(w).alias("_next_session"),
+        F.lag("_seq").over(w).isNull().alias("_first"),
+        F.lead("_seq").over(w).isNull().alias("_last"),
+    )
+    inner_ok = F.col("_next_session") == F.col(session)
+    if keep is not None:
+        inner_ok = inner_ok & keep(F.col(value), F.col("_next_value"))
+    null_long, null_str = F.lit(None).cast("long"), F.lit(None).cast("string")
+    record = lambda border, s, f, t, q, first: F.struct(
+        border.alias("b"), s.alias("s"), f.alias("f"), t.alias("t"), q.alias("q"), first.alias("first"))
+    records = marked.select(F.explode(F.array(
+        F.when(inner_ok, record(F.lit(False), null_str, F.col(value), F.col("_next_value"), null_long, F.lit(False))),
+        F.when(F.col("_first") | F.col("_last"),
+               record(F.lit(True), F.col(session), F.col(value), F.lit(None).cast(ordered.schema[value].dataType),
+                      F.col("_seq"), F.col("_first"))),
+    )).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
+    # Both consumers read the same aggregate columns and split on an aggregate
+    # value (``border``), which Catalyst cannot push below the aggregation, so
+    # they share one aggregation and the window pass above runs once.
+    grouped = records.groupBy("s", "f", "t", "q", "first").agg(
+        F.count(F.lit(1)).alias("n"), F.max("b").alias("border"))
+    inner = grouped.filter(~F.col("border")).select(F.col("f").alias("from_value"), F.col("t").alias("to_value"), "n")
+    wb = Window.orderBy("q")  # border records only: at most two per chunk
+    cross = (grouped.filter(F.col("border"))
+             .select("s", "f", "first", "n", F.lag("s").over(wb).alias("prev_s"), F.lag("f").over(wb).alias("prev_f"))
+             .filter(F.col("first") & (F.col("prev_s") == F.col("s")))
+             # a border record is one row, so n == 1; reading it keeps both branches on one aggregation
+             .select(F.col("prev_f").alias("from_value"), F.col("f").alias("to_value"), "n"))
+    if keep is not None:
+        cross = cross.filter(keep(F.col("from_value"), F.col("to_value")))
+    return (inner.unionByName(cross)
+            .groupBy("from_value", "to_value").agg(F.sum("n").cast("long").alias("n")))
 
 
 def fragment_list(value: Column, keep: Column) -> Column:

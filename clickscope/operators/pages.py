@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickscope.functions import percent_half_up, task_id
 from clickscope.operators.actions import tie_columns
-from clickscope.operators.ordering import ordered_actions, successor_pairs
+from clickscope.operators.ordering import ordered_actions, successor_pair_counts
 
 
 def flow_pairs(flow: list[int] | tuple[int, ...]) -> list[tuple[int, int]]:
@@ -35,14 +35,17 @@ def _ordered_pages(actions: DataFrame) -> DataFrame:
 
 def _jumps_from_ordered(ordered: DataFrame, flow) -> DataFrame:
     pairs = flow_pairs(flow)
-    steps = successor_pairs(ordered, "page_id")
-    wanted = F.struct("from_value", "to_value").isin(
-        [F.struct(F.lit(a).cast("long"), F.lit(b).cast("long")) for a, b in pairs]) if pairs else F.lit(False)
-    return (steps.filter(wanted)
-            .groupBy(F.col("from_value").alias("from_page"), F.col("to_value").alias("to_page"))
-            .agg(F.count(F.lit(1)).alias("jump_count"))
-            .select(F.concat_ws("_", F.col("from_page").cast("string"), F.col("to_page").cast("string")).alias("pageJump"),
-                    "from_page", "to_page", "jump_count"))
+
+    def wanted(a, b):
+        if not pairs:
+            return F.lit(False)
+        return F.struct(a, b).isin([F.struct(F.lit(x).cast("long"), F.lit(y).cast("long")) for x, y in pairs])
+
+    counts = successor_pair_counts(ordered, "page_id", keep=wanted)
+    return counts.select(
+        F.concat_ws("_", F.col("from_value").cast("string"), F.col("to_value").cast("string")).alias("pageJump"),
+        F.col("from_value").alias("from_page"), F.col("to_value").alias("to_page"),
+        F.col("n").alias("jump_count"))
 
 
 def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFrame:
