@@ -3,7 +3,6 @@
 from clickscope.functions.core import (
     TASK_ID_COLUMN,
     action_ts,
-    chunked_list_join,
     city_remark,
     classify_operation,
     format_ts,
@@ -18,6 +17,6 @@ from clickscope.functions.core import (
 )
 
 __all__ = [
-    "TASK_ID_COLUMN", "action_ts", "chunked_list_join", "format_ts", "city_remark", "classify_operation", "hour_key",
+    "TASK_ID_COLUMN", "action_ts", "format_ts", "city_remark", "classify_operation", "hour_key",
     "non_empty", "percent_half_up", "percent_text", "seconds_between", "split_ids", "task_id", "ts_seconds_between",
 ]

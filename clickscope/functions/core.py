@@ -114,15 +114,6 @@ def classify_operation() -> tuple[Column, Column]:
     return kind.alias("operation_type"), obj.alias("operation_obj")
 
 
-def chunked_list_join(pieces: Column) -> Column:
-    """Join an array<struct<k, v: string>> by ascending k, skipping ''.
-
-    Used to stitch per-fragment comma lists back into one ordered list.
-    """
-    ordered = F.transform(F.array_sort(pieces), lambda x: x.getField("v"))
-    return F.array_join(F.filter(ordered, lambda s: s != F.lit("")), ",")
-
-
 def city_remark(cities: Column, total, top_n: int | None = None) -> Column:
     """Render one group's per-city counts as 'city=share%' text.
 

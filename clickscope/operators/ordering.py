@@ -102,9 +102,3 @@ def successor_pair_counts(ordered: DataFrame, value: str, session: str = "sessio
         cross = cross.filter(keep(F.col("from_value"), F.col("to_value")))
     return (inner.unionByName(cross)
             .groupBy("from_value", "to_value").agg(F.sum("n").cast("long").alias("n")))
-
-
-def fragment_list(value: Column, keep: Column) -> Column:
-    """Per-chunk aggregate: comma list of ``value`` where ``keep``, in order."""
-    items = F.collect_list(F.when(keep, F.struct(F.col("_seq").alias("k"), value.cast("string").alias("v"))))
-    return F.array_join(F.transform(F.array_sort(items), lambda x: x.getField("v")), ",")

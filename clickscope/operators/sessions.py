@@ -12,13 +12,14 @@ Two rollups exist on purpose:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.conditions import Condition
 from clickscope.functions import (
     action_ts,
-    chunked_list_join,
     format_ts,
     hour_key,
     non_empty,
@@ -28,7 +29,7 @@ from clickscope.functions import (
     ts_seconds_between,
 )
 from clickscope.operators.actions import tie_columns
-from clickscope.operators.ordering import fragment_list, ordered_actions
+from clickscope.operators.ordering import ordered_actions
 from clickscope.session import checkpoint_dir
 
 LIST_FIELDS = [
@@ -75,21 +76,30 @@ def session_rollup(actions: DataFrame, run_id: str) -> DataFrame:
     needed = ["session_id", "action_time", "professional", *ties, *sorted({f[1] for f in LIST_FIELDS})]
     ordered = ordered_actions(actions.select(*needed), order=["action_time", *ties])
     prof = F.col("professional")
-    per_chunk = ordered.groupBy("session_id", "_chunk").agg(
+    names = [name for name, _, _ in LIST_FIELDS]
+    # One struct per action: its order number and every list value (NULL
+    # where that action contributes nothing), so each level collects and
+    # sorts a single array; array_join skips the NULLs.
+    values = [F.when(keep(), F.col(col).cast("string")).alias(name) for name, col, keep in LIST_FIELDS]
+    contributes = reduce(lambda a, b: a | b, [keep() for _, _, keep in LIST_FIELDS])
+    item = F.when(contributes, F.struct(F.col("_seq").alias("k"), *values))
+    per_chunk = (ordered.groupBy("session_id", "_chunk").agg(
         F.min("action_time").alias("t0"),
         F.max("action_time").alias("t1"),
         F.count(F.lit(1)).alias("n"),
         F.max_by(prof, F.when(non_empty(prof), F.col("_seq"))).alias("prof"),
-        *[fragment_list(F.col(col), keep()).alias(name) for name, col, keep in LIST_FIELDS],
-    )
-    piece = lambda name: F.collect_list(F.struct(F.col("_chunk").alias("k"), F.col(name).alias("v")))
-    per_session = per_chunk.groupBy("session_id").agg(
+        F.sort_array(F.collect_list(item)).alias("items"),
+    ).select("session_id", "_chunk", "t0", "t1", "n", "prof",
+             *[F.nullif(F.array_join(F.col("items").getField(name), ","), F.lit("")).alias(name) for name in names]))
+    piece = F.struct(F.col("_chunk").alias("k"), *[F.col(name) for name in names])
+    per_session = (per_chunk.groupBy("session_id").agg(
         F.min("t0").alias("startTime"),
         F.max("t1").alias("endTime"),
         F.sum("n").alias("stepLength"),
         F.max_by("prof", F.when(F.col("prof").isNotNull(), F.col("_chunk"))).alias("professional"),
-        *[chunked_list_join(piece(name)).alias(name) for name, _, _ in LIST_FIELDS],
-    )
+        F.sort_array(F.collect_list(piece)).alias("pieces"),
+    ).select("session_id", "startTime", "endTime", "stepLength", "professional",
+             *[F.array_join(F.col("pieces").getField(name), ",").alias(name) for name in names]))
     return per_session.select(
         task_id(run_id),
         F.col("session_id").alias("sessionId"),
