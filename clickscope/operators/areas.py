@@ -13,13 +13,16 @@ def area_product_city_clicks(tables: ModelTables) -> DataFrame:
     """Clicks per (product, area, city); unknown cities are dropped.
 
     Reads the raw action table (the run condition does not apply here).
-    The join to the city dimension is left to Spark: it broadcasts the
-    dimension when its measured size is under the threshold.
+    Clicks are counted per (product, city id) first, with map-side partial
+    aggregation, so the join to the city dimension sees one row per
+    (product, city) instead of every click, whether or not Spark broadcasts
+    the dimension.
     """
-    clicks = tables.actions.filter(F.col("click_product_id") > 0).select("click_product_id", "city_id")
+    clicks = (tables.actions.filter(F.col("click_product_id") > 0)
+              .groupBy("click_product_id", "city_id").agg(F.count(F.lit(1)).alias("n")))
     return (clicks.join(tables.cities.select("city_id", "city_name", "area"), "city_id", "inner")
             .groupBy("click_product_id", "area", "city_name")
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(F.sum("n").cast("long").alias("n")))
 
 
 def area_product_clicks(tables: ModelTables, top_n_cities: int | None = None) -> DataFrame:

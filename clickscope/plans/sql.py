@@ -39,10 +39,14 @@ def area_top3_sql(spark: SparkSession, tables: ModelTables, k: int = 3, prefix:
     h = _hundredths("x.n", "total")
     remark_item = f"concat(x.city, '=', CAST({h} div 100 AS STRING), '.', lpad(CAST({h} % 100 AS STRING), 2, '0'), '%')"
     return spark.sql(f"""
-        WITH per_city AS (
-            SELECT a.click_product_id, c.area, c.city_name, count(*) AS n
-            FROM {v['actions']} a JOIN {v['cities']} c ON a.city_id = c.city_id
-            WHERE a.click_product_id > 0
+        WITH per_city_id AS (
+            SELECT click_product_id, city_id, count(*) AS n
+            FROM {v['actions']} WHERE click_product_id > 0
+            GROUP BY click_product_id, city_id
+        ),
+        per_city AS (
+            SELECT a.click_product_id, c.area, c.city_name, CAST(sum(a.n) AS BIGINT) AS n
+            FROM per_city_id a JOIN {v['cities']} c ON a.city_id = c.city_id
             GROUP BY a.click_product_id, c.area, c.city_name
         ),
         per_group AS (
