@@ -7,7 +7,7 @@ range-partitioned on (session, time, tie): Spark samples the key space, so a
 huge session is cut across many partitions of similar size. Each partition is
 sorted, numbered, and every question that needs neighbours or order is
 answered per partition ("chunk") and then stitched across chunk borders
-using one small row per chunk.
+using at most two small records per chunk.
 """
 
 from __future__ import annotations

@@ -2,9 +2,10 @@
 
 Two rollups exist on purpose:
 
-* ``session_stats`` is the light one (start, end, step count, profession):
-  plain aggregates with map-side partial aggregation, so a session of any
-  size is combined before the shuffle. All counting reports use it.
+* ``session_stats`` is the light one (start, end, step count, visit
+  length): fixed-width aggregates with map-side partial aggregation, so a
+  session of any size is combined before the shuffle. All counting reports
+  use it.
 * ``session_rollup`` adds the ordered comma lists of the full session record.
   Lists grow with the session, so they are built per range chunk and then
   stitched (see ``ordering``); only queries that must show lists use it.
