@@ -68,3 +68,18 @@ def test_jumps_use_range_chunks_not_a_session_window(t):
     p = plan(pages.page_jumps(base_actions(t, enrich=()), [1, 2, 3]))
     assert "rangepartitioning(session_id" in p
     assert "hashpartitioning(session_id" not in p
+
+
+def test_area_clicks_aggregate_before_the_city_join(t):
+    p = plan(areas.area_product_clicks(t))
+    # a partial aggregation on (product, city id) sits below the join with the city dimension
+    join_at = p.find("Join")
+    assert "keys=[click_product_id" in p[join_at:] and "city_id" in p[join_at:]
+
+
+def test_page_jumps_use_a_single_range_exchange(t):
+    df = pages.page_jumps(base_actions(t, enrich=()), [1, 2, 3])
+    df.collect()  # AQE shares identical exchanges when it runs the stages
+    final = plan(df).split("Initial Plan")[0]
+    own = [line for line in final.splitlines() if "rangepartitioning(" in line and "ReusedExchange" not in line]
+    assert len(own) == 1  # any other use of it is a ReusedExchange
