@@ -6,16 +6,24 @@ and derives the contract's digest columns from the operator's output.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import mixing, quality, simhash
+from clickscope.llm import mixing, quality, sentencepiece_dropout, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_dropout.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = sentencepiece_dropout.encode_documents(_table(spark, sf_dir, "documents"), model)
+    return encoded.select("doc_id", "n_tokens", "decoded_sha256", "lossless",
+                          F.xxhash64("token_ids").alias("ids_hash"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.apply_rules(docs).select("doc_id", "quality.*")
@@ -33,6 +41,7 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_sentencepiece_dropout": op2_sentencepiece_dropout,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_source_mixing": op7_source_mixing,
