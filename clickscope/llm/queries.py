@@ -6,11 +6,14 @@ and derives the contract's digest columns from the operator's output.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import mixing, quality, sentencepiece_dropout, simhash
+from clickscope.llm import mixing, quality, sentencepiece_dropout, simhash, token_files
+from clickscope.session import checkpoint_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
 
 
+def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        tokenizer = f.read()
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizer, end_id=2)
+    return token_files.read_token_files(spark, manifest).withColumnRenamed("id", "doc_id")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.sample(_table(spark, sf_dir, "documents"))
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
@@ -44,5 +55,6 @@ QUERIES = {
     "op2_sentencepiece_dropout": op2_sentencepiece_dropout,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_token_id_files": op5_token_id_files,
     "op7_source_mixing": op7_source_mixing,
 }
