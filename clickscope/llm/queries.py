@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import mixing, quality, sentencepiece_dropout, simhash, token_files
+from clickscope.llm import ctw, mixing, quality, sentencepiece_dropout, simhash, token_files
 from clickscope.session import checkpoint_dir
 
 
@@ -45,6 +45,12 @@ def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, manifest).withColumnRenamed("id", "doc_id")
 
 
+def op6_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw.score_corpus(_table(spark, sf_dir, "documents"))
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "bits_per_byte")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.sample(_table(spark, sf_dir, "documents"))
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
@@ -56,5 +62,6 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_id_files": op5_token_id_files,
+    "op6_ctw_scoring": op6_ctw_scoring,
     "op7_source_mixing": op7_source_mixing,
 }
