@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import ctw, mixing, quality, sentencepiece_dropout, simhash, token_files
+from clickscope.llm import ctw, merkle, mixing, quality, sentencepiece_dropout, simhash, token_files
 from clickscope.session import checkpoint_dir
 
 
@@ -57,6 +57,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
+def op9_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op2_sentencepiece_dropout": op2_sentencepiece_dropout,
     "op3_quality_rules": op3_quality_rules,
@@ -64,4 +68,5 @@ QUERIES = {
     "op5_token_id_files": op5_token_id_files,
     "op6_ctw_scoring": op6_ctw_scoring,
     "op7_source_mixing": op7_source_mixing,
+    "op9_merkle_fingerprints": op9_merkle_fingerprints,
 }
