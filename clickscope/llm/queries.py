@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import ctw, merkle, mixing, quality, sentencepiece_dropout, simhash, token_files
+from clickscope.llm import ctw, licenses, merkle, mixing, quality, sentencepiece_dropout, simhash, token_files
 from clickscope.session import checkpoint_dir
 
 
@@ -61,6 +61,10 @@ def op9_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op2_sentencepiece_dropout": op2_sentencepiece_dropout,
     "op3_quality_rules": op3_quality_rules,
@@ -69,4 +73,5 @@ QUERIES = {
     "op6_ctw_scoring": op6_ctw_scoring,
     "op7_source_mixing": op7_source_mixing,
     "op9_merkle_fingerprints": op9_merkle_fingerprints,
+    "op10_license_scan": op10_license_scan,
 }
