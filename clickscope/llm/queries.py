@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import ctw, licenses, merkle, mixing, quality, sentencepiece_dropout, simhash, token_files
+from clickscope.llm import chat, ctw, licenses, merkle, mixing, quality, sentencepiece_dropout, simhash, token_files, url_filter
 from clickscope.session import checkpoint_dir
 
 
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = sentencepiece_dropout.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     encoded = sentencepiece_dropout.encode_documents(_table(spark, sf_dir, "documents"), model)
@@ -57,6 +61,22 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
 
 
+# the contract's additional conversation
+PROBE_ID, PROBE_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(PROBE_ID, 0, "user", PROBE_TEXT), (PROBE_ID, 1, "assistant", PROBE_TEXT)], turns.schema)
+    chats = chat.format_conversations(chat.linear_messages(turns.unionByName(probe)))
+    back = chats.select("conv", "formatted", chat.read_back(F.col("formatted")).alias("turns"),
+                        chat.learned_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(F.col("conv").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"),
+                       F.sha2(told, 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
+                       F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 def op9_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_fingerprints(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -66,12 +86,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_sentencepiece_dropout": op2_sentencepiece_dropout,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_token_id_files": op5_token_id_files,
     "op6_ctw_scoring": op6_ctw_scoring,
     "op7_source_mixing": op7_source_mixing,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_merkle_fingerprints": op9_merkle_fingerprints,
     "op10_license_scan": op10_license_scan,
 }
