@@ -209,7 +209,10 @@ def judge(docs: DataFrame, refs: DataFrame, rules: Rules = Rules(), text_col: st
         F.col(n["repeats"]).alias("n_repeat_words"),
         F.col(n["class_far"]).alias("class_distance"), F.col(n["word_far"]).alias("word_distance"),
         failed.alias("base_failed"), (~failed & ~far).alias("kept"))
-    return df.withColumn(fresh(taken, "quality"), verdict).drop(*n.values())
+    # The one-element explode keeps a caller's filter on the verdict above these
+    # projections. Pushed below, it would be inlined into the lambdas, which then
+    # split the text again for every word.
+    return (df.select(*[F.col(f"`{c}`") for c in taken], F.explode(F.array(verdict)).alias(fresh(taken, "quality"))))
 
 
 def apply_rules(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
