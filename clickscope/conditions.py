@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column
@@ -28,8 +29,19 @@ class Condition:
     category_ids: tuple[int, ...] = field(default_factory=tuple)
     target_page_flow: tuple[int, ...] = field(default_factory=tuple)
 
-    def action_predicates(self) -> list[Column]:
+    def action_predicates(self, columns: list[str] | tuple[str, ...] = ()) -> list[Column]:
+        """Predicates over action columns.
+
+        Where the actions carry the zone-free timestamp ``ts`` that their
+        ``date`` text is cut from, the date range is also given as the equal
+        half-open range of ``ts``, which a scan can use to skip row groups.
+        """
         preds = []
+        if "ts" in columns and self.start_date:
+            preds.append(F.col("ts") >= F.lit(self.start_date).cast("timestamp_ntz"))
+        if "ts" in columns and self.end_date:
+            day_after = date.fromisoformat(self.end_date) + timedelta(days=1)
+            preds.append(F.col("ts") < F.lit(day_after.isoformat()).cast("timestamp_ntz"))
         if self.start_date:
             preds.append(F.col("date") >= F.lit(self.start_date))
         if self.end_date:

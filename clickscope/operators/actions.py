@@ -29,20 +29,14 @@ def attach_product_name(actions: DataFrame, products: DataFrame) -> DataFrame:
 
     Non-click rows carry the sentinel -1 and are usually the largest group of
     all, so a plain equi-join would send all of them to a single reducer. Here
-    they get a NULL key (never matches) plus a per-row spread value, so a
-    shuffled join hashes them across every partition while clicks meet the
-    product rows (spread 0). A broadcast join ignores the spread entirely.
+    each gets a negative key of its own row hash, which no product id equals,
+    so a shuffled join deals them over every partition.
     """
-    clicked = F.col("click_product_id") > 0
     spread_cols = [c for c in ("session_id", "action_time", "page_id", TIE) if c in actions.columns]
-    left = actions.withColumns({
-        "_pk": F.when(clicked, F.col("click_product_id")),
-        "_spread": F.when(clicked, F.lit(0).cast("long")).otherwise(F.xxhash64(*spread_cols)),
-    })
-    right = products.select(
-        F.col("product_id").alias("_pk"), F.lit(0).cast("long").alias("_spread"), "product_name",
-    ).filter(F.col("_pk") > 0)
-    return left.join(right, ["_pk", "_spread"], "left").drop("_pk", "_spread")
+    own = F.lit(-1) - F.pmod(F.xxhash64(*spread_cols), F.lit(1 << 31))
+    left = actions.withColumn("_pk", F.when(F.col("click_product_id") > 0, F.col("click_product_id")).otherwise(own))
+    right = products.select(F.col("product_id").alias("_pk"), "product_name").filter(F.col("_pk") > 0)
+    return left.join(right, "_pk", "left").drop("_pk")
 
 
 def base_actions(tables: ModelTables, condition: Condition | None = None,
@@ -59,7 +53,7 @@ def base_actions(tables: ModelTables, condition: Condition | None = None,
     """
     cond = condition or Condition()
     acts = tables.actions.drop(*PLACEHOLDERS)
-    action_preds = cond.action_predicates()
+    action_preds = cond.action_predicates(acts.columns)
     if action_preds:
         acts = acts.filter(conjunction(action_preds))
     users = tables.users

@@ -32,7 +32,10 @@ def area_product_clicks(tables: ModelTables, top_n_cities: int | None = None) ->
     before the shuffle); the second level gathers at most one element per
     city of the area.
     """
-    per_city = area_product_city_clicks(tables)
+    return _with_remarks(area_product_city_clicks(tables), top_n_cities)
+
+
+def _with_remarks(per_city: DataFrame, top_n_cities: int | None) -> DataFrame:
     per_group = per_city.groupBy("click_product_id", "area").agg(
         F.sum("n").cast("long").alias("count"),
         F.collect_list(F.struct((-F.col("n")).alias("neg_n"), F.col("city_name").alias("city"),
@@ -50,10 +53,15 @@ def area_top3_products(tables: ModelTables, k: int = 3, top_n_cities: int | None
     The rank filter is a literal bound, so Spark keeps only ``k`` rows per
     area in each map task before the window shuffle. Products unknown to the
     product dimension are dropped after ranking (their rank is not reused).
+    Ranking needs the counts only; city lists are gathered and remarks
+    rendered for the winners alone (k rows per area).
     """
-    counts = area_product_clicks(tables, top_n_cities)
-    w = Window.partitionBy("area").orderBy(F.desc("count"), F.asc("click_product_id"))
-    ranked = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(k))
+    per_city = area_product_city_clicks(tables)
+    totals = per_city.groupBy("click_product_id", "area").agg(F.sum("n").alias("clicks"))
+    w = Window.partitionBy("area").orderBy(F.desc("clicks"), F.asc("click_product_id"))
+    winners = (totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(k))
+               .select("click_product_id", "area", "rank"))
+    remarks = _with_remarks(per_city.join(winners, ["click_product_id", "area"], "left_semi"), top_n_cities)
     products = tables.products.select(F.col("product_id").alias("click_product_id"), "product_name")
-    return (ranked.join(products, "click_product_id", "inner")
+    return (winners.join(remarks, ["click_product_id", "area"]).join(products, "click_product_id", "inner")
             .select("area", "product_name", "count", "rank", "city_remark"))

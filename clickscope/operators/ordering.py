@@ -1,104 +1,69 @@
-"""Time order inside sessions without putting a whole session in one task.
+"""Time order inside sessions, in time buckets.
 
-A session is ordered by (action_time, tie). A window partitioned by session
-would give each session to one task, so one very large session (a crawler,
-a shared id) would stall or spill a single executor. Instead the actions are
-range-partitioned on (session, time, tie): Spark samples the key space, so a
-huge session is cut across many partitions of similar size. Each partition is
-sorted, numbered, and every question that needs neighbours or order is
-answered per partition ("chunk") and then stitched across chunk borders
-using at most two small records per chunk.
+Questions about neighbours and order inside a session are answered per
+(session, time bucket): one hash exchange of the log on these two, one window
+or ordered list per bucket, and then one small record per bucket to stitch
+sessions that span several. A bucket is a prefix of the action time's text,
+so its order is the time's order. Its width decides only how much of one
+session a task can hold, never the answer: a day (the default) leaves nearly
+every session in one bucket; a session that is very large within a day (a
+crawler, a shared id) is cut finer by a longer prefix, down to single seconds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
+from clickscope.operators.actions import tie_columns
 
+DAY, HOUR, MINUTE = 10, 13, 16  # characters of 'yyyy-MM-dd HH:mm:ss'
 
-def ordered_actions(actions: DataFrame, session: str = "session_id",
-                    order: list[str] | None = None, unique: bool | None = None,
-                    partitions: int | None = None) -> DataFrame:
-    """Add ``_seq`` (global order key) and ``_chunk`` (range partition index).
 
-    The sort key must be a total order so that a partition recomputed after
-    an executor loss is numbered exactly as before. When ``order`` does not
-    end in a unique column (``unique`` False, or no ``action_id`` in it), a
-    hash of the whole row breaks the remaining ties; rows equal in every
-    column are interchangeable, so their relative order cannot matter.
+def with_order(actions: DataFrame, bucket_chars: int = DAY) -> DataFrame:
+    """Add ``_bucket`` and ``_tie``, the last part of a total order in time.
 
-    ``partitions`` fixes the number of chunks (default: the session's shuffle
-    partitions, which AQE may coalesce); chunk size bounds every task below.
+    ``_tie`` is the unique action id where there is one, else a hash of the
+    whole row; rows equal in every column are interchangeable.
     """
-    order = order or ["action_time"]
-    if unique is None:
-        unique = "action_id" in order
-    keys = [session, *order]
-    if not unique:
-        actions = actions.withColumn("_row_hash", F.xxhash64(*actions.columns))
-        keys.append("_row_hash")
-    ranged = actions.repartitionByRange(partitions, *keys) if partitions else actions.repartitionByRange(*keys)
-    numbered = (ranged
-                .sortWithinPartitions(*keys)
-                .withColumn("_seq", F.monotonically_increasing_id()))
-    if not unique:
-        numbered = numbered.drop("_row_hash")
-    return numbered.withColumn("_chunk", F.shiftright(F.col("_seq"), CHUNK_BITS))
+    ties = tie_columns(actions)
+    tie = F.col(ties[0]) if ties else F.xxhash64(*actions.columns)
+    return actions.withColumn("_tie", tie).withColumn("_bucket", F.substring("action_time", 1, bucket_chars))
 
 
-def successor_pair_counts(ordered: DataFrame, value: str, session: str = "session_id",
-                          keep: Callable[[Column, Column], Column] | None = None) -> DataFrame:
-    """(from_value, to_value, n): how often ``to`` directly follows ``from``
-    inside a session (consecutive actions in time order).
+def jump_and_view_counts(actions: DataFrame, value: str, wanted_pair, wanted_view: Column,
+                         bucket_chars: int = DAY) -> DataFrame:
+    """(kind, x, y, n): how often ``y`` directly follows ``x`` inside a session
+    (kind 'p', wanted pairs only) and how often ``x`` occurs (kind 'v').
 
-    One window pass over the chunks (``lead``/``lag`` partitioned by chunk,
-    bounded by the range partition size) gives every pair inside a chunk.
-    For pairs across a chunk border, each chunk's first and last row is also
-    emitted as a border record carrying its global order number ``_seq``.
-    A single aggregation then counts the inner pairs and keeps the border
-    records as individual groups (at most two per chunk); a small window over
-    those, ordered by ``_seq``, pairs every chunk's first row with the last
-    row of the chunk before it. Chunk numbers and ``_seq`` are produced once,
-    in the stage that feeds this window, so every decision here reads the
-    same numbering. ``keep(from, to)`` filters the wanted pairs early.
+    One straight plan without a second branch, so nothing is computed twice:
+    window per bucket, partial counts, then a window over one border record
+    per bucket (its first and last value) that pairs neighbouring buckets.
     """
-    w = Window.partitionBy("_chunk").orderBy("_seq")
+    ordered = with_order(actions, bucket_chars)
+    w = Window.partitionBy("session_id", "_bucket").orderBy("action_time", "_tie")
     marked = ordered.select(
-        session, value, "_seq",
-        F.lead(value).over(w).alias("_next_value"),
-        F.lead(session).over(w).alias("_next_session"),
-        F.lag("_seq").over(w).isNull().alias("_first"),
-        F.lead("_seq").over(w).isNull().alias("_last"),
-    )
-    inner_ok = F.col("_next_session") == F.col(session)
-    if keep is not None:
-        inner_ok = inner_ok & keep(F.col(value), F.col("_next_value"))
-    null_long, null_str = F.lit(None).cast("long"), F.lit(None).cast("string")
-    record = lambda border, s, f, t, q, first: F.struct(
-        border.alias("b"), s.alias("s"), f.alias("f"), t.alias("t"), q.alias("q"), first.alias("first"))
-    records = marked.select(F.explode(F.array(
-        F.when(inner_ok, record(F.lit(False), null_str, F.col(value), F.col("_next_value"), null_long, F.lit(False))),
-        F.when(F.col("_first") | F.col("_last"),
-               record(F.lit(True), F.col(session), F.col(value), F.lit(None).cast(ordered.schema[value].dataType),
-                      F.col("_seq"), F.col("_first"))),
-    )).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
-    # Both consumers read the same aggregate columns and split on an aggregate
-    # value (``border``), which Catalyst cannot push below the aggregation, so
-    # they share one aggregation and the window pass above runs once.
-    grouped = records.groupBy("s", "f", "t", "q", "first").agg(
-        F.count(F.lit(1)).alias("n"), F.max("b").alias("border"))
-    inner = grouped.filter(~F.col("border")).select(F.col("f").alias("from_value"), F.col("t").alias("to_value"), "n")
-    wb = Window.orderBy("q")  # border records only: at most two per chunk
-    cross = (grouped.filter(F.col("border"))
-             .select("s", "f", "first", "n", F.lag("s").over(wb).alias("prev_s"), F.lag("f").over(wb).alias("prev_f"))
-             .filter(F.col("first") & (F.col("prev_s") == F.col("s")))
-             # a border record is one row, so n == 1; reading it keeps both branches on one aggregation
-             .select(F.col("prev_f").alias("from_value"), F.col("f").alias("to_value"), "n"))
-    if keep is not None:
-        cross = cross.filter(keep(F.col("from_value"), F.col("to_value")))
-    return (inner.unionByName(cross)
-            .groupBy("from_value", "to_value").agg(F.sum("n").cast("long").alias("n")))
+        F.col("session_id").alias("s"), F.col("_bucket").alias("b"), F.col(value).alias("x"),
+        F.lead(value).over(w).alias("y"), F.lead(F.lit(1)).over(w).isNull().alias("last"), F.first(value).over(w).alias("first"))
+    kind = marked.schema["x"].dataType
+    none, no_text = F.lit(None).cast(kind), F.lit(None).cast("string")
+
+    def record(name, s, b, x, y):
+        return F.struct(F.lit(name).alias("kind"), s.alias("s"), b.alias("b"), x.alias("x"), y.alias("y"))
+
+    records = marked.select(F.explode(F.array_compact(F.array(
+        F.when(wanted_view, record("v", no_text, no_text, F.col("x"), none)),
+        F.when(~F.col("last") & wanted_pair(F.col("x"), F.col("y")), record("p", no_text, no_text, F.col("x"), F.col("y"))),
+        F.when(F.col("last"), record("b", F.col("s"), F.col("b"), F.col("first"), F.col("x"))),
+    ))).alias("r")).select("r.*")
+    counted = records.groupBy("kind", "s", "b", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    # border records of one session meet here; the counts, a few rows, share the null session
+    before = F.lag("y").over(Window.partitionBy("s").orderBy("b"))
+    border = F.col("kind") == "b"
+    stitched = counted.withColumn("prev", F.when(border, before)).select(
+        F.when(border, "p").otherwise(F.col("kind")).alias("kind"),
+        F.when(border, F.col("prev")).otherwise(F.col("x")).alias("x"),
+        F.when(border, F.col("x")).otherwise(F.col("y")).alias("y"),
+        "n", border.alias("border"))
+    kept = stitched.filter(~F.col("border") | wanted_pair(F.col("x"), F.col("y")))
+    return kept.groupBy("kind", "x", "y").agg(F.sum("n").cast("long").alias("n"))

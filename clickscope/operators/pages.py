@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.functions import percent_half_up, task_id
-from clickscope.operators.actions import tie_columns
-from clickscope.operators.ordering import ordered_actions, successor_pair_counts
+from clickscope.operators.ordering import DAY, jump_and_view_counts
 
 
 def flow_pairs(flow: list[int] | tuple[int, ...]) -> list[tuple[int, int]]:
@@ -27,45 +26,44 @@ def targeted_page_views(actions: DataFrame, flow: list[int] | tuple[int, ...]) -
             .groupBy("page_id").agg(F.count(F.lit(1)).alias("view_count")))
 
 
-def _ordered_pages(actions: DataFrame) -> DataFrame:
-    ties = tie_columns(actions)
-    return ordered_actions(actions.select("session_id", "action_time", "page_id", *ties),
-                           order=["action_time", *ties])
-
-
-def _jumps_from_ordered(ordered: DataFrame, flow) -> DataFrame:
+def _wanted(flow) -> tuple:
+    """Predicates: is (a, b) a pair of the flow; is a page one that a pair starts from."""
     pairs = flow_pairs(flow)
 
-    def wanted(a, b):
+    def pair(a, b):
         if not pairs:
             return F.lit(False)
-        return F.struct(a, b).isin([F.struct(F.lit(x).cast("long"), F.lit(y).cast("long")) for x, y in pairs])
+        listed = F.struct(a, b).isin([F.struct(F.lit(x).cast("long"), F.lit(y).cast("long")) for x, y in pairs])
+        return F.coalesce(listed, F.lit(False))
+
+    return pair, F.coalesce(F.col("x").isin(sorted({a for a, _ in pairs})), F.lit(False))
+
 
-    counts = successor_pair_counts(ordered, "page_id", keep=wanted)
-    return counts.select(
-        F.concat_ws("_", F.col("from_value").cast("string"), F.col("to_value").cast("string")).alias("pageJump"),
-        F.col("from_value").alias("from_page"), F.col("to_value").alias("to_page"),
-        F.col("n").alias("jump_count"))
+def _jump_text() -> Column:
+    return F.concat_ws("_", F.col("x").cast("string"), F.col("y").cast("string")).alias("pageJump")
 
 
-def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...]) -> DataFrame:
+def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...], bucket_chars: int = DAY) -> DataFrame:
     """Count of consecutive page pairs (by time inside a session) that are flow pairs.
 
     Adjacency is computed on all actions first, then the pairs are filtered:
     filtering pages first would invent jumps over removed actions.
     """
-    return _jumps_from_ordered(_ordered_pages(actions), flow)
+    pair, _ = _wanted(flow)
+    counts = jump_and_view_counts(actions, "page_id", pair, F.lit(False), bucket_chars)
+    return counts.filter(F.col("kind") == "p").select(
+        _jump_text(), F.col("x").alias("from_page"), F.col("y").alias("to_page"), F.col("n").alias("jump_count"))
 
 
-def page_conversion_rate(actions: DataFrame, run_id: str, flow: list[int] | tuple[int, ...]) -> DataFrame:
+def page_conversion_rate(actions: DataFrame, run_id: str, flow: list[int] | tuple[int, ...],
+                         bucket_chars: int = DAY) -> DataFrame:
     """rate(a_b) = jumps(a->b) / views(a) in percent (HALF_UP, 2 decimals).
 
-    Pairs that never occur produce no row. Views are a plain filtered count
-    (combined map-side). Both final sides are tiny (one row per flow pair /
-    flow page), so AQE broadcasts the last join.
+    Pairs that never occur produce no row. Views are counted in the pass that
+    counts the jumps and meet them in a window over the few counts.
     """
-    jumps = page_jumps(actions, flow)
-    views = targeted_page_views(actions, flow).withColumnRenamed("page_id", "from_page")
-    return (jumps.join(views, "from_page", "inner")
-            .select(task_id(run_id), "pageJump",
-                    percent_half_up("jump_count", "view_count").alias("rate")))
+    pair, view = _wanted(flow)
+    counts = jump_and_view_counts(actions, "page_id", pair, view, bucket_chars)
+    views = F.max(F.when(F.col("kind") == "v", F.col("n"))).over(Window.partitionBy("x"))
+    return (counts.withColumn("views", views).filter(F.col("kind") == "p")
+            .select(task_id(run_id), _jump_text(), percent_half_up("n", "views").alias("rate")))

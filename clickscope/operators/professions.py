@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.functions import action_ts, percent_half_up, task_id
+from clickscope.functions import non_empty, percent_half_up, task_id
+from clickscope.operators.ordering import with_order
 
 # Profession labels of the shop's user table, per output column.
 DEFAULT_PROFESSIONS = {
@@ -16,32 +17,33 @@ DEFAULT_PROFESSIONS = {
 }
 
 
+def last_profession(profession: Column) -> Column:
+    """Aggregate: the last non-empty profession of a group, by time, tie (see
+    ``ordering.with_order``), then user id; NULL if all are empty."""
+    return F.max_by(profession, F.when(non_empty(profession), F.struct("action_time", "_tie", "user_id")))
+
+
 def repeat_click_groups(actions: DataFrame, users: DataFrame, by: str = "session",
                         min_clicks: int = 2) -> DataFrame:
     """Sessions (``by='session'``) or users (``by='user'``) with >= ``min_clicks``
-    clicks on one product, with the profession of the group's (last) user.
+    clicks on one product, with the group's last non-empty profession.
 
-    Two hash aggregations with fixed-width buffers only: clicks per (group,
-    product), then per group; both combine map-side, so a huge session is
-    never gathered in one place. The profession is a user attribute, so it is
-    looked up in the user dimension for the (much smaller) set of groups.
+    Only clicks are counted and shuffled (two hash aggregations with map-side
+    combine). The profession is then looked up for the few groups that
+    qualify: a user's in the user dimension, a session's from its own actions.
     """
     key = {"session": "session_id", "user": "user_id"}[by]
-    t = action_ts(F.col("action_time"))
-    per_product = actions.groupBy(key, "click_product_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max_by("user_id", t).alias("last_user"),
-        F.max(t).alias("last_at"),
-    )
-    repeated = (F.col("click_product_id") > 0) & (F.col("n") >= F.lit(min_clicks))
-    per_group = per_product.groupBy(key).agg(
-        F.max(repeated.cast("int")).alias("repeat"),
-        F.max_by("last_user", "last_at").alias("_user"),
-    )
-    groups = (per_group.filter(F.col("repeat") == 1)
-              .select(F.col(key).alias("group_id"), F.col("_user").alias("user_id")))
-    return (groups.join(users.select("user_id", "professional"), "user_id", "left")
-            .select("group_id", F.coalesce("professional", F.lit("")).alias("professional")))
+    groups = (actions.filter(F.col("click_product_id") > 0)
+              .groupBy(key, "click_product_id").agg(F.count(F.lit(1)).alias("n"))
+              .filter(F.col("n") >= F.lit(min_clicks)).select(key).distinct())
+    named = users.select("user_id", "professional")
+    if by == "user":
+        found = groups.join(named, "user_id", "left")
+        return found.select(F.col("user_id").alias("group_id"), F.coalesce("professional", F.lit("")).alias("professional"))
+    own = with_order(actions.drop("professional")).select("session_id", "user_id", "action_time", "_tie")
+    last = (own.join(groups, "session_id", "left_semi").join(named, "user_id", "left")
+            .groupBy("session_id").agg(last_profession(F.col("professional")).alias("professional")))
+    return last.select(F.col("session_id").alias("group_id"), F.coalesce("professional", F.lit("")).alias("professional"))
 
 
 def professional_share(actions: DataFrame, users: DataFrame, run_id: str, by: str = "session",

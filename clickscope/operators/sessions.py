@@ -7,8 +7,8 @@ Two rollups exist on purpose:
   session of any size is combined before the shuffle. All counting reports
   use it.
 * ``session_rollup`` adds the ordered comma lists of the full session record.
-  Lists grow with the session, so they are built per range chunk and then
-  stitched (see ``ordering``); only queries that must show lists use it.
+  Lists grow with the session, so they are built per time bucket and then
+  put end to end (see ``ordering``); only queries that must show lists use it.
 """
 
 from __future__ import annotations
@@ -29,9 +29,8 @@ from clickscope.functions import (
     task_id,
     ts_seconds_between,
 )
-from clickscope.operators.actions import tie_columns
-from clickscope.operators.ordering import ordered_actions
-from clickscope.session import checkpoint_dir
+from clickscope.operators.ordering import DAY, with_order
+from clickscope.operators.professions import last_profession
 
 LIST_FIELDS = [
     # (output name, value column, keep predicate)
@@ -64,40 +63,40 @@ def session_stats(actions: DataFrame) -> DataFrame:
     )
 
 
-def session_rollup(actions: DataFrame, run_id: str) -> DataFrame:
+def session_rollup(actions: DataFrame, run_id: str, bucket_chars: int = DAY) -> DataFrame:
     """Full session record (SessionInfo) including ordered comma lists.
 
     Lists follow (action_time, tie) order, keep duplicates, and are '' when
-    empty. Built in two aggregation levels over range chunks, so no task ever
-    holds more than one range partition of a session.
+    empty. Built in two aggregation levels: ordered lists per (session, time
+    bucket), then the buckets' texts end to end. The first level bounds what a
+    task sorts to one bucket of a session (see ``ordering``); the finished
+    record holds all its lists and, as one row, stays below Spark's 2 GB.
     """
-    ties = tie_columns(actions)
     if "professional" not in actions.columns:
         actions = actions.withColumn("professional", F.lit(None).cast("string"))
-    needed = ["session_id", "action_time", "professional", *ties, *sorted({f[1] for f in LIST_FIELDS})]
-    ordered = ordered_actions(actions.select(*needed), order=["action_time", *ties])
+    actions = with_order(actions, bucket_chars)
     prof = F.col("professional")
     names = [name for name, _, _ in LIST_FIELDS]
-    # One struct per action: its order number and every list value (NULL
+    # One struct per action: its place in time and every list value (NULL
     # where that action contributes nothing), so each level collects and
     # sorts a single array; array_join skips the NULLs.
     values = [F.when(keep(), F.col(col).cast("string")).alias(name) for name, col, keep in LIST_FIELDS]
     contributes = reduce(lambda a, b: a | b, [keep() for _, _, keep in LIST_FIELDS])
-    item = F.when(contributes, F.struct(F.col("_seq").alias("k"), *values))
-    per_chunk = (ordered.groupBy("session_id", "_chunk").agg(
+    item = F.when(contributes, F.struct("action_time", "_tie", *values))
+    per_bucket = (actions.groupBy("session_id", "_bucket").agg(
         F.min("action_time").alias("t0"),
         F.max("action_time").alias("t1"),
         F.count(F.lit(1)).alias("n"),
-        F.max_by(prof, F.when(non_empty(prof), F.col("_seq"))).alias("prof"),
+        last_profession(prof).alias("prof"),
         F.sort_array(F.collect_list(item)).alias("items"),
-    ).select("session_id", "_chunk", "t0", "t1", "n", "prof",
+    ).select("session_id", "_bucket", "t0", "t1", "n", "prof",
              *[F.nullif(F.array_join(F.col("items").getField(name), ","), F.lit("")).alias(name) for name in names]))
-    piece = F.struct(F.col("_chunk").alias("k"), *[F.col(name) for name in names])
-    per_session = (per_chunk.groupBy("session_id").agg(
+    piece = F.struct("_bucket", *[F.col(name) for name in names])
+    per_session = (per_bucket.groupBy("session_id").agg(
         F.min("t0").alias("startTime"),
         F.max("t1").alias("endTime"),
         F.sum("n").alias("stepLength"),
-        F.max_by("prof", F.when(F.col("prof").isNotNull(), F.col("_chunk"))).alias("professional"),
+        F.max_by("prof", F.when(F.col("prof").isNotNull(), F.coalesce("_bucket", F.lit("")))).alias("professional"),
         F.sort_array(F.collect_list(piece)).alias("pieces"),
     ).select("session_id", "startTime", "endTime", "stepLength", "professional",
              *[F.array_join(F.col("pieces").getField(name), ",").alias(name) for name in names]))
@@ -146,22 +145,26 @@ def hourly_session_counts(actions: DataFrame) -> DataFrame:
 def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clickscope") -> DataFrame:
     """Proportional per-hour sample of session ids, without replacement.
 
-    Hour quota = floor(hourCount * need / total), capped at hourCount. Inside
-    an hour, sessions are drawn in md5(seed || sessionId) order: a uniform,
-    reproducible permutation. The literal ``rn <= need`` filter lets Spark
-    keep only ``need`` rows per hour in each map task before the shuffle
-    (WindowGroupLimit), so a hot hour never reaches one reducer in full.
-    Both branches read the same session-start aggregation, so its shuffle
-    is computed once and reused.
+    The ``need`` sessions (or all, if there are fewer) are shared out over the
+    hours by largest remainder: floor(hourCount * need / total) each, then one
+    more to the hours with the largest remainder (ties: the earlier hour).
+    Inside an hour, sessions are drawn in md5(seed || sessionId) order: a
+    uniform, reproducible permutation. The literal ``rn <= need`` filter lets
+    Spark keep only ``need`` rows per hour in each map task before the shuffle
+    (WindowGroupLimit), so a hot hour never reaches one reducer in full. The
+    quotas are a window over one row per hour.
     """
     starts = (actions.groupBy("session_id").agg(F.min(action_ts(F.col("action_time"))).alias("t0"))
               .select(F.col("session_id").alias("sessionId"), hour_key(format_ts("t0")).alias("hour")))
     hours = starts.groupBy("hour").agg(F.count(F.lit(1)).alias("hour_count"))
-    total = hours.agg(F.sum("hour_count")).scalar()  # scalar subquery, evaluated once
-    hours = hours.select(
-        "hour",
-        F.least(F.call_function("div", F.col("hour_count") * F.lit(need), total), F.col("hour_count")).alias("quota"),
-    )
+    every = Window.partitionBy()
+    total = F.sum("hour_count").over(every)
+    shares = (hours.withColumn("total", total).withColumn("drawn", F.least(F.lit(need), F.col("total")))
+              .withColumn("base", F.call_function("div", F.col("hour_count") * F.col("drawn"), F.col("total")))
+              .withColumn("rest", F.col("hour_count") * F.col("drawn") - F.col("base") * F.col("total"))
+              .withColumn("left", F.col("drawn") - F.sum("base").over(every))
+              .withColumn("place", F.row_number().over(Window.orderBy(F.desc("rest"), F.asc("hour")))))
+    hours = shares.select("hour", (F.col("base") + (F.col("place") <= F.col("left")).cast("long")).alias("quota"))
     w = Window.partitionBy("hour").orderBy(F.md5(F.concat(F.lit(seed), F.col("sessionId"))), "sessionId")
     ranked = starts.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.lit(need))
     return (ranked.join(hours, "hour")
@@ -169,20 +172,11 @@ def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clicks
             .select("sessionId", "hour", "rn"))
 
 
-def session_sample(actions: DataFrame, run_id: str, need: int = 1000, seed: str = "clickscope",
-                   materialize: bool = True) -> DataFrame:
+def session_sample(actions: DataFrame, run_id: str, need: int = 1000, seed: str = "clickscope") -> DataFrame:
     """Session records (with lists) of the proportional hourly sample.
 
     The sample holds at most ``need`` ids by construction, so it is broadcast
-    to select the sampled sessions' actions. Building ordered lists samples
-    and then sorts that selection (two passes); with ``materialize`` the
-    selection is checkpointed once to the shared checkpoint folder, so the
-    full action log is scanned once for it instead of twice, and the lineage
-    behind the list building is cut.
+    to select the sampled sessions' actions; only those reach the rollup.
     """
     ids = sample_session_ids(actions, need, seed).select(F.col("sessionId").alias("session_id"))
-    picked = actions.join(F.broadcast(ids), "session_id", "left_semi")
-    if materialize:
-        checkpoint_dir(picked.sparkSession)
-        picked = picked.checkpoint(eager=True)
-    return session_rollup(picked, run_id)
+    return session_rollup(actions.join(F.broadcast(ids), "session_id", "left_semi"), run_id)

@@ -16,11 +16,15 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from clickscope import schemas
 from clickscope.conditions import Condition
+from clickscope.functions import task_id
 from clickscope.operators import areas, categories, pages, products, professions, sessions
 from clickscope.operators.actions import base_actions
-from clickscope.sources.tables import ModelTables, read_catalog_tables
+from clickscope.sources.sinks import append_jdbc
+from clickscope.sources.tables import ModelTables, duplicate_keys, read_catalog_tables
 
 # Result table names of the original application.
 RESULT_TABLES = {
@@ -41,30 +45,32 @@ def append_to_table(name: str, df: DataFrame) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
-def demand_plans(tables: ModelTables, condition: Condition, run_id: str, flow=(1, 2, 3, 4, 5, 6, 7),
-                 persist_base: bool = False) -> dict[str, DataFrame]:
-    """The result DataFrames, keyed by result table role (plus ``_base``,
-    the shared action set).
+def append_to_jdbc(url: str, properties: dict[str, str] | None = None, num_partitions: int | None = None) -> Writer:
+    """A writer that appends each result to a JDBC table of its name."""
+    def write(name: str, df: DataFrame) -> None:
+        append_jdbc(df, url, name, properties, num_partitions)
 
-    Demands 1-5 and the two exercises use the condition-filtered actions;
-    the area report reads the raw log, as in the original. The sample and
-    the buyers' visits checkpoint their small selections when built.
+    return write
+
+
+def _demands(tables: ModelTables, condition: Condition, run_id: str) -> dict[str, tuple[T.StructType, Callable[[DataFrame], DataFrame]]]:
+    """Result schema and plan builder of each demand, by result table role.
+
+    Demands 1-5 and the two exercises use the condition-filtered actions; the
+    area report reads the raw log, as in the original, and gets the run's id
+    here so that its rows, too, can be told apart.
     """
-    # No demand reads the clicked product's name: skip that join.
-    acts = base_actions(tables, condition, enrich=("professional", "user_name"))
-    if persist_base:
-        acts = acts.persist(StorageLevel.MEMORY_AND_DISK)
-    flow = tuple(condition.target_page_flow) or tuple(flow)
     return {
-        "session_stat": sessions.session_bucket_stats(acts, run_id, condition),
-        "random_session_info": sessions.session_sample(acts, run_id),
-        "category_top10": categories.category_top10(acts, run_id),
-        "top10_session_per_top10_cid": categories.top_sessions_per_top_category(acts, run_id),
-        "page_convert_rate": pages.page_conversion_rate(acts, run_id, flow),
-        "area_top3": areas.area_top3_products(tables),
-        "professional_stat": professions.professional_share(acts, tables.users, run_id),
-        "hot_product_user_info": products.hot_product_user_visits(tables, acts, run_id),
-        "_base": acts,
+        "session_stat": (schemas.SESSION_STAT, lambda a: sessions.session_bucket_stats(a, run_id, condition)),
+        "random_session_info": (schemas.SESSION_INFO, lambda a: sessions.session_sample(a, run_id)),
+        "category_top10": (schemas.CATEGORY_TOP_N, lambda a: categories.category_top10(a, run_id)),
+        "top10_session_per_top10_cid": (schemas.TOP_SESSION_PER_CID,
+                                        lambda a: categories.top_sessions_per_top_category(a, run_id)),
+        "page_convert_rate": (schemas.PAGE_CONVERT_RATE,
+                              lambda a: pages.page_conversion_rate(a, run_id, condition.target_page_flow)),
+        "area_top3": (schemas.AREA_TOP3, lambda a: areas.area_top3_products(tables).select(task_id(run_id), "*")),
+        "professional_stat": (schemas.PROFESSIONAL_STAT, lambda a: professions.professional_share(a, tables.users, run_id)),
+        "hot_product_user_info": (schemas.HOT_PRODUCT_USER, lambda a: products.hot_product_user_visits(tables, a, run_id)),
     }
 
 
@@ -73,31 +79,65 @@ def run_demands(tables: ModelTables, condition: Condition | None = None, run_id:
                 table_prefix: str = "", persist_base: bool = False) -> str:
     """Run the demands one after another and hand each result to ``write``.
 
-    With ``persist_base`` the enriched, filtered action set is kept (memory
-    and disk) while the demands run, instead of being rebuilt from the scan
-    by each of them, and released at the end.
+    Only the wanted demands are planned. The dimension keys are checked to be
+    unique first: a repeated key would multiply action rows. The conversion
+    rate needs the condition's target page flow; without one it is skipped,
+    unless it was asked for by name. With ``persist_base`` the enriched,
+    filtered action set is kept (memory and disk) while the demands run.
     """
     run_id = run_id or str(uuid.uuid4())
-    plans = demand_plans(tables, condition or Condition(), run_id, persist_base=persist_base)
+    condition = condition or Condition()
+    demands = _demands(tables, condition, run_id)
+    wanted = [role for role in demands if only is None or role in only]
+    if not condition.target_page_flow and "page_convert_rate" in wanted:
+        if only is not None:
+            raise ValueError("page_convert_rate needs target_page_flow in the condition")
+        print("page_convert_rate skipped: the condition names no target page flow")
+        wanted.remove("page_convert_rate")
+    repeated = duplicate_keys(tables).take(5)
+    if repeated:
+        raise ValueError(f"dimension keys are not unique: {[tuple(r) for r in repeated]}")
+    # No demand reads the clicked product's name: skip that join.
+    acts = base_actions(tables, condition, enrich=("professional", "user_name"))
     try:
-        for role, df in plans.items():
-            if role in RESULT_TABLES and (only is None or role in only):
-                write(f"{table_prefix}{RESULT_TABLES[role]}", df)
+        if persist_base:
+            acts = acts.persist(StorageLevel.MEMORY_AND_DISK)
+        for role in wanted:
+            schema, plan = demands[role]
+            write(f"{table_prefix}{RESULT_TABLES[role]}", schemas.validate_schema(plan(acts), schema, exact=True))
     finally:
         if persist_base:
-            base_actions_of(plans).unpersist()
+            acts.unpersist()
     return run_id
 
 
-def base_actions_of(plans: dict[str, DataFrame]) -> DataFrame:
-    return plans["_base"]
+# Condition keys of the original application and ours.
+CONDITION_KEYS = {
+    "startDate": "start_date", "endDate": "end_date", "startAge": "start_age", "endAge": "end_age",
+    "professionals": "professionals", "city": "city", "gender": "gender", "keywords": "keywords",
+    "categoryIds": "category_ids", "targetPageFlow": "target_page_flow",
+}
+_LISTS = {"professionals": str, "keywords": str, "category_ids": int, "target_page_flow": int}
+_NUMBERS = ("start_age", "end_age", "city")
 
 
 def _condition_from_json(text: str) -> Condition:
-    data = json.loads(text) if text else {}
-    for key in ("professionals", "keywords", "category_ids", "target_page_flow"):
-        if key in data:
-            data[key] = tuple(data[key])
+    """A condition from JSON with the original's or our key names.
+
+    Values may be text, as in the original's files: lists comma-joined,
+    numbers as digits; an empty value sets no condition.
+    """
+    data = {}
+    for key, value in (json.loads(text) if text else {}).items():
+        name = CONDITION_KEYS.get(key, key)
+        if value in (None, "", []):
+            continue
+        if name in _LISTS:
+            items = value if isinstance(value, list) else str(value).split(",")
+            value = tuple(_LISTS[name](str(x).strip()) for x in items if str(x).strip())
+        elif name in _NUMBERS:
+            value = int(value)
+        data[name] = value
     return Condition(**data)
 
 
@@ -107,13 +147,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--condition", default="{}", help="JSON object of Condition fields")
     parser.add_argument("--run-id", default=None)
     parser.add_argument("--table-prefix", default="")
+    parser.add_argument("--jdbc-url", default=None, help="append results to this database instead of the catalog")
+    parser.add_argument("--jdbc-properties", default="{}", help="JSON object of connection properties")
+    parser.add_argument("--jdbc-connections", type=int, default=None, help="most connections at a time")
     parser.add_argument("--persist-base", action="store_true",
                         help="keep the filtered, enriched actions between demands")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("clickscope").getOrCreate()
     tables = read_catalog_tables(spark, args.database)
-    run_id = run_demands(tables, _condition_from_json(args.condition), args.run_id, table_prefix=args.table_prefix,
-                         persist_base=args.persist_base)
+    write = append_to_table
+    if args.jdbc_url:
+        write = append_to_jdbc(args.jdbc_url, json.loads(args.jdbc_properties), args.jdbc_connections)
+    run_id = run_demands(tables, _condition_from_json(args.condition), args.run_id, write=write,
+                         table_prefix=args.table_prefix, persist_base=args.persist_base)
     print(run_id)
 
 

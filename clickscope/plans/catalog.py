@@ -23,8 +23,8 @@ from clickscope.plans.params import (
     SAMPLE_SEED,
     SAMPLE_SIZE,
     TARGET_FLOW,
+    VISITS_DATE,
 )
-from clickscope.session import checkpoint_dir
 from clickscope.sources import load_fixture_tables, overwrite_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,11 +53,9 @@ def _filtered(cond: Condition) -> Query:
 def _table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the top-10 categories twice with replace semantics, read back once."""
     top = categories.category_top10(base_actions(load_fixture_tables(spark, sf_dir), enrich=()), RUN_ID)
-    table = "clickscope_category_top10"
-    location = f"{checkpoint_dir(spark).rstrip('/')}/tables/{table}-{uuid.uuid4().hex}"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    table = f"clickscope_category_top10_{uuid.uuid4().hex}"  # managed; no other run's table is replaced
     for _ in range(2):
-        overwrite_table(top, table, path=location)
+        overwrite_table(top, table)
     return spark.table(table)
 
 
@@ -89,6 +87,8 @@ QUERIES: dict[str, Query] = {
     "top2_buyers_per_hot_product": _on_base(lambda a: products.top2_buyers_per_hot_product(a, RUN_ID)),
     "hot_product_user_visits": _on_tables(lambda t: products.hot_product_user_visits(
         t, base_actions(t, enrich=("user_name",)), RUN_ID)),
+    "hot_product_user_visits_day": _on_tables(lambda t: products.hot_product_user_visits(
+        t, base_actions(t, enrich=("user_name",)), RUN_ID, date=VISITS_DATE)),
     "table_overwrite": _table_overwrite,
 }
 

@@ -15,6 +15,7 @@ from clickscope.plans.params import (
     SAMPLE_SEED,
     SAMPLE_SIZE,
     TARGET_FLOW,
+    VISITS_DATE,
 )
 
 TIME_FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -273,9 +274,15 @@ FROM sess""",
     + "SELECT split_part(startTime, ':', 1) AS hour, count(*) AS session_count FROM sess GROUP BY 1",
     "session_sample": _with(SESSION_STATS, f"""
 hours AS (SELECT split_part(startTime, ':', 1) AS hour, count(*) AS hour_count FROM sess GROUP BY 1),
+shares AS (
+  SELECT hour, hour_count, sum(hour_count) OVER () AS total, least({SAMPLE_SIZE}, sum(hour_count) OVER ()) AS drawn FROM hours
+),
+parts AS (
+  SELECT hour, (hour_count * drawn) // total AS base, (hour_count * drawn) % total AS rest, drawn FROM shares
+),
 quotas AS (
-  SELECT hour, least((hour_count * {SAMPLE_SIZE}) // (SELECT sum(hour_count) FROM hours), hour_count) AS quota
-  FROM hours
+  SELECT hour, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, hour) <= drawn - sum(base) OVER () THEN 1 ELSE 0 END AS quota
+  FROM parts
 ),
 ranked AS (
   SELECT session_id, split_part(startTime, ':', 1) AS hour,
@@ -339,3 +346,5 @@ LEFT JOIN product_info p ON p.product_id = b.product_id
 ORDER BY a.action_time, a.action_id, b.product_id""",
     "table_overwrite": _with(CATEGORY_COUNTS, CATEGORY_TOP) + "SELECT * FROM cat_top",
 }
+ORACLE_SQL["hot_product_user_visits_day"] = ORACLE_SQL["hot_product_user_visits"].replace(
+    "ORDER BY a.action_time", f"WHERE a.date = {_q(VISITS_DATE)}\nORDER BY a.action_time")

@@ -7,6 +7,7 @@ SAMPLE_SEED = "clickscope"
 SAMPLE_SIZE = 1000
 TARGET_FLOW = (1, 2, 3, 4, 5, 6, 7)
 REMARK_TOP_CITIES = 3
+VISITS_DATE = "2024-01-11"
 
 FILTERS = {
     "filter_date_range": Condition(start_date="2024-01-05", end_date="2024-01-20"),

@@ -26,6 +26,7 @@ USER_INFO = _struct(
 PRODUCT_INFO = _struct(("product_id", L), ("product_name", S), ("extend_info", S))
 CITY_INFO = _struct(("city_id", L), ("city_name", S), ("area", S))
 
+# Names of the result columns (``contiditions`` is the original's spelling).
 SESSION_STAT = _struct(
     ("taskId", S), ("contiditions", S), ("session_count", L),
     ("session_visitLength_le_10s_ratio", D), ("session_visitLength_gt_10s_ratio", D),
@@ -42,7 +43,7 @@ CATEGORY_TOP_N = _struct(
 )
 TOP_SESSION_PER_CID = _struct(("taskId", S), ("categoryId", S), ("sessionId", S), ("clickCount", L))
 PAGE_CONVERT_RATE = _struct(("taskId", S), ("pageJump", S), ("rate", D))
-AREA_TOP3 = _struct(("area", S), ("product_name", S), ("count", L), ("rank", I), ("city_remark", S))
+AREA_TOP3 = _struct(("taskId", S), ("area", S), ("product_name", S), ("count", L), ("rank", I), ("city_remark", S))
 PROFESSIONAL_STAT = _struct(
     ("taskId", S), ("userCount", L), ("teacher_ratio", D), ("programmer_ratio", D),
     ("PM_ratio", D), ("stu_ratio", D),

@@ -6,8 +6,6 @@ its settings. ``build_session`` is for local runs, tests and the benchmark.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that make a local run behave like the cluster plan: AQE re-plans
@@ -38,7 +36,7 @@ def build_session(
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(LOCAL_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "16g"
+    conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -50,14 +48,12 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a private scratch folder is created and registered.
+    ``spark.checkpoint.dir`` where the cluster names one; only where it is
+    unset, a folder of its own beside the tables, in the session's warehouse,
+    which every executor reaches.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="clickscope-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder

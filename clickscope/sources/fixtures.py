@@ -36,10 +36,11 @@ def user_visit_action_from_events(events: DataFrame) -> DataFrame:
     # ``ts`` is zone-free (TIMESTAMP_NTZ); its text form never depends on the
     # session time zone, so the wall-clock fields are cut from that text.
     with_k = events.selectExpr(
-        "event_id", "substring(CAST(ts AS STRING), 1, 19) AS t", "user_id", "event_type",
+        "event_id", "ts", "substring(CAST(ts AS STRING), 1, 19) AS t", "user_id", "event_type",
         f"CAST(nullif(regexp_extract(props, '{K_PATTERN}', 1), '') AS BIGINT) AS k")
     return with_k.selectExpr(
         "event_id AS action_id",
+        "ts",
         "substring(t, 1, 10) AS date",
         "user_id",
         "CAST(NULL AS STRING) AS user_name",

@@ -26,11 +26,14 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]
     """Append rows to a JDBC table, creating it on first use.
 
     Credentials and driver class come in ``properties`` from the caller;
-    nothing is read from files here. Results are small (bounded by a top-k),
-    so ``num_partitions`` caps concurrent connections to the database.
+    nothing is read from files here. ``num_partitions`` bounds concurrent
+    connections; the rows are dealt to so many partitions by an exchange of
+    the finished result, which leaves the plan below it as parallel as it is.
     """
-    out = df.coalesce(num_partitions) if num_partitions else df
+    out = df.repartition(num_partitions) if num_partitions else df
     writer = out.write.format("jdbc").option("url", url).option("dbtable", table).mode("append")
+    if num_partitions:
+        writer = writer.option("numPartitions", num_partitions)
     for key, value in (properties or {}).items():
         writer = writer.option(key, value)
     writer.save()

@@ -1,6 +1,9 @@
+import pytest
+
 from clickscope.conditions import Condition
 from clickscope.plans.app import RESULT_TABLES, _condition_from_json, run_demands
 from clickscope.sources import load_fixture_tables
+from clickscope.sources.tables import ModelTables
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,10 +20,41 @@ def test_run_all_demands_appends_per_run(spark):
     def capture(name, df):
         written[name] = df.count()
 
-    run_demands(tables, Condition(), "r-1", write=capture, table_prefix="t_", persist_base=True)
+    flow = Condition(target_page_flow=(1, 2, 3))
+    run_demands(tables, flow, "r-1", write=capture, table_prefix="t_", persist_base=True)
     assert set(written) == {f"t_{n}" for n in RESULT_TABLES.values()}
     assert written["t_session_stat"] == 1 and written["t_category_top10"] == 10
     run_demands(tables, Condition(), "r-1", only=["category_top10"], table_prefix="app_")
     run_demands(tables, Condition(), "r-2", only=["category_top10"], table_prefix="app_")
     runs = spark.table("app_category_top10").groupBy("taskId").count().collect()
     assert sorted((r["taskId"], r["count"]) for r in runs) == [("r-1", 10), ("r-2", 10)]
+
+
+def test_condition_takes_the_original_keys_and_text_values():
+    cond = _condition_from_json('{"startDate": "2018-11-01", "endDate": "", "startAge": "20", "professionals": "",'
+                                ' "keywords": "a, b", "categoryIds": "3,5", "targetPageFlow": "1,2,3", "city": "7"}')
+    assert cond == Condition(start_date="2018-11-01", start_age=20, keywords=("a", "b"), category_ids=(3, 5),
+                             target_page_flow=(1, 2, 3), city=7)
+
+
+def test_conversion_rate_needs_a_flow(spark):
+    tables = load_fixture_tables(spark, SF)
+    names = []
+    with pytest.raises(ValueError, match="target_page_flow"):
+        run_demands(tables, Condition(), "r", write=lambda n, d: names.append(n), only=["page_convert_rate"])
+    run_demands(tables, Condition(), "r", write=lambda n, d: names.append(n))
+    assert "page_convert_rate" not in names and len(names) == len(RESULT_TABLES) - 1
+
+
+def test_only_wanted_plans_are_built_and_area_rows_carry_the_run(spark):
+    tables = load_fixture_tables(spark, SF)
+    seen = {}
+    run_demands(tables, Condition(), "r-9", write=lambda n, d: seen.update({n: d.first()["taskId"]}), only=["area_top3"])
+    assert seen == {"area_top3_product": "r-9"}
+
+
+def test_repeated_dimension_keys_are_refused(spark):
+    t = load_fixture_tables(spark, SF)
+    double = ModelTables(t.actions, t.users.unionByName(t.users), t.products, t.cities)
+    with pytest.raises(ValueError, match="not unique"):
+        run_demands(double, Condition(), "r", write=lambda n, d: None)

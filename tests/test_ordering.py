@@ -1,15 +1,15 @@
-"""The chunked ordering must equal a plain per-session sort, including when
-one session spans many range partitions."""
+"""The bucketed ordering must equal a plain per-session sort, including when
+one session spans many time buckets."""
 
 import random
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickscope.operators import pages, sessions
 from clickscope.operators.actions import base_actions
-from collections import Counter
-
-from clickscope.operators.ordering import ordered_actions, successor_pair_counts
+from clickscope.operators.ordering import DAY, HOUR, MINUTE, jump_and_view_counts, with_order
 from tests.helpers import action, tables
 
 
@@ -27,8 +27,8 @@ def make_rows(seed=7):
     return rows
 
 
-def counts_of(df):
-    return {(r["from_value"], r["to_value"]): r["n"] for r in df.collect()}
+def counts_of(rows_df):
+    return {(r["x"], r["y"]): r["n"] for r in rows_df.where("kind = 'p'").collect()}
 
 
 def brute_counts(rows):
@@ -45,34 +45,42 @@ def brute_pairs(rows):
     return sorted(out)
 
 
-def test_hot_session_spans_many_chunks(spark):
+def every_pair(a, b):
+    return a.isNotNull() & b.isNotNull()
+
+
+@pytest.mark.parametrize("chars", [DAY, HOUR, MINUTE, 19])
+def test_bucket_width_does_not_change_the_answer(spark, chars):
     rows = make_rows()
     acts = base_actions(tables(spark, rows), enrich=())
-    # tiny data: keep AQE from merging the range partitions back into one
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ordered = ordered_actions(acts.select("session_id", "action_time", "action_id", "page_id"),
-                                  order=["action_time", "action_id"])
-        chunks = ordered.filter(F.col("session_id") == "hot").select("_chunk").distinct().count()
-        assert chunks > 3  # the hot session is really split
-        assert counts_of(successor_pair_counts(ordered, "page_id")) == brute_counts(rows)
-        lists = {r["sessionId"]: r["searchKeywords"] for r in sessions.session_rollup(acts, "t").collect()}
-        hot = [r["search_keyword"] for r in sorted(rows, key=lambda r: (r["action_time"], r["action_id"]))
-               if r["session_id"] == "hot" and r["search_keyword"]]
-        assert lists["hot"] == ",".join(hot)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert counts_of(jump_and_view_counts(acts, "page_id", every_pair, F.lit(True), chars)) == brute_counts(rows)
+    lists = {r["sessionId"]: r["searchKeywords"] for r in sessions.session_rollup(acts, "t", chars).collect()}
+    hot = [r["search_keyword"] for r in sorted(rows, key=lambda r: (r["action_time"], r["action_id"]))
+           if r["session_id"] == "hot" and r["search_keyword"]]
+    assert lists["hot"] == ",".join(hot)
+
+
+def test_a_hot_session_is_cut_into_many_buckets(spark):
+    acts = with_order(base_actions(tables(spark, make_rows()), enrich=()), MINUTE)
+    sizes = [r["count"] for r in acts.where("session_id = 'hot'").groupBy("session_id", "_bucket").count().collect()]
+    assert len(sizes) > 40 and max(sizes) < 40
+
+
+def test_views_come_from_the_same_pass(spark):
+    rows = make_rows(seed=3)
+    acts = base_actions(tables(spark, rows), enrich=())
+    got = jump_and_view_counts(acts, "page_id", every_pair, F.col("x").isin([1, 2]), HOUR)
+    views = {r["x"]: r["n"] for r in got.where("kind = 'v'").collect()}
+    assert views == {p: sum(r["page_id"] == p for r in rows) for p in (1, 2)}
 
 
 def test_jumps_use_all_actions_before_page_filter(spark):
     # 1 -> 9 -> 2 : there is no 1->2 jump; filtering pages first would invent one
     rows = [action("s", "2018-11-26 10:00:00", page_id=1), action("s", "2018-11-26 10:00:01", page_id=9),
-            action("s", "2018-11-26 10:00:02", page_id=2), action("s", "2018-11-26 10:00:03", page_id=3)]
+            action("s", "2018-11-26 10:00:02", page_id=2), action("s", "2018-11-27 10:00:03", page_id=3)]
     acts = base_actions(tables(spark, rows), enrich=())
     got = {r["pageJump"]: r["jump_count"] for r in pages.page_jumps(acts, [1, 2, 3]).collect()}
-    assert got == {"2_3": 1}
+    assert got == {"2_3": 1}  # across midnight, so across buckets
 
 
 def test_without_action_id_the_row_hash_orders_ties(spark):
@@ -84,12 +92,4 @@ def test_without_action_id_the_row_hash_orders_ties(spark):
             seen.add((r["session_id"], r["action_time"]))
             unique_rows.append(r)
     acts = base_actions(tables(spark, unique_rows), enrich=()).drop("action_id")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ordered = ordered_actions(acts.select("session_id", "action_time", "page_id"))
-        got = counts_of(successor_pair_counts(ordered, "page_id"))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert got == brute_counts(unique_rows)
+    assert counts_of(jump_and_view_counts(acts, "page_id", every_pair, F.lit(False), HOUR)) == brute_counts(unique_rows)

@@ -4,7 +4,7 @@ import pytest
 
 from clickscope.conditions import Condition
 from clickscope.operators import areas, categories, pages, products, sessions
-from clickscope.operators.actions import base_actions
+from clickscope.operators.actions import attach_product_name, base_actions
 from clickscope.sources import load_fixture_tables
 
 SF = "/root/testdata/sf0.001"
@@ -64,10 +64,65 @@ def test_hot_product_filter_is_a_scalar_subquery(t):
     assert "Subquery" in p and "arrays_overlap" in p and "SortMergeJoin" not in p
 
 
-def test_jumps_use_range_chunks_not_a_session_window(t):
-    p = plan(pages.page_jumps(base_actions(t, enrich=()), [1, 2, 3]))
-    assert "rangepartitioning(session_id" in p
-    assert "hashpartitioning(session_id" not in p
+def executed(df) -> list[str]:
+    df.collect()
+    return plan(df).split("Initial Plan")[0].splitlines()
+
+
+@pytest.mark.parametrize("query", [lambda a: pages.page_jumps(a, [1, 2, 3]), lambda a: pages.page_conversion_rate(a, "r", [1, 2, 3])])
+def test_jumps_and_conversion_read_and_ship_the_log_once(t, query):
+    lines = executed(query(base_actions(t, enrich=())))
+    text = "\n".join(lines)
+    assert sum("FileScan" in x and "event_id" in x for x in lines) == 1
+    assert text.count("hashpartitioning(session_id") == 1 and "rangepartitioning" not in text
+
+
+def test_rollup_reads_once_and_ships_twice(t):
+    lines = executed(sessions.session_rollup(base_actions(t, enrich=()), "r"))
+    assert sum("FileScan" in x and "event_id" in x for x in lines) == 1
+    assert "\n".join(lines).count("hashpartitioning(session_id") == 2
+
+
+def test_building_a_plan_starts_no_job(spark, t):
+    from clickscope.plans import QUERIES
+
+    seen = spark.sparkContext.statusTracker()
+    for name in ("session_sample", "hot_product_user_visits", "session_rollup", "page_conversion_rate", "area_top3_products"):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        QUERIES[name](spark, SF)
+        assert not seen.getJobIdsForGroup(f"build-{name}"), name
+    spark.sparkContext.setJobGroup("none", "none")
+
+
+def test_rows_without_a_click_are_spread_over_the_product_join(spark, t):
+    from pyspark.sql import functions as F
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "-1")
+    spark.conf.set(keys[1], "false")
+    try:
+        joined = attach_product_name(t.actions.drop("product_name"), t.products)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and max(sizes) < 2 * sorted(sizes)[4]
+
+
+def test_area_winners_are_ranked_before_cities_are_gathered(t):
+    p = plan(areas.area_top3_products(t))
+    semi = p.index("LeftSemi")
+    # gathering sits above the semi-join with the ranked winners
+    assert p.index("collect_list") < semi and "WindowGroupLimit" in p[semi:]
+
+
+def test_date_conditions_reach_the_registered_scan(spark):
+    from clickscope.plans import QUERIES
+
+    for name in ("filter_date_range", "filter_combined"):
+        scan = next(x for x in plan(QUERIES[name](spark, SF)).splitlines() if "PushedFilters" in x and "events" in x)
+        assert "GreaterThanOrEqual(ts," in scan and "LessThan(ts," in scan
 
 
 def test_area_clicks_aggregate_before_the_city_join(t):
@@ -75,11 +130,3 @@ def test_area_clicks_aggregate_before_the_city_join(t):
     # a partial aggregation on (product, city id) sits below the join with the city dimension
     join_at = p.find("Join")
     assert "keys=[click_product_id" in p[join_at:] and "city_id" in p[join_at:]
-
-
-def test_page_jumps_use_a_single_range_exchange(t):
-    df = pages.page_jumps(base_actions(t, enrich=()), [1, 2, 3])
-    df.collect()  # AQE shares identical exchanges when it runs the stages
-    final = plan(df).split("Initial Plan")[0]
-    own = [line for line in final.splitlines() if "rangepartitioning(" in line and "ReusedExchange" not in line]
-    assert len(own) == 1  # any other use of it is a ReusedExchange

@@ -56,3 +56,15 @@ def test_top_buyers_and_visits(t):
     ]
     assert visits.columns[:8] == ["taskId", "product_id", "product_name", "user_id", "user_name", "action_time",
                                   "operation_type", "operation_obj"]
+
+
+def test_malformed_ids_are_counted_or_fail_loudly(spark):
+    clicks = [action("s", f"2018-11-26 09:00:0{i}", click_product=8) for i in range(3)]
+    t = tables(spark, [*clicks, action("s", "2018-11-26 10:00:00", pay_products="8,x9,7", user_id=2)])
+    acts = base_actions(t)
+    assert products.paid_hot_actions(acts).count() == 1
+    buyers = products.top2_buyers_per_hot_product(acts, "r").collect()
+    assert [(r["product_id"], r["user_id"], r["purchase_count"]) for r in buyers] == [(8, 2, 1)]
+    assert products.hot_product_user_visits(t, acts, "r").count() == 1
+    with pytest.raises(Exception, match="not a product id: x9"):
+        products.user_product_purchases(acts).collect()

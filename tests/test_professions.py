@@ -1,4 +1,4 @@
-from clickscope.operators import professions
+from clickscope.operators import professions, sessions
 from clickscope.operators.actions import base_actions
 from tests.helpers import action, tables
 
@@ -28,3 +28,13 @@ def test_share_of_repeat_click_sessions(spark):
     assert by_user["userCount"] == 3 and by_user["PM_ratio"] == 33.33
     empty = professions.professional_share(acts.filter("false"), t.users, "t").collect()[0]
     assert empty["userCount"] == 0 and empty["stu_ratio"] is None
+
+
+def test_profession_does_not_depend_on_arrival_order(spark):
+    rows = [action("s", "2018-11-26 10:00:00", user_id=u, click_product=5, action_id=i) for i, u in enumerate((1, 2, 9))]
+    users = [(1, "a", "a", 20, "A", "m"), (2, "b", "b", 20, "B", "m"), (9, "c", "c", 20, "", "m")]
+    for order in (rows, rows[::-1]):
+        t = tables(spark, list(order), users=users)
+        got = professions.repeat_click_groups(base_actions(t, enrich=()), t.users).collect()
+        assert [tuple(r) for r in got] == [("s", "B")]  # the last user's profession is empty
+        assert sessions.session_rollup(base_actions(t), "r").first()["professional"] == "B"

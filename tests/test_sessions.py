@@ -95,3 +95,11 @@ def test_times_ignore_the_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert (r["startTime"], r["endTime"], r["visitLength"]) == ("2018-03-11 01:59:50", "2018-03-11 03:00:10", 3620)
     assert (full["startTime"], full["visitLength"]) == ("2018-03-11 01:59:50", 3620)
+
+
+def test_sample_is_complete_over_many_hours(spark):
+    # 2,000 hours with one session each: every floor is zero, the remainders decide
+    rows = [action(f"s{i:04d}", f"20{18 + i // 1000:02d}-{1 + i // 100 % 10:02d}-{1 + i // 24 % 28:02d} {i % 24:02d}:{i // 672:02d}:00")
+            for i in range(2000)]
+    ids = sessions.sample_session_ids(base_actions(tables(spark, rows)), need=1000).collect()
+    assert len({r["sessionId"] for r in ids}) == len(ids) == 1000
