@@ -89,11 +89,12 @@ def targets(sources: DataFrame, max_epochs: float = MAX_EPOCHS) -> DataFrame:
                           / F.sum("weight").over(rest))
               .withColumn("open", F.col("level") * F.col("weight") <= F.col("cap")))
     # the level at the first source that stays below its cap holds for all after it
-    level = F.min(F.when(F.col("open"), F.struct((F.col("cap") / F.col("weight")).alias("r"), "level"))).over(everything)
+    levels = levels.withColumn("place", F.row_number().over(by_ratio))
+    level = F.min(F.when(F.col("open"), F.struct("place", "level"))).over(everything)
     return (levels.withColumn("common", level["level"])
             .withColumn("target", F.when(F.col("common").isNull(), F.col("cap"))
                         .otherwise(F.least(F.col("cap"), F.col("common") * F.col("weight"))))
-            .drop("cap", "whole", "level", "open", "common"))
+            .drop("cap", "whole", "level", "open", "place", "common"))
 
 
 def sample(docs: DataFrame, size: Column | None = None, quality: Column | None = None,
