@@ -1,0 +1,47 @@
+import zlib
+
+import corpus_pipeline as P
+from clickscope.llm import mixing, quality, simhash
+from tests.llm.edge import PARAGRAPH, edge_docs
+
+
+def test_stages_hand_on_whole_tables(spark, tmp_path):
+    more = spark.createDataFrame([(100 + i, PARAGRAPH * 3 + f" number {zlib.crc32(bytes([i]))} " * (i % 3 + 2), "en", f"s{i % 4}", 1)
+                                  for i in range(40)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = edge_docs(spark).unionByName(more)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen = docs
+    for (name, stage), check in zip(P.STAGES, (check_quality, check_dedup, check_mix, None)):
+        out = stage(spark, seen, str(tmp_path))
+        path = f"{tmp_path}/{name}"
+        out.write.parquet(path)
+        out = spark.read.parquet(path)
+        if check:
+            assert out.columns == docs.columns
+            check(seen, out)
+            seen = out
+    last = sorted((r.doc_id, r.n_tokens) for r in out.collect())
+    assert out.count() == seen.count() and all(r.lossless for r in out.collect())
+    assert sorted((r.doc_id, r.n_tokens) for r in P.run(spark, str(tmp_path)).collect()) == last
+
+
+def check_quality(before, after):
+    kept = {(r.doc_id, r.text) for r in quality.apply_rules(before).where("quality.kept").collect()}
+    assert {(r.doc_id, r.text) for r in after.collect()} == kept
+
+
+def check_dedup(before, after):
+    groups = {r.component for r in simhash.near_duplicates(before).collect()}
+    assert sorted(r.doc_id for r in after.collect()) == sorted(groups)
+
+
+def check_mix(before, after):
+    want = {r.id: r.copies for r in mixing.sample(before).collect() if r.copies}
+    got = {}
+    for r in after.collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + 1
+    assert got == want
+
+
+def test_four_stages_in_order():
+    assert [name for name, _ in P.STAGES] == ["quality_rules", "near_dedup", "source_mixing", "encoding"]
