@@ -1,5 +1,194 @@
-"""DuckDB SQL of the queries of this subpackage that SQL can express."""
+"""DuckDB SQL of the queries of this subpackage that SQL can express.
+
+Not here: merge-dropout and token files (tokenizers), SimHash and mixing
+(Spark's 64-bit hash), language-model scoring (iterated weighting). tests/llm
+checks those against brute-force versions.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from clickscope.llm import chat, licenses, merkle, quality, url_filter
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _list(items) -> str:
+    return "[" + ", ".join(_q(x) for x in items) + "]"
+
+
+def _lower(x: str) -> str:
+    return f"translate({x}, '{_UPPER}', '{_LOWER}')"
+
+
+def _url_filter() -> str:
+    whens = ""
+    for verdict, host, start in sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2])):
+        whens += (f" WHEN (host = {_q(host)} OR ends_with(host, {_q('.' + host)})) AND starts_with(path, {_q(start)})"
+                  f" THEN {{'rule': {_q(host + start)}, 'verdict': {_q(verdict)}}}")
+    return f"""
+WITH parts AS (
+  SELECT page_id, coalesce({_lower("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")}, '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), judged AS (
+  SELECT *, CASE{whens} END AS fit,
+         regexp_matches(host, '(^|[.-])({"|".join(url_filter.LISTED_WORDS)})([.-]|$)') AS listed
+  FROM parts
+)
+SELECT page_id, host, path, fit.rule AS rule,
+       coalesce(fit.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed
+FROM judged"""
+
+
+def _quality() -> str:
+    rules = quality.Rules()
+    classes = [f"len(regexp_replace(t, {_q(pattern.replace(chr(92) + 'x', chr(92) + 'x'))}, '', 'g'))" for _, pattern in quality.CLASSES]
+    lists = " ".join(f"WHEN {_q(lang)} THEN {_list(ws)}" for lang, ws in quality.COMMON_WORDS.items())
+    plogp = lambda x: f"(CASE WHEN {x} > 0 THEN {x} * log2({x}) ELSE 0 END)"
+
+    def distance(p: str, q: str) -> str:
+        terms = f"""list_sum(list_transform(generate_series(1, len({p})), lambda i:
+          {plogp(f'({p}[i] / list_sum({p}))')} / 2 + {plogp(f'({q}[i] / list_sum({q}))')} / 2
+          - {plogp(f'(({p}[i] / list_sum({p}) + {q}[i] / list_sum({q})) / 2)')}))"""
+        return f"CASE WHEN list_sum({p}) > 0 AND list_sum({q}) > 0 THEN sqrt(greatest(0.0, {terms})) END"
+
+    return rf"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS w,
+         CASE lang {lists} END AS listed
+  FROM documents
+), h AS (
+  SELECT *, len(w) AS n_words, [{', '.join(f'{c}::DOUBLE' for c in classes)}] AS known,
+         list_transform(listed, lambda x: len(list_filter(w, lambda y: y = x))::DOUBLE) AS counted
+  FROM d
+), f AS (
+  SELECT *, list_append(known, len(t) - list_sum(known)) AS classes,
+         list_append(counted, n_words - list_sum(counted)) AS commons
+  FROM h
+), refs AS (
+  SELECT lang, sum(n_words) AS total,
+         [{', '.join(f'sum(classes[{i + 1}])' for i in range(len(quality.CLASSES) + 1))}] AS ref_classes,
+         CASE WHEN sum(commons[1]) IS NOT NULL THEN
+           list_filter([{', '.join(f'sum(commons[{i + 1}])' for i in range(21))}], lambda x: x IS NOT NULL) END AS ref_commons
+  FROM f WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {rules.reference_min_words}
+), windows AS (
+  SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM f)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1
+), repeats AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id
+), counted AS (
+  SELECT f.*, coalesce(r.n, 0) AS n_repeat_words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x09-\x0D\x20]')) AS lines,
+         CASE WHEN len(t) >= {rules.class_min_chars} THEN {distance('classes', 'ref_classes')} END AS class_distance,
+         CASE WHEN n_words >= {rules.word_min_words} THEN {distance('commons', 'ref_commons')} END AS word_distance
+  FROM f LEFT JOIN refs USING (lang) LEFT JOIN repeats r USING (doc_id)
+), judged AS (
+  SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed,
+         coalesce(class_distance > {rules.class_limit} + {rules.class_scatter} / sqrt(greatest(n_words, 1)), false)
+         OR coalesce(word_distance > {rules.word_limit} + {rules.word_scatter} / sqrt(greatest(n_words, 1)), false) AS far
+  FROM counted
+)
+SELECT doc_id, n_words, len(array_to_string(w, '')) AS word_chars, len(t) - len(translate(t, {_q(quality.SYMBOLS)}, '')) AS n_symbols,
+       len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words, class_distance, word_distance, base_failed,
+       NOT base_failed AND NOT far AS kept
+FROM judged"""
+
+
+def _chat() -> str:
+    def escaped(x: str) -> str:
+        return f"replace(replace(replace(coalesce({x}, ''), '\\', '\\\\'), '###', '\\#\\#\\#'), {_q(chat.END)}, '<\\/turn>')"
+
+    from clickscope.llm.queries import PROBE_ID, PROBE_TEXT
+    told = "coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10)"
+    loss = f"coalesce(string_agg(coalesce(text, ''), '' ORDER BY turn) FILTER (WHERE role = {_q(chat.LEARNED_ROLE)}), '')"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT {PROBE_ID}, 0, 'user', {_q(PROBE_TEXT)} UNION ALL SELECT {PROBE_ID}, 1, 'assistant', {_q(PROBE_TEXT)}
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg({told}, '' ORDER BY turn)) AS turns_sha256,
+       len({loss}) AS loss_chars, sha256({loss}) AS loss_sha256,
+       CAST(sum(len('### ' || replace({escaped('role')}, ':', '\\:') || ': ' || {escaped('text')} || '{chat.END}' || chr(10))) AS BIGINT)
+         AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+def _merkle() -> str:
+    sha = lambda x: f"sha256(array_to_string({x}, ','))"
+
+    def tree(x: str) -> str:
+        leaves = f"list_transform(regexp_extract_all(p, {_q(merkle.LEAF)}), lambda l: sha256(l))"
+        return f"list_transform(string_split({x}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: {leaves}))"
+
+    def print_(t: str) -> str:
+        sections = f"list_transform({t}, lambda s: {sha(f'list_transform(s, lambda p: {sha(chr(112))})')})"
+        leaves = f"list_transform(flatten(flatten({t})), lambda l: left(l, {merkle.BRANCH_DIGITS}))"
+        return f"{sha(sections)} || ':' || coalesce(array_to_string({leaves}, ','), '')"
+
+    def likeness(a: str, b: str) -> str:
+        x, y = (f"list_distinct(list_filter(string_split(split_part({f}, ':', 2), ','), lambda v: v <> ''))" for f in (a, b))
+        return (f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN len({x}) + len({y}) > 0 "
+                f"THEN 2.0 * len(list_intersect({x}, {y})) / (len({x}) + len({y}))::DOUBLE ELSE 0.0 END")
+
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, len(coalesce(text, '')) AS n,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC), first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS nt
+  FROM documents
+), e AS (SELECT *, left(t, n - n // 3) || left(nt, n // 3) AS edited FROM d),
+trees AS (SELECT *, {tree('t')} AS a, {tree('edited')} AS b, {tree('nt')} AS c FROM e),
+prints AS (SELECT *, {print_('a')} AS fingerprint, {print_('b')} AS edited_fingerprint, {print_('c')} AS next_fingerprint FROM trees)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+       {likeness('fingerprint', 'edited_fingerprint')} AS near_edited, {likeness('fingerprint', 'next_fingerprint')} AS near_next
+FROM prints"""
+
+
+def _licenses() -> str:
+    def words(x: str) -> str:
+        return rf"list_filter(string_split_regex({_lower(x)}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda v: v <> '')"
+
+    places = []
+    for phrase in licenses.PHRASES:
+        test = " AND ".join(f"w[i + {k}] = {_q(word)}" for k, word in enumerate(phrase.split(" ")))
+        places.append(f"list_filter(generate_series(1, len(w)), lambda i: coalesce({test}, false))")
+    names = [f"p{k}" for k in range(len(places))]
+    labels = ", ".join(f"CASE WHEN len({n}) > 0 THEN {_q(label)} END" for n, label in zip(names, licenses.PHRASES.values()))
+    templates = ", ".join(f"({k}, {_q(label)}, {_q(text)})" for k, (label, text) in enumerate(licenses.TEMPLATES))
+    sorted_text = lambda x: f"coalesce(array_to_string(list_sort(list_distinct({x})), ','), '')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {words("coalesce(text, '')")} AS w FROM documents),
+placed AS (SELECT *, {', '.join(f'{p} AS {n}' for p, n in zip(places, names))} FROM d),
+base AS (
+  SELECT doc_id, len(w) AS n_words, {' || '.join(names)} AS starts,
+         list_filter([{labels}], lambda x: x IS NOT NULL) AS own FROM placed
+), templates AS (
+  SELECT k, label, list_distinct({words('notice')}) AS words FROM (VALUES {templates}) AS v(k, label, notice)
+), lines AS (
+  SELECT doc_id, line_no, list_distinct({words('line')}) AS words
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS line_no FROM d)
+), met AS (
+  SELECT doc_id, line_no, k, label, len(templates.words) AS size, len(list_intersect(lines.words, templates.words)) AS shared
+  FROM lines, templates
+), closest AS (
+  SELECT doc_id, label, shared / size AS containment FROM met
+  WHERE shared >= greatest(1, ceil(size * {licenses.THRESHOLD} - 1e-9))
+  QUALIFY row_number() OVER (PARTITION BY doc_id, line_no ORDER BY shared / size DESC, size DESC, k) = 1
+), found AS (SELECT doc_id, list(label) AS more, max(containment) AS best FROM closest GROUP BY doc_id)
+SELECT doc_id, n_words, len(starts) AS n_base, list_min(starts) - 1 AS first_word, list_max(starts) - 1 AS last_word,
+       {sorted_text('own')} AS base_labels, {sorted_text('own || coalesce(more, [])')} AS labels, coalesce(best, 0.0)::DOUBLE AS score
+FROM base LEFT JOIN found USING (doc_id)"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": _url_filter(),
+    "op3_quality_rules": _quality(),
+    "op8_chat_formatting": _chat(),
+    "op9_merkle_fingerprints": _merkle(),
+    "op10_license_scan": _licenses(),
+}

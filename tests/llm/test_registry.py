@@ -1,0 +1,28 @@
+"""The eleven queries on the smallest driver tables; SQL where there is some."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from clickscope.llm.oracle import ORACLE_SQL
+from clickscope.llm.queries import QUERIES
+from tools.check_oracle import duck, rows_of
+
+SF_DIR = os.environ.get("CLICKSCOPE_ORACLE_SF", "/root/testdata/sf0.001")
+
+
+def test_one_query_per_operator_and_the_pipeline():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert set(ORACLE_SQL) <= set(QUERIES)
+
+
+@pytest.mark.skipif(not os.path.exists(SF_DIR), reason="driver tables not present")
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    found = duck(SF_DIR).execute(ORACLE_SQL[name])
+    columns = [d[0] for d in found.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, found.fetchall())
