@@ -1,14 +1,7 @@
-"""SQL surface: the model tables as temp views, and the area report in Spark SQL.
-
-For users who prefer ``spark.sql``: Catalyst builds the same kind of plan as
-the DataFrame version (partial aggregation, WindowGroupLimit under the rank
-filter, broadcast of small dimensions by size).
-"""
+"""SQL surface: the model tables as temp views, for users who prefer ``spark.sql``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 from clickscope.sources.tables import ModelTables
 
 VIEW_NAMES = {
@@ -27,40 +20,3 @@ def register_model_views(tables: ModelTables, prefix: str = "") -> dict[str, str
         getattr(tables, role).createOrReplaceTempView(name)
         names[role] = name
     return names
-
-
-def _hundredths(n: str, t: str) -> str:
-    return f"(({n}) * 20000 + ({t})) div (2 * ({t}))"
-
-
-def area_top3_sql(spark: SparkSession, tables: ModelTables, k: int = 3, prefix: str = "") -> DataFrame:
-    """Top ``k`` clicked products per area with the city remark, written in SQL."""
-    v = register_model_views(tables, prefix)
-    h = _hundredths("x.n", "total")
-    remark_item = f"concat(x.city, '=', CAST({h} div 100 AS STRING), '.', lpad(CAST({h} % 100 AS STRING), 2, '0'), '%')"
-    return spark.sql(f"""
-        WITH per_city_id AS (
-            SELECT click_product_id, city_id, count(*) AS n
-            FROM {v['actions']} WHERE click_product_id > 0
-            GROUP BY click_product_id, city_id
-        ),
-        per_city AS (
-            SELECT a.click_product_id, c.area, c.city_name, CAST(sum(a.n) AS BIGINT) AS n
-            FROM per_city_id a JOIN {v['cities']} c ON a.city_id = c.city_id
-            GROUP BY a.click_product_id, c.area, c.city_name
-        ),
-        per_group AS (
-            SELECT click_product_id, area, CAST(sum(n) AS BIGINT) AS total,
-                   array_sort(collect_list(named_struct('neg_n', -n, 'city', city_name, 'n', n))) AS cities
-            FROM per_city GROUP BY click_product_id, area
-        ),
-        ranked AS (
-            SELECT click_product_id, area, total,
-                   array_join(transform(cities, x -> {remark_item}), ',') AS city_remark,
-                   row_number() OVER (PARTITION BY area ORDER BY total DESC, click_product_id) AS rank
-            FROM per_group
-        )
-        SELECT r.area, p.product_name, r.total AS count, r.rank, r.city_remark
-        FROM ranked r JOIN {v['products']} p ON r.click_product_id = p.product_id
-        WHERE r.rank <= {int(k)}
-    """)
