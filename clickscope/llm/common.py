@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import clickscope
 from clickscope.session import checkpoint_dir
 
 ASCII_SPACE = " \t\n\x0b\f\r"
@@ -61,3 +64,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def importable_by_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For drivers that only put the package on their own ``sys.path``; where it
+    is installed or shipped with the job this changes nothing.
+    """
+    root = str(Path(clickscope.__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])

@@ -34,7 +34,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 
-from clickscope.llm.common import pick
+from clickscope.llm.common import importable_by_workers, pick
 
 SPACE = "▁"
 SEED = 20240111
@@ -279,6 +279,7 @@ def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, se
     null id picks variants like an empty id. Names in ``keep`` must not clash
     with the four new columns; other columns are ignored.
     """
+    importable_by_workers(docs.sparkSession)
     columns = [id_col, *[c for c in keep if c != id_col]]
     source = pick(docs, *columns, text_col) if text_col not in columns else pick(docs, *columns)
     at = source.columns.index(text_col)

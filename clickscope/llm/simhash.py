@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import durable, fresh, pick
+from clickscope.llm.common import durable, fresh, importable_by_workers, pick
 from clickscope.llm.components import connected_components
 
 BITS = 64
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "d
                  text_col: str = "text") -> DataFrame:
     """(id, text_hash, fp) per row of ``docs``; ``fp`` is the fingerprint's 64
     bits as a signed long, ``text_hash`` Spark's xxhash64 of the text."""
+    importable_by_workers(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import ascii_lower, durable, fresh
+from clickscope.llm.common import ascii_lower, durable, fresh, importable_by_workers
 
 MAX_BROADCAST = 64 << 20
 MAX_LEVELS = 64
@@ -173,6 +173,7 @@ def build_cascades(listed: DataFrame, universe: DataFrame, max_broadcast: int =
     are added to it. One cascade unless its size would pass ``max_broadcast``;
     else as many as groups of keys, in the order of the groups.
     """
+    importable_by_workers(universe.sparkSession)
     both = (listed.toDF("key").select("key", F.lit(1).alias("in_list"))
             .unionByName(universe.toDF("key").select("key", F.lit(0).alias("in_list"))).where("key is not null"))
     h1, h2 = _hashes(F.col("key"))
@@ -203,6 +204,7 @@ def build_cascades(listed: DataFrame, universe: DataFrame, max_broadcast: int =
 
 def flag_listed(df: DataFrame, keys: Column, cascades: list[Cascade], name: str) -> DataFrame:
     """``df`` with a boolean ``name``: whether any of the row's ``keys`` (array of strings) is listed."""
+    importable_by_workers(df.sparkSession)
     taken = [*df.columns, name]
     a, b = fresh(taken, "key_h1"), fresh(taken, "key_h2")
     out = (df.withColumn(a, F.transform(keys, lambda k: _hashes(k)[0]))
