@@ -21,6 +21,7 @@ import json
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
@@ -34,12 +35,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clickscope.llm.common import pick
+from clickscope.llm.common import importable_by_workers, pick
 
 NO_ID = np.iinfo(np.int64).min
-CACHE_WORDS = 500_000  # per Python worker: some 100 MB
+CACHE_WORDS = 800_000  # per Python worker: some 150 MB
 TEXT_BYTES = 1 << 20  # text that is encoded together
 READ_DOCS = 4096  # documents of a part that are read together
+_MARKS, _LETTERS = b".,!?;:", b"abcdefghijklmnopqrstuvwxyz"
 
 
 class WordEncoder:
@@ -58,18 +60,14 @@ class WordEncoder:
 
     def encode_many(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as bytes of ``dtype``."""
-        split = [text.split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
+        # The tokenizer lower-cases, so A-Z may go first; not where that could make a special token's name.
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
         found = [list(map(self._young.get, ws)) for ws in split]
-        new: dict[bytes, bytes] = {}
+        new: dict[bytes, bytes | None] = {}
         for ws, ids in zip(split, found):
             if None in ids:
-                for i, x in enumerate(ids):
-                    if x is None:
-                        ids[i] = x = self._old.get(ws[i])
-                        new[ws[i]] = x
-        missing = [w for w, x in new.items() if x is None]
-        for w, e in zip(missing, self._tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
-            new[w] = np.array(e.ids, dtype=self._dtype).tobytes()
+                new.update((w, None) for w, x in zip(ws, ids) if x is None)
+        self._look_up(new)
         for ws, ids in zip(split, found):
             if None in ids:
                 for i, x in enumerate(ids):
@@ -80,6 +78,32 @@ class WordEncoder:
         self._young.update(new)
         return [b"".join(ids) for ids in found]
 
+    def _look_up(self, new: dict[bytes, bytes | None]) -> None:
+        """Fill in the ids of all words in ``new``, adding the stems that it meets.
+
+        The tokenizer cuts between a letter and a mark, so a word of a letter
+        and one last mark is its stem's ids and the mark's.
+        """
+        young, old = self._young, self._old
+        joined = []
+        for w in list(new):
+            ids = old.get(w)
+            if ids is not None:
+                new[w] = ids
+            elif len(w) > 1 and w[-1] in _MARKS and w[-2] in _LETTERS:
+                joined.append(w)
+                for part in (w[:-1], w[-1:]):
+                    if part not in new:
+                        new[part] = young.get(part) or old.get(part)
+        parted = set(joined)
+        missing = [w for w, ids in new.items() if ids is None and w not in parted]
+        code = {2: "H", 4: "I"}[self._dtype.itemsize]
+        for w, e in zip(missing, self._tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
+            new[w] = array(code, e.ids).tobytes()
+        for w in sorted(joined, key=len):
+            if new[w] is None:
+                new[w] = new[w[:-1]] + new[w[-1:]]
+
 
 @lru_cache(maxsize=2)
 def _encoder(tokenizer: str, dtype: str) -> WordEncoder:
@@ -105,6 +129,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     as empty: a document of the end id alone. An empty table has no parts.
     Extra columns are ignored.
     """
+    importable_by_workers(docs.sparkSession)
     target = local_folder(folder)
     os.makedirs(target, exist_ok=True)
     top = max(Tokenizer.from_str(tokenizer).get_vocab_size(with_added_tokens=True) - 1, end_id)
@@ -168,6 +193,7 @@ def read_token_files(spark: SparkSession, manifest: str) -> DataFrame:
     the end id; ``ids_crc32`` is over the ids as little-endian unsigned 32-bit
     integers.
     """
+    importable_by_workers(spark)
     schema = "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     with open(manifest) as f:
         index = json.load(f)
