@@ -125,16 +125,23 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("id", F.coalesce("text", F.lit("")).alias("text"))
             .withColumn("text_hash", F.xxhash64("text")))
     keys = rows.select("id", "text_hash", F.length("text").alias("n_chars")).distinct()
-    pairs = durable(next_documents(keys)).toDF("own_id", "own_hash", "own_chars", "next_id", "next_hash")
-    donors = (rows.join(pairs, rows["id"].eqNullSafe(F.col("next_id")) & (rows["text_hash"] == F.col("next_hash")))
-              .select("own_id", "own_hash", F.left("text", F.floor(F.col("own_chars") / 3).cast("int")).alias("beginning"),
+    # (id or zero, id is null, text hash): plain equality, so that joins and the window share one exchange
+    zero = F.lit("0").cast(rows.schema["id"].dataType)
+    keyed = rows.select("*", F.coalesce("id", zero).alias("k_id"), F.col("id").isNull().alias("k_null"))
+    pairs = durable(next_documents(keys)).select(
+        "n_chars", F.coalesce("id", zero).alias("own_id"), F.col("id").isNull().alias("own_null"), F.col("text_hash").alias("own_hash"),
+        F.coalesce("next_id", zero).alias("next_id"), F.col("next_id").isNull().alias("next_null"), "next_hash")
+    donors = (keyed.join(pairs, (F.col("k_id") == F.col("next_id")) & (F.col("k_null") == F.col("next_null"))
+                         & (F.col("text_hash") == F.col("next_hash")))
+              .select("own_id", "own_null", "own_hash", F.left("text", F.floor(F.col("n_chars") / 3).cast("int")).alias("beginning"),
                       fingerprint(tree(F.col("text"))).alias("next_fingerprint")))
-    copy = Window.partitionBy("own_id", "own_hash").orderBy(F.lit(0))  # copies of a donor are equal
+    copy = Window.partitionBy("own_id", "own_null", "own_hash").orderBy(F.lit(0))  # copies of a donor are equal
     donors = donors.withColumn("copy", F.row_number().over(copy)).where("copy = 1").drop("copy")
     n = F.length("text")
     kept = (n - F.floor(n / 3)).cast("int")
     edited = F.concat(F.left("text", kept), F.col("beginning"))
-    return (rows.join(donors, rows["id"].eqNullSafe(F.col("own_id")) & (rows["text_hash"] == F.col("own_hash")))
+    return (keyed.join(donors, (F.col("k_id") == F.col("own_id")) & (F.col("k_null") == F.col("own_null"))
+                       & (F.col("text_hash") == F.col("own_hash")))
             .select("id", F.col("text"), n.cast("bigint").alias("n_chars"), edited.alias("edited"), "next_fingerprint")
             .select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                     fingerprint(tree(F.col("text"))).alias("fingerprint"),
