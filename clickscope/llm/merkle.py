@@ -5,7 +5,7 @@ paragraphs, a paragraph behind sentence marks (and after ``LEAF_CHARS``
 characters without one) into leaves. Every cut can be undone, so equal trees
 mean equal texts. A node's digest is SHA-256 over its children's digests; equal
 roots mean equal texts, and where roots differ the differing sections, then
-paragraphs, locate the edit.
+paragraphs, locate the edit (``edits``).
 
 The fingerprint is a string: the root's digest, a colon, and the first
 ``BRANCH_DIGITS`` hex digits of every leaf digest. Two fingerprints alone tell
@@ -71,7 +71,8 @@ def likeness(a: Column, b: Column) -> Column:
 def differing(a: Column, b: Column) -> Column:
     """Places (section, paragraph, from 0) where tree ``a`` differs from tree ``b``, branch by branch.
 
-    A section whose digests agree is not looked into.
+    A section whose digests agree is not looked into. Only places of ``a``;
+    ``edits`` has those of both trees.
     """
     def paragraphs(s: Column, i: Column) -> Column:
         other = F.get(b, i)
@@ -83,6 +84,11 @@ def differing(a: Column, b: Column) -> Column:
     return F.flatten(F.transform(a, paragraphs))
 
 
+def edits(a: Column, b: Column) -> Column:
+    """Places (section, paragraph, from 0) that differ or that only one of the two trees has, in order."""
+    return F.array_sort(F.array_union(differing(a, b), differing(b, a)))
+
+
 def next_documents(keys: DataFrame) -> DataFrame:
     """(id, text_hash, n_chars, next_id, next_hash) for distinct (id, text_hash, n_chars).
 

@@ -75,6 +75,14 @@ def test_differing_branches_locate_edits(spark, a, b, places):
     assert [tuple(x) for x in df.first()["d"]] == places
 
 
+@pytest.mark.parametrize("a,b,places", [
+    ("x\ny\n\nz", "x\ny\n\nz", []), ("a", "a\n\nb", [(1, 0)]), ("a\n\nb", "a", [(1, 0)]), ("a", "a\nb\nc", [(0, 1), (0, 2)]),
+    ("a\nb", "a", [(0, 1)]), ("a\n\nb", "A\n\nb\n\nc\nd", [(0, 0), (2, 0), (2, 1)]), (None, "q", [(0, 0)])])
+def test_edits_have_the_places_of_both_trees(spark, a, b, places):
+    df = spark.createDataFrame([(a, b)], "a string, b string").select(M.edits(M.tree(F.col("a")), M.tree(F.col("b"))).alias("d"))
+    assert [tuple(x) for x in df.first()["d"]] == places
+
+
 def test_cuts_are_part_of_the_tree(spark):
     texts = ["ab", "a\nb", "a\n\nb", "a\n\n\nb", "", "\n", "a.b", "a. b", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(M.fingerprint(M.tree(F.col("t"))).alias("f"))
