@@ -54,14 +54,17 @@ def area_top3_products(tables: ModelTables, k: int = 3, top_n_cities: int | None
     area in each map task before the window shuffle. Products unknown to the
     product dimension are dropped after ranking (their rank is not reused).
     Ranking needs the counts only; city lists are gathered and remarks
-    rendered for the winners alone (k rows per area).
+    rendered for the winners alone (k rows per area). A null area is an area
+    of its own.
     """
     per_city = area_product_city_clicks(tables)
     totals = per_city.groupBy("click_product_id", "area").agg(F.sum("n").alias("clicks"))
     w = Window.partitionBy("area").orderBy(F.desc("clicks"), F.asc("click_product_id"))
     winners = (totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(k))
                .select("click_product_id", "area", "rank"))
-    remarks = _with_remarks(per_city.join(winners, ["click_product_id", "area"], "left_semi"), top_n_cities)
+    won = winners.select(F.col("click_product_id").alias("won_product"), F.col("area").alias("won_area"), "rank")
+    of_winner = (F.col("click_product_id") == F.col("won_product")) & F.col("area").eqNullSafe(F.col("won_area"))
+    remarks = _with_remarks(per_city.join(won, of_winner, "left_semi"), top_n_cities)
     products = tables.products.select(F.col("product_id").alias("click_product_id"), "product_name")
-    return (winners.join(remarks, ["click_product_id", "area"]).join(products, "click_product_id", "inner")
+    return (remarks.join(won, of_winner).join(products, "click_product_id", "inner")
             .select("area", "product_name", "count", "rank", "city_remark"))

@@ -23,3 +23,10 @@ def test_top3_with_city_remark_and_rank_gap(spark):
     remarks = {(r["click_product_id"], r["area"]): r["city_remark"]
                for r in areas.area_product_clicks(t, top_n_cities=1).collect()}
     assert remarks[(1, "华北")] == "北京=60.00%,other=40.00%"
+
+
+def test_top3_keeps_a_city_without_an_area(spark):
+    clicks = [action("s", "2018-11-26 10:00:00", click_category=1, click_product=1, city_id=c) for c in (1, 8, 8)]
+    cities = [(1, "北京", "华北"), (8, "x", None)]
+    got = {tuple(r) for r in areas.area_top3_products(tables(spark, clicks, cities=cities)).collect()}
+    assert got == {("华北", "product_1", 1, 1, "北京=100.00%"), (None, "product_1", 2, 1, "x=100.00%")}
