@@ -10,9 +10,11 @@ Selection. A target of e + f times the source's size takes every document e
 times (complete epochs) and then documents worth f times the size: each
 document draws the exponential key -ln(u) / quality with u a seeded hash of
 its id and text, keys are sorted within the source and sizes are prefix-summed
-in that order. A document is in while the sum with it stays inside the budget;
-then one closing document, the one whose size is nearest to what is left, is
-added where this brings the source nearer to its target.
+in that order. A document is in while the sum with it stays inside the budget.
+The documents outside whose size fits what is left are prefix-summed again in
+the same order, until none fits or what is left is within ``NEAR`` of the
+target; then one closing document, the one whose size is nearest to what is
+left, is added where this brings the source nearer to its target.
 
 The prefix sum is a tree: the key range of a source is cut into cells of about
 ``cell_rows`` rows each, cell totals are summed first, and only the rows of one
@@ -35,6 +37,7 @@ MAX_EPOCHS = 3
 QUALITY_LEVELS = 10
 CELL_ROWS = 128
 CELLS_A_GROUP = 1024
+NEAR = 0.001  # share of the target that a source may miss before its budget is filled further
 
 
 def word_count(text: Column) -> Column:
@@ -97,6 +100,50 @@ def targets(sources: DataFrame, max_epochs: float = MAX_EPOCHS) -> DataFrame:
             .drop("cap", "whole", "level", "open", "place", "common"))
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    """Add ``through``: the sum of sizes up to and with the row in key order of its source."""
+    strictly_before = (Window.unboundedPreceding, -1)
+    in_source = Window.partitionBy("source").orderBy("cell_group").rowsBetween(*strictly_before)
+    in_group = Window.partitionBy("source", "cell_group").orderBy("cell").rowsBetween(*strictly_before)
+    in_cell = (Window.partitionBy("source", "cell").orderBy("es_key", "id", "text_hash", "copy_no")
+               .rowsBetween(*strictly_before))
+    zero = F.lit(0)
+    cell_sums = rows.groupBy("source", "cell_group", "cell").agg(F.sum("size").alias("cell_size"))
+    group_sums = cell_sums.groupBy("source", "cell_group").agg(F.sum("cell_size").alias("group_size"))
+    group_base = group_sums.select(F.col("source").alias("s2"), F.col("cell_group").alias("g2"),
+                                   F.coalesce(F.sum("group_size").over(in_source), zero).alias("group_base"))
+    cell_base = (cell_sums.withColumn("base", F.coalesce(F.sum("cell_size").over(in_group), zero))
+                 .join(group_base, F.col("source").eqNullSafe(F.col("s2")) & (F.col("cell_group") == F.col("g2")))
+                 .select(F.col("source").alias("s1"), F.col("cell").alias("c1"),
+                         (F.col("base") + F.col("group_base")).alias("cell_base")))
+    through = F.col("cell_base") + F.coalesce(F.sum("size").over(in_cell), zero) + F.col("size")
+    return (rows.join(cell_base, F.col("source").eqNullSafe(F.col("s1")) & (F.col("cell") == F.col("c1")))
+            .withColumn("through", through).drop("s1", "c1", "cell_base"))
+
+
+def _filled(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``placed`` with more rows inside, and (s3, gap): what is left of each source's budget.
+
+    Each round takes at least the first fitting row of every source that is
+    not near its target, and never again meets the row it stopped at.
+    """
+    while True:
+        left = durable(placed.groupBy(F.col("source").alias("s3"))
+                       .agg((F.first("budget") - F.coalesce(F.sum(F.when(F.col("inside"), F.col("size"))), F.lit(0))).alias("gap"),
+                            F.first("target").alias("aim")))
+        wide = left.where(F.col("gap") > F.col("aim") * F.lit(NEAR)).drop("aim")
+        fitting = (placed.where("not inside and size > 0").join(wide, F.col("source").eqNullSafe(F.col("s3")))
+                   .where(F.col("size") <= F.col("gap")).drop("s3"))
+        if fitting.isEmpty():
+            return placed, left.drop("aim")
+        more = _summed(fitting).where(F.col("through") <= F.col("gap")).select(
+            F.col("id").alias("i5"), F.col("text_hash").alias("h5"), F.col("source").alias("s5"), F.col("copy_no").alias("n5"))
+        placed = durable(placed.join(more, F.col("id").eqNullSafe(F.col("i5")) & (F.col("text_hash") == F.col("h5"))
+                                     & F.col("source").eqNullSafe(F.col("s5")) & (F.col("copy_no") == F.col("n5")), "left")
+                         .withColumn("inside", F.col("inside") | F.col("n5").isNotNull())
+                         .drop("i5", "h5", "s5", "n5"))
+
+
 def sample(docs: DataFrame, size: Column | None = None, quality: Column | None = None,
            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
            seed: int = SEED, max_epochs: int = MAX_EPOCHS, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -130,32 +177,15 @@ def sample(docs: DataFrame, size: Column | None = None, quality: Column | None =
              .withColumn("cells", F.ceil(F.col("source_rows") / F.lit(cell_rows)))
              .withColumn("cell", F.least(F.col("cells") - 1, F.floor(F.col("share") * F.col("cells"))))
              .withColumn("cell_group", F.floor(F.col("cell") / F.lit(CELLS_A_GROUP))))
-    cell_sums = keyed.groupBy("source", "cell_group", "cell").agg(F.sum("size").alias("cell_size"))
-    group_sums = cell_sums.groupBy("source", "cell_group").agg(F.sum("cell_size").alias("group_size"))
-    strictly_before = (Window.unboundedPreceding, -1)
-    in_source = Window.partitionBy("source").orderBy("cell_group").rowsBetween(*strictly_before)
-    in_group = Window.partitionBy("source", "cell_group").orderBy("cell").rowsBetween(*strictly_before)
-    in_cell = (Window.partitionBy("source", "cell").orderBy("es_key", "id", "text_hash", "copy_no")
-               .rowsBetween(*strictly_before))
-    zero = F.lit(0)
-    group_base = group_sums.select(F.col("source").alias("s2"), F.col("cell_group").alias("g2"),
-                                   F.coalesce(F.sum("group_size").over(in_source), zero).alias("group_base"))
-    cell_base = (cell_sums.withColumn("base", F.coalesce(F.sum("cell_size").over(in_group), zero))
-                 .join(group_base, F.col("source").eqNullSafe(F.col("s2")) & (F.col("cell_group") == F.col("g2")))
-                 .select(F.col("source").alias("s1"), F.col("cell").alias("c1"),
-                         (F.col("base") + F.col("group_base")).alias("cell_base")))
     epochs = F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0))
     budget = F.col("target") - F.col("epochs") * F.col("source_size")
-    through = F.col("cell_base") + F.coalesce(F.sum("size").over(in_cell), zero) + F.col("size")
-    placed = durable(keyed.join(cell_base, F.col("source").eqNullSafe(F.col("s1")) & (F.col("cell") == F.col("c1")))
+    placed = durable(_summed(keyed)
                      .withColumn("epochs", epochs)
                      .withColumn("budget", budget)
-                     .withColumn("through", through)
                      .withColumn("inside", (F.col("size") > 0) & (F.col("through") <= F.col("budget")))
                      .select("id", "text_hash", "source", "size", "source_size", "target", "copy_no", "epochs",
-                             "es_key", "budget", "through", "inside"))
-    left = (placed.groupBy(F.col("source").alias("s3"))
-            .agg((F.first("budget") - F.coalesce(F.max(F.when(F.col("inside"), F.col("through"))), zero)).alias("gap")))
+                             "es_key", "cell", "cell_group", "budget", "inside"))
+    placed, left = _filled(placed)
     identity = F.struct("id", "text_hash", "copy_no")
     nearest = F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "es_key", identity.alias("row"))
     closing = (placed.where("not inside and size > 0").join(left, F.col("source").eqNullSafe(F.col("s3")))

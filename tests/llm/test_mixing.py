@@ -89,3 +89,13 @@ def test_edge_rows_and_the_mixed_corpus(spark):
     assert M.sample(empty_docs(spark)).collect() == [] and M.mix(empty_docs(spark)).collect() == []
     nothing = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id bigint, text string, source string")
     assert {(r.target, r.copies) for r in M.sample(nothing).collect()} == {(0.0, 0)}
+
+
+def test_a_very_long_document_does_not_shut_out_small_ones(spark):
+    sizes = {"a": [60_000] + [100] * 999, "b": [100] * 320, "c": [100] * 481}  # a has weight 1 of 6: target 40,000
+    rows = [(1000 * k + i, n, s) for k, s in enumerate(sizes) for i, n in enumerate(sizes[s])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, n bigint, source string").withColumn("text", F.lit("w"))
+    for seed in (0, 4):
+        own = M.sample(docs, size=F.col("n"), quality=F.lit(1.0), seed=seed).where("source = 'a'").collect()
+        assert own[0].target == 40_000
+        assert abs(sum(r.copies * r.size for r in own) - 40_000) <= 40, seed
