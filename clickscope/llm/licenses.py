@@ -17,6 +17,11 @@ by the templates' rarest words:
 What remains is verified by counting the shared words. Templates are a
 documented, small parameter; index and word list are bounded by it.
 
+A notice may wrap, so every run of words of a paragraph (text between blank
+lines), up to 1 / ``threshold`` times as long as the template, is a block too.
+Such a window holds a prefix word if it meets the template, so only the
+surroundings of prefix words are looked at.
+
 Everything is DataFrame functions. Texts are read twice (frequencies, then
 matching) and never shuffled; blocks leave their row only when a cheap test
 on the prefix words lets them.
@@ -71,6 +76,12 @@ def template_table(spark, templates=TEMPLATES) -> DataFrame:
     return raw.select("template", "label", F.array_distinct(words(F.col("text"))).alias("words")).where(F.size("words") > 0)
 
 
+def template_spans(spark, templates=TEMPLATES) -> DataFrame:
+    """(template, span): how many words each template has, repeated ones too."""
+    raw = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "template int, text string")
+    return raw.select("template", F.size(words(F.col("text"))).alias("span")).where(F.col("span") > 0)
+
+
 def word_frequencies(docs: DataFrame, listed: list[str], text_col: str = "text") -> DataFrame:
     """(word, docs): in how many rows of ``docs`` each listed word stands; absent words are missing."""
     own = docs.select(words(F.col(f"`{text_col}`")).alias("w"))
@@ -113,6 +124,59 @@ def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
             .select("block", "template", "label", "size", (F.col("shared") / F.col("size")).alias("containment")))
 
 
+def matching_windows(paragraphs: DataFrame, index: DataFrame, spans: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Windows of paragraphs that meet a template, the closest around each prefix word.
+
+    ``paragraphs`` has (block, words) with all words in order, ``spans``
+    (template, span) with each template's number of words. Returns (block,
+    template, label, size, containment, begin, end, covered): the window's first
+    and last word that the template has, and the distinct words they share.
+    """
+    longest = spans.select(F.max(F.ceil(F.col("span") / F.lit(threshold)))).first()[0]
+    if longest is None:
+        longest = 1
+    known = sorted(r["word"] for r in index.select("word").distinct().collect())  # bounded by the templates
+    spots = F.filter(F.transform("words", lambda x, i: F.when(x.isin(known), F.struct(i.alias("at"), x.alias("word")))),
+                     lambda x: x.isNotNull())
+    # surroundings of a spot: `low` is the paragraph's place of the first word of `near`
+    low = F.greatest(F.lit(0), F.col("spot.at") - F.lit(longest - 1)).cast("int")
+    around = (paragraphs.select("block", "words", F.explode(spots).alias("spot"))
+              .select("block", "spot.at", "spot.word", low.alias("low"),
+                      F.slice("words", low + 1, F.col("spot.at") - low + F.lit(longest).cast("int")).alias("near")))
+    small = index.join(spans, "template").select("word", "template", "label", "size", "needed", F.col("words").alias("own"),
+                                                 F.ceil(F.col("span") / F.lit(threshold)).cast("int").alias("width"))
+    pairs = around.join(F.broadcast(small) if index.count() <= MAX_TEMPLATE_WORDS else small, "word")
+    pairs = pairs.where(F.size(F.array_intersect("own", "near")) >= F.col("needed"))
+    held = F.col("at") - F.col("low")  # the spot's place in `near`
+    starts = F.sequence(F.greatest(F.lit(0), held - F.col("width") + 1), held)
+    windows = F.transform(starts, lambda s: F.struct(
+        F.size(F.array_intersect(F.col("own"), F.slice("near", s + 1, F.col("width")))).alias("shared"), s.alias("start")))
+    best = pairs.withColumn("window", F.array_max(windows)).where(F.col("window.shared") >= F.col("needed"))
+    inside = F.slice("near", F.col("window.start") + 1, F.col("width"))
+    hits = F.filter(F.transform(inside, lambda x, i: F.when(F.array_contains("own", x), i)), lambda i: i.isNotNull())
+    first = F.col("low") + F.col("window.start")
+    return best.withColumn("hits", hits).select(
+        "block", "template", "label", "size", (F.col("window.shared") / F.col("size")).alias("containment"),
+        (first + F.array_min("hits")).alias("begin"), (first + F.array_max("hits")).alias("end"),
+        F.array_intersect("own", inside).alias("covered")).distinct()
+
+
+def uncovered(matched: DataFrame) -> DataFrame:
+    """(block, label, containment) of the matches that no better one of their block covers.
+
+    A match covers another that overlaps it and shares no word beyond its own;
+    better is the one the block holds most of, then the larger, then the first
+    template.
+    """
+    rank = F.struct("containment", "size", (-F.col("template")).alias("first"))
+    match = F.struct(rank.alias("rank"), "label", "covered", "begin", "end")
+    met = matched.groupBy("block").agg(F.collect_set(match).alias("met"))
+    kept = F.filter("met", lambda m: ~F.exists("met", lambda o: (
+        (o["rank"] > m["rank"]) & (o["begin"] <= m["end"]) & (m["begin"] <= o["end"])
+        & (F.size(F.array_except(m["covered"], o["covered"])) == 0))))
+    return met.select("block", F.explode(kept).alias("m")).select("block", "m.label", F.col("m.rank.containment").alias("containment"))
+
+
 def _places(w: Column, phrase: str) -> Column:
     """Where the phrase's words stand consecutively, as starts from 0, ascending."""
     first, *rest = phrase.split(" ")
@@ -133,8 +197,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
 
     ``labels`` adds to the phrases' labels, for every line that meets
     templates, the label of the one it holds most of (the largest, then the
-    first, where several tie). ``score`` is the best containment of a template
-    that a line meets (0 to 1; 0 without any). A null text has no words. Rows that repeat an id and text
+    first, where several tie), and the labels of all windows of words within a
+    paragraph that meet a template, but for those that a better match covers.
+    ``score`` is the best containment of a template that a line or window meets
+    (0 to 1; 0 without any). A null text has no words. Rows that repeat an id and text
     get equal results; a null id stays null; an empty table gives an empty
     result. Extra columns are ignored.
     """
@@ -158,6 +224,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
     closest = matched.groupBy("block").agg(
         F.max("containment").alias("best"),
         F.max_by("label", F.struct("containment", "size", -F.col("template"))).alias("label"))
+    spans = template_spans(spark, templates)
+    paragraphs = (keyed.where(held).select("id", "text_hash", F.explode(F.split("text", r"\n[ \t\r]*\n")).alias("paragraph")).distinct()
+                  .select(F.struct("id", "text_hash", F.xxhash64("paragraph").alias("line_hash")).alias("block"),
+                          words(F.col("paragraph")).alias("words")))
+    windows = uncovered(matching_windows(paragraphs, index, spans, threshold))
+    closest = closest.select("block", "label", "best").unionByName(windows.withColumnRenamed("containment", "best"))
     found = (closest.groupBy(F.col("block.id").alias("found_id"), F.col("block.text_hash").alias("found_hash"))
              .agg(F.collect_set("label").alias("found_labels"), F.max("best").alias("best")))
 

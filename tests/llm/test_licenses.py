@@ -77,3 +77,20 @@ def test_words_are_ordered_by_document_frequency(spark):
     index = L.prefix_index(L.template_table(spark, [("x", "a b zz")]), freq, 0.5)
     assert [(r.word, r.place) for r in index.orderBy("place").collect()] == [("zz", 0), ("b", 1)]
     assert index.where(F.col("needed") != 2).count() == 0
+
+
+def labels_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r.labels for r in L.scan(docs).orderBy("id").collect()]
+
+
+def test_wrapped_notices(spark):
+    wrapped = [("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
+               ("x\n\n * licensed under the GNU\n * Lesser General Public License\n\ny", "gpl,lgpl"),  # a phrase names gpl
+               ("Licensed under\r\nCC BY-NC 4.0.", "cc-by-nc"),
+               ("Permission is hereby\ngranted, free of charge,\nto any person obtaining\na copy of this software", "mit"),
+               ("Licensed under\n\n" + "CC BY-NC 4.0.", ""),  # a blank line ends a paragraph
+               ("licensed " + "a " * 20 + "under\ncc by nc 4 0", "cc-by-nc")]  # six of seven words
+    assert labels_of(spark, [t for t, _ in wrapped]) == [x for _, x in wrapped]
+    docs = spark.createDataFrame([(1, wrapped[0][0])], "doc_id bigint, text string")
+    assert L.scan(docs).first().score == 1.0
