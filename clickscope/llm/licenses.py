@@ -111,7 +111,8 @@ def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
     """All pairs of a block and a template that meet the threshold, once each.
 
     ``blocks`` has (block, words) with distinct words and any ``block`` key;
-    returns (block, template, label, size, containment).
+    returns (block, template, label, size, containment, covered), the last the
+    words they share.
     """
     small = F.broadcast(index) if index.count() <= MAX_TEMPLATE_WORDS else index
     tokens = blocks.select("block", F.col("words").alias("block_words"), F.explode("words").alias("word"))
@@ -119,9 +120,9 @@ def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
     # positional: a pair is followed from its first shared place only, and the places left must suffice
     earlier = F.array_intersect(F.slice("words", F.lit(1), F.col("place")), F.col("block_words"))
     pairs = pairs.where((F.size(earlier) == 0) & (F.col("size") - F.col("place") >= F.col("needed")))
-    shared = F.size(F.array_intersect("words", "block_words"))
-    return (pairs.withColumn("shared", shared).where(F.col("shared") >= F.col("needed"))
-            .select("block", "template", "label", "size", (F.col("shared") / F.col("size")).alias("containment")))
+    shared = F.size("covered")
+    return (pairs.withColumn("covered", F.array_intersect("words", "block_words")).where(shared >= F.col("needed"))
+            .select("block", "template", "label", "size", (shared / F.col("size")).alias("containment"), "covered"))
 
 
 def matching_windows(paragraphs: DataFrame, index: DataFrame, spans: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -195,10 +196,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row of ``docs``.
 
-    ``labels`` adds to the phrases' labels, for every line that meets
-    templates, the label of the one it holds most of (the largest, then the
-    first, where several tie), and the labels of all windows of words within a
-    paragraph that meet a template, but for those that a better match covers.
+    ``labels`` adds to the phrases' labels those of all templates that a line,
+    or a window of words within a paragraph, meets, but for matches that a
+    better one of the same line or window place covers (``uncovered``).
     ``score`` is the best containment of a template that a line or window meets
     (0 to 1; 0 without any). A null text has no words. Rows that repeat an id and text
     get equal results; a null id stays null; an empty table gives an empty
@@ -221,17 +221,14 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
               .select(F.struct("id", "text_hash", F.xxhash64("line").alias("line_hash")).alias("block"),
                       F.array_distinct(words(F.col("line"))).alias("words")))
     matched = matching_blocks(blocks, index)
-    closest = matched.groupBy("block").agg(
-        F.max("containment").alias("best"),
-        F.max_by("label", F.struct("containment", "size", -F.col("template"))).alias("label"))
+    lines = uncovered(matched.select("*", F.lit(0).alias("begin"), F.lit(0).alias("end")))  # a line is one place
     spans = template_spans(spark, templates)
     paragraphs = (keyed.where(held).select("id", "text_hash", F.explode(F.split("text", r"\n[ \t\r]*\n")).alias("paragraph")).distinct()
                   .select(F.struct("id", "text_hash", F.xxhash64("paragraph").alias("line_hash")).alias("block"),
                           words(F.col("paragraph")).alias("words")))
     windows = uncovered(matching_windows(paragraphs, index, spans, threshold))
-    closest = closest.select("block", "label", "best").unionByName(windows.withColumnRenamed("containment", "best"))
-    found = (closest.groupBy(F.col("block.id").alias("found_id"), F.col("block.text_hash").alias("found_hash"))
-             .agg(F.collect_set("label").alias("found_labels"), F.max("best").alias("best")))
+    found = (lines.unionByName(windows).groupBy(F.col("block.id").alias("found_id"), F.col("block.text_hash").alias("found_hash"))
+             .agg(F.collect_set("label").alias("found_labels"), F.max("containment").alias("best")))
 
     base = keyed.select("id", "text_hash", words(F.col("text")).alias("w"))
     base = base.withColumn("n_words", F.size("w").cast("bigint"))

@@ -94,3 +94,10 @@ def test_wrapped_notices(spark):
     assert labels_of(spark, [t for t, _ in wrapped]) == [x for _, x in wrapped]
     docs = spark.createDataFrame([(1, wrapped[0][0])], "doc_id bigint, text string")
     assert L.scan(docs).first().score == 1.0
+
+
+def test_several_notices_in_one_line(spark):
+    two = "Licensed under CC BY-NC 4.0. Redistribution and use in source and binary forms, with or without modification, are permitted"
+    texts = [two, "Licensed under CC BY 4.0. " + "word " * 9 + "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-NC 4.0.",
+             "Licensed under CC BY-NC 4.0. Licensed under CC BY-SA 4.0.", " - ".join(w + " x x x" for w in two.split())]
+    assert labels_of(spark, texts) == ["bsd,cc-by-nc", "cc-by,cc-by-nc", "cc-by-nc", "cc-by-nc,cc-by-sa", "bsd,cc-by-nc"]
