@@ -2,18 +2,19 @@
 
 The encoder processes a text's agenda of candidate merges best score first,
 like the model's own encoder, but skips each candidate with probability
-``dropout``, decided by a keyed hash of (seed, variant, unit, place, length)
+``dropout``, decided by a keyed hash of (seed, id, copy, unit's place, place, length)
 instead of a random generator. The same seed gives the same ids on any
 cluster and after any task retry; with ``dropout`` 0 the ids are the model's.
 
 No piece crosses the start of a run of spaces or a line break, nor a letter and
 the punctuation mark after it, so the agenda of a text falls apart into one
-agenda per unit (a word with the spaces before it). Occurrence i of a unit in a document uses variant
-(hash(seed, id) + i) mod ``variants``; a unit's segmentation under a variant
-is worked out once per Python worker and kept in a bounded cache. The bound
-only costs repeated work, never another result. Units that are not in the
-cache are processed many at a time: their agendas are rows of one matrix, and
-each step takes the best candidate of every row.
+agenda per unit (a word with the spaces before it). Every occurrence draws its
+own: its number comes from the document's id, the copy and the unit's place.
+Only what no draw changes is kept in a bounded cache: a unit's merges without
+dropout. The draws of those merges are made for many occurrences at once; an
+occurrence that skips none has the ids without dropout, the others' agendas
+are rows of one matrix, and each step takes the best candidate of every row.
+The bound only costs repeated work, never another result.
 
 Decoding joins the pieces' bytes. A literal U+2581, which the model would
 read as a space, is written as its three byte pieces, so that every text
@@ -39,8 +40,7 @@ from clickscope.llm.common import importable_by_workers, pick
 SPACE = "▁"
 SEED = 20240111
 DROPOUT = 0.1
-VARIANTS = 4
-CACHE_UNITS = 800_000  # per Python worker, all variants together: some 150 MB
+CACHE_UNITS = 800_000  # per Python worker
 MATRIX_CELLS = 1 << 18
 TEXT_CHARS = 1 << 20  # characters of a batch that are encoded together
 NEVER = np.iinfo(np.int32).max
@@ -51,10 +51,9 @@ _MASK = (1 << 64) - 1
 class MergeDropout:
     """Encoder and decoder of one BPE model with byte fallback and no text normalisation."""
 
-    def __init__(self, model: bytes, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
-                 cache_units: int = CACHE_UNITS):
-        if not 0 <= dropout < 1 or variants < 1:
-            raise ValueError("dropout must be in [0, 1) and variants positive")
+    def __init__(self, model: bytes, dropout: float = DROPOUT, seed: int = SEED, cache_units: int = CACHE_UNITS):
+        if not 0 <= dropout < 1:
+            raise ValueError("dropout must be in [0, 1)")
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         # plain pieces take part in merges; equal scores are settled by place alone
         plain = [i for i in range(sp.vocab_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
@@ -97,42 +96,42 @@ class MergeDropout:
         joined = any(re.search(f"[^\\W\\d_][{_MARKS}]", piece) for piece in names)
         self._unit = re.compile((rf" *[^\W\d_]+(?=[{_MARKS}])|" if not joined else "") + r"\n| *[^ \n]+| +")
         self._limit = int(dropout * 2 ** 64)
-        self.seed, self.variants = seed, variants
-        self._room = max(1, cache_units // (2 * variants))
-        self._young: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self._old: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.seed = seed
+        self._room = max(1, cache_units // 2)
+        self._young: dict[str, tuple[bytes, bytes]] = {}  # unit: its candidates and its ids without dropout
+        self._old: dict[str, tuple[bytes, bytes]] = {}
 
-    def encode(self, text: str | None, key: str = "") -> np.ndarray:
-        """Ids of one text; ``key`` (the document's id) picks the variants. Null and empty texts have none."""
-        return self.encode_many([text], [key])[0]
+    def encode(self, text: str | None, key: str = "", copy: int = 0) -> np.ndarray:
+        """Ids of one text; ``key`` (the document's id) and ``copy`` pick the draws. Null and empty texts have none."""
+        return self.encode_many([text], [key], [copy])[0]
 
-    def encode_many(self, texts: list[str | None], keys: list[str]) -> list[np.ndarray]:
+    def encode_many(self, texts: list[str | None], keys: list[str], copies: list[int] | None = None) -> list[np.ndarray]:
         """Ids of several texts at once."""
-        found, missing = [], [{} for _ in range(self.variants)]
-        for text, key in zip(texts, keys):
-            at = xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"), self.seed & _MASK) % self.variants
-            units = self._unit.findall(" " + text) if text else []
-            out: list[bytes | None] = [None] * len(units)
-            for first in range(min(self.variants, len(units))):
-                every = slice(first, None, self.variants)
-                out[every] = map(self._young[(at + first) % self.variants].get, units[every])
-            if None in out:
-                for i, ids in enumerate(out):
-                    if ids is None:
-                        variant = (at + i) % self.variants
-                        out[i] = ids = self._old[variant].get(units[i])
-                        if ids is None:
-                            missing[variant][units[i]] = b""
-            found.append((at, units, out))
-        new = self._fill(missing)
-        result = []
-        for at, units, out in found:
-            if None in out:
-                for i, ids in enumerate(out):
-                    if ids is None:
-                        out[i] = new[(at + i) % self.variants][units[i]]
-            result.append(np.frombuffer(b"".join(out), dtype="<i4"))
-        return result
+        units: list[str] = []
+        ends, starts = [], []
+        for text, key, copy in zip(texts, keys, copies or [0] * len(texts)):
+            units += self._unit.findall(" " + text) if text else []
+            ends.append(len(units))
+            named = f"{copy}:{key}".encode("utf-8", "surrogatepass")
+            starts.append(xxhash.xxh64_intdigest(named, self.seed & _MASK))
+        counts = np.diff([0, *ends])
+        place = np.arange(len(units)) - np.repeat(np.array(ends) - counts, counts)
+        base = self._mixed(np.repeat(np.array(starts, dtype=np.uint64), counts)
+                           + (place + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+        plain = self._plain(units)
+        out = [ids for _, ids in plain]
+        if self._limit and units:
+            chains = [chain for chain, _ in plain]
+            sizes = np.fromiter(map(len, chains), np.int64, len(chains)) // 8
+            owner = np.repeat(np.arange(len(units)), sizes)
+            drawn = self._mixed(base[owner] + np.frombuffer(b"".join(chains), dtype="<u8") * np.uint64(0x9E3779B97F4A7C15))
+            hit = np.unique(owner[drawn < np.uint64(self._limit)])
+            hit = sorted(hit.tolist(), key=lambda i: len(units[i]))
+            for low, high in self._like_lengths([units[i] for i in hit]):
+                at = hit[low:high]
+                for i, ids in zip(at, self._merged([units[i] for i in at], base[at], self._limit)[0]):
+                    out[i] = ids
+        return [np.frombuffer(b"".join(out[low:high]), dtype="<i4") for low, high in zip([0, *ends], ends)]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``: the pieces' bytes, without the space that encoding puts in front."""
@@ -143,26 +142,36 @@ class MergeDropout:
         places = np.repeat(self._start[ids] - ends + lengths, lengths) + np.arange(ends[-1])
         return self._blob[places].tobytes()[1:].decode("utf-8", "surrogatepass")
 
-    def _fill(self, missing: list[dict[str, bytes]]) -> list[dict[str, bytes]]:
-        """Work out all missing units and keep them in the young half of the cache."""
-        work = [(unit, variant) for variant, units in enumerate(missing) for unit in units]
-        work.sort(key=lambda w: len(w[0]))
+    @staticmethod
+    def _like_lengths(units: list[str]) -> Iterator[tuple[int, int]]:
+        """Ranges of units (sorted by length) of like lengths, each for one bounded matrix."""
         low = 0
-        while low < len(work):
-            # rows of one matrix have like lengths and the matrix is bounded
-            width = len(work[low][0])
+        while low < len(units):
+            width = len(units[low])
             high = low + 1
-            while high < len(work) and len(work[high][0]) <= width + 3 and (high - low) * width < MATRIX_CELLS:
+            while high < len(units) and len(units[high]) <= width + 3 and (high - low) * width < MATRIX_CELLS:
                 high += 1
-            for (unit, variant), ids in zip(work[low:high], self._merge_rows(work[low:high])):
-                missing[variant][unit] = ids
+            yield low, high
             low = high
-        for variant, units in enumerate(missing):
-            young = self._young[variant]
-            if len(young) + len(units) > self._room:
-                self._old[variant], self._young[variant] = young, {}
-            self._young[variant].update(units)
-        return missing
+
+    def _plain(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+        """Candidates and ids without dropout of all ``units``; new ones go to the young half of the cache."""
+        found = list(map(self._young.get, units))
+        if None not in found:
+            return found
+        new = {}
+        for i, known in enumerate(found):
+            if known is None:
+                new[units[i]] = self._old.get(units[i])
+        work = sorted((unit for unit, known in new.items() if known is None), key=len)
+        for low, high in self._like_lengths(work):
+            part = work[low:high]
+            ids, chains = self._merged(part, np.zeros(len(part), dtype=np.uint64), 0)
+            new.update(zip(part, zip(chains, ids)))
+        if len(self._young) + len(new) > self._room:
+            self._old, self._young = self._young, {}
+        self._young.update(new)
+        return [new[unit] if known is None else known for unit, known in zip(units, found)]
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of merging symbol pairs (``NEVER`` where there is no such piece) and the piece made."""
@@ -171,17 +180,23 @@ class MergeDropout:
         return np.where(self._pair_keys[at] == keys, self._pair_ranks[at], NEVER), self._pair_ids[at]
 
     def _merge_rows(self, work: list[tuple[str, int]]) -> list[bytes]:
-        """Run the agendas of several (unit, variant) rows side by side.
+        """Ids of units under numbered draws."""
+        base = np.array([xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), (self.seed * 1_000_003 + v) & _MASK)
+                         for unit, v in work], dtype=np.uint64)
+        return self._merged([unit for unit, _ in work], base, self._limit)[0]
+
+    def _merged(self, units: list[str], base: np.ndarray, limit: int) -> tuple[list[bytes], list[bytes]]:
+        """Run the agendas of several units side by side: the ids and, without a limit, the candidates in order.
 
         A symbol stays where its first character is: per place, ``sym`` is the
         symbol (-1: none starts here), ``after`` and ``before`` its
         neighbours, ``rank`` and ``made`` the candidate with the next symbol.
         Each step takes the best candidate of every row that has one.
         """
-        count = len(work)
-        lengths = np.array([len(unit) for unit, _ in work])
+        count = len(units)
+        lengths = np.array([len(unit) for unit in units])
         width = int(lengths.max()) + 1  # one place more, where no symbol starts
-        chars = np.frombuffer("".join([unit for unit, _ in work]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype="<u4")
         inside = np.arange(width) < lengths[:, None]
         grid = np.full((count, width), -1, dtype=np.int64)
         grid[inside] = self._of_char[chars]
@@ -192,10 +207,9 @@ class MergeDropout:
         pairs = np.flatnonzero(sym[1:] >= 0)
         pairs = pairs[sym[pairs] >= 0]
         rank[pairs], made[pairs] = self._ranks(sym[pairs], sym[pairs + 1])
-        base = np.array([xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), (self.seed * 1_000_003 + v) & _MASK)
-                         for unit, v in work], dtype=np.uint64)
         ranks = rank.reshape(count, width)
         active = np.arange(count)
+        taken: list[tuple[np.ndarray, np.ndarray]] = []
         while len(active):
             best = ranks[active].argmin(axis=1)
             row = active * width
@@ -204,8 +218,10 @@ class MergeDropout:
             active, best, row, here = active[live], best[live], row[live], here[live]
             right = after[here]
             end = after[row + right]
-            if self._limit:
-                skip = self._drawn(base[active], best, end - best) < np.uint64(self._limit)
+            if not limit:
+                taken.append((active, best * 0x10001 + end - best))
+            else:
+                skip = self._drawn(base[active], best, end - best) < np.uint64(limit)
                 rank[here[skip]] = NEVER
                 take = ~skip
                 best, row, here, right, end = best[take], row[take], here[take], right[take], end[take]
@@ -222,8 +238,14 @@ class MergeDropout:
         flat, ends = sym[sym >= 0], np.cumsum(starts.sum(axis=1)).tolist()
         packed = flat.astype("<i4").tobytes()
         plain = (grid < self._size).all(axis=1).tolist()
-        return [packed[4 * low:4 * high] if ok else self._with_bytes(flat[low:high])
-                for low, high, ok in zip([0, *ends], ends, plain)]
+        ids = [packed[4 * low:4 * high] if ok else self._with_bytes(flat[low:high])
+               for low, high, ok in zip([0, *ends], ends, plain)]
+        if not taken:
+            return ids, [b""] * count
+        rows, candidates = (np.concatenate(x) for x in zip(*taken))
+        chain = candidates[np.argsort(rows, kind="stable")].astype("<u8").tobytes()
+        stops = (8 * np.cumsum(np.bincount(rows, minlength=count))).tolist()
+        return ids, [chain[low:high] for low, high in zip([0, *stops], stops)]
 
     def _with_bytes(self, symbols: np.ndarray) -> bytes:
         """Ids of a row in which some characters have no piece: those become byte pieces."""
@@ -238,16 +260,19 @@ class MergeDropout:
     @staticmethod
     def _drawn(base: np.ndarray, left: np.ndarray, size: np.ndarray) -> np.ndarray:
         """64 mixed bits for each row's candidate that makes ``size`` characters at ``left``."""
-        x = base + (left * 0x10001 + size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return MergeDropout._mixed(base + (left * 0x10001 + size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+    @staticmethod
+    def _mixed(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
 
 
 @lru_cache(maxsize=2)
-def _codec(model: bytes, dropout: float, seed: int, variants: int) -> MergeDropout:
+def _codec(model: bytes, dropout: float, seed: int) -> MergeDropout:
     """One codec, with its cache, per Python worker and setting."""
-    return MergeDropout(model, dropout, seed, variants)
+    return MergeDropout(model, dropout, seed)
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -269,32 +294,35 @@ def read_model(path: str) -> bytes:
 
 
 def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, seed: int = SEED,
-                     variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text",
-                     keep: tuple[str, ...] = ()) -> DataFrame:
+                     id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+                     copy_col: str | None = None) -> DataFrame:
     """(id, kept columns, token_ids, n_tokens, decoded_sha256, lossless) per row of ``docs``.
 
     ``token_ids`` is an array of ints; ``decoded_sha256`` the digest of the
     text decoded from them; ``lossless`` whether it equals the text. A null
-    text is encoded like an empty one: no ids. Repeated rows get equal ids; a
-    null id picks variants like an empty id. Names in ``keep`` must not clash
+    text is encoded like an empty one: no ids. A null id draws like an
+    empty id. Rows of the same id and text get equal ids, unless ``copy_col``
+    (integers) numbers them: then each copy draws its own. Names in ``keep`` must not clash
     with the four new columns; other columns are ignored.
     """
     importable_by_workers(docs.sparkSession)
     columns = [id_col, *[c for c in keep if c != id_col]]
-    source = pick(docs, *columns, text_col) if text_col not in columns else pick(docs, *columns)
+    source = pick(docs, *dict.fromkeys([*columns, text_col, *([copy_col] if copy_col else [])]))
     at = source.columns.index(text_col)
+    copy_at = source.columns.index(copy_col) if copy_col else None
     types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
     schema = ", ".join([*[f"`{c}` {types[c]}" for c in columns], "token_ids array<int>", "n_tokens bigint",
                         "decoded_sha256 string", "lossless boolean"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model, dropout, seed, variants)
+        codec = _codec(model, dropout, seed)
         for batch in batches:
             parts, lengths, digests, same = [], [0], [], []
             keys = ["" if key is None else str(key) for key in batch.column(0).to_pylist()]
+            copies = [0] * len(keys) if copy_at is None else [c or 0 for c in batch.column(copy_at).to_pylist()]
             for low, high in _slices(batch.column(at)):
                 texts = batch.column(at).slice(low, high - low).to_pylist()
-                for text, ids in zip(texts, codec.encode_many(texts, keys[low:high])):
+                for text, ids in zip(texts, codec.encode_many(texts, keys[low:high], copies[low:high])):
                     back = codec.decode(ids)
                     parts.append(ids)
                     lengths.append(lengths[-1] + len(ids))

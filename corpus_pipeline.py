@@ -9,7 +9,8 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from clickscope.llm import mixing, quality, sentencepiece_dropout, simhash
 from clickscope.session import checkpoint_dir
@@ -33,7 +34,10 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, with a proof that they decode losslessly."""
     model = sentencepiece_dropout.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    return sentencepiece_dropout.encode_documents(docs, model, keep=("source", "lang"))
+    # the mix repeats documents; each copy draws its own
+    like = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
+    numbered = docs.select("doc_id", "text", "source", "lang").withColumn("copy", F.row_number().over(like))
+    return sentencepiece_dropout.encode_documents(numbered, model, keep=("source", "lang"), copy_col="copy")
 
 
 STAGES = [

@@ -85,3 +85,23 @@ def test_documents(spark, model):
 def test_parameters(model):
     with pytest.raises(ValueError):
         S.MergeDropout(model, 1.0)
+
+
+def test_every_occurrence_draws_its_own(model):
+    codec = S.MergeDropout(model, 0.1)
+    assert len({codec.encode(PARAGRAPH, str(i)).tobytes() for i in range(50)}) > 40
+    assert len({codec.encode(PARAGRAPH, "7", copy).tobytes() for copy in range(3)}) == 3
+    words = [codec._merged([" internationalisation"], S.np.array([b], dtype=S.np.uint64), codec._limit)[0][0] for b in range(400)]
+    parts = codec.encode(" internationalisation" * 400).tolist()
+    assert len(set(words)) > 8 and len(parts) > 400 and codec.decode(S.np.array(parts)) == " internationalisation" * 400
+
+
+def test_draws_of_the_cached_merges_are_those_of_the_agenda(model):
+    codec = S.MergeDropout(model, 0.25)
+    units = [u for u in codec._unit.findall(" " + PARAGRAPH) if u != "\n"]
+    start = S.xxhash.xxh64_intdigest(b"2:9", codec.seed & S._MASK)
+    every = codec._unit.findall(" " + PARAGRAPH)
+    place = S.np.arange(1, len(every) + 1).astype(S.np.uint64)
+    base = codec._mixed(S.np.uint64(start) + place * S.np.uint64(0xD1342543DE82EF95))
+    want = b"".join(codec._merged([u], base[i:i + 1], codec._limit)[0][0] for i, u in enumerate(every))
+    assert units and codec.encode(PARAGRAPH, "9", 2).tobytes() == want
