@@ -7,7 +7,7 @@ checks those against brute-force versions.
 
 from __future__ import annotations
 
-from clickscope.llm import chat, licenses, merkle, quality, url_filter
+from clickscope.llm import chat, licenses, merkle, quality, substring_dedup, url_filter
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -185,10 +185,32 @@ SELECT doc_id, n_words, len(starts) AS n_base, list_min(starts) - 1 AS first_wor
 FROM base LEFT JOIN found USING (doc_id)"""
 
 
+def _substring() -> str:
+    n = substring_dedup.WINDOW
+    return rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D\x20]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {n - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - {n - 1})) AS i FROM d)
+), later AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + {n - 1})) AS pos FROM later
+), kept AS (
+  SELECT x.doc_id, count(*) AS n, string_agg(x.word, ' ' ORDER BY x.pos) AS t
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d) x ANTI JOIN gone USING (doc_id, pos)
+  GROUP BY x.doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": _url_filter(),
     "op3_quality_rules": _quality(),
     "op8_chat_formatting": _chat(),
     "op9_merkle_fingerprints": _merkle(),
     "op10_license_scan": _licenses(),
+    "op11_substring_dedup": _substring(),
 }

@@ -12,7 +12,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import chat, ctw, licenses, merkle, mixing, quality, sentencepiece_dropout, simhash, token_files, url_filter
+from clickscope.llm import (
+    chat,
+    conversation_repair,
+    ctw,
+    licenses,
+    merkle,
+    mixing,
+    quality,
+    sentencepiece_dropout,
+    simhash,
+    spelling,
+    substring_dedup,
+    token_files,
+    url_filter,
+)
 from clickscope.session import checkpoint_dir
 
 
@@ -85,6 +99,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeated(_table(spark, sf_dir, "documents"))
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.count_words(_table(spark, sf_dir, "documents")))
+
+
+def repaired_conversations(turns: DataFrame) -> DataFrame:
+    """The report on damaged ``turns`` (conv_id, turn, role, text), one row per conversation id they had before."""
+    report = conversation_repair.repair_report(conversation_repair.damaged(turns))
+    every = turns.select("conv_id").distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (every.join(report, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+            .select("conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_sentencepiece_dropout": op2_sentencepiece_dropout,
@@ -96,4 +133,7 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_merkle_fingerprints": op9_merkle_fingerprints,
     "op10_license_scan": op10_license_scan,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }
