@@ -47,6 +47,7 @@ FROM judged"""
 def _quality() -> str:
     rules = quality.Rules()
     classes = [f"len(regexp_replace(t, {_q(pattern.replace(chr(92) + 'x', chr(92) + 'x'))}, '', 'g'))" for _, pattern in quality.CLASSES]
+    classes.append(f"len(t) - len(translate(t, {_q(quality.SYMBOLS)}, ''))")
     lists = " ".join(f"WHEN {_q(lang)} THEN {_list(ws)}" for lang, ws in quality.COMMON_WORDS.items())
     plogp = lambda x: f"(CASE WHEN {x} > 0 THEN {x} * log2({x}) ELSE 0 END)"
 
@@ -72,7 +73,7 @@ WITH d AS (
   FROM h
 ), refs AS (
   SELECT lang, sum(n_words) AS total,
-         [{', '.join(f'sum(classes[{i + 1}])' for i in range(len(quality.CLASSES) + 1))}] AS ref_classes,
+         [{', '.join(f'sum(classes[{i + 1}])' for i in range(len(classes) + 1))}] AS ref_classes,
          CASE WHEN sum(commons[1]) IS NOT NULL THEN
            list_filter([{', '.join(f'sum(commons[{i + 1}])' for i in range(21))}], lambda x: x IS NOT NULL) END AS ref_commons
   FROM f WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {rules.reference_min_words}

@@ -1,10 +1,11 @@
 """Quality rules: base counts, and divergence from language references.
 
 Everything is DataFrame functions on one row per document; texts are never
-shuffled. Two passes read the texts: the first adds up, per language, the
-character-class and common-word histograms of all documents (a few numbers
-per language leave each task), the second compares each document with its
-language's reference by Jensen-Shannon distance and applies the rules.
+shuffled. Texts are read once: one pass takes each document's counts and its
+character-class and common-word histograms, some fifty numbers, and writes
+them beside the columns that the caller wants back. The histograms added up
+per language are its reference, and each document is compared with that by
+Jensen-Shannon distance, all from the written numbers.
 
 Rules. A document is rejected when it fails the base rule (too few words, or
 over half of its words inside repeated three-word windows), or when a
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import durable, fresh, words
+from clickscope.llm.common import durable, fresh, words, written
 
 # Frequent function words of four languages.
 COMMON_WORDS = {
@@ -31,7 +32,7 @@ COMMON_WORDS = {
     "es": "de la que el en y a los se del las un por con no una su para es al".split(),
     "fr": "de la le et les des en un une du que est dans pour qui par sur au plus pas".split(),
 }
-# Character classes; whatever none of them has is the last class.
+# Character classes; SYMBOLS are one more, and whatever none has is the last.
 CLASSES = (
     ("lower", r"[^\p{Ll}]+"),
     ("upper", r"[^\p{Lu}]+"),
@@ -102,8 +103,8 @@ def _with_repeats(df: DataFrame, w: str, out: str) -> DataFrame:
     return df.withColumn(out, covered).drop(*names)
 
 
-def _class_counts(text: Column) -> Column:
-    known = [F.length(F.regexp_replace(text, pattern, "")) for _, pattern in CLASSES]
+def _class_counts(text: Column, symbols: Column) -> Column:
+    known = [F.length(F.regexp_replace(text, pattern, "")) for _, pattern in CLASSES] + [symbols]
     rest = F.length(text)
     for c in known:
         rest = rest - c
@@ -125,33 +126,48 @@ def _word_counts(common: Column, lang: Column, total: Column) -> Column:
     return F.concat(counts, F.array(rest))
 
 
-def histograms(docs: DataFrame, text_col: str, lang_col: str, names: dict[str, str]) -> DataFrame:
-    """Add the word array and the two histograms under the given names."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+def measure(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", name: str = "features") -> DataFrame:
+    """``docs`` with the struct column ``name`` of all that the rules look at.
+
+    Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_chars, classes, commons (null without a word list for the language). A
+    null text has no words.
+    """
+    taken = docs.columns
+    n = {f: fresh([*taken, name], f"q_{f}") for f in ("words", "common", "repeats", "symbols")}
+    text, lang = F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.col(f"`{lang_col}`")
     listed = sorted({w for ws in COMMON_WORDS.values() for w in ws})
-    df = docs.withColumn(names["words"], words(text))
-    df = df.withColumn(names["common"], F.filter(F.col(names["words"]), lambda w: w.isin(listed)))
-    lang = F.col(f"`{lang_col}`")
-    return (df.withColumn(names["classes"], _class_counts(text))
-            .withColumn(names["commons"], _word_counts(F.col(names["common"]), lang, F.size(names["words"])))
-            .drop(names["common"]))
+    df = docs.withColumn(n["words"], words(text))
+    df = df.withColumns({n["common"]: F.filter(F.col(n["words"]), lambda w: w.isin(listed)),
+                         n["symbols"]: F.length(text) - F.length(F.translate(text, SYMBOLS, ""))})
+    df = _with_repeats(df, n["words"], n["repeats"])
+    lines = _lines_with_words(text)
+    count = F.size(n["words"])
+    return df.select(*[F.col(f"`{c}`") for c in taken], F.struct(
+        count.cast("bigint").alias("n_words"),
+        F.length(F.array_join(F.col(n["words"]), "")).cast("bigint").alias("word_chars"),
+        F.col(n["symbols"]).cast("bigint").alias("n_symbols"),
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
+        F.col(n["repeats"]).alias("n_repeat_words"),
+        F.length(text).alias("n_chars"),
+        _class_counts(text, F.col(n["symbols"])).alias("classes"),
+        _word_counts(F.col(n["common"]), lang, count).alias("commons")).alias(name))
 
 
-def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def references(measured: DataFrame, rules: Rules = Rules(), lang_col: str = "lang", name: str = "features") -> DataFrame:
     """(lang, n_words, classes, commons): summed histograms over all documents of each language.
 
-    One row per language with a reference; null languages have none.
+    ``measured`` is a result of ``measure``. One row per language with a
+    reference; null languages have none.
     """
-    own = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).where("lang is not null")
-    names = {"words": "w", "common": "c", "classes": "classes", "commons": "commons"}
-    hist = histograms(own, "text", "lang", names)
-    width = max(len(ws) for ws in COMMON_WORDS.values()) + 1
-    sums = (hist.groupBy("lang").agg(
-        F.sum(F.size("w").cast("bigint")).alias("n_words"),
-        *[F.sum(F.get("classes", F.lit(i))).alias(f"k{i}") for i in range(len(CLASSES) + 1)],
-        *[F.sum(F.get("commons", F.lit(i))).alias(f"c{i}") for i in range(width)])
+    own = measured.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{name}`").alias("f")).where("lang is not null")
+    width, n_classes = max(len(ws) for ws in COMMON_WORDS.values()) + 1, len(CLASSES) + 2
+    sums = (own.groupBy("lang").agg(
+        F.sum("f.n_words").alias("n_words"),
+        *[F.sum(F.get("f.classes", F.lit(i))).alias(f"k{i}") for i in range(n_classes)],
+        *[F.sum(F.get("f.commons", F.lit(i))).alias(f"c{i}") for i in range(width)])
         .where(F.col("n_words") >= rules.reference_min_words))
-    classes = F.array(*[F.col(f"k{i}") for i in range(len(CLASSES) + 1)])
+    classes = F.array(*[F.col(f"k{i}") for i in range(n_classes)])
     commons = F.when(F.col("c0").isNotNull(), F.filter(F.array(*[F.col(f"c{i}") for i in range(width)]), lambda x: x.isNotNull()))
     return sums.select("lang", "n_words", classes.alias("classes"), commons.alias("commons"))
 
@@ -169,60 +185,53 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.when((tp > 0) & (tq > 0), F.sqrt(F.greatest(F.lit(0.0), divergence)))
 
 
-def judge(docs: DataFrame, refs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
-          lang_col: str = "lang") -> DataFrame:
-    """``docs`` with the struct column of counts, distances and verdicts, named ``quality`` (see ``fresh``).
+def judge(measured: DataFrame, refs: DataFrame, rules: Rules = Rules(), lang_col: str = "lang",
+          name: str = "features", verdict: str = "quality") -> DataFrame:
+    """``measured`` with the struct column ``verdict`` in place of its features.
 
     Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     class_distance, word_distance (null where a guard keeps the histogram out
-    or there is no reference), base_failed, kept. A null text has no words
-    and fails the base rule.
+    or there is no reference), base_failed, kept. A text without words fails
+    the base rule.
     """
-    taken = docs.columns
-    fields = ("words", "common", "classes", "commons", "repeats", "ref_lang", "ref_classes", "ref_commons",
-              "class_far", "word_far", "n_words")
-    n = {f: fresh(taken, f"q_{f}") for f in fields}
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    df = histograms(docs, text_col, lang_col, n)
-    df = _with_repeats(df, n["words"], n["repeats"])
+    n = {f: fresh(measured.columns, f"q_{f}") for f in ("ref_lang", "ref_classes", "ref_commons", "class_far", "word_far")}
     small = refs.select(F.col("lang").alias(n["ref_lang"]), F.col("classes").alias(n["ref_classes"]),
                         F.col("commons").alias(n["ref_commons"]))
-    df = df.withColumn(n["n_words"], F.size(n["words"]).cast("bigint"))
-    df = df.join(F.broadcast(small) if refs.count() <= rules.max_reference_rows else small,
-                 F.col(f"`{lang_col}`") == F.col(n["ref_lang"]), "left")
-    enough_chars = F.length(text) >= rules.class_min_chars
-    enough_words = F.col(n["n_words"]) >= rules.word_min_words
-    df = (df.withColumn(n["class_far"], F.when(enough_chars, js_distance(F.col(n["classes"]), F.col(n["ref_classes"]))))
-          .withColumn(n["word_far"], F.when(enough_words, js_distance(F.col(n["commons"]), F.col(n["ref_commons"])))))
-    lines = _lines_with_words(text)
-    count = F.col(n["n_words"])
-    failed = (count < rules.min_words) | (F.col(n["repeats"]) * 100 > count * rules.max_repeat_percent)
+    df = measured.join(F.broadcast(small) if refs.count() <= rules.max_reference_rows else small,
+                       F.col(f"`{lang_col}`") == F.col(n["ref_lang"]), "left")
+    f = F.col(f"`{name}`")
+    count = f["n_words"]
+    enough = f["n_chars"] >= rules.class_min_chars
+    df = (df.withColumn(n["class_far"], F.when(enough, js_distance(f["classes"], F.col(n["ref_classes"]))))
+          .withColumn(n["word_far"], F.when(count >= rules.word_min_words, js_distance(f["commons"], F.col(n["ref_commons"])))))
+    failed = (count < rules.min_words) | (f["n_repeat_words"] * 100 > count * rules.max_repeat_percent)
     root = F.sqrt(F.greatest(count, F.lit(1)))
     far = (F.coalesce(F.col(n["class_far"]) > rules.class_limit + rules.class_scatter / root, F.lit(False))
            | F.coalesce(F.col(n["word_far"]) > rules.word_limit + rules.word_scatter / root, F.lit(False)))
-    symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-    verdict = F.struct(
-        count.alias("n_words"),
-        F.length(F.array_join(F.col(n["words"]), "")).cast("bigint").alias("word_chars"),
-        symbols.cast("bigint").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
-        F.col(n["repeats"]).alias("n_repeat_words"),
-        F.col(n["class_far"]).alias("class_distance"), F.col(n["word_far"]).alias("word_distance"),
-        failed.alias("base_failed"), (~failed & ~far).alias("kept"))
-    # The one-element explode keeps a caller's filter on the verdict above these
-    # projections. Pushed below, it would be inlined into the lambdas, which then
-    # split the text again for every word.
-    return (df.select(*[F.col(f"`{c}`") for c in taken], F.explode(F.array(verdict)).alias(fresh(taken, "quality"))))
+    told = F.struct(*[f[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+                    F.col(n["class_far"]).alias("class_distance"), F.col(n["word_far"]).alias("word_distance"),
+                    failed.alias("base_failed"), (~failed & ~far).alias("kept"))
+    return df.select(*[F.col(f"`{c}`") for c in measured.columns if c != name], told.alias(verdict))
 
 
-def apply_rules(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def apply_rules(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang",
+                keep: tuple[str, ...] | None = None) -> DataFrame:
     """References over all of ``docs``, then every row judged against them.
 
-    Repeated rows are judged alike; an empty table gives an empty result;
-    extra columns pass through, the verdict's name gives way to theirs.
+    ``keep`` names the columns that come back beside the verdict, ``quality``
+    (see ``fresh``); all by default. They are written once, with the features,
+    into the shared checkpoint folder. Repeated rows are judged alike; an empty
+    table gives an empty result; the verdict's name gives way to columns of
+    ``docs``.
     """
-    refs = durable(references(docs, rules, text_col, lang_col))
-    return judge(docs, refs, rules, text_col, lang_col)
+    kept = list(docs.columns if keep is None else keep)
+    verdict = fresh(kept, "quality")
+    name, lang = fresh([*docs.columns, verdict], "q_features"), fresh([*docs.columns, verdict], "q_lang")
+    measured = measure(docs, text_col, lang_col, name).select(
+        *[F.col(f"`{c}`") for c in kept], F.col(f"`{lang_col}`").alias(lang), name)
+    measured = written(measured, "quality-features")
+    refs = durable(references(measured, rules, lang, name))
+    return judge(measured, refs, rules, lang, name, verdict).drop(lang)
 
 
 def keep_good(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:

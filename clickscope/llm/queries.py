@@ -46,8 +46,7 @@ def op2_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality.apply_rules(docs).select("doc_id", "quality.*")
+    return quality.apply_rules(_table(spark, sf_dir, "documents"), keep=("doc_id",)).select("doc_id", "quality.*")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,12 +72,25 @@ def test_divergent_documents_go_and_plain_ones_stay(spark):
 def test_references_cover_all_documents(spark):
     docs = spark.createDataFrame([("the cat.", "en"), ("THE 1 of", "en"), (None, "en"), ("der", None)], "text string, lang string")
     rules = Q.Rules(reference_min_words=1)
-    r, = Q.references(docs, rules).collect()
+    r, = Q.references(Q.measure(docs), rules).collect()
     assert (r.lang, r.n_words) == ("en", 5)
-    assert r.classes == [8.0, 3.0, 1.0, 3.0, 1.0, 0.0]
+    assert r.classes == [8.0, 3.0, 1.0, 3.0, 1.0, 0.0, 0.0]
     assert r.commons[0] == 1.0 and r.commons[1] == 1.0 and r.commons[-1] == 3.0 and sum(r.commons) == 5.0
 
 
+def test_symbols_are_a_class_of_their_own(spark):
+    docs = spark.createDataFrame([("a | b # c ~", "en")], "text string, lang string")
+    r, = Q.measure(docs).select("features.*").collect()
+    assert r.classes == [3.0, 0.0, 0.0, 5.0, 0.0, 2.0, 1.0] and r.n_symbols == 2 and r.n_chars == 11
+
+
+def test_texts_are_read_once(spark):
+    """The verdict comes from written numbers: no text function is left in its plan."""
+    judged = Q.apply_rules(edge_docs(spark), keep=("doc_id",))
+    assert judged.columns == ["doc_id", "quality"]
+    assert "regexp_replace" not in judged._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_keep_good_keeps_columns(spark):
     docs = edge_docs(spark, clashing=True)
     kept = Q.keep_good(docs)
