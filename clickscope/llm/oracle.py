@@ -51,6 +51,9 @@ def _quality() -> str:
     lists = " ".join(f"WHEN {_q(lang)} THEN {_list(ws)}" for lang, ws in quality.COMMON_WORDS.items())
     plogp = lambda x: f"(CASE WHEN {x} > 0 THEN {x} * log2({x}) ELSE 0 END)"
 
+    at = len(classes)  # the symbols' place
+    pair = lambda x: f"[{x}[{at}], list_sum({x}) - {x}[{at}]]"
+
     def distance(p: str, q: str) -> str:
         terms = f"""list_sum(list_transform(generate_series(1, len({p})), lambda i:
           {plogp(f'({p}[i] / list_sum({p}))')} / 2 + {plogp(f'({q}[i] / list_sum({q}))')} / 2
@@ -87,16 +90,20 @@ WITH d AS (
   SELECT f.*, coalesce(r.n, 0) AS n_repeat_words,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x09-\x0D\x20]')) AS lines,
          CASE WHEN len(t) >= {rules.class_min_chars} THEN {distance('classes', 'ref_classes')} END AS class_distance,
-         CASE WHEN n_words >= {rules.word_min_words} THEN {distance('commons', 'ref_commons')} END AS word_distance
+         CASE WHEN n_words >= {rules.word_min_words} THEN {distance('commons', 'ref_commons')} END AS word_distance,
+         CASE WHEN len(t) < {rules.class_min_chars} OR ref_classes IS NULL THEN NULL
+              WHEN classes[{at}] * list_sum(ref_classes) > ref_classes[{at}] * list_sum(classes)
+              THEN {distance(pair('classes'), pair('ref_classes'))} ELSE 0 END::DOUBLE AS symbol_distance
   FROM f LEFT JOIN refs USING (lang) LEFT JOIN repeats r USING (doc_id)
 ), judged AS (
   SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed,
          coalesce(class_distance > {rules.class_limit} + {rules.class_scatter} / sqrt(greatest(n_words, 1)), false)
-         OR coalesce(word_distance > {rules.word_limit} + {rules.word_scatter} / sqrt(greatest(n_words, 1)), false) AS far
+         OR coalesce(word_distance > {rules.word_limit} + {rules.word_scatter} / sqrt(greatest(n_words, 1)), false)
+         OR coalesce(symbol_distance > {rules.symbol_limit} + {rules.symbol_scatter} / sqrt(greatest(n_words, 1)), false) AS far
   FROM counted
 )
 SELECT doc_id, n_words, len(array_to_string(w, '')) AS word_chars, len(t) - len(translate(t, {_q(quality.SYMBOLS)}, '')) AS n_symbols,
-       len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words, class_distance, word_distance, base_failed,
+       len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words, class_distance, word_distance, symbol_distance, base_failed,
        NOT base_failed AND NOT far AS kept
 FROM judged"""
 

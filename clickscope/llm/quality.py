@@ -9,7 +9,11 @@ Jensen-Shannon distance, all from the written numbers.
 
 Rules. A document is rejected when it fails the base rule (too few words, or
 over half of its words inside repeated three-word windows), or when a
-histogram lies farther from the language reference than its limit allows.
+histogram lies farther from the language reference than its limit allows. Three
+are compared: the character classes, the common words, and the character
+classes once more with all but the symbols put together, since a few symbols
+among many letters move the first one little. The last one is zero for a text
+with no larger share of symbols than its language: fewer are no fault.
 Short histograms scatter about as 1 / sqrt(words), so each limit widens by a
 margin of that form, and a histogram counts only from a minimum length on. A
 language whose own total is below the guard, or a null language, has no
@@ -54,6 +58,8 @@ class Rules:
     class_scatter: float = 0.9
     word_limit: float = 0.23
     word_scatter: float = 0.7
+    symbol_limit: float = 0.05
+    symbol_scatter: float = 0.2
     class_min_chars: int = 200
     word_min_words: int = 50
     reference_min_words: int = 2_000
@@ -185,16 +191,24 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.when((tp > 0) & (tq > 0), F.sqrt(F.greatest(F.lit(0.0), divergence)))
 
 
+def _excess_of_symbols(classes: Column, ref: Column) -> Column:
+    """Distance of the shares of symbols, zero where the first share is not the larger one."""
+    symbols, total = (lambda a: F.get(a, F.lit(len(CLASSES)))), (lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x))
+    two = lambda a: F.array(symbols(a), total(a) - symbols(a))
+    larger = symbols(classes) * total(ref) > symbols(ref) * total(classes)
+    return F.when(larger, js_distance(two(classes), two(ref))).when(ref.isNotNull(), F.lit(0.0))
+
+
 def judge(measured: DataFrame, refs: DataFrame, rules: Rules = Rules(), lang_col: str = "lang",
           name: str = "features", verdict: str = "quality") -> DataFrame:
     """``measured`` with the struct column ``verdict`` in place of its features.
 
     Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    class_distance, word_distance (null where a guard keeps the histogram out
-    or there is no reference), base_failed, kept. A text without words fails
-    the base rule.
+    class_distance, word_distance, symbol_distance (null where a guard keeps
+    the histogram out or there is no reference), base_failed, kept. A text
+    without words fails the base rule.
     """
-    n = {f: fresh(measured.columns, f"q_{f}") for f in ("ref_lang", "ref_classes", "ref_commons", "class_far", "word_far")}
+    n = {f: fresh(measured.columns, f"q_{f}") for f in ("ref_lang", "ref_classes", "ref_commons", "class_far", "word_far", "symbol_far")}
     small = refs.select(F.col("lang").alias(n["ref_lang"]), F.col("classes").alias(n["ref_classes"]),
                         F.col("commons").alias(n["ref_commons"]))
     df = measured.join(F.broadcast(small) if refs.count() <= rules.max_reference_rows else small,
@@ -203,14 +217,16 @@ def judge(measured: DataFrame, refs: DataFrame, rules: Rules = Rules(), lang_col
     count = f["n_words"]
     enough = f["n_chars"] >= rules.class_min_chars
     df = (df.withColumn(n["class_far"], F.when(enough, js_distance(f["classes"], F.col(n["ref_classes"]))))
+          .withColumn(n["symbol_far"], F.when(enough, _excess_of_symbols(f["classes"], F.col(n["ref_classes"]))))
           .withColumn(n["word_far"], F.when(count >= rules.word_min_words, js_distance(f["commons"], F.col(n["ref_commons"])))))
     failed = (count < rules.min_words) | (f["n_repeat_words"] * 100 > count * rules.max_repeat_percent)
     root = F.sqrt(F.greatest(count, F.lit(1)))
     far = (F.coalesce(F.col(n["class_far"]) > rules.class_limit + rules.class_scatter / root, F.lit(False))
-           | F.coalesce(F.col(n["word_far"]) > rules.word_limit + rules.word_scatter / root, F.lit(False)))
+           | F.coalesce(F.col(n["word_far"]) > rules.word_limit + rules.word_scatter / root, F.lit(False))
+           | F.coalesce(F.col(n["symbol_far"]) > rules.symbol_limit + rules.symbol_scatter / root, F.lit(False)))
     told = F.struct(*[f[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                     F.col(n["class_far"]).alias("class_distance"), F.col(n["word_far"]).alias("word_distance"),
-                    failed.alias("base_failed"), (~failed & ~far).alias("kept"))
+                    F.col(n["symbol_far"]).alias("symbol_distance"), failed.alias("base_failed"), (~failed & ~far).alias("kept"))
     return df.select(*[F.col(f"`{c}`") for c in measured.columns if c != name], told.alias(verdict))
 
 

@@ -69,6 +69,17 @@ def test_divergent_documents_go_and_plain_ones_stay(spark):
     assert got[2000].class_distance is None and got[2000].kept and got[2001].kept
 
 
+def test_an_excess_of_symbols_counts_and_a_lack_does_not(spark):
+    shares = [([50.0, 1.0, 9.0], [0.1, 0.0]), ([90.0, 0.0, 10.0], [0.0, 0.0])]
+    at = len(Q.CLASSES)
+    pad = lambda x: [x[0]] + [0.0] * (at - 1) + [x[1], x[2]]
+    ref = pad([900.0, 5.0, 95.0])
+    rows = [(pad(x), ref) for x, _ in shares] + [(pad([1.0, 0.0, 0.0]), None)]
+    df = spark.createDataFrame(rows, "p array<double>, q array<double>")
+    got = [r.d for r in df.select(Q._excess_of_symbols(F.col("p"), F.col("q")).alias("d")).collect()]
+    assert got[0] == pytest.approx(brute_distance([1, 59], [5, 995]), abs=1e-9) and got[1:] == [0.0, None]
+
+
 def test_references_cover_all_documents(spark):
     docs = spark.createDataFrame([("the cat.", "en"), ("THE 1 of", "en"), (None, "en"), ("der", None)], "text string, lang string")
     rules = Q.Rules(reference_min_words=1)
