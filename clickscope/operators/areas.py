@@ -32,39 +32,35 @@ def area_product_clicks(tables: ModelTables, top_n_cities: int | None = None) ->
     before the shuffle); the second level gathers at most one element per
     city of the area.
     """
-    return _with_remarks(area_product_city_clicks(tables), top_n_cities)
+    return _with_remarks(_with_cities(area_product_city_clicks(tables)), top_n_cities)
 
 
-def _with_remarks(per_city: DataFrame, top_n_cities: int | None) -> DataFrame:
-    per_group = per_city.groupBy("click_product_id", "area").agg(
+def _with_cities(per_city: DataFrame) -> DataFrame:
+    """Per (product, area): clicks and the list of its cities, at most one element per city of the area."""
+    return per_city.groupBy("click_product_id", "area").agg(
         F.sum("n").cast("long").alias("count"),
         F.collect_list(F.struct((-F.col("n")).alias("neg_n"), F.col("city_name").alias("city"),
                                 F.col("n").alias("n"))).alias("cities"),
     )
-    return per_group.select(
-        "click_product_id", "area", "count",
-        render_city_remark(F.col("cities"), F.col("count"), top_n_cities).alias("city_remark"),
-    )
+
+
+def _with_remarks(groups: DataFrame, top_n_cities: int | None) -> DataFrame:
+    return groups.withColumn("city_remark", render_city_remark(F.col("cities"), F.col("count"), top_n_cities)).drop("cities")
 
 
 def area_top3_products(tables: ModelTables, k: int = 3, top_n_cities: int | None = None) -> DataFrame:
     """Top ``k`` products per area by clicks (ties: product id), then named.
 
-    The rank filter is a literal bound, so Spark keeps only ``k`` rows per
-    area in each map task before the window shuffle. Products unknown to the
-    product dimension are dropped after ranking (their rank is not reused).
-    Ranking needs the counts only; city lists are gathered and remarks
-    rendered for the winners alone (k rows per area). A null area is an area
-    of its own.
+    One pass over the log. The rank filter is a literal bound, so Spark keeps
+    only ``k`` rows per area in each map task before the window shuffle; a
+    group's city list, bounded by the cities of its area, rides along with its
+    count, and remarks are rendered for the winners alone. Products unknown to
+    the product dimension are dropped after ranking (their rank is not
+    reused). A null area is an area of its own.
     """
-    per_city = area_product_city_clicks(tables)
-    totals = per_city.groupBy("click_product_id", "area").agg(F.sum("n").alias("clicks"))
-    w = Window.partitionBy("area").orderBy(F.desc("clicks"), F.asc("click_product_id"))
-    winners = (totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(k))
-               .select("click_product_id", "area", "rank"))
-    won = winners.select(F.col("click_product_id").alias("won_product"), F.col("area").alias("won_area"), "rank")
-    of_winner = (F.col("click_product_id") == F.col("won_product")) & F.col("area").eqNullSafe(F.col("won_area"))
-    remarks = _with_remarks(per_city.join(won, of_winner, "left_semi"), top_n_cities)
+    groups = _with_cities(area_product_city_clicks(tables))
+    w = Window.partitionBy("area").orderBy(F.desc("count"), F.asc("click_product_id"))
+    winners = groups.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(k))
     products = tables.products.select(F.col("product_id").alias("click_product_id"), "product_name")
-    return (remarks.join(won, of_winner).join(products, "click_product_id", "inner")
+    return (_with_remarks(winners, top_n_cities).join(products, "click_product_id", "inner")
             .select("area", "product_name", "count", "rank", "city_remark"))

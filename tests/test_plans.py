@@ -110,11 +110,15 @@ def test_rows_without_a_click_are_spread_over_the_product_join(spark, t):
     assert len(sizes) == 8 and max(sizes) < 2 * sorted(sizes)[4]
 
 
-def test_area_winners_are_ranked_before_cities_are_gathered(t):
-    p = plan(areas.area_top3_products(t))
-    semi = p.index("LeftSemi")
-    # gathering sits above the semi-join with the ranked winners
-    assert p.index("collect_list") < semi and "WindowGroupLimit" in p[semi:]
+def test_area_report_reads_the_log_once_and_renders_remarks_for_winners_only(t):
+    lines = executed(areas.area_top3_products(t))
+    assert sum("FileScan" in x and "event_id" in x or "FileScan" in x and "props" in x for x in lines) == 1
+    text = "\n".join(lines)
+    # top down: remarks, the rank filter's window, the group limit below its exchange, the city lists
+    rendered, window = text.index("array_join"), text.index("Window [")
+    limit, gathered = text.index("WindowGroupLimit"), text.index("collect_list")
+    assert rendered < window < limit < gathered and "array_join" not in text[window:]
+    assert "LeftSemi" not in text
 
 
 def test_date_conditions_reach_the_registered_scan(spark):
