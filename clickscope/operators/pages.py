@@ -43,27 +43,27 @@ def _jump_text() -> Column:
     return F.concat_ws("_", F.col("x").cast("string"), F.col("y").cast("string")).alias("pageJump")
 
 
-def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...], bucket_chars: int = DAY) -> DataFrame:
+def page_jumps(actions: DataFrame, flow: list[int] | tuple[int, ...], buckets: int | DataFrame = DAY) -> DataFrame:
     """Count of consecutive page pairs (by time inside a session) that are flow pairs.
 
     Adjacency is computed on all actions first, then the pairs are filtered:
     filtering pages first would invent jumps over removed actions.
     """
     pair, _ = _wanted(flow)
-    counts = jump_and_view_counts(actions, "page_id", pair, F.lit(False), bucket_chars)
+    counts = jump_and_view_counts(actions, "page_id", pair, F.lit(False), buckets)
     return counts.filter(F.col("kind") == "p").select(
         _jump_text(), F.col("x").alias("from_page"), F.col("y").alias("to_page"), F.col("n").alias("jump_count"))
 
 
 def page_conversion_rate(actions: DataFrame, run_id: str, flow: list[int] | tuple[int, ...],
-                         bucket_chars: int = DAY) -> DataFrame:
+                         buckets: int | DataFrame = DAY) -> DataFrame:
     """rate(a_b) = jumps(a->b) / views(a) in percent (HALF_UP, 2 decimals).
 
     Pairs that never occur produce no row. Views are counted in the pass that
     counts the jumps and meet them in a window over the few counts.
     """
     pair, view = _wanted(flow)
-    counts = jump_and_view_counts(actions, "page_id", pair, view, bucket_chars)
+    counts = jump_and_view_counts(actions, "page_id", pair, view, buckets)
     views = F.max(F.when(F.col("kind") == "v", F.col("n"))).over(Window.partitionBy("x"))
     return (counts.withColumn("views", views).filter(F.col("kind") == "p")
             .select(task_id(run_id), _jump_text(), percent_half_up("n", "views").alias("rate")))

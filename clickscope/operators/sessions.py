@@ -63,7 +63,7 @@ def session_stats(actions: DataFrame) -> DataFrame:
     )
 
 
-def session_rollup(actions: DataFrame, run_id: str, bucket_chars: int = DAY) -> DataFrame:
+def session_rollup(actions: DataFrame, run_id: str, buckets: int | DataFrame = DAY) -> DataFrame:
     """Full session record (SessionInfo) including ordered comma lists.
 
     Lists follow (action_time, tie) order, keep duplicates, and are '' when
@@ -74,7 +74,7 @@ def session_rollup(actions: DataFrame, run_id: str, bucket_chars: int = DAY) ->
     """
     if "professional" not in actions.columns:
         actions = actions.withColumn("professional", F.lit(None).cast("string"))
-    actions = with_order(actions, bucket_chars)
+    actions = with_order(actions, buckets)
     prof = F.col("professional")
     names = [name for name, _, _ in LIST_FIELDS]
     # One struct per action: its place in time and every list value (NULL
