@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from clickscope.conditions import Condition
-from clickscope.operators.actions import base_actions
+from clickscope.operators.actions import base_actions, hot_users, join_users
 from tests.helpers import action, rows, tables
 
 
@@ -58,3 +59,41 @@ def test_non_click_rows_do_not_meet_a_product_with_id_minus_one(spark):
     t = tables(spark, [action("s1", "2018-11-01 10:00:00", user_id=1)],
                products=[(-1, "ghost", "x"), (1, "p1", "x")])
     assert rows(base_actions(t), "product_name") == [(None,)]
+
+
+def test_hot_users_are_joined_apart_with_the_same_rows(spark):
+    rows = [action(f"s{i % 7}", "2018-11-26 10:00:00", user_id=1 if i % 2 else 2 + i % 5, click_product=i % 4, action_id=i)
+            for i in range(60)]
+    t = tables(spark, rows)
+    for condition in (None, Condition(professionals=("程序员",)), Condition(gender="男")):
+        for enrich in ((), ("professional", "user_name", "product_name")):
+            plain = base_actions(t, condition, enrich=enrich)
+            for most in (1, 3):
+                split = base_actions(t, condition, enrich=enrich, hot=hot_users(t.actions, min_rows=2, most=most))
+                assert split.columns == plain.columns
+                assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_half_of_all_rows_on_one_user_are_spread(spark):
+    ids = spark.range(200_000).withColumnRenamed("id", "action_id")
+    acts = ids.select(F.when(F.col("action_id") % 2 == 0, 1).otherwise(F.col("action_id") % 5000).cast("bigint").alias("user_id"),
+                      "action_id").repartition(4)
+    users = spark.range(6000).select(F.col("id").alias("user_id"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("professional"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "-1")
+    spark.conf.set(keys[1], "false")
+
+    def tasks(hot):
+        joined = join_users(acts, users, {"professional": "professional"}, hot)
+        return (sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()),
+                joined.agg(F.sum(F.xxhash64("user_id", "action_id", "professional").cast("decimal(38,0)")), F.count("professional")).first())
+
+    try:
+        plain, rows = tasks(None)
+        spread, same = tasks(hot_users(acts, min_rows=1000))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert same == rows and rows[1] == 200_000
+    assert plain[-1] > 3 * plain[4] and spread[-1] < 1.5 * spread[4]
