@@ -124,16 +124,17 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lone document is its own next one; an empty table gives an empty result.
     Extra columns are ignored.
 
-    Whole texts are shuffled once, by id; the next document travels as its
-    needed beginning and its fingerprint.
+    Whole texts are shuffled once, by id: both joins read the same exchange,
+    and the next document travels as its needed beginning and its fingerprint.
     """
     rows = (pick(docs, id_col, text_col).toDF("id", "text")
             .select("id", F.coalesce("text", F.lit("")).alias("text"))
             .withColumn("text_hash", F.xxhash64("text")))
     keys = rows.select("id", "text_hash", F.length("text").alias("n_chars")).distinct()
-    # (id or zero, id is null, text hash): plain equality, so that joins and the window share one exchange
+    # (id or zero, id is null, text hash): plain equality, and both joins' sides
+    # have the same columns, so that the joins and the window share one exchange
     zero = F.lit("0").cast(rows.schema["id"].dataType)
-    keyed = rows.select("*", F.coalesce("id", zero).alias("k_id"), F.col("id").isNull().alias("k_null"))
+    keyed = rows.select(F.coalesce("id", zero).alias("k_id"), F.col("id").isNull().alias("k_null"), "text_hash", "text")
     pairs = durable(next_documents(keys)).select(
         "n_chars", F.coalesce("id", zero).alias("own_id"), F.col("id").isNull().alias("own_null"), F.col("text_hash").alias("own_hash"),
         F.coalesce("next_id", zero).alias("next_id"), F.col("next_id").isNull().alias("next_null"), "next_hash")
@@ -148,7 +149,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edited = F.concat(F.left("text", kept), F.col("beginning"))
     return (keyed.join(donors, (F.col("k_id") == F.col("own_id")) & (F.col("k_null") == F.col("own_null"))
                        & (F.col("text_hash") == F.col("own_hash")))
-            .select("id", F.col("text"), n.cast("bigint").alias("n_chars"), edited.alias("edited"), "next_fingerprint")
+            .select(F.when(~F.col("k_null"), F.col("k_id")).alias("id"), "text", n.cast("bigint").alias("n_chars"),
+                    edited.alias("edited"), "next_fingerprint")
             .select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                     fingerprint(tree(F.col("text"))).alias("fingerprint"),
                     fingerprint(tree(F.col("edited"))).alias("edited_fingerprint"), "next_fingerprint")
