@@ -9,7 +9,9 @@ paragraphs, locate the edit (``edits``).
 
 The fingerprint is a string: the root's digest, a colon, and the first
 ``BRANCH_DIGITS`` hex digits of every leaf digest. Two fingerprints alone tell
-equality (the root) and likeness (the share of leaves in common).
+equality (the root) and likeness (the share of leaves in common). Forty bits
+of a leaf are kept, so two different leaves of a pair of texts with n leaves
+each count as one with a chance below n * n / 10^12.
 
 Everything is DataFrame functions on one row per document.
 """
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 from clickscope.llm.common import durable, pick
 
 LEAF_CHARS = 40
-BRANCH_DIGITS = 6
+BRANCH_DIGITS = 10
+PARAGRAPH_BITS = 32  # of a place that is packed into one long
 LEAF = rf"(?s).{{0,{LEAF_CHARS - 1}}}?[.!?]|.{{1,{LEAF_CHARS}}}"
 
 
@@ -68,25 +71,41 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when(total > 0, 2.0 * common / total).otherwise(F.lit(0.0))
 
 
-def differing(a: Column, b: Column) -> Column:
-    """Places (section, paragraph, from 0) where tree ``a`` differs from tree ``b``, branch by branch.
-
-    A section whose digests agree is not looked into. Only places of ``a``;
-    ``edits`` has those of both trees.
-    """
+def _changed(a: Column, b: Column) -> Column:
+    """Places of ``a`` that differ from tree ``b``, as longs: the section's number above the paragraph's."""
     def paragraphs(s: Column, i: Column) -> Column:
         other = F.get(b, i)
         changed = F.filter(F.sequence(F.lit(0), F.size(s["paragraphs"]) - 1), lambda j: ~F.get(s["paragraphs"], j)["digest"]
                            .eqNullSafe(F.get(other["paragraphs"], j)["digest"]))
-        places = F.transform(changed, lambda j: F.struct(i.alias("section"), j.alias("paragraph")))
+        places = F.transform(changed, lambda j: F.shiftleft(i.cast("bigint"), PARAGRAPH_BITS) + j)
         return F.when(s["digest"].eqNullSafe(other["digest"]), F.slice(places, 1, 0)).otherwise(places)
 
     return F.flatten(F.transform(a, paragraphs))
 
 
+def _unpacked(places: Column) -> Column:
+    low = F.lit((1 << PARAGRAPH_BITS) - 1).cast("bigint")
+    return F.transform(places, lambda x: F.struct(F.shiftright(x, PARAGRAPH_BITS).cast("int").alias("section"),
+                                                  x.bitwiseAND(low).cast("int").alias("paragraph")))
+
+
+def differing(a: Column, b: Column) -> Column:
+    """Places (section, paragraph, from 0) where tree ``a`` differs from tree ``b``, branch by branch.
+
+    A section whose digests agree is not looked into. Only places of ``a``;
+    ``edits`` has those of both trees.
+    """
+    return _unpacked(_changed(a, b))
+
+
 def edits(a: Column, b: Column) -> Column:
     """Places (section, paragraph, from 0) that differ or that only one of the two trees has, in order."""
-    return F.array_sort(F.array_union(differing(a, b), differing(b, a)))
+    return _unpacked(F.array_sort(F.array_union(_changed(a, b), _changed(b, a))))
+
+
+def places_text(places: Column) -> Column:
+    """Places as text, ``section:paragraph``, joined by commas."""
+    return F.array_join(F.transform(places, lambda p: F.concat(p["section"].cast("string"), F.lit(":"), p["paragraph"].cast("string"))), ",")
 
 
 def next_documents(keys: DataFrame) -> DataFrame:
@@ -118,11 +137,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Edited text: the last floor(n / 3) code points are replaced by the first as
     many (or all) of the next document's text. Returns (id, n_chars,
-    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)
-    per row. Rows that repeat an id and text count as one document in the order
-    and each come back; a null text is empty; a null id is last in the order; a
-    lone document is its own next one; an empty table gives an empty result.
-    Extra columns are ignored.
+    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    edited_places) per row; ``edited_places`` are the sections and paragraphs
+    where the two trees differ (``places_text`` of ``edits``). Rows that repeat
+    an id and text count as one document in the order and each come back; a
+    null text is empty; a null id is last in the order; a lone document is its
+    own next one; an empty table gives an empty result. Extra columns are
+    ignored.
 
     Whole texts are shuffled once, by id: both joins read the same exchange,
     and the next document travels as its needed beginning and its fingerprint.
@@ -151,9 +172,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        & (F.col("text_hash") == F.col("own_hash")))
             .select(F.when(~F.col("k_null"), F.col("k_id")).alias("id"), "text", n.cast("bigint").alias("n_chars"),
                     edited.alias("edited"), "next_fingerprint")
-            .select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                    fingerprint(tree(F.col("text"))).alias("fingerprint"),
-                    fingerprint(tree(F.col("edited"))).alias("edited_fingerprint"), "next_fingerprint")
+            .select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), tree(F.col("text")).alias("own"),
+                    tree(F.col("edited")).alias("other"), "next_fingerprint")
+            .select("id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
+                    fingerprint(F.col("other")).alias("edited_fingerprint"), "next_fingerprint",
+                    places_text(edits(F.col("own"), F.col("other"))).alias("edited_places"))
             .select("id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                     likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                    likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next")))
+                    likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "edited_places"))

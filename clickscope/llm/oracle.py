@@ -51,7 +51,7 @@ def _quality() -> str:
     lists = " ".join(f"WHEN {_q(lang)} THEN {_list(ws)}" for lang, ws in quality.COMMON_WORDS.items())
     plogp = lambda x: f"(CASE WHEN {x} > 0 THEN {x} * log2({x}) ELSE 0 END)"
 
-    at = len(classes)  # the symbols' place
+    at = len(classes)
     pair = lambda x: f"[{x}[{at}], list_sum({x}) - {x}[{at}]]"
 
     def distance(p: str, q: str) -> str:
@@ -144,6 +144,11 @@ def _merkle() -> str:
         return (f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN len({x}) + len({y}) > 0 "
                 f"THEN 2.0 * len(list_intersect({x}, {y})) / (len({x}) + len({y}))::DOUBLE ELSE 0.0 END")
 
+    # paragraphs are lists of leaf digests here; equal lists have equal digests
+    count = lambda x: f"coalesce(len({x}), 0)"
+    places = f"""flatten(list_transform(range(0, greatest(len(a), len(b))), lambda i:
+      list_transform(list_filter(range(0, greatest({count('a[i + 1]')}, {count('b[i + 1]')})), lambda j: a[i + 1][j + 1] IS DISTINCT FROM b[i + 1][j + 1]),
+                     lambda j: i || ':' || j)))"""
     return f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, len(coalesce(text, '')) AS n,
@@ -153,7 +158,8 @@ WITH d AS (
 trees AS (SELECT *, {tree('t')} AS a, {tree('edited')} AS b, {tree('nt')} AS c FROM e),
 prints AS (SELECT *, {print_('a')} AS fingerprint, {print_('b')} AS edited_fingerprint, {print_('c')} AS next_fingerprint FROM trees)
 SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
-       {likeness('fingerprint', 'edited_fingerprint')} AS near_edited, {likeness('fingerprint', 'next_fingerprint')} AS near_next
+       {likeness('fingerprint', 'edited_fingerprint')} AS near_edited, {likeness('fingerprint', 'next_fingerprint')} AS near_next,
+       coalesce(array_to_string({places}, ','), '') AS edited_places
 FROM prints"""
 
 

@@ -31,6 +31,13 @@ def brute_likeness(a, b):
     return 2 * len(x & y) / (len(x) + len(y)) if x or y else 0.0
 
 
+def brute_places(a, b):
+    x, y = ([s.split("\n") for s in t.split("\n\n")] for t in (a, b))
+    at = lambda t, i, j: t[i][j] if i < len(t) and j < len(t[i]) else None
+    return ",".join(f"{i}:{j}" for i in range(max(len(x), len(y)))
+                    for j in range(max(len(t[i]) for t in (x, y) if i < len(t))) if at(x, i, j) != at(y, i, j))
+
+
 def test_edited_documents_like_brute_force(spark):
     docs = edge_docs(spark, clashing=True)
     # rows that repeat id and text count once in the order; null ids come last
@@ -46,12 +53,26 @@ def test_edited_documents_like_brute_force(spark):
         k = len(text) // 3
         edited = text[:len(text) - k] + follow[:k]
         a, b, c = map(brute_fingerprint, (text, edited, follow))
-        want.append((r.doc_id, len(text), sha(edited), a, b, round(brute_likeness(a, b), 9), round(brute_likeness(a, c), 9)))
-    got = [(r.id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9))
+        want.append((r.doc_id, len(text), sha(edited), a, b, round(brute_likeness(a, b), 9), round(brute_likeness(a, c), 9),
+                     brute_places(text, edited)))
+    got = [(r.id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9), r.edited_places)
            for r in M.edited_fingerprints(docs).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_whole_texts_are_shuffled_once(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "-1")
+    spark.conf.set(keys[1], "false")
+    try:
+        plan = M.edited_fingerprints(edge_docs(spark).select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("ReusedExchange") == 1
+
+
 def test_lone_document_and_empty_table(spark):
     one = spark.createDataFrame([(3, "abcdef")], "doc_id bigint, text string")
     r, = M.edited_fingerprints(one).collect()
