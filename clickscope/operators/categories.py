@@ -44,15 +44,17 @@ def category_top10(actions: DataFrame, run_id: str, k: int = 10) -> DataFrame:
 
 
 def top_sessions_per_top_category(actions: DataFrame, run_id: str, k_categories: int = 10,
-                                  k_sessions: int = 10) -> DataFrame:
+                                  k_sessions: int = 10, top: DataFrame | None = None) -> DataFrame:
     """For each top category, its ``k_sessions`` sessions with most clicks in it.
 
     The top categories (at most ``k_categories`` rows) are broadcast for a
     semi-join; (category, session) clicks are counted with partial
     aggregation; the per-category ranking keeps ``k_sessions`` rows per map
-    task before its shuffle, so few, huge categories stay cheap.
+    task before its shuffle, so few, huge categories stay cheap. ``top`` is
+    the ``category_top10`` of the same actions where the caller has it already.
     """
-    top = category_top10(actions, run_id, k_categories).select(F.col("category_id").alias("categoryId"))
+    top = category_top10(actions, run_id, k_categories) if top is None else top.limit(k_categories)
+    top = top.select(F.col("category_id").alias("categoryId"))
     clicks = (actions.filter(F.col("click_category_id") > 0)
               .select("session_id", F.col("click_category_id").cast("string").alias("categoryId")))
     counts = (clicks.join(F.broadcast(top), "categoryId", "left_semi")

@@ -113,9 +113,14 @@ def session_rollup(actions: DataFrame, run_id: str, buckets: int | DataFrame = D
     )
 
 
-def session_bucket_stats(actions: DataFrame, run_id: str, condition: Condition | None = None) -> DataFrame:
-    """Share of sessions with visit length <= 10 s / > 10 s and steps <= 5 / > 5 (one row)."""
-    stats = session_stats(actions)
+def session_bucket_stats(actions: DataFrame, run_id: str, condition: Condition | None = None,
+                         stats: DataFrame | None = None) -> DataFrame:
+    """Share of sessions with visit length <= 10 s / > 10 s and steps <= 5 / > 5 (one row).
+
+    ``stats``, here and below, is the ``session_stats`` of the same actions
+    where the caller has it already; the log is not read again then.
+    """
+    stats = session_stats(actions) if stats is None else stats
     counts = stats.agg(
         F.count(F.lit(1)).alias("session_count"),
         F.count_if(F.col("visitLength") <= 10).alias("vl_le"),
@@ -135,27 +140,35 @@ def session_bucket_stats(actions: DataFrame, run_id: str, condition: Condition |
     )
 
 
-def hourly_session_counts(actions: DataFrame) -> DataFrame:
+def hourly_session_counts(actions: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Sessions per start hour ('yyyy-MM-dd HH')."""
-    return (session_stats(actions)
+    return ((session_stats(actions) if stats is None else stats)
             .groupBy(hour_key("startTime").alias("hour"))
             .agg(F.count(F.lit(1)).alias("session_count")))
 
 
-def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clickscope") -> DataFrame:
+SMALL_SAMPLE = 100_000  # most ids of a sample that are broadcast, or ranked hour by hour
+CELL_DIGITS = 3         # hex digits of the draw that part an hour into cells
+
+
+def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clickscope",
+                       stats: DataFrame | None = None, small: int = SMALL_SAMPLE) -> DataFrame:
     """Proportional per-hour sample of session ids, without replacement.
 
     The ``need`` sessions (or all, if there are fewer) are shared out over the
     hours by largest remainder: floor(hourCount * need / total) each, then one
     more to the hours with the largest remainder (ties: the earlier hour).
     Inside an hour, sessions are drawn in md5(seed || sessionId) order: a
-    uniform, reproducible permutation. The literal ``rn <= need`` filter lets
-    Spark keep only ``need`` rows per hour in each map task before the shuffle
-    (WindowGroupLimit), so a hot hour never reaches one reducer in full. The
-    quotas are a window over one row per hour.
+    uniform, reproducible permutation; ``rn`` is the place in it. The quotas
+    are a window over one row per hour. For the ranks see ``_ranked_by_hour``
+    (a need of at most ``small``) and ``_ranked_by_cell``; both give the same
+    rows.
     """
-    starts = (actions.groupBy("session_id").agg(F.min(action_ts(F.col("action_time"))).alias("t0"))
-              .select(F.col("session_id").alias("sessionId"), hour_key(format_ts("t0")).alias("hour")))
+    if stats is None:
+        starts = (actions.groupBy("session_id").agg(F.min(action_ts(F.col("action_time"))).alias("t0"))
+                  .select(F.col("session_id").alias("sessionId"), hour_key(format_ts("t0")).alias("hour")))
+    else:
+        starts = stats.select("sessionId", hour_key("startTime").alias("hour"))
     hours = starts.groupBy("hour").agg(F.count(F.lit(1)).alias("hour_count"))
     every = Window.partitionBy()
     total = F.sum("hour_count").over(every)
@@ -165,18 +178,42 @@ def sample_session_ids(actions: DataFrame, need: int = 1000, seed: str = "clicks
               .withColumn("left", F.col("drawn") - F.sum("base").over(every))
               .withColumn("place", F.row_number().over(Window.orderBy(F.desc("rest"), F.asc("hour")))))
     hours = shares.select("hour", (F.col("base") + (F.col("place") <= F.col("left")).cast("long")).alias("quota"))
-    w = Window.partitionBy("hour").orderBy(F.md5(F.concat(F.lit(seed), F.col("sessionId"))), "sessionId")
-    ranked = starts.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.lit(need))
-    return (ranked.join(hours, "hour")
-            .filter(F.col("rn") <= F.col("quota"))
-            .select("sessionId", "hour", "rn"))
-
-
-def session_sample(actions: DataFrame, run_id: str, need: int = 1000, seed: str = "clickscope") -> DataFrame:
+    drawn = starts.withColumn("draw", F.md5(F.concat(F.lit(seed), F.col("sessionId"))))
+    ranked = _ranked_by_hour(drawn, hours, need) if need <= small else _ranked_by_cell(drawn, hours)
+    return ranked.filter(F.col("rn") <= F.col("quota")).select("sessionId", "hour", "rn")
+
+
+def _ranked_by_hour(drawn: DataFrame, hours: DataFrame, need: int) -> DataFrame:
+    """The literal ``rn <= need`` lets Spark keep only ``need`` rows per hour
+    in each map task before the shuffle (WindowGroupLimit), so a hot hour
+    never reaches one reducer in full."""
+    w = Window.partitionBy("hour").orderBy("draw", "sessionId")
+    ranked = drawn.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= F.lit(need))
+    return ranked.join(hours, "hour")
+
+
+def _ranked_by_cell(drawn: DataFrame, hours: DataFrame) -> DataFrame:
+    """For quotas that no task should hold: two levels. An hour's draws fall
+    into 4096 cells of about equal size. Cells are counted with map-side
+    combine and added up in order; only cells that begin within the quota go
+    on, and places are worked out inside each cell."""
+    placed = drawn.withColumn("cell", F.left("draw", F.lit(CELL_DIGITS)))
+    earlier = Window.partitionBy("hour").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (placed.groupBy("hour", "cell").agg(F.count(F.lit(1)).alias("n")).join(hours, "hour")
+             .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+             .filter(F.col("before") < F.col("quota")).select("hour", "cell", "before", "quota"))
+    inside = Window.partitionBy("hour", "cell").orderBy("draw", "sessionId")
+    return (placed.join(cells, ["hour", "cell"])
+            .withColumn("rn", (F.col("before") + F.row_number().over(inside)).cast("int")))
+
+
+def session_sample(actions: DataFrame, run_id: str, need: int = 1000, seed: str = "clickscope",
+                   stats: DataFrame | None = None, buckets: int | DataFrame = DAY, small: int = SMALL_SAMPLE) -> DataFrame:
     """Session records (with lists) of the proportional hourly sample.
 
-    The sample holds at most ``need`` ids by construction, so it is broadcast
-    to select the sampled sessions' actions; only those reach the rollup.
+    A sample of at most ``small`` ids, a bound that the quotas keep, is
+    broadcast to select the sampled sessions' actions; a larger one is a plain
+    join. Only the selected actions reach the rollup.
     """
-    ids = sample_session_ids(actions, need, seed).select(F.col("sessionId").alias("session_id"))
-    return session_rollup(actions.join(F.broadcast(ids), "session_id", "left_semi"), run_id)
+    ids = sample_session_ids(actions, need, seed, stats, small).select(F.col("sessionId").alias("session_id"))
+    return session_rollup(actions.join(F.broadcast(ids) if need <= small else ids, "session_id", "left_semi"), run_id, buckets)

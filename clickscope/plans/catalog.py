@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickscope.conditions import Condition
 from clickscope.operators import areas, categories, pages, products, professions, sessions
-from clickscope.operators.actions import ENRICHMENT, base_actions
+from clickscope.operators.actions import ENRICHMENT, base_actions, hot_users
+from clickscope.operators.ordering import measured_buckets
 from clickscope.plans.params import (
     FILTERS,
     FIXTURE_PROFESSIONS,
@@ -25,7 +26,14 @@ from clickscope.plans.params import (
     TARGET_FLOW,
     VISITS_DATE,
 )
-from clickscope.sources import load_fixture_tables, overwrite_table
+from clickscope.plans.sql import area_top3_by_sql, register_model_views
+from clickscope.sources import (
+    load_fixture_tables,
+    overwrite_table,
+    read_catalog_tables,
+    replace_run,
+    write_catalog_tables,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 PROF = ("professional",)
@@ -59,6 +67,41 @@ def _table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def _catalog_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date range over catalog tables whose log is partitioned by date."""
+    database = f"clickscope_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    write_catalog_tables(load_fixture_tables(spark, sf_dir), database)
+    return base_actions(read_catalog_tables(spark, database), FILTERS["filter_date_range"])
+
+
+def _runs_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs into one table, one of them repeated: its rows are there once."""
+    acts = base_actions(load_fixture_tables(spark, sf_dir), enrich=())
+    table = f"clickscope_runs_{uuid.uuid4().hex}"
+    for run_id, limit in (("run-a", 3), ("run-b", 10), ("run-a", 10)):
+        replace_run(categories.category_top10(acts, run_id, limit), table, run_id)
+    return spark.table(table)
+
+
+def _area_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = register_model_views(load_fixture_tables(spark, sf_dir), prefix=f"v{uuid.uuid4().hex}_")
+    return area_top3_by_sql(spark, names)
+
+
+# rows that make a (session, hour), or a user, hot in the driver's small tables
+HOT_ROWS, HOT_USER = 2, 20
+
+
+def _on_measured(fn: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """Run ``fn`` on base actions and their measured buckets, with a hot-user join."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = load_fixture_tables(spark, sf_dir)
+        acts = base_actions(tables, enrich=PROF, hot=hot_users(tables.actions, HOT_USER))
+        return fn(acts, measured_buckets(acts, HOT_ROWS))
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "city_dimension": _on_tables(lambda t: t.cities),
     "base_actions": _filtered(Condition()),
@@ -90,6 +133,12 @@ QUERIES: dict[str, Query] = {
     "hot_product_user_visits_day": _on_tables(lambda t: products.hot_product_user_visits(
         t, base_actions(t, enrich=("user_name",)), RUN_ID, date=VISITS_DATE)),
     "table_overwrite": _table_overwrite,
+    "catalog_date_range": _catalog_date_range,
+    "runs_replaced": _runs_replaced,
+    "area_top3_products_sql": _area_top3_sql,
+    "session_rollup_measured": _on_measured(lambda a, b: sessions.session_rollup(a, RUN_ID, b)),
+    "page_jumps_measured": _on_measured(lambda a, b: pages.page_jumps(a, TARGET_FLOW, b)),
+    "session_sample_large": _on_base(lambda a: sessions.session_sample(a, RUN_ID, SAMPLE_SIZE, SAMPLE_SEED, small=0), PROF),
 }
 
 

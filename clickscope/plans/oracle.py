@@ -348,3 +348,10 @@ ORDER BY a.action_time, a.action_id, b.product_id""",
 }
 ORACLE_SQL["hot_product_user_visits_day"] = ORACLE_SQL["hot_product_user_visits"].replace(
     "ORDER BY a.action_time", f"WHERE a.date = {_q(VISITS_DATE)}\nORDER BY a.action_time")
+ORACLE_SQL["runs_replaced"] = _with(CATEGORY_COUNTS, CATEGORY_TOP) + """
+SELECT * REPLACE ('run-a' AS taskId) FROM cat_top UNION ALL SELECT * REPLACE ('run-b' AS taskId) FROM cat_top"""
+# other ways to the same rows
+for _name, _same in (("catalog_date_range", "filter_date_range"), ("area_top3_products_sql", "area_top3_products"),
+                     ("session_rollup_measured", "session_rollup"), ("page_jumps_measured", "page_jumps"),
+                     ("session_sample_large", "session_sample")):
+    ORACLE_SQL[_name] = ORACLE_SQL[_same]

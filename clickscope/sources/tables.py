@@ -56,6 +56,20 @@ def read_catalog_tables(spark: SparkSession, database: str | None = None) -> Mod
     ).validate()
 
 
+def write_catalog_tables(tables: ModelTables, database: str | None = None) -> None:
+    """Write the four managed tables that ``read_catalog_tables`` reads.
+
+    The action log is partitioned by date, so that a condition on the date
+    prunes whole directories; the dimensions are plain tables.
+    """
+    from clickscope.sources.sinks import overwrite_table
+
+    prefix = f"{database}." if database else ""
+    overwrite_table(tables.actions, f"{prefix}user_visit_action", partition_by=["date"])
+    for name, df in (("user_info", tables.users), ("product_info", tables.products), ("city_info", tables.cities)):
+        overwrite_table(df, f"{prefix}{name}")
+
+
 # The shop's 26 cities and their areas (id, city, area).
 CITY_ROWS = [
     (1, "北京", "华北"), (2, "上海", "华东"), (3, "深圳", "华南"), (4, "广州", "华南"),

@@ -1,7 +1,7 @@
 import pytest
 
 from clickscope.conditions import Condition
-from clickscope.plans.app import RESULT_TABLES, _condition_from_json, run_demands
+from clickscope.plans.app import RESULT_TABLES, _condition_from_json, replace_in_table, run_demands
 from clickscope.sources import load_fixture_tables
 from clickscope.sources.tables import ModelTables
 
@@ -58,3 +58,41 @@ def test_repeated_dimension_keys_are_refused(spark):
     double = ModelTables(t.actions, t.users.unionByName(t.users), t.products, t.cities)
     with pytest.raises(ValueError, match="not unique"):
         run_demands(double, Condition(), "r", write=lambda n, d: None)
+
+
+def log_scans(df):
+    """How often the executed plan reads the log, repeated exchanges counted once."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return sum("FileScan" in line and ("event_id" in line or "event_type" in line or "ts#" in line) for line in text.splitlines())
+
+
+def test_demands_share_what_they_have_in_common(spark):
+    tables = load_fixture_tables(spark, SF)
+    rows, scans = {}, {}
+
+    def capture(name, df):
+        rows[name] = sorted(map(str, df.collect()))
+        scans[name] = log_scans(df)
+
+    condition = Condition(target_page_flow=(1, 2, 3))
+    run_demands(tables, condition, "r", write=capture)
+    together, rows = rows, {}
+    assert scans["session_stat"] == 0 and scans["category_top10"] == 0  # from the shared results, one scan each
+    assert scans["random_session_info"] == 1 and scans["top10_session_per_top10_cid"] == 1 and scans["area_top3_product"] == 1
+    assert sum(scans.values()) + 2 <= 10  # 13 before demands shared anything
+    for role in RESULT_TABLES:
+        run_demands(tables, condition, "r", write=capture, only=[role])
+    assert rows == together
+    rows = {}
+    run_demands(tables, condition, "r", write=capture, split_rows=2)  # hot users and hours are split
+    assert rows == together
+
+
+def test_a_repeated_run_replaces_its_results(spark):
+    tables = load_fixture_tables(spark, SF)
+    for run_id in ("r-1", "r-2", "r-1"):
+        run_demands(tables, Condition(), run_id, write=replace_in_table(run_id), only=["category_top10", "session_stat"],
+                    table_prefix="again_")
+    for name, n in (("again_category_top10", 10), ("again_session_stat", 1)):
+        assert sorted((r["taskId"], r["count"]) for r in spark.table(name).groupBy("taskId").count().collect()) == [("r-1", n), ("r-2", n)]

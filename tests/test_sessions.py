@@ -1,10 +1,12 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickscope.conditions import Condition
 from clickscope.operators import sessions
 from clickscope.operators.actions import base_actions
+from clickscope.sources import load_fixture_tables
 from tests.helpers import action, tables
 
 
@@ -103,3 +105,27 @@ def test_sample_is_complete_over_many_hours(spark):
             for i in range(2000)]
     ids = sessions.sample_session_ids(base_actions(tables(spark, rows)), need=1000).collect()
     assert len({r["sessionId"] for r in ids}) == len(ids) == 1000
+
+
+@pytest.mark.parametrize("need", [1, 7, 100, 1000, 100_000])
+def test_a_large_sample_draws_the_same_sessions(spark, need):
+    acts = base_actions(load_fixture_tables(spark, "/root/testdata/sf0.001"), enrich=())
+    one_hour = acts.withColumn("action_time", F.concat(F.lit("2024-01-01 10"), F.substring("action_time", 14, 6)))
+    for log in (acts, one_hour):
+        by_hour = sessions.sample_session_ids(log, need)
+        by_cell = sessions.sample_session_ids(log, need, small=0)
+        kept = sessions.sample_session_ids(log, need, stats=sessions.session_stats(log))
+        want = sorted(map(tuple, by_hour.collect()))
+        assert sorted(map(tuple, by_cell.collect())) == want and sorted(map(tuple, kept.collect())) == want
+        assert by_cell.schema == by_hour.schema
+
+
+def test_a_large_sample_is_not_broadcast(spark):
+    acts = base_actions(load_fixture_tables(spark, "/root/testdata/sf0.001"), enrich=())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [sessions.session_sample(acts, "r", need, small=1000)._jdf.queryExecution().executedPlan().toString() for need in (1000, 1001)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]

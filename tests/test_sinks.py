@@ -1,4 +1,7 @@
-from clickscope.sources import overwrite_table
+import pytest
+from pyspark.sql import functions as F
+
+from clickscope.sources import overwrite_table, replace_run
 
 
 def test_overwrite_replaces_rows(spark):
@@ -8,3 +11,39 @@ def test_overwrite_replaces_rows(spark):
     assert spark.table("sink_test").count() == 2
     overwrite_table(df.limit(1), "sink_test")
     assert spark.table("sink_test").count() == 1
+
+
+def test_overwrite_with_partitions_and_a_path(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2018-11-01"), (2, "2018-11-02")], "id long, date string")
+    overwrite_table(df, "sink_parts", partition_by=["date"], path=str(tmp_path / "parts"))
+    assert sorted(p.name for p in (tmp_path / "parts").iterdir() if p.is_dir()) == ["date=2018-11-01", "date=2018-11-02"]
+    overwrite_table(df.where("id = 2"), "sink_parts", partition_by=["date"], path=str(tmp_path / "parts"))
+    assert [tuple(r) for r in spark.table("sink_parts").collect()] == [(2, "2018-11-02")]
+
+
+def run_of(spark, run_id, *values):
+    return spark.createDataFrame([(run_id, v, None) for v in values], "taskId string, v long, note string")
+
+
+def held(spark, table):
+    return sorted((r["taskId"], r["v"]) for r in spark.table(table).collect())
+
+
+def test_a_repeated_run_replaces_its_own_rows_only(spark):
+    replace_run(run_of(spark, "r-1", 1, 2), "sink_runs", "r-1")
+    replace_run(run_of(spark, "0007", 3), "sink_runs", "0007")
+    replace_run(run_of(spark, "o'k\\n", 4), "sink_runs", "o'k\\n")
+    assert held(spark, "sink_runs") == [("0007", 3), ("o'k\\n", 4), ("r-1", 1), ("r-1", 2)]
+    replace_run(run_of(spark, "r-1", 5).select("note", "v", "taskId"), "sink_runs", "r-1")  # any column order
+    assert held(spark, "sink_runs") == [("0007", 3), ("o'k\\n", 4), ("r-1", 5)]
+    replace_run(run_of(spark, "0007").limit(0), "sink_runs", "0007")  # the run has no rows now
+    assert held(spark, "sink_runs") == [("o'k\\n", 4), ("r-1", 5)]
+
+
+def test_rows_of_another_run_are_refused_and_nothing_is_lost(spark):
+    replace_run(run_of(spark, "a", 1), "sink_refused", "a")
+    with pytest.raises(Exception, match="not of run a"):
+        replace_run(run_of(spark, "b", 2), "sink_refused", "a")
+    with pytest.raises(ValueError, match="columns"):
+        replace_run(run_of(spark, "a", 2).withColumn("more", F.lit(1)), "sink_refused", "a")
+    assert held(spark, "sink_refused") == [("a", 1)]

@@ -1,7 +1,15 @@
 import pytest
 
 from clickscope import schemas
-from clickscope.sources import default_city_info, duplicate_keys, load_fixture_tables
+from clickscope.conditions import Condition
+from clickscope.operators.actions import base_actions
+from clickscope.sources import (
+    default_city_info,
+    duplicate_keys,
+    load_fixture_tables,
+    read_catalog_tables,
+    write_catalog_tables,
+)
 from clickscope.sources.tables import ModelTables
 from tests.helpers import tables
 
@@ -35,3 +43,34 @@ def test_built_in_city_table(spark):
     cities = default_city_info(spark)
     assert cities.count() == 26
     assert cities.select("area").distinct().count() == 7
+
+
+def test_catalog_tables_partitioned_by_date_are_pruned(spark):
+    t = load_fixture_tables(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS catalog_test")
+    write_catalog_tables(t, "catalog_test")
+    back = read_catalog_tables(spark, "catalog_test")
+    for role in ("actions", "users", "products", "cities"):
+        mine, theirs = getattr(back, role), getattr(t, role)
+        assert sorted(mine.columns) == sorted(theirs.columns)
+        assert mine.select(*theirs.columns).exceptAll(theirs).isEmpty() and mine.count() == theirs.count()
+    condition = Condition(start_date="2024-01-05", end_date="2024-01-06")
+    acts = base_actions(back, condition, enrich=())
+    scan = next(x for x in acts._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x and "date" in x)
+    filters = scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert ">= 2024-01-05" in filters and "<= 2024-01-06" in filters
+    assert sorted(map(str, acts.collect())) == sorted(map(str, base_actions(t, condition, enrich=()).collect()))
+    # the application's own way to its tables
+    spark.sql("USE catalog_test")
+    try:
+        assert read_catalog_tables(spark).users.count() == t.users.count()
+    finally:
+        spark.sql("USE default")
+
+
+def test_catalog_tables_with_other_columns_are_refused(spark):
+    t = load_fixture_tables(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS catalog_bad")
+    write_catalog_tables(ModelTables(t.actions, t.users.drop("age"), t.products, t.cities), "catalog_bad")
+    with pytest.raises(schemas.SchemaMismatch, match="age"):
+        read_catalog_tables(spark, "catalog_bad")
