@@ -45,11 +45,12 @@ from pyspark.sql import functions as F
 from clickscope.llm.common import importable_by_workers, pick
 
 WINDOW = 20
-MINIMISER = 4
+MINIMISER = 3
 BUCKET_STRINGS = 50_000     # super-k-mers that a bucket aims at
 GROUP_BYTES = 4 << 20       # text looked at together
-FLUSH_BYTES = 32 << 20      # text whose strings are packed together
+FLUSH_BYTES = 16 << 20      # text whose strings are packed together
 HASH_BYTES = 1 << 20        # bytes hashed at a time
+ZSTD_LEVEL = 6
 RUNS_A_BLOB = 1 << 16
 LEAST_ID = -(1 << 63)
 
@@ -201,7 +202,7 @@ def _merged(doc: np.ndarray, a: np.ndarray, b: np.ndarray):
 
 def _pack(arrays: list[np.ndarray], tail: bytes = b"") -> bytes:
     raw = b"".join([np.int64(len(arrays[0])).tobytes(), *[np.ascontiguousarray(x).tobytes() for x in arrays], tail])
-    return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+    return np.int64(len(raw)).tobytes() + pa.Codec("zstd", compression_level=ZSTD_LEVEL).compress(raw, asbytes=True)
 
 
 def _unpack(blob: bytes, kinds: list[str]) -> tuple[list[np.ndarray], bytes]:
