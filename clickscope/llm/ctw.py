@@ -7,39 +7,60 @@ Krichevsky-Trofimov estimate. Context-tree weighting mixes the estimates of
 all depths: a context's weighted probability is half its own estimate and half
 the product of its children's, and the posterior of the two halves weighs a
 prediction along the path from the longest context to the empty one. A
-context never seen predicts one half. A text is scored with two start marks
-before it and one end mark after it (0xFF, a byte UTF-8 never has); the score
-is the log10 probability of its bytes and the end mark.
-
-The model of depth two is at most 65,792 rows of 256 floats (65 MB), whatever
-the corpus; this bound is why ``depth`` goes no further. It is broadcast.
-
-Unigram base. Word counts of the training documents grow with the corpus, so
-they are never broadcast: documents are dealt to chunks of bounded size by a
-hash, each chunk asks once for each of its distinct words, the answers come
-back by a shuffle join on the word, and chunk and answers are scored together.
+context never seen predicts one half. A text is scored with start marks before
+it and one end mark after it (0xFF, a byte UTF-8 never has); the score is the
+log10 probability of its bytes and the end mark.
+
+How it is spread. The tree grows with the corpus, so nobody holds it.
+
+1. One pass over the texts packs them into chunks of some megabytes, and with
+   every chunk its distinct byte grams (``depth`` bytes and the next one) and
+   its distinct words, each with the number of times it was trained on. Grams
+   go to buckets by the last ``KEY_BYTES`` bytes of their context, words by
+   their hash, so a gram or word, however frequent, is sent once per chunk.
+2. A bucket merges the counts of its grams. It holds whole subtrees, all
+   contexts that end in the same bytes, and weights them from the deepest
+   contexts up. What the contexts above need, sums per (context, node), leaves
+   it as plain rows.
+3. Those are combined depth by depth with ``groupBy``, up to the empty context.
+   These shortest contexts, of fewer than ``KEY_BYTES`` bytes, are at most
+   65,793 with 255 nodes each, whatever the corpus; as 12 bytes a node they
+   are at most 201 MB, and they are broadcast.
+4. The buckets answer: the log10 probability of each gram that a chunk asked
+   for, by the way of its contexts from the longest to the empty one.
+5. Answers come back to their chunk by a shuffle on the chunk's number, and
+   its texts are scored from them. Word counts travel the same way.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import importable_by_workers, pick, written
+from clickscope.llm.common import durable, importable_by_workers, pick
+from clickscope.session import checkpoint_dir
 
 MARK = 0xFF
-DEPTH = 2
+DEPTH = 6
+MOST_DEPTH = 6  # a gram is one 64-bit integer
+KEY_BYTES = 3
 END = b" "  # the end token; no word has a space
-CHUNK_CHARS = 8_000_000
-COUNT_BYTES = 8 << 20  # text that is counted before counts leave the task
-SCORE_BYTES = 1 << 20  # text that is scored in one array
+CHUNK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20    # text whose grams are worked out in one array
+BUCKET_BYTES = 8 << 20   # text per bucket of grams and words
+EVALUATED = 1 << 18      # grams that are evaluated in one array
+ZSTD_LEVEL = 3
+_HALF = math.log(0.5)
 
 
 def held_out(ident: Column) -> Column:
@@ -47,17 +68,12 @@ def held_out(ident: Column) -> Column:
     return F.coalesce(F.crc32(ident.cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
-def _marked(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one byte array, each between its marks, and where each begins."""
-    start = bytes([MARK]) * depth
-    flat = np.frombuffer(b"".join([start + t + b"\xff" for t in texts]), dtype=np.uint8)
-    lengths = np.array([len(t) + depth + 1 for t in texts])
-    return flat, np.cumsum(lengths) - lengths
-
-
 def gram_codes(texts: list[bytes], depth: int) -> np.ndarray:
     """For every scored byte: the ``depth`` bytes before it and itself, as one integer."""
-    flat, begins = _marked(texts, depth)
+    start = bytes([MARK]) * depth
+    flat = np.frombuffer(b"".join([start + t + b"\xff" for t in texts]), dtype=np.uint8)
+    lengths = np.array([len(t) + depth + 1 for t in texts], dtype=np.int64)
+    begins = np.cumsum(lengths) - lengths
     codes = np.zeros(len(flat), dtype=np.int64)
     for back in range(depth, 0, -1):
         codes[back:] |= flat[:-back].astype(np.int64) << (8 * back)
@@ -68,208 +84,402 @@ def gram_codes(texts: list[bytes], depth: int) -> np.ndarray:
     return codes[scored]
 
 
-def _lgamma(x: np.ndarray) -> np.ndarray:
-    """Log-gamma for x > 0 by Stirling's series, shifted up by eight."""
-    shift = np.zeros_like(x)
-    for k in range(8):
-        shift += np.log(x + k)
-    y = x + 8
-    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5)
-    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
-
-
-def _nodes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at the 255 bit nodes (columns 1..255) of rows of 256 byte counts."""
-    tree = np.zeros((len(counts), 512))
-    tree[:, 256:] = counts
-    for level in range(7, -1, -1):
-        lo, hi = 1 << level, 2 << level
-        tree[:, lo:hi] = tree[:, 2 * lo:2 * hi:2] + tree[:, 2 * lo + 1:2 * hi:2]
-    at = np.arange(256)
-    return tree[:, 2 * at], tree[:, 2 * at + 1]
+def _blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    block, size = [], 0
+    for t in texts:
+        block.append(t)
+        size += len(t) + 8
+        if size >= BLOCK_BYTES:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def _summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and the counts added up for each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return (keys[first], *[np.add.reduceat(c[order], first) if len(first) else c[:0] for c in counts])
+
+
+def gram_counts(texts: list[bytes], learn: list[bool], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of all texts in order, and how often those to learn from have them."""
+    parts = []
+    for wanted in (True, False):
+        for block in _blocks([t for t, ok in zip(texts, learn) if ok is wanted]):
+            codes, n = np.unique(gram_codes(block, depth), return_counts=True)
+            parts.append((codes, n if wanted else np.zeros_like(n)))
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    codes, n = _summed(*[np.concatenate(x) for x in zip(*parts)])
+    return codes, n
+
+
+@lru_cache(maxsize=1)
+def _log_gammas() -> tuple[np.ndarray, np.ndarray]:
+    """log gamma(n + 1/2) and log gamma(n + 1) for small whole n."""
+    return (np.array([math.lgamma(n + 0.5) for n in range(4096)]), np.array([math.lgamma(n + 1) for n in range(4096)]))
+
+
+def _lgamma(n: np.ndarray, half: bool) -> np.ndarray:
+    """log gamma(n + 1/2) or log gamma(n + 1) of whole n, by table or by Stirling's series."""
+    table = _log_gammas()[0 if half else 1]
+    out = table[np.minimum(n, len(table) - 1)]
+    large = np.flatnonzero(n >= len(table))
+    if len(large):
+        y = n[large].astype(np.float64) + (0.5 if half else 1.0)
+        out[large] = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3)
+    return out
 
 
 def _kt(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log block probability and probability of a next one, per node."""
-    block = _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - _lgamma(zeros + ones + 1) - math.log(math.pi)
-    return block, (ones + 0.5) / (zeros + ones + 1)
+    block = _lgamma(zeros, True) + _lgamma(ones, True) - _lgamma(zeros + ones, False) - math.log(math.pi)
+    return block, (ones + 0.5) / (zeros + ones + 1.0)
 
 
-class ContextTree:
-    """Weighted log10 probabilities of the next byte after every context.
+def _mixed(block: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted log probability of nodes with children, and their own estimate's share of it."""
+    weighted = _HALF + np.logaddexp(block, below)
+    return weighted, np.exp(_HALF + block - weighted)
 
-    ``rows`` maps a context of ``depth`` bytes to a row of ``table``.
-    """
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, depth: int = DEPTH):
-        if not 0 <= depth <= 2:
-            raise ValueError("the model's size has a proven bound for depth 0 to 2 only")
-        self.depth = depth
-        levels = []  # per depth: sorted contexts, log block, P(one), log weighted
-        for d in range(depth + 1):
-            short = codes & ((1 << 8 * (d + 1)) - 1)
-            context, byte = short >> 8, short & 255
-            seen, place = np.unique(context, return_inverse=True)
-            table = np.zeros((len(seen), 256))
-            np.add.at(table, (place, byte), counts)
-            levels.append([seen, *_kt(*_nodes(table)), None])
-        for d in range(depth, -1, -1):
-            seen, block = levels[d][:2]
-            if d == depth:
-                levels[d][3] = block
-                continue
-            below, _, _, weighted = levels[d + 1]
-            children = np.zeros_like(block)
-            np.add.at(children, np.searchsorted(seen, below & ((1 << 8 * d) - 1)), weighted)
-            levels[d][3] = math.log(0.5) + np.logaddexp(block, children)
-        # a context that training never saw below a seen one, and below that nothing
-        half = np.full((1, 256), 0.5)
-        contexts = np.arange(1 << 8 * depth, dtype=np.int64)
-        kinds = np.zeros(len(contexts), dtype=np.int64)  # which row of each depth a context uses, as one number
-        for d in range(depth + 1):
-            seen = levels[d][0]
-            short = contexts & ((1 << 8 * d) - 1)
-            at = np.searchsorted(seen, short)
-            known = seen[np.minimum(at, len(seen) - 1)] == short if len(seen) else np.zeros(len(short), dtype=bool)
-            kinds = kinds * (len(seen) + 1) + np.where(known, at, len(seen))
-        distinct, self.rows = np.unique(kinds, return_inverse=True)
-        one = None
-        rest = distinct.copy()
-        for d in range(depth, -1, -1):
-            seen, block, estimate, weighted = levels[d]
-            rest, use = np.divmod(rest, len(seen) + 1)
-            own = np.concatenate([estimate, half])[use]
-            if one is None:
-                one = own
-            else:
-                share = np.concatenate([np.exp(math.log(0.5) + block - weighted), half])[use]
-                one = share * own + (1 - share) * one
-        log = np.zeros((len(distinct), 512))
-        for node in range(1, 256):
-            log[:, 2 * node] = log[:, node] + np.log10(1 - one[:, node])
-            log[:, 2 * node + 1] = log[:, node] + np.log10(one[:, node])
-        self.rows = self.rows.astype(np.int32).ravel()
-        self.table = log[:, 256:].astype(np.float32)
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text with its end mark."""
-        if not texts:
-            return np.empty(0)
-        codes = gram_codes(texts, self.depth)
-        logs = self.table[self.rows[codes >> 8], codes & 255]
-        lengths = np.array([len(t) + 1 for t in texts])
-        return np.add.reduceat(logs.astype(np.float64), np.cumsum(lengths) - lengths)
-
-
-def _count(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
-    """(word, gram, n): partial counts of words and of byte grams, about ``COUNT_BYTES`` of text at a time."""
-    texts: list[bytes] = []
-    size = 0
-
-    def out() -> pa.RecordBatch:
-        words = Counter()
-        for t in texts:
-            words.update(t.lower().split())
-        words[END] = len(texts)
-        grams, n = np.unique(gram_codes(texts, depth), return_counts=True)
-        keys = pa.array([*words.keys()], pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([keys, pa.nulls(len(grams), pa.binary())]),
-             pa.concat_arrays([pa.nulls(len(keys), pa.int64()), pa.array(grams, pa.int64())]),
-             pa.array(np.concatenate([np.fromiter(words.values(), np.int64, len(words)), n]), pa.int64())],
-            names=["word", "gram", "n"])
-
-    for batch in batches:
-        for text in batch.column(0).cast(pa.binary()):
-            t = text.as_py() or b""
-            texts.append(t)
-            size += len(t) + 64
-            if size >= COUNT_BYTES:
-                yield out()
-                texts, size = [], 0
-    if texts:
-        yield out()
-
-
-def train(docs: DataFrame, depth: int = DEPTH, text_col: str = "text") -> tuple[ContextTree, DataFrame]:
-    """The context tree and the word counts (word, n) of all of ``docs``; the end mark counts as a word."""
-    importable_by_workers(docs.sparkSession)
-    counts = written(pick(docs, text_col).mapInArrow(lambda b: _count(b, depth), "word binary, gram bigint, n bigint"),
-                     "lm-counts")
-    grams = counts.where("word is null").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()  # at most 256^3 rows
-    words = written(counts.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
-    return ContextTree(grams["gram"].to_numpy(np.int64), grams["n"].to_numpy(np.float64), depth), words
+def _splits(codes: np.ndarray, counts: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes of one bit level of (context, byte) ``codes`` in order: keys context * 256 + node, zeros, ones."""
+    byte = codes & 255
+    keys = (codes >> 8 << 8) | (1 << level) | (byte >> (8 - level))
+    one = (byte >> (7 - level) & 1).astype(bool)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(np.where(one, 0, counts), first), np.add.reduceat(np.where(one, counts, 0), first)
 
 
-def score_documents(docs: DataFrame, tree: ContextTree, words: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) per row of ``docs``.
+class Subtrees:
+    """All contexts of ``top`` to ``depth`` bytes of some grams with their weights.
+
+    ``codes`` are distinct grams in order that have every trained gram with
+    the same last ``top`` context bytes. ``tables[d][level]`` has keys, the
+    own estimate's share, and P(one); ``roots`` the (keys, zeros, ones,
+    weighted) of the contexts of ``top`` bytes.
+    """
 
-    A null text counts as empty. Repeated rows are scored each; a null id
-    stays null. Without training documents every word is unknown. An empty
-    table gives an empty result. Extra columns are ignored.
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, depth: int, top: int) -> None:
+        self.depth, self.top = depth, top
+        self.tables: dict[int, list] = {}
+        self.roots: list[tuple] = []
+        below: list = [None] * 8
+        codes, counts = codes[counts > 0], counts[counts > 0]
+        for d in range(depth, top - 1, -1):
+            if d < depth:
+                codes, counts = _summed(codes & ((1 << 8 * (d + 1)) - 1), counts)
+            self.tables[d] = []
+            for level in range(8 if len(codes) else 0):
+                keys, zeros, ones = _splits(codes, counts, level)
+                block, one = _kt(zeros, ones)
+                if d == depth:
+                    weighted, share = block, np.ones_like(block)
+                else:
+                    sums = np.bincount(np.searchsorted(keys, below[level][0] & ((1 << 8 * (d + 1)) - 1)), below[level][1], len(keys))
+                    weighted, share = _mixed(block, sums)
+                below[level] = (keys, weighted)
+                self.tables[d].append((keys, share, one))
+                if d == top:
+                    self.roots.append((keys, zeros, ones, weighted))
+
+    def logs(self, asked: np.ndarray, above: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """log10 probability of the last byte of each asked gram.
+
+        ``above[d]`` has keys, share and P(one) of the contexts of d bytes,
+        for d below ``top``.
+        """
+        out = np.zeros(len(asked))
+        for at in range(0, len(asked), EVALUATED):
+            part = asked[at:at + EVALUATED]
+            byte = part & 255
+            for level in range(8):
+                node = (1 << level) | (byte >> (8 - level))
+                p = np.full(len(part), 0.5)
+                for d in range(self.depth, -1, -1):
+                    if d >= self.top:
+                        tables = self.tables.get(d)
+                        if not tables:
+                            continue
+                        keys, share, one = tables[level]
+                    else:
+                        keys, share, one = above[d]
+                    if not len(keys):
+                        continue
+                    key = (((part >> 8) & ((1 << 8 * d) - 1)) << 8) | node
+                    place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                    known = keys[place] == key
+                    p = np.where(known, share[place] * one[place] + (1 - share[place]) * p, p)
+                out[at:at + EVALUATED] += np.log10(np.where(byte >> (7 - level) & 1, p, 1 - p))
+        return out
+
+
+def _pack(*parts: np.ndarray | bytes) -> bytes:
+    """Arrays and byte strings as one compressed blob; whole numbers in order pack best as differences."""
+    raw = [np.int64(len(parts)).tobytes()]
+    for p in parts:
+        data = p if isinstance(p, bytes) else np.ascontiguousarray(p.view(np.uint8).reshape(len(p), p.itemsize).T).tobytes()
+        raw += [np.int64(len(data)).tobytes(), data]
+    whole = b"".join(raw)
+    return np.int64(len(whole)).tobytes() + pa.Codec("zstd", compression_level=ZSTD_LEVEL).compress(whole, asbytes=True)
+
+
+def _unpack(blob: bytes, *kinds: str | None) -> list:
+    """Back from ``_pack``; a kind is a number type, or None for a byte string."""
+    raw = pa.decompress(blob[8:], decompressed_size=int(np.frombuffer(blob[:8], "<i8")[0]), codec="zstd", asbytes=True)
+    at, out = 8, []
+    for kind in kinds:
+        size = int(np.frombuffer(raw, "<i8", 1, at)[0])
+        data = raw[at + 8:at + 8 + size]
+        if kind is None:
+            out.append(data)
+        else:
+            width = np.dtype(kind).itemsize
+            out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel())
+        at += 8 + size
+    return out
+
+
+def _differences(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=np.int64(0))
+
+
+def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its items, in order)."""
+    order = np.argsort(bucket, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield int(bucket[order[lo]]), order[lo:hi]
+
+
+def _gram_bucket(codes: np.ndarray, top: int, buckets: int) -> np.ndarray:
+    """Bucket of the last ``top`` bytes of the context, spread by a multiplication."""
+    context = ((codes >> 8) & ((1 << 8 * top) - 1)).astype(np.uint64)
+    return ((context * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _tokens(text: bytes) -> list[bytes]:
+    return [*text.lower().split(), END]
+
+
+def _chunk_rows(ids: list, texts: list[bytes], learn: list[bool], depth: int, buckets: int) -> list[tuple]:
+    """(kind, chunk, bucket, blob) of one chunk: its texts, its grams per bucket, its words per bucket."""
+    chunk = uuid.uuid4().int >> 65
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([ids], names=["id"])
+    with pa.ipc.new_stream(sink, batch.schema) as writer:  # ids keep their type
+        writer.write_batch(batch)
+    rows = [("text", chunk, 0, _pack(sink.getvalue().to_pybytes(), lengths, b"".join(texts)))]
+    codes, n = gram_counts(texts, learn, depth)
+    for bucket, at in _by_bucket(_gram_bucket(codes, min(KEY_BYTES, depth), buckets)):
+        rows.append(("gram", chunk, bucket, _pack(_differences(codes[at]), n[at])))
+    counts: Counter = Counter()
+    for t, ok in zip(texts, learn):
+        if ok:
+            counts.update(_tokens(t))
+        else:
+            counts.update(dict.fromkeys(set(_tokens(t)) - counts.keys(), 0))
+    words = sorted(counts)
+    for bucket, at in _by_bucket(np.array([xxhash.xxh64_intdigest(w) % buckets for w in words], dtype=np.int64)):
+        own = [words[i] for i in at.tolist()]
+        rows.append(("word", chunk, bucket, _pack(b"\n".join(own), np.array([counts[w] for w in own], dtype=np.int64))))
+    return rows
+
+
+def _write_chunks(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """Pack (id, text, learn) into chunks; a table in the shared folder, one folder per kind of row."""
+    spark = rows.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, texts, learn, size = [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            found = _chunk_rows(pa.concat_arrays(ids), texts, learn, depth, buckets)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in found], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.binary()))],
+                names=["kind", "chunk", "bucket", "blob"])
+
+        for batch in batches:
+            column, ok, at = batch.column(1), batch.column(2).to_pylist(), 0
+            for i in range(batch.num_rows):
+                text = column[i].as_py()
+                texts.append(text)
+                learn.append(ok[i])
+                size += len(text) + 64
+                if size >= CHUNK_BYTES:
+                    ids.append(batch.column(0).slice(at, i + 1 - at))
+                    yield flush()
+                    ids, texts, learn, size, at = [], [], [], 0, i + 1
+            if at < batch.num_rows:
+                ids.append(batch.column(0).slice(at))
+        if texts:
+            yield flush()
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lm-chunks-{uuid.uuid4().hex}"
+    table = rows.mapInArrow(run, "kind string, chunk bigint, bucket bigint, blob binary")
+    table.write.partitionBy("kind").parquet(path)
+    return spark.read.schema("chunk bigint, bucket bigint, blob binary, kind string").parquet(path)
+
+
+def _merged_grams(blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The grams of each blob, and all distinct ones with their summed counts."""
+    asked, counts = [], []
+    for blob in blobs:
+        steps, n = _unpack(blob, "<i8", "<i8")
+        asked.append(np.cumsum(steps))
+        counts.append(n)
+    return asked, *_summed(np.concatenate(asked), np.concatenate(counts))
+
+
+def _shortest_contexts(chunks: DataFrame, depth: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys, share and P(one) of all contexts of fewer than ``KEY_BYTES`` bytes, by their length.
+
+    The subtrees' roots are combined depth by depth: counts and weighted logs
+    are added up per (context, node) by ``groupBy``, then each row is weighted.
     """
-    spark = docs.sparkSession
-    importable_by_workers(spark)
+    top = min(KEY_BYTES, depth)
+    kind = "key bigint, zeros bigint, ones bigint, weighted double"
+    if top == 0:
+        return []
+
+    def roots(table: pa.Table) -> pa.Table:
+        _, codes, counts = _merged_grams(table.column("blob").to_pylist())
+        found = Subtrees(codes, counts, depth, top).roots or [(np.empty(0, np.int64),) * 3 + (np.empty(0),)]
+        keys, zeros, ones, weighted = (np.concatenate(x) for x in zip(*found))
+        keys = keys & ((1 << 8 * top) - 1)  # drop the context's first byte: the parent's key
+        order = np.argsort(keys, kind="stable")
+        keys, zeros, ones, weighted = _summed(keys[order], zeros[order], ones[order], weighted[order])
+        return pa.table([pa.array(keys), pa.array(zeros), pa.array(ones), pa.array(weighted)], names=["key", "zeros", "ones", "weighted"])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, zeros, ones, below = (b.column(i).to_numpy() for i in range(4))
+            block, one = _kt(zeros, ones)
+            weighted, share = _mixed(block, below)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, zeros, ones, weighted, share, one)],
+                                             names=["key", "zeros", "ones", "weighted", "share", "one"])
+
+    rows = chunks.where("kind = 'gram'").groupBy("bucket").applyInArrow(roots, kind)
+    above: list = []
+    for d in range(top - 1, -1, -1):
+        sums = rows.groupBy("key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted"))
+        level = durable(sums.mapInArrow(weigh, f"{kind}, share double, one double"))
+        told = level.select(F.col("key").cast("int"), F.col("share").cast("float"), F.col("one").cast("float")).toArrow()
+        key, share, one = (told.column(i).to_numpy() for i in range(3))
+        order = np.argsort(key)
+        above.insert(0, (key[order].astype(np.int32), share[order], one[order]))
+        rows = level.select(F.col("key").bitwiseAND((1 << 8 * d) - 1).alias("key"), "zeros", "ones", "weighted")
+    return above
+
+
+def _answers(chunks: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(chunk, kind, blob): the log10 probabilities and word counts that each chunk asked for."""
+    spark = chunks.sparkSession
+    top = min(KEY_BYTES, depth)
+    above = spark.sparkContext.broadcast(_shortest_contexts(chunks, depth))
+
+    def grams(table: pa.Table) -> pa.Table:
+        asked, codes, counts = _merged_grams(table.column("blob").to_pylist())
+        logs = Subtrees(codes, counts, depth, top).logs(codes, above.value).astype(np.float32)
+        blobs = [_pack(_differences(a), logs[np.searchsorted(codes, a)]) for a in asked]
+        return pa.table({"chunk": table.column("chunk"), "kind": pa.array(["gram"] * len(blobs)), "blob": pa.array(blobs, pa.binary())})
+
+    def words(table: pa.Table) -> pa.Table:
+        asked, counts = [], Counter()
+        for blob in table.column("blob").to_pylist():
+            text, n = _unpack(blob, None, "<i8")
+            asked.append(text.split(b"\n"))
+            for w, k in zip(asked[-1], n.tolist()):
+                counts[w] += k
+        blobs = [_pack(b"\n".join(ws), np.array([counts[w] for w in ws], dtype=np.int64)) for ws in asked]
+        known = [n for n in counts.values() if n]
+        totals = _pack(np.array([sum(known), len(known)], dtype=np.int64))
+        return pa.table({"chunk": pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
+                         "kind": pa.array(["word"] * len(blobs) + ["total"]), "blob": pa.array([*blobs, totals], pa.binary())})
+
+    schema = "chunk bigint, kind string, blob binary"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lm-answers-{uuid.uuid4().hex}"
+    (chunks.where("kind = 'gram'").groupBy("bucket").applyInArrow(grams, schema)
+     .unionByName(chunks.where("kind = 'word'").groupBy("bucket").applyInArrow(words, schema))
+     .write.partitionBy("kind").parquet(path))
+    return spark.read.schema("chunk bigint, blob binary, kind string").parquet(path)
+
+
+def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text",
+          bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Learn from the rows of ``docs`` where ``learn`` holds, score all of them.
+
+    Returns (id, n_tokens, n_known, train_tokens, base_score, score,
+    bits_per_byte) per row. ``base_score`` is the unigram word model's log10
+    probability. A null text counts as empty. Repeated rows count, and are
+    scored, each; a null id stays null. Without training documents every word
+    is unknown and every bit has probability one half. An empty table gives an
+    empty result. Extra columns are ignored. Runs jobs: the packed chunks, the
+    shortest contexts and the answers are written to the shared folder.
+    """
+    if not 0 <= depth <= MOST_DEPTH:
+        raise ValueError(f"the depth is 0 to {MOST_DEPTH}")
+    importable_by_workers(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
+                       F.coalesce(learn, F.lit(False)).alias("learn"))
+    size = rows.agg(F.coalesce(F.sum(F.length("text").cast("bigint") + 64), F.lit(0))).first()[0]
+    buckets = max(1, math.ceil(size / bucket_bytes))
+    chunks = _write_chunks(rows, depth, buckets)
+    answers = _answers(chunks, depth, buckets)
+    total = distinct = 0
+    # one row per bucket of words
+    for row in answers.where("kind = 'total'").select("blob").toLocalIterator():
+        part, = _unpack(bytes(row["blob"]), "<i8")
+        total, distinct = total + int(part[0]), distinct + int(part[1])
     per_token = math.log10(total + 0.1 * (distinct + 1))
-    rows = pick(docs, id_col, text_col).toDF("id", "text")
-    chars = rows.agg(F.coalesce(F.sum(F.length("text").cast("bigint") + 64), F.lit(0))).first()[0]
-    chunks = max(1, math.ceil(chars / chunk_chars))
-    dealt = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).alias("chunk"), "id", "text")
-    model = spark.sparkContext.broadcast((tree.depth, tree.rows, tree.table))
-
-    def distinct_words(key: tuple, group: pa.Table) -> pa.Table:
-        found: set[bytes] = {END}
-        for text in group.column("text").cast(pa.binary()).to_pylist():
-            found.update((text or b"").lower().split())
-        return pa.table({"chunk": pa.array([key[0].as_py()] * len(found), pa.int64()), "word": pa.array(list(found), pa.binary())})
-
-    def score(key: tuple, group: pa.Table, answers: pa.Table) -> pa.Table:
-        tree = ContextTree.__new__(ContextTree)
-        tree.depth, tree.rows, tree.table = model.value
-        logs = np.log10(answers.column("n").to_numpy() + 0.1).tolist()
-        known = dict(zip(answers.column("word").to_pylist(), logs))
-        unknown = math.log10(0.1)
-        n_tokens, n_known, base, scores, bits = [], [], [], [], []
-        column = group.column("text").cast(pa.binary())
-        batch: list[bytes] = []
-        size = 0
-
-        def flush() -> None:
-            found = tree.score(batch)
-            scores.extend(found.tolist())
-            bits.extend((-s * math.log2(10) / (len(t) + 1)) for s, t in zip(found.tolist(), batch))
-
-        for value in column:
-            text = value.as_py() or b""
-            tokens = text.lower().split()
-            tokens.append(END)
-            values = np.fromiter(map(known.get, tokens, repeat(np.nan)), np.float64, len(tokens))
+
+    def scored(key: tuple, texts_: pa.Table, told: pa.Table) -> pa.Table:
+        codes, logs, known = [], [], {}
+        for kind, blob in zip(told.column("kind").to_pylist(), told.column("blob").to_pylist()):
+            if kind == "gram":
+                steps, values = _unpack(blob, "<i8", "<f4")
+                codes.append(np.cumsum(steps))
+                logs.append(values)
+            else:
+                text, n = _unpack(blob, None, "<i8")
+                known.update((w, k) for w, k in zip(text.split(b"\n"), n.tolist()) if k)
+        codes, logs = np.concatenate(codes), np.concatenate(logs)
+        order = np.argsort(codes)
+        codes, logs = codes[order], logs[order].astype(np.float64)
+        words = dict(zip(known, np.log10(np.fromiter(known.values(), np.float64, len(known)) + 0.1).tolist()))
+        ids, lengths, data = _unpack(texts_.column("blob")[0].as_py(), None, "<i8", None)
+        ends = np.cumsum(lengths).tolist()
+        texts = [data[e - n:e] for e, n in zip(ends, lengths.tolist())]
+        n_tokens, n_known, base, scores = [], [], [], []
+        for t in texts:
+            tokens = _tokens(t)
+            values = np.fromiter(map(words.get, tokens, repeat(np.nan)), np.float64, len(tokens))
             hit = ~np.isnan(values)
             n_tokens.append(len(tokens))
             n_known.append(int(hit.sum()))
-            base.append(float(values[hit].sum()) + (len(tokens) - n_known[-1]) * unknown - len(tokens) * per_token)
-            batch.append(text)
-            size += len(text) + 64
-            if size >= SCORE_BYTES:
-                flush()
-                batch, size = [], 0
-        flush()
-        return pa.table({"id": group.column("id"), "n_tokens": pa.array(n_tokens, pa.int64()),
+            base.append(float(values[hit].sum()) + (len(tokens) - n_known[-1]) * math.log10(0.1) - len(tokens) * per_token)
+        for block in _blocks(texts):
+            sizes = np.array([len(t) + 1 for t in block])
+            values = logs[np.searchsorted(codes, gram_codes(block, depth))]
+            scores += np.add.reduceat(values, np.cumsum(sizes) - sizes).tolist()
+        bits = [-s * math.log2(10) / (len(t) + 1) for s, t in zip(scores, texts)]
+        return pa.table({"id": pa.ipc.open_stream(ids).read_all().column("id"), "n_tokens": pa.array(n_tokens, pa.int64()),
                          "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()),
                          "score": pa.array(scores, pa.float64()), "bits_per_byte": pa.array(bits, pa.float64())})
 
-    asked = dealt.groupBy("chunk").applyInArrow(distinct_words, "chunk bigint, word binary")
-    answered = asked.join(words, "word").select("chunk", "word", "n")
-    scored = dealt.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
-        score, f"id {id_type}, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double")
-    return scored.withColumn("train_tokens", F.lit(total).cast("bigint"))
+    told = answers.where("kind != 'total'")
+    out = chunks.where("kind = 'text'").select("chunk", "blob").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
+        scored, f"id {id_type}, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double")
+    return out.withColumn("train_tokens", F.lit(total).cast("bigint"))
 
 
 def score_corpus(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the rows of ``docs`` that are not held out, score all, and say which were held out."""
     rows = pick(docs, id_col, text_col)
-    tree, words = train(rows.where(~held_out(F.col(f"`{id_col}`"))), depth, text_col)
-    return score_documents(rows, tree, words, id_col, text_col).withColumn("held_out", held_out(F.col("id")))
+    return score(rows, ~held_out(F.col(f"`{id_col}`")), depth, id_col, text_col).withColumn("held_out", held_out(F.col("id")))
