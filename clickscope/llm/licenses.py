@@ -1,30 +1,32 @@
 """License scans: phrases, and an exact set-similarity join with templates.
 
-Templates are short license notices, each a set of words with a label. A text
-block (a line of a document) meets a template when it holds at least
-``threshold`` of the template's distinct words. The join is exact and driven
-by the templates' rarest words:
-
-- words are ordered by their document frequency over the whole corpus;
-- prefix filter: a block that meets a template shares a word with the
-  template's prefix, its |T| - needed + 1 rarest words, so blocks join with the
-  inverted index of the prefixes by equality of words;
+Templates are license notices, each a set of words with a label. A text block
+is a window of consecutive words of a paragraph (text between blank lines), as
+wide as the template's words divided by ``threshold``, so that a notice that
+wraps or has a word more is found and words far apart are not put together. A
+block meets a template when it holds at least ``threshold`` of the template's
+distinct words.
+
+The join is exact and driven by the templates' rarest words. Words are ordered
+by their document frequency over the whole corpus. Paragraphs are cut into
+runs, each with a core and the surroundings of its words, and runs are joined
+with the templates as sets (``matching_blocks``):
+
+- prefix filter: what meets a template shares a word with the template's
+  prefix, its |T| - needed + 1 rarest words, so runs join with the inverted
+  index of the prefixes by equality of words;
 - positional filter: a match at place p of the template leaves at most
   |T| - p words to share, which must reach the needed number together with the
   earlier places; only the first shared prefix word of a pair is followed;
-- length filter: a block with fewer distinct words than needed is out.
+- length filter: a run with fewer distinct words than needed is out.
 
-What remains is verified by counting the shared words. Templates are a
-documented, small parameter; index and word list are bounded by it.
-
-A notice may wrap, so every run of words of a paragraph (text between blank
-lines), up to 1 / ``threshold`` times as long as the template, is a block too.
-Such a window holds a prefix word if it meets the template, so only the
-surroundings of prefix words are looked at.
+In the pairs that remain, the windows around every prefix word of the core are
+counted (``closest_windows``). Templates are a documented, small parameter;
+index and word list are bounded by it.
 
 Everything is DataFrame functions. Texts are read twice (frequencies, then
-matching) and never shuffled; blocks leave their row only when a cheap test
-on the prefix words lets them.
+matching) and never shuffled; runs leave their row only when a cheap test on
+the prefix words lets them.
 """
 
 from __future__ import annotations
@@ -40,21 +42,45 @@ PHRASES = {
     "apache license": "apache",
     "general public license": "gpl",
 }
-# Notices as projects print them.
+# Notices and paragraphs of licenses as projects print them.
 TEMPLATES = (
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+            " documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation"
+            " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and"
+            " to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
     ("apache", "Licensed under the Apache License, Version 2.0."),
+    ("apache", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
+               " compliance with the License. You may obtain a copy of the License at"),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is"
+               " distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."
+               " See the License for the specific language governing permissions and limitations under the License."),
     ("gpl", "This work is licensed under the GNU General Public License, version 3."),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
+            " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
+            " option) any later version."),
     ("lgpl", "licensed under the GNU Lesser General Public License"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the"
+            " following disclaimer."),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+            " products derived from this software without specific prior written permission."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+            " granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
+            " not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source"
+                  " code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("cc-by", "Licensed under CC BY 4.0."),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc0", "dedicated to the public domain under CC0"),
 )
 THRESHOLD = 0.8
+BLANK_LINE = r"\n[ \t\r]*\n"
 MAX_TEMPLATE_WORDS = 100_000  # bound of everything that is broadcast
 
 
@@ -76,10 +102,11 @@ def template_table(spark, templates=TEMPLATES) -> DataFrame:
     return raw.select("template", "label", F.array_distinct(words(F.col("text"))).alias("words")).where(F.size("words") > 0)
 
 
-def template_spans(spark, templates=TEMPLATES) -> DataFrame:
-    """(template, span): how many words each template has, repeated ones too."""
+def template_widths(spark, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """(template, width): the widest window that a template is looked for in, in words."""
     raw = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "template int, text string")
-    return raw.select("template", F.size(words(F.col("text"))).alias("span")).where(F.col("span") > 0)
+    span = F.size(words(F.col("text")))
+    return raw.where(span > 0).select("template", F.ceil(span / F.lit(threshold)).cast("int").alias("width"))
 
 
 def word_frequencies(docs: DataFrame, listed: list[str], text_col: str = "text") -> DataFrame:
@@ -108,52 +135,59 @@ def prefix_index(templates: DataFrame, frequencies: DataFrame, threshold: float
 
 
 def matching_blocks(blocks: DataFrame, index: DataFrame) -> DataFrame:
-    """All pairs of a block and a template that meet the threshold, once each.
+    """All pairs of a block and a template that meet the threshold as sets, once each.
 
     ``blocks`` has (block, words) with distinct words and any ``block`` key;
-    returns (block, template, label, size, containment, covered), the last the
-    words they share.
+    returns (block, template, label, size, needed, own, containment), ``own``
+    the template's words in global order.
     """
     small = F.broadcast(index) if index.count() <= MAX_TEMPLATE_WORDS else index
-    tokens = blocks.select("block", F.col("words").alias("block_words"), F.explode("words").alias("word"))
+    known = sorted(r["word"] for r in index.select("word").distinct().collect())  # bounded by the templates
+    asked = F.filter("words", lambda w: w.isin(known)) if known else F.array().cast("array<string>")
+    tokens = blocks.select("block", F.col("words").alias("block_words"), F.explode(asked).alias("word"))
     pairs = tokens.join(small, "word").where(F.size("block_words") >= F.col("needed"))
     # positional: a pair is followed from its first shared place only, and the places left must suffice
     earlier = F.array_intersect(F.slice("words", F.lit(1), F.col("place")), F.col("block_words"))
     pairs = pairs.where((F.size(earlier) == 0) & (F.col("size") - F.col("place") >= F.col("needed")))
-    shared = F.size("covered")
-    return (pairs.withColumn("covered", F.array_intersect("words", "block_words")).where(shared >= F.col("needed"))
-            .select("block", "template", "label", "size", (shared / F.col("size")).alias("containment"), "covered"))
+    shared = F.size(F.array_intersect("words", "block_words"))
+    return (pairs.where(shared >= F.col("needed"))
+            .select("block", "template", "label", "size", "needed", F.col("words").alias("own"), (shared / F.col("size")).alias("containment")))
 
 
-def matching_windows(paragraphs: DataFrame, index: DataFrame, spans: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Windows of paragraphs that meet a template, the closest around each prefix word.
+def paragraph_runs(paragraphs: DataFrame, prefix_words: list[str], longest: int) -> DataFrame:
+    """(block, low, core, run): runs of words around cores of ``longest`` words that hold a prefix word.
 
-    ``paragraphs`` has (block, words) with all words in order, ``spans``
-    (template, span) with each template's number of words. Returns (block,
-    template, label, size, containment, begin, end, covered): the window's first
-    and last word that the template has, and the distinct words they share.
+    ``paragraphs`` has (block, words), all words in order. A run reaches
+    ``longest`` words beyond its core to either side, so that it has every
+    window around a word of the core; ``low`` is the place in the paragraph of
+    the run's first word, ``core`` the place in the run of the core's.
     """
-    longest = spans.select(F.max(F.ceil(F.col("span") / F.lit(threshold)))).first()[0]
-    if longest is None:
-        longest = 1
-    known = sorted(r["word"] for r in index.select("word").distinct().collect())  # bounded by the templates
-    spots = F.filter(F.transform("words", lambda x, i: F.when(x.isin(known), F.struct(i.alias("at"), x.alias("word")))),
-                     lambda x: x.isNotNull())
-    # surroundings of a spot: `low` is the paragraph's place of the first word of `near`
-    low = F.greatest(F.lit(0), F.col("spot.at") - F.lit(longest - 1)).cast("int")
-    around = (paragraphs.select("block", "words", F.explode(spots).alias("spot"))
-              .select("block", "spot.at", "spot.word", low.alias("low"),
-                      F.slice("words", low + 1, F.col("spot.at") - low + F.lit(longest).cast("int")).alias("near")))
-    small = index.join(spans, "template").select("word", "template", "label", "size", "needed", F.col("words").alias("own"),
-                                                 F.ceil(F.col("span") / F.lit(threshold)).cast("int").alias("width"))
-    pairs = around.join(F.broadcast(small) if index.count() <= MAX_TEMPLATE_WORDS else small, "word")
-    pairs = pairs.where(F.size(F.array_intersect("own", "near")) >= F.col("needed"))
-    held = F.col("at") - F.col("low")  # the spot's place in `near`
-    starts = F.sequence(F.greatest(F.lit(0), held - F.col("width") + 1), held)
+    n = F.size("words")
+    cut = paragraphs.where(n > 0).select("block", "words", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / longest).cast("int"))).alias("i"))
+    first = F.col("i") * longest
+    cut = cut.where(F.exists(F.slice("words", first + 1, F.lit(longest)), lambda w: w.isin(prefix_words)))
+    low = F.greatest(F.lit(0), first - longest)
+    return cut.select("block", low.alias("low"), (first - low).alias("core"), F.slice("words", low + 1, first - low + 2 * longest).alias("run"))
+
+
+def closest_windows(pairs: DataFrame, longest: int) -> DataFrame:
+    """Windows that meet a template, the closest one around each prefix word of a core.
+
+    ``pairs`` has (block, low, core, run) with (template, label, size, needed,
+    own, width). Returns (block, template, label, size, containment, begin,
+    end, covered): the window's first and last word that the template has, by
+    their place in the paragraph, and the distinct words they share. Of equally
+    close windows around a word the last one stands.
+    """
+    prefix = F.slice("own", F.lit(1), F.col("size") - F.col("needed") + 1)
+    spots = F.filter(F.transform(F.slice("run", F.col("core") + 1, F.lit(longest)),
+                                 lambda x, i: F.when(F.array_contains(prefix, x), i + F.col("core"))), lambda i: i.isNotNull())
+    spotted = pairs.select("*", F.explode(spots).alias("at"))
+    starts = F.sequence(F.greatest(F.lit(0), F.col("at") - F.col("width") + 1), F.col("at"))
     windows = F.transform(starts, lambda s: F.struct(
-        F.size(F.array_intersect(F.col("own"), F.slice("near", s + 1, F.col("width")))).alias("shared"), s.alias("start")))
-    best = pairs.withColumn("window", F.array_max(windows)).where(F.col("window.shared") >= F.col("needed"))
-    inside = F.slice("near", F.col("window.start") + 1, F.col("width"))
+        F.size(F.array_intersect(F.col("own"), F.slice("run", s + 1, F.col("width")))).alias("shared"), s.alias("start")))
+    best = spotted.withColumn("window", F.array_max(windows)).where(F.col("window.shared") >= F.col("needed"))
+    inside = F.slice("run", F.col("window.start") + 1, F.col("width"))
     hits = F.filter(F.transform(inside, lambda x, i: F.when(F.array_contains("own", x), i)), lambda i: i.isNotNull())
     first = F.col("low") + F.col("window.start")
     return best.withColumn("hits", hits).select(
@@ -196,13 +230,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row of ``docs``.
 
-    ``labels`` adds to the phrases' labels those of all templates that a line,
-    or a window of words within a paragraph, meets, but for matches that a
-    better one of the same line or window place covers (``uncovered``).
-    ``score`` is the best containment of a template that a line or window meets
-    (0 to 1; 0 without any). A null text has no words. Rows that repeat an id and text
-    get equal results; a null id stays null; an empty table gives an empty
-    result. Extra columns are ignored.
+    ``labels`` adds to the phrases' labels those of all templates that a window
+    of words within a paragraph meets, but for matches that a better one at the
+    same place covers (``uncovered``). ``score`` is the best containment of a
+    template that a window meets (0 to 1; 0 without any). A null text has no
+    words. Rows that repeat an id and text get equal results; a null id stays
+    null; an empty table gives an empty result. Extra columns are ignored.
     """
     spark = docs.sparkSession
     rows = (pick(docs, id_col, text_col).toDF("id", "text")
@@ -214,20 +247,20 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
     index = durable(prefix_index(table, word_frequencies(rows, listed), threshold))
     prefix_words = sorted(r["word"] for r in index.select("word").distinct().collect())
 
-    # only rows that hold a prefix word are cut into lines
     keyed = rows.withColumn("text_hash", F.xxhash64("text"))
-    held = F.exists(words(F.col("text")), lambda w: w.isin(prefix_words))
-    blocks = (keyed.where(held).select("id", "text_hash", F.explode(F.split("text", "\n")).alias("line")).distinct()
-              .select(F.struct("id", "text_hash", F.xxhash64("line").alias("line_hash")).alias("block"),
-                      F.array_distinct(words(F.col("line"))).alias("words")))
-    matched = matching_blocks(blocks, index)
-    lines = uncovered(matched.select("*", F.lit(0).alias("begin"), F.lit(0).alias("end")))  # a line is one place
-    spans = template_spans(spark, templates)
-    paragraphs = (keyed.where(held).select("id", "text_hash", F.explode(F.split("text", r"\n[ \t\r]*\n")).alias("paragraph")).distinct()
-                  .select(F.struct("id", "text_hash", F.xxhash64("paragraph").alias("line_hash")).alias("block"),
+    widths = template_widths(spark, templates, threshold)
+    longest = widths.agg(F.max("width")).first()[0] or 1
+    # only rows that hold a prefix word are cut into paragraphs
+    held = F.exists(words(F.col("text")), lambda w: w.isin(prefix_words)) if prefix_words else F.lit(False)
+    paragraphs = (keyed.where(held).select("id", "text_hash", F.explode(F.split("text", BLANK_LINE)).alias("paragraph")).distinct()
+                  .select(F.struct("id", "text_hash", F.xxhash64("paragraph").alias("paragraph_hash")).alias("block"),
                           words(F.col("paragraph")).alias("words")))
-    windows = uncovered(matching_windows(paragraphs, index, spans, threshold))
-    found = (lines.unionByName(windows).groupBy(F.col("block.id").alias("found_id"), F.col("block.text_hash").alias("found_hash"))
+    runs = paragraph_runs(paragraphs, prefix_words, longest)
+    whole = runs.select(F.struct("block", "low", "core", "run").alias("block"), F.array_distinct("run").alias("words"))
+    pairs = (matching_blocks(whole, index).join(F.broadcast(widths) if widths.count() <= MAX_TEMPLATE_WORDS else widths, "template")
+             .select("block.*", "template", "label", "size", "needed", "own", "width"))
+    found = (uncovered(closest_windows(pairs, longest))
+             .groupBy(F.col("block.id").alias("found_id"), F.col("block.text_hash").alias("found_hash"))
              .agg(F.collect_set("label").alias("found_labels"), F.max("containment").alias("best")))
 
     base = keyed.select("id", "text_hash", words(F.col("text")).alias("w"))
@@ -237,8 +270,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, phr
         rare = phrase.split(" ")[0]  # a row without the phrase's first word needs no closer look
         base = base.withColumn(f"p{k}", F.when(F.array_contains("w", rare), _places(F.col("w"), phrase)).otherwise(none))
     names = [f"p{k}" for k in range(len(phrases))]
-    every = F.concat(*names)
-    labels = F.array_compact(F.array(*[F.when(F.size(n) > 0, F.lit(label)) for n, label in zip(names, phrases.values())]))
+    every = F.concat(none, *names)
+    labels = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(F.size(n) > 0, F.lit(label)) for n, label in zip(names, phrases.values())]))
     base = base.select("id", "text_hash", "n_words",
                        F.size(every).cast("bigint").alias("n_base"),
                        F.array_min(every).cast("bigint").alias("first_word"), F.array_max(every).cast("bigint").alias("last_word"),

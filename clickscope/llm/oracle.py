@@ -182,18 +182,40 @@ base AS (
   SELECT doc_id, len(w) AS n_words, {' || '.join(names)} AS starts,
          list_filter([{labels}], lambda x: x IS NOT NULL) AS own FROM placed
 ), templates AS (
-  SELECT k, label, list_distinct({words('notice')}) AS words FROM (VALUES {templates}) AS v(k, label, notice)
-), lines AS (
-  SELECT doc_id, line_no, list_distinct({words('line')}) AS words
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS line_no FROM d)
-), met AS (
-  SELECT doc_id, line_no, k, label, len(templates.words) AS size, len(list_intersect(lines.words, templates.words)) AS shared
-  FROM lines, templates
+  SELECT *, greatest(1, ceil(size * {licenses.THRESHOLD} - 1e-9))::INT AS needed, ceil(span / {licenses.THRESHOLD})::INT AS width
+  FROM (SELECT k, label, list_distinct({words('notice')}) AS own, len(list_distinct({words('notice')})) AS size, len({words('notice')}) AS span
+        FROM (VALUES {templates}) AS v(k, label, notice))
+), frequencies AS (
+  SELECT word, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest(w) AS word FROM d) GROUP BY word
+), ordered AS (
+  SELECT k, word, row_number() OVER (PARTITION BY k ORDER BY coalesce(docs, 0), word) - 1 AS place
+  FROM (SELECT k, unnest(own) AS word FROM templates) LEFT JOIN frequencies USING (word)
+), prefixes AS (
+  SELECT k, word FROM ordered JOIN templates USING (k) WHERE place <= size - needed
+), paragraphs AS (
+  SELECT doc_id, p, {words('paragraph')} AS w
+  FROM (SELECT doc_id, unnest(parts) AS paragraph, generate_subscripts(parts, 1) AS p
+        FROM (SELECT doc_id, string_split_regex(t, {_q(licenses.BLANK_LINE)}) AS parts FROM d))
+), spots AS (
+  SELECT doc_id, p, w, i, k, own, size, needed, width, label
+  FROM (SELECT doc_id, p, w, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM paragraphs)
+  JOIN prefixes USING (word) JOIN templates USING (k)
+  WHERE len(list_intersect(w[greatest(1, i - width + 1):i + width - 1], own)) >= needed
+), windows AS (
+  SELECT *, len(list_intersect(w[s:s + width - 1], own)) AS shared
+  FROM (SELECT *, unnest(generate_series(greatest(1, i - width + 1), i)) AS s FROM spots)
 ), closest AS (
-  SELECT doc_id, label, shared / size AS containment FROM met
-  WHERE shared >= greatest(1, ceil(size * {licenses.THRESHOLD} - 1e-9))
-  QUALIFY row_number() OVER (PARTITION BY doc_id, line_no ORDER BY shared / size DESC, size DESC, k) = 1
-), found AS (SELECT doc_id, list(label) AS more, max(containment) AS best FROM closest GROUP BY doc_id)
+  SELECT * FROM windows WHERE shared >= needed
+  QUALIFY row_number() OVER (PARTITION BY doc_id, p, k, i ORDER BY shared DESC, s DESC) = 1
+), matches AS (
+  SELECT DISTINCT doc_id, p, k, label, size, shared / size AS containment, list_sort(list_intersect(w[s:s + width - 1], own)) AS covered,
+         s + list_min(hits) AS b, s + list_max(hits) AS e
+  FROM (SELECT *, list_filter(generate_series(0, len(w[s:s + width - 1]) - 1), lambda j: list_contains(own, w[s + j])) AS hits FROM closest)
+), kept AS (
+  SELECT * FROM matches m WHERE NOT EXISTS (
+    SELECT 1 FROM matches o WHERE o.doc_id = m.doc_id AND o.p = m.p AND (o.containment, o.size, -o.k) > (m.containment, m.size, -m.k)
+      AND o.b <= m.e AND m.b <= o.e AND len(list_filter(m.covered, lambda x: NOT list_contains(o.covered, x))) = 0)
+), found AS (SELECT doc_id, list(label) AS more, max(containment) AS best FROM kept GROUP BY doc_id)
 SELECT doc_id, n_words, len(starts) AS n_base, list_min(starts) - 1 AS first_word, list_max(starts) - 1 AS last_word,
        {sorted_text('own')} AS base_labels, {sorted_text('own || coalesce(more, [])')} AS labels, coalesce(best, 0.0)::DOUBLE AS score
 FROM base LEFT JOIN found USING (doc_id)"""
