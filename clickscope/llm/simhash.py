@@ -40,6 +40,7 @@ BITS = 64
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
+LARGE_CLASS, LARGE_CLASSES = 100, 10_000
 HASH_BLOCK = 1 << 15  # hashes of one document that are unpacked to bits at a time
 
 
@@ -178,6 +179,24 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, plan: Ring | N
             .select("a", "b"))
 
 
+def _class_minima(grouped: DataFrame) -> DataFrame:
+    """(fp, component, group_key) of (fp, low, root): the least ``low`` of each root's fingerprints, for every one.
+
+    Minima are taken with map-side combine. They go back to the fingerprints
+    of the largest classes by a broadcast, to all others by a join on the root;
+    so the fingerprints of one class never meet in one task. A class is among
+    the largest if it has more than 1 / ``LARGE_CLASSES`` of all fingerprints
+    and more than ``LARGE_CLASS``: there are fewer than ``LARGE_CLASSES``.
+    """
+    minima = durable(grouped.groupBy(F.col("root").alias("group_key")).agg(F.min("low").alias("component"), F.count(F.lit(1)).alias("n")))
+    limit = max(LARGE_CLASS, (minima.agg(F.sum("n")).first()[0] or 0) // LARGE_CLASSES)
+    large = F.broadcast(minima.where(F.col("n") > limit))
+    on = F.col("root") == F.col("group_key")
+    few = grouped.join(large, on)
+    rest = grouped.join(large, on, "left_anti").join(minima.where(F.col("n") <= limit), on)
+    return few.unionByName(rest).select("fp", "component", "group_key")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text_hash, fingerprint, component, group_key) per row of ``docs``.
@@ -192,11 +211,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     rows = durable(fingerprints(docs, shingle, id_col, text_col))
     nodes = durable(rows.groupBy("fp").agg(F.min("id").alias("low")))
     joined = connected_components(fingerprint_links(nodes.select("fp"), max_bits))
-    grouped = (nodes.join(joined, nodes["fp"] == joined["node"], "left")
-               .select("fp", "low", F.coalesce("component", "fp").alias("root")))
-    lows = grouped.groupBy(F.col("root").alias("group_key")).agg(F.min("low").alias("component"))
-    classes = (grouped.join(lows, F.col("root") == F.col("group_key"))
-               .select(F.col("fp").alias("f"), "component", "group_key"))
+    grouped = durable(nodes.join(joined, nodes["fp"] == joined["node"], "left")
+                      .select("fp", "low", F.coalesce("component", "fp").alias("root")))
+    classes = _class_minima(grouped).select(F.col("fp").alias("f"), "component", "group_key")
     return (rows.join(classes, F.col("fp") == F.col("f"))
             .select("id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     "component", "group_key"))

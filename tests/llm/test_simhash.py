@@ -92,3 +92,13 @@ def test_one_row_of_each_group_stays(spark):
 def test_the_hash_is_xxh64_of_utf8_with_seed_42(spark):
     r = spark.sql("select xxhash64('the quick brown föx') h").first()
     assert r.h & (1 << 64) - 1 == xxhash.xxh64_intdigest("the quick brown föx".encode(), 42)
+
+
+def test_a_large_class_is_no_single_tasks_load(spark, monkeypatch):
+    """The minimum of a class comes back by broadcast where the class is large; the rows are the same."""
+    rows = [(i, 1000 + i, 7 if i < 400 else i) for i in range(700)] + [(1000, None, 7), (1001, None, 1001)]
+    grouped = spark.createDataFrame(rows, "fp bigint, low bigint, root bigint").repartition(4)
+    want = sorted((fp, 1000 if root == 7 else low, root) for fp, low, root in rows)
+    for size in (100, 10_000):
+        monkeypatch.setattr(H, "LARGE_CLASS", size)
+        assert sorted(map(tuple, H._class_minima(grouped).collect()), key=lambda r: r[0]) == want
