@@ -26,6 +26,8 @@ its distribution function maps the keys to even cells.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,27 +123,49 @@ def _summed(rows: DataFrame) -> DataFrame:
             .withColumn("through", through).drop("s1", "c1", "cell_base"))
 
 
+def _same_row(*columns: str) -> Column:
+    """Equality of (id, text_hash, source, copy_no) with the columns of the given names."""
+    own = ("id", "text_hash", "source", "copy_no")
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(own, columns)])
+
+
 def _filled(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``placed`` with more rows inside, and (s3, gap): what is left of each source's budget.
 
-    Each round takes at least the first fitting row of every source that is
-    not near its target, and never again meets the row it stopped at.
+    A round goes through the open rows of a source that are at most half as
+    large as its gap, in key order, as far as they fit. So it halves the gap or
+    takes all of those rows; where none is that small, the first row that fits
+    is the last. A source is done in about log2(1 / ``NEAR``) rounds. Open rows
+    too large for the gap stay so, as gaps only shrink: each round reads the
+    rows that the last one left, and rows taken are a small table that marks
+    ``placed`` once, at the end.
     """
+    left = durable(placed.groupBy(F.col("source").alias("s3"))
+                   .agg((F.first("budget") - F.coalesce(F.sum(F.when(F.col("inside"), F.col("size"))), F.lit(0))).alias("gap"),
+                        F.first("target").alias("aim")))
+    still_open, taken = placed.where("not inside and size > 0"), []
+    of_source = F.col("source").eqNullSafe(F.col("s3"))
     while True:
-        left = durable(placed.groupBy(F.col("source").alias("s3"))
-                       .agg((F.first("budget") - F.coalesce(F.sum(F.when(F.col("inside"), F.col("size"))), F.lit(0))).alias("gap"),
-                            F.first("target").alias("aim")))
-        wide = left.where(F.col("gap") > F.col("aim") * F.lit(NEAR)).drop("aim")
-        fitting = (placed.where("not inside and size > 0").join(wide, F.col("source").eqNullSafe(F.col("s3")))
-                   .where(F.col("size") <= F.col("gap")).drop("s3"))
+        wide = left.where(F.col("gap") > F.col("aim") * F.lit(NEAR)).select("s3", "gap")
+        fitting = durable(still_open.join(wide, of_source).where(F.col("size") <= F.col("gap")))
         if fitting.isEmpty():
-            return placed, left.drop("aim")
-        more = _summed(fitting).where(F.col("through") <= F.col("gap")).select(
-            F.col("id").alias("i5"), F.col("text_hash").alias("h5"), F.col("source").alias("s5"), F.col("copy_no").alias("n5"))
-        placed = durable(placed.join(more, F.col("id").eqNullSafe(F.col("i5")) & (F.col("text_hash") == F.col("h5"))
-                                     & F.col("source").eqNullSafe(F.col("s5")) & (F.col("copy_no") == F.col("n5")), "left")
-                         .withColumn("inside", F.col("inside") | F.col("n5").isNotNull())
-                         .drop("i5", "h5", "s5", "n5"))
+            break
+        small = fitting.groupBy(F.col("s3").alias("s4")).agg(F.bool_or(F.col("size") * 2 <= F.col("gap")).alias("halves"))
+        offered = (fitting.join(small, F.col("s3").eqNullSafe(F.col("s4")))
+                   .where(~F.col("halves") | (F.col("size") * 2 <= F.col("gap"))).drop("s3", "s4", "halves"))
+        more = durable(_summed(offered).where(F.col("through") <= F.col("gap")).select(
+            F.col("id").alias("i5"), F.col("text_hash").alias("h5"), F.col("source").alias("s5"), F.col("copy_no").alias("n5"),
+            F.col("size").alias("z5")))
+        taken.append(more)
+        spent = more.groupBy("s5").agg(F.sum("z5").alias("spent"))
+        left = durable(left.join(spent, F.col("s3").eqNullSafe(F.col("s5")), "left")
+                       .select("s3", (F.col("gap") - F.coalesce("spent", F.lit(0))).alias("gap"), "aim"))
+        still_open = fitting.drop("s3", "gap").join(more, _same_row("i5", "h5", "s5", "n5"), "left_anti")
+    if taken:
+        added = reduce(DataFrame.unionByName, taken)
+        placed = durable(placed.join(added, _same_row("i5", "h5", "s5", "n5"), "left")
+                         .withColumn("inside", F.col("inside") | F.col("n5").isNotNull()).drop("i5", "h5", "s5", "n5", "z5"))
+    return placed, left.drop("aim")
 
 
 def sample(docs: DataFrame, size: Column | None = None, quality: Column | None = None,

@@ -99,3 +99,20 @@ def test_a_very_long_document_does_not_shut_out_small_ones(spark):
         own = M.sample(docs, size=F.col("n"), quality=F.lit(1.0), seed=seed).where("source = 'a'").collect()
         assert own[0].target == 40_000
         assert abs(sum(r.copies * r.size for r in own) - 40_000) <= 40, seed
+
+
+def test_few_rounds_fill_a_budget_whatever_the_sizes(spark, monkeypatch):
+    """Sizes that would cost a round each in key order: a row that just misses the gap behind every small one."""
+    rows = [(i, "a", n) for i, n in enumerate([1, 990, 1, 989, 1, 988] * 60 + list(range(900, 990)))]
+    rows += [(5000 + i, "b", 700) for i in range(40)] + [(6000 + i, "c", 3) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, n bigint").withColumn("text", F.lit("w"))
+    rounds = []
+    summed = M._summed
+    monkeypatch.setattr(M, "_summed", lambda df: (rounds.append(1), summed(df))[1])
+    for seed in range(3):
+        del rounds[:]
+        own = M.sample(docs, size=F.col("n"), quality=F.lit(1.0), seed=seed).collect()
+        assert len(rounds) <= 2 + math.log2(1 / M.NEAR) + 1
+        for name in "abc":
+            mine = [r for r in own if r.source == name]
+            assert abs(sum(r.copies * r.size for r in mine) - mine[0].target) <= max(0.01 * mine[0].target, 350), (name, seed)
