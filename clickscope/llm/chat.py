@@ -5,8 +5,10 @@ self-joins on ids alone: table k holds every message's ancestor 2^k steps up,
 each table is the last one joined with itself, and a leaf reaches each of its
 ancestors exactly once by adding the powers of two of its distance, largest
 first. A path of n messages takes about 2 log2(n) joins, all keyed by single
-messages, so long threads are no single task's load. Branches are ranked by
-score and each chosen path becomes one conversation.
+messages, so long threads are no single task's load. The same tables carry the
+scores' sums, so a leaf's mean score is known from as many joins with one row a
+leaf. Branches are ranked by it, and only the messages of chosen branches are
+written out, each branch as one conversation.
 
 Template, one piece per message::
 
@@ -65,30 +67,55 @@ def _same(a: str, b: str, c: str, d: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """(conv, leaf, msg, up) for every message of every root-to-leaf path; ``up`` counts from the leaf.
+def ancestors(messages: DataFrame) -> list[DataFrame]:
+    """Tables k = 0, 1, ...: (conv, msg, above, total) for every message with an ancestor 2^k steps up.
 
-    ``nodes`` has (conv, msg, parent) with ``msg`` unique in its conversation;
-    a parent that is missing makes its child a root. A reply cycle raises.
+    ``above`` is that ancestor, ``total`` the sum of the scores from the
+    message on, up to but without it. ``messages`` has (conv, msg, parent,
+    score) with ``msg`` unique in its conversation; a parent that is missing
+    makes its child a root. A reply cycle raises.
     """
-    ids = nodes.select("conv", "msg", "parent")
-    known = ids.select(F.col("conv").alias("c"), F.col("msg").alias("m"))
-    up = durable(ids.where("parent is not null").join(known, _same("conv", "c", "parent", "m"), "left_semi")
-                 .select("conv", "msg", F.col("parent").alias("above")))
+    known = messages.select(F.col("conv").alias("c"), F.col("msg").alias("m"))
+    up = durable(messages.where("parent is not null").join(known, _same("conv", "c", "parent", "m"), "left_semi")
+                 .select("conv", "msg", F.col("parent").alias("above"), F.coalesce("score", F.lit(0.0)).alias("total")))
     tables = []
     while not up.isEmpty():
         if len(tables) == MAX_ROUNDS:
             raise ValueError("the replies contain a cycle")
         tables.append(up)
-        higher = up.select(F.col("conv").alias("c"), F.col("msg").alias("m"), F.col("above").alias("a"))
-        up = durable(up.join(higher, _same("conv", "c", "above", "m")).select("conv", "msg", F.col("a").alias("above")))
+        higher = up.select(F.col("conv").alias("c"), F.col("msg").alias("m"), F.col("above").alias("a"), F.col("total").alias("t"))
+        up = durable(up.join(higher, _same("conv", "c", "above", "m"))
+                     .select("conv", "msg", F.col("a").alias("above"), (F.col("total") + F.col("t")).alias("total")))
         if len(tables) >= 2 and tables[-1].count() == up.count() > 0:
             raise ValueError("the replies contain a cycle")  # on a tree every table is smaller than the last
-    reached = ids.select("conv", F.col("msg").alias("leaf"), "msg")
-    if tables:
-        answered = tables[0].select(F.col("conv").alias("c"), F.col("above").alias("m")).distinct()
-        reached = reached.join(answered, _same("conv", "c", "msg", "m"), "left_anti")
-    reached = reached.withColumn("up", F.lit(0).cast("bigint"))
+    return tables
+
+
+def _leaves(messages: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """(conv, leaf) of the messages that nobody answered."""
+    every = messages.select("conv", F.col("msg").alias("leaf"))
+    if not tables:
+        return every
+    answered = tables[0].select(F.col("conv").alias("c"), F.col("above").alias("m")).distinct()
+    return every.join(answered, _same("conv", "c", "leaf", "m"), "left_anti")
+
+
+def branch_scores(messages: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """(conv, leaf, score) for every branch: the mean of its messages' scores, one row a leaf on the way."""
+    at = _leaves(messages, tables).select("conv", "leaf", F.col("leaf").alias("msg"), F.lit(0.0).alias("total"), F.lit(1).cast("bigint").alias("n"))
+    for k in range(len(tables) - 1, -1, -1):
+        step = tables[k].select(F.col("conv").alias("c"), F.col("msg").alias("m"), "above", F.col("total").alias("t"))
+        jumped = F.col("m").isNotNull()
+        at = (at.join(step, _same("conv", "c", "msg", "m"), "left")
+              .select("conv", "leaf", F.coalesce("above", "msg").alias("msg"), (F.col("total") + F.coalesce("t", F.lit(0.0))).alias("total"),
+                      (F.col("n") + F.when(jumped, 1 << k).otherwise(0)).alias("n")))
+    own = messages.select(F.col("conv").alias("c"), F.col("msg").alias("m"), F.coalesce("score", F.lit(0.0)).alias("t"))
+    return at.join(own, _same("conv", "c", "msg", "m")).select("conv", "leaf", ((F.col("total") + F.col("t")) / F.col("n")).alias("score"))
+
+
+def paths(leaves: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """(conv, leaf, msg, up) for every message from the root to each of ``leaves`` (conv, leaf); ``up`` counts from the leaf."""
+    reached = leaves.select("conv", "leaf", F.col("leaf").alias("msg"), F.lit(0).cast("bigint").alias("up"))
     for k in range(len(tables) - 1, -1, -1):
         step = tables[k].select(F.col("conv").alias("c"), F.col("msg").alias("m"), "above")
         further = (reached.join(step, _same("conv", "c", "msg", "m"))
@@ -107,15 +134,14 @@ def format_conversations(messages: DataFrame, branches: int | None = None, learn
     Null roles and texts count as empty. An empty table gives an empty result.
     """
     messages = written(messages.select("conv", "msg", "parent", "role", "text", "score"), "chat-messages")
-    reached = paths(messages)
-    scored = messages.select(F.col("conv").alias("c"), F.col("msg").alias("m"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    tables = ancestors(messages)
     order = Window.partitionBy("conv").orderBy(F.col("score").desc(), "leaf")
-    ranked = (reached.join(scored, _same("conv", "c", "msg", "m")).groupBy("conv", "leaf").agg(F.avg("score").alias("score"))
-              .withColumn("branch", F.row_number().over(order)))
+    ranked = branch_scores(messages, tables).withColumn("branch", F.row_number().over(order))
     if branches is not None:
-        ranked = ranked.where(F.col("branch") <= branches)
-    ranked = ranked.select(F.col("conv").alias("rc"), F.col("leaf").alias("rl"), "branch", F.col("score").alias("path_score"))
-    chosen = reached.join(ranked, _same("conv", "rc", "leaf", "rl")).drop("rc", "rl")
+        ranked = ranked.where(F.col("branch") <= F.lit(branches))
+    ranked = durable(ranked)
+    named = ranked.select(F.col("conv").alias("rc"), F.col("leaf").alias("rl"), "branch", F.col("score").alias("path_score"))
+    chosen = paths(ranked, tables).join(named, _same("conv", "rc", "leaf", "rl")).drop("rc", "rl")
     texts = messages.select(F.col("conv").alias("c"), F.col("msg").alias("m"), "role", "text")
     role = F.replace(escape(F.col("role")), F.lit(":"), F.lit("\\:"))
     turns = (chosen.join(texts, _same("conv", "c", "msg", "m"))

@@ -69,11 +69,29 @@ def test_random_trees_like_brute_force(spark):
 
 def test_long_thread_in_few_rounds(spark):
     df = spark.range(700).select(F.lit(1).cast("bigint").alias("conv"), F.col("id").alias("msg"),
-                                 F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"))
-    reached = C.paths(df)
+                                 F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit(1.0).alias("score"))
+    tables = C.ancestors(df)
+    assert len(tables) == 10
+    reached = C.paths(C._leaves(df, tables), tables)
     assert reached.count() == 700 and reached.agg(F.max("up")).first()[0] == 699
 
 
+def test_only_chosen_branches_are_written_out(spark, monkeypatch):
+    """A thread of 60 messages with 50 answers to its last one: 61 rows for the best branch, not 50 times 61."""
+    thread = [(1, m, m - 1 if m else None, "user", f"t{m}", 1.0) for m in range(60)]
+    rows = thread + [(1, 100 + i, 59, "assistant", f"a{i}", float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    seen = []
+    paths = C.paths
+    monkeypatch.setattr(C, "paths", lambda leaves, tables: seen.append(paths(leaves, tables)) or seen[-1])
+    (key, (branch, turns, *_)), = back(C.format_conversations(df, branches=1)).items()
+    assert key == (1, 149) and branch == 1 and [t for _, t in turns] == [f"t{m}" for m in range(60)] + ["a49"]
+    assert seen[0].count() == 61
+    scores = {r.leaf: r.score for r in C.branch_scores(df, C.ancestors(df)).collect()}
+    assert len(scores) == 50 and scores[149] == pytest.approx((60 + 49) / 61)
+
+
 def test_cycles_are_refused(spark):
+    rows = [(1, 1, 3, 0.0), (1, 2, 1, 0.0), (1, 3, 2, 0.0), (1, 4, 3, 0.0)]
     with pytest.raises(ValueError, match="cycle"):
-        C.paths(spark.createDataFrame([(1, 1, 3), (1, 2, 1), (1, 3, 2), (1, 4, 3)], "conv bigint, msg bigint, parent bigint"))
+        C.ancestors(spark.createDataFrame(rows, "conv bigint, msg bigint, parent bigint, score double"))
