@@ -1,7 +1,11 @@
 """Corpus pipeline: documents -> quality rules -> near-dedup -> mixing -> token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
-kept. All but the last return the columns of ``documents``.
+kept. All but the last return the columns of ``documents``. Every stage takes
+an empty table (its result is empty), null texts (they count as empty), null
+ids, sources and languages, repeated rows, and columns of any further names,
+which it hands on. Results do not depend on the order of the rows or on how
+they are partitioned; what a stage does with ties is said there.
 """
 
 from __future__ import annotations
@@ -17,25 +21,45 @@ from clickscope.session import checkpoint_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go.
+
+    References are those of ``docs``. Repeated rows are judged alike; a null
+    or blank text has too few words and goes; a null language has no reference,
+    so only the base rule applies.
+    """
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays, the one with the smallest id."""
+    """One document of each SimHash group stays, the one with the smallest id.
+
+    A null id stays only where its group has no other. Of rows that share that
+    id, the one with the smallest text hash, then the smallest hash of all
+    columns stays. Texts without words are one group.
+    """
     return simhash.keep_representatives(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as the mix takes them: not at all, once, or repeated."""
+    """Documents come as often as the mix takes them: not at all, once, or repeated.
+
+    A null source is a source of its own. Repeated rows draw each for
+    themselves. A document without words comes as often as its source's
+    complete epochs.
+    """
     return mixing.mix(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix, with a proof that they decode losslessly."""
+    """Token ids of every document of the mix, with a proof that they decode losslessly.
+
+    The mix repeats documents, and each copy draws its own dropout: copies of
+    one id and text are numbered from 1 by source, then language, nulls first.
+    Rows equal in all four are interchangeable. A null text has no ids; a null
+    id draws like an empty one.
+    """
     model = sentencepiece_dropout.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    # the mix repeats documents; each copy draws its own
-    like = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
+    like = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.col("source").asc_nulls_first(), F.col("lang").asc_nulls_first())
     numbered = docs.select("doc_id", "text", "source", "lang").withColumn("copy", F.row_number().over(like))
     return sentencepiece_dropout.encode_documents(numbered, model, keep=("source", "lang"), copy_col="copy")
 
