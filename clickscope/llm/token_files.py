@@ -44,24 +44,54 @@ READ_DOCS = 4096  # documents of a part that are read together
 _MARKS, _LETTERS = b".,!?;:", b"abcdefghijklmnopqrstuvwxyz"
 
 
+_PROBES = "aZz9_.,'!-<|\u00e9\u0301\u0421\u03c3\u65e5\U0001f389"
+
+
+def word_wise(tokenizer: Tokenizer) -> tuple[bool, bool, bool]:
+    """What may be used of a tokenizer, found by trying it out.
+
+    Whether words between ASCII white space are encoded by themselves, whether
+    A-Z count as a-z, and whether a mark behind a letter is cut off. Splits
+    depend on the kinds of the two characters that meet, so all kinds are
+    tried on either side of every white space, and all letters before every
+    mark.
+    """
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    alone = {c: ids(c) for c in _PROBES}
+    apart = all(ids(a + space + b) == alone[a] + alone[b] for a in _PROBES for b in _PROBES for space in " \t\n\v\f\r")
+    apart = apart and all(ids(space + c + space * 2) == alone[c] for c in _PROBES for space in " \t\n\v\f\r")
+    letters = [chr(b) for b in _LETTERS]
+    lowers = all(ids(a + b.upper() + c) == ids(a + b + c) for b in letters for a, c in (("", ""), ("q", "x"), ("9", "\u00e9"), ("'", "")))
+    stems = [*letters, *(f"{x}{c}" for c in letters for x in ("q", "9", "it'", "\u00e9"))]
+    cuts = all(ids(stem + chr(m)) == ids(stem) + ids(chr(m)) for stem in stems for m in _MARKS)
+    return apart, lowers, cuts
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space, one word at a time.
+    """Ids of texts, one word at a time where the tokenizer allows it.
 
-    Such a tokenizer sees every run between ASCII white space by itself, so
-    a word's ids are worked out once and kept in a bounded cache.
+    A tokenizer that drops white space sees every run between ASCII white
+    space by itself, so a word's ids are worked out once and kept in a bounded
+    cache. ``word_wise`` tries that out, as it does lower-casing and the cut
+    before marks; any other tokenizer gets whole texts.
     """
 
     def __init__(self, tokenizer: str, dtype: str, cache_words: int = CACHE_WORDS):
         self._tokenizer = Tokenizer.from_str(tokenizer)
+        self._apart, self._lowers, self._cuts = word_wise(self._tokenizer)
         self._dtype = np.dtype(dtype)
+        self._code = {2: "H", 4: "I"}[self._dtype.itemsize]
         self._room = max(1, cache_words // 2)
         self._young: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
 
     def encode_many(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as bytes of ``dtype``."""
-        # The tokenizer lower-cases, so A-Z may go first; not where that could make a special token's name.
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
+        if not self._apart:
+            whole = self._tokenizer.encode_batch_fast([text.decode() for text in texts], add_special_tokens=False)
+            return [array(self._code, e.ids).tobytes() for e in whole]
+        # Where the tokenizer lower-cases, A-Z may go first; not where that could make a special token's name.
+        split = [(text.lower() if self._lowers and b"<" not in text else text).split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
         found = [list(map(self._young.get, ws)) for ws in split]
         new: dict[bytes, bytes | None] = {}
         for ws, ids in zip(split, found):
@@ -81,8 +111,8 @@ class WordEncoder:
     def _look_up(self, new: dict[bytes, bytes | None]) -> None:
         """Fill in the ids of all words in ``new``, adding the stems that it meets.
 
-        The tokenizer cuts between a letter and a mark, so a word of a letter
-        and one last mark is its stem's ids and the mark's.
+        Where the tokenizer cuts between a letter and a mark, a word of a
+        letter and one last mark is its stem's ids and the mark's.
         """
         young, old = self._young, self._old
         joined = []
@@ -90,16 +120,15 @@ class WordEncoder:
             ids = old.get(w)
             if ids is not None:
                 new[w] = ids
-            elif len(w) > 1 and w[-1] in _MARKS and w[-2] in _LETTERS:
+            elif self._cuts and len(w) > 1 and w[-1] in _MARKS and w[-2] in _LETTERS:
                 joined.append(w)
                 for part in (w[:-1], w[-1:]):
                     if part not in new:
                         new[part] = young.get(part) or old.get(part)
         parted = set(joined)
         missing = [w for w, ids in new.items() if ids is None and w not in parted]
-        code = {2: "H", 4: "I"}[self._dtype.itemsize]
         for w, e in zip(missing, self._tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
-            new[w] = array(code, e.ids).tobytes()
+            new[w] = array(self._code, e.ids).tobytes()
         for w in sorted(joined, key=len):
             if new[w] is None:
                 new[w] = new[w[:-1]] + new[w[-1:]]
@@ -123,7 +152,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                       text_col: str = "text") -> str:
     """Encode every row of ``docs`` into token files in ``folder``; returns the manifest's path.
 
-    ``tokenizer`` is the JSON of a tokenizer that drops white space. Rows are
+    ``tokenizer`` is a tokenizer's JSON (see ``WordEncoder``). Rows are
     written in ascending id order, null ids first; rows that share an id in
     the order of their text hashes. Ids must be integers. A null text counts
     as empty: a document of the end id alone. An empty table has no parts.

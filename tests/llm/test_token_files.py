@@ -29,6 +29,24 @@ def test_words_one_by_one_like_whole_texts(tokenizer):
                 assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids, text[:30]
 
 
+def test_assumptions_are_tried_out_and_other_tokenizers_get_whole_texts(tokenizer):
+    assert T.word_wise(Tokenizer.from_str(tokenizer)) == (True, True, True)
+    told = json.loads(tokenizer)
+
+    def changed(**parts):
+        return json.dumps({**told, **parts})
+
+    cased = changed(normalizer={"type": "NFC"})
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    glued = changed(pre_tokenizer={"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]})
+    spaced = changed(pre_tokenizer=byte_level)
+    for other, want in ((cased, (True, False, True)), (glued, (True, True, False)), (spaced, (False, None, None))):
+        whole, encoder = Tokenizer.from_str(other), T.WordEncoder(other, "<u2")
+        assert all(b is None or a == b for a, b in zip(T.word_wise(whole), want))
+        for text, ids in zip(TEXTS, encoder.encode_many([t.encode() for t in TEXTS])):
+            assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids, (want, text[:30])
+
+
 def test_files_read_back_in_id_order(spark, tokenizer, tmp_path):
     docs = edge_docs(spark, clashing=True).repartition(5)
     manifest = T.write_token_files(docs, f"file://{tmp_path}/x", tokenizer, 2)
