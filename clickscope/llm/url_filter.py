@@ -236,13 +236,15 @@ def flag_listed(df: DataFrame, keys: Column, cascades: list[Cascade], name: str)
 
 
 def judge_urls(pages: DataFrame, rules=RULES, listed_words=LISTED_WORDS, id_col: str = "page_id", url_col: str = "url",
-               max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+               max_broadcast: int = MAX_BROADCAST, listed: DataFrame | None = None) -> DataFrame:
     """(id, host, path, rule, verdict, listed) per row of ``pages``.
 
     ``verdict`` is the longest fitting rule's; else ``block`` where the host, a
     parent domain, or host with path is listed, and ``allow`` otherwise. The
-    list holds the domains of the corpus that a listed word names. Null urls
-    and urls without ``://`` have an empty host and path, fit no rule and are
+    list is the one column of ``listed``: domains, or hosts with a path, of
+    which A-Z in the host count as a-z; keys that the corpus does not have are
+    left out, nulls and repeats are fine. Without it, the list holds the
+    domains of the corpus that one of ``listed_words`` names. Null urls and urls without ``://`` have an empty host and path, fit no rule and are
     allowed. Repeated rows are judged alike; an empty table gives an empty
     result; extra columns are ignored.
     """
@@ -250,8 +252,14 @@ def judge_urls(pages: DataFrame, rules=RULES, listed_words=LISTED_WORDS, id_col:
              .select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")))
     keys = url_keys(F.col("host"), F.col("path"))
     universe = split.select("host", "path").distinct().select(F.explode(keys).alias("key")).distinct()
-    listed = split.select("host").distinct().select(listed_domains(F.col("host"), listed_words).alias("key")).where("key is not null")
-    cascades = build_cascades(listed, universe, max_broadcast)
+    if listed is None:
+        named = split.select("host").distinct().select(listed_domains(F.col("host"), listed_words).alias("key")).where("key is not null")
+    else:
+        entry = F.col("entry")
+        host = F.substring_index(entry, "/", 1)
+        named = (listed.toDF("entry").select(F.concat(ascii_lower(host), F.substring(entry, F.length(host) + 1, F.length(entry))).alias("key"))
+                 .distinct().join(universe, "key", "left_semi"))
+    cascades = build_cascades(named, universe, max_broadcast)
     flagged = flag_listed(split, keys, cascades, "listed")
     rule = matching_rule(F.col("host"), F.col("path"), rules)
     return (flagged.withColumn("fit", rule)

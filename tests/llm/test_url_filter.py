@@ -29,6 +29,18 @@ def test_every_url_like_brute_force(spark):
     assert sorted(got, key=str) == sorted([(i, *brute(u)) for i, u in URLS], key=str)
 
 
+def test_a_list_of_domains_and_hosts_with_paths(spark):
+    urls = ["http://a.net/x", "http://sub.A.net/y?q", "http://b.net/x", "http://b.net/x/y", "http://www.b.net/x", "http://c.net", None,
+            "http://d.org/es/", "http://example.org/es/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    listed = spark.createDataFrame([("A.net",), ("b.net/x",), ("b.net/x",), (None,), ("unseen.net",), ("C.net/",), ("d.org",)], "host string")
+    got = {r.id: (r.verdict, r.listed) for r in U.judge_urls(pages, listed=listed).collect()}
+    hit = {0, 1, 2, 7}
+    assert {i for i, (_, ok) in got.items() if ok} == hit
+    assert {i for i, (verdict, _) in got.items() if verdict == "block"} == {0, 1, 2, 8}  # a rule comes before the list
+    assert not any(ok for _, ok in ((r.verdict, r.listed) for r in U.judge_urls(pages, listed=listed.limit(0)).collect()))
+
+
 def test_empty_table(spark):
     assert U.judge_urls(spark.createDataFrame([], "page_id bigint, url string")).collect() == []
 
