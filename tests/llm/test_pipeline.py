@@ -1,8 +1,10 @@
 import zlib
 
+import public_tokenizers
+
 import corpus_pipeline as P
-from clickscope.llm import mixing, quality, simhash
-from tests.llm.edge import PARAGRAPH, edge_docs
+from clickscope.llm import mixing, quality, sentencepiece_dropout, simhash
+from tests.llm.edge import PARAGRAPH, edge_docs, empty_docs
 
 
 def test_stages_hand_on_whole_tables(spark, tmp_path):
@@ -43,5 +45,32 @@ def check_mix(before, after):
     assert got == want
 
 
+def test_encoding_like_one_document_at_a_time(spark):
+    """Every copy's ids, worked out on their own, in whatever order and partitions the rows come."""
+    rows = [(1, PARAGRAPH, "en", "a", 0)] * 3 + [(1, PARAGRAPH, "de", "b", 0), (1, PARAGRAPH, None, "a", 0), (2, None, "en", "a", 0),
+            (2, "", "en", None, 0), (None, PARAGRAPH, "en", "a", 0), (3, "x" * 3000 + " é ▁ \n\n", None, None, 0)]
+    codec = sentencepiece_dropout._codec(sentencepiece_dropout.read_model(public_tokenizers.path("piece_bpe_32k.model")),
+                                         sentencepiece_dropout.DROPOUT, sentencepiece_dropout.SEED)
+    first = lambda x: (x is not None, x or "")
+    want, copies = [], {}
+    for i, text, lang, source, _ in sorted(rows, key=lambda r: (first(r[3]), first(r[2]))):
+        copies[(i, text)] = copies.get((i, text), 0) + 1
+        want.append((i, source, lang, codec.encode(text, "" if i is None else str(i), copies[(i, text)]).tolist()))
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, edge_docs(spark).schema).repartition(parts)
+        got = P.encoding(spark, docs, "").collect()
+        assert sorted(((r.doc_id, r.source, r.lang, r.token_ids) for r in got), key=str) == sorted(want, key=str)
+        assert all(r.lossless for r in got)
+    assert len({str(x[3]) for x in want if x[0] == 1}) > 1  # copies differ
+
+
+def test_stages_take_empty_tables_and_further_columns(spark):
+    for _, stage in P.STAGES:
+        assert stage(spark, empty_docs(spark), "").collect() == []
+    docs = edge_docs(spark, clashing=True)
+    for name, stage in P.STAGES[:-1]:
+        assert stage(spark, docs, "").columns == docs.columns, name
+
+
 def test_four_stages_in_order():
     assert [name for name, _ in P.STAGES] == ["quality_rules", "near_dedup", "source_mixing", "encoding"]
