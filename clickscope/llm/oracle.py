@@ -1,13 +1,13 @@
 """DuckDB SQL of the queries of this subpackage that SQL can express.
 
 Not here: merge-dropout and token files (tokenizers), SimHash and mixing
-(Spark's 64-bit hash), language-model scoring (iterated weighting). tests/llm
-checks those against brute-force versions.
+(64-bit hashes), language-model scoring (iterated weighting). tests/llm checks
+those against brute-force versions.
 """
 
 from __future__ import annotations
 
-from clickscope.llm import chat, licenses, merkle, quality, substring_dedup, url_filter
+from clickscope.llm import chat, conversation_repair, licenses, merkle, quality, spelling, substring_dedup, url_filter
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -242,6 +242,122 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+# The 256 remainders that a byte-wise CRC-32 looks up.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, range(8)::UBIGINT[]),
+    lambda x, k: xor(x >> 1, (x & 1) * 3988292384))) AS crc_table"""
+
+
+def _crc32(x: str) -> str:
+    """CRC-32 of the UTF-8 bytes of ``x``, by the column ``crc_table``."""
+    h = f"hex(encode({x}))"
+    data = f"list_transform(range(0, len({h}) // 2), lambda i: ('0x' || {h}[2 * i + 1:2 * i + 2])::UBIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {data}), "
+            f"lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255)::BIGINT + 1])), 4294967295)")
+
+
+def _spelling() -> str:
+    cut_out = "left({w}, {i}) || substr({w}, {i} + 2)"
+    return rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), runs AS (
+  SELECT doc_id, {_lower('run')} AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents) GROUP BY ALL
+), hashed AS (
+  SELECT run, n, ({_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")})::BIGINT AS h FROM runs, crc
+), vocabulary AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % {spelling.DAMAGE_EVERY} = 0 THEN {cut_out.format(w='run', i='(h % len(run))')} ELSE run END AS word, n FROM hashed)
+  GROUP BY word HAVING len(word) >= {spelling.MIN_CHARS} AND sum(n) >= {spelling.MIN_COUNT}
+), cuts AS (
+  SELECT word, i, {cut_out.format(w='word', i='i')} AS part FROM (SELECT word, unnest(range(len(word))) AS i FROM vocabulary)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM cuts a JOIN cuts b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, part FROM cuts WHERE part IN (SELECT word FROM vocabulary)
+  UNION SELECT part, word FROM cuts WHERE part IN (SELECT word FROM vocabulary)
+), best AS (
+  SELECT p.word, v.word AS near, v.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near
+  FROM pairs p JOIN vocabulary v ON v.word = p.near
+  QUALIFY row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, v.word) = 1
+), judged AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.ROOT_FACTOR} * v.n THEN near END AS form,
+         CASE WHEN near_n >= {spelling.ROOT_FACTOR} * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)
+), followed AS (
+  SELECT word, word AS root, form AS onward FROM judged
+  UNION ALL SELECT f.word, j.word, j.form FROM followed f JOIN judged j ON j.word = f.onward
+)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN (SELECT word, root FROM followed WHERE onward IS NULL) USING (word)"""
+
+
+def _repair() -> str:
+    cr = conversation_repair
+    blank = "' '"
+    far = "{'c': 1000000, 'a': ''}"
+    step = lambda s, cost, edit: f"{{'c': {s}.c + {cost}, 'a': {s}.a || {edit}}}"
+    least = lambda *xs: f"list_min([{', '.join(xs)}])"
+
+    def stays(s: str, initial: str) -> str:
+        moved = step(s, f"(CASE WHEN initial = '{initial}' THEN {cr.KEEP_COST} ELSE {cr.REROLE_COST} END) + late",
+                     f"(CASE WHEN initial = '{initial}' THEN 'K' ELSE 'R' END)")
+        return f"CASE WHEN stays THEN {moved} ELSE {far} END"
+
+    gone = lambda s: step(s, cr.DELETE_COST, "'D'")
+    added = lambda s: step(s, cr.INSERT_COST, "'I'")
+    kept_system = f"CASE WHEN stays AND initial = 's' THEN {step('s0', f'{cr.KEEP_COST} + late', chr(39) + 'K' + chr(39))} ELSE {far} END"
+    # insertions lead from 0, 1 and 3 to 2, and from 2 to 3
+    close = f"""SELECT conv, i, s0, s1, {least('s2', added('s0'), added('s1'), added('s3'))} AS s2,
+             {least('s3', added(least('s2', added('s0'), added('s1'))))} AS s3"""
+    bare = r"regexp_replace(text, '[\x09-\x0D\x20]+$', '')"
+    return f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), fates AS (
+  SELECT conv_id AS conv, turn, coalesce(role, {blank}) AS role, coalesce(text, {blank}) AS text,
+         ({_crc32(f"coalesce(conv_id::VARCHAR, {blank}) || ':' || coalesce(turn::VARCHAR, {blank})")})::BIGINT % 20 AS fate
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS time
+  FROM fates WHERE fate <> 0
+), placed AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS before,
+         row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, time) > 1 AS again, {bare} AS bare
+  FROM damaged WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, time)
+), faults AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN NOT regexp_matches(bare, '[.!?]$') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+), ready AS (
+  SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN {cr.TRUNCATED_COST} ELSE 0 END AS late FROM faults
+), walked AS (
+  {close} FROM (SELECT DISTINCT conv, 0::BIGINT AS i, {{'c': 0, 'a': ''}} AS s0, {far} AS s1, {far} AS s2, {far} AS s3 FROM ready)
+  UNION ALL
+  {close} FROM (
+    SELECT w.conv, r.i, {gone('s0')} AS s0, {least(gone('s1'), kept_system)} AS s1,
+           {least(gone('s2'), stays('s0', 'u'), stays('s1', 'u'), stays('s3', 'u'))} AS s2, {least(gone('s3'), stays('s2', 'a'))} AS s3
+    FROM walked w JOIN ready r ON r.conv IS NOT DISTINCT FROM w.conv AND r.i = w.i + 1)
+), best AS (
+  SELECT conv, {least('s0', 's3')} AS best FROM walked QUALIFY row_number() OVER (PARTITION BY conv ORDER BY i DESC) = 1
+), edits AS (
+  SELECT conv, p, best.a[p] AS edit, len(translate(best.a[1:p], 'I', '')) AS i, len(translate(best.a[1:p], 'D', '')) AS said,
+         len(translate(best.a, 'D', '')) AS says
+  FROM (SELECT conv, best, unnest(generate_series(1, len(best.a))) AS p FROM best)
+), repaired AS (
+  SELECT e.conv, e.p, CASE WHEN edit = 'K' THEN role WHEN (said + says) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+         || CASE WHEN edit = 'I' THEN '' ELSE text END AS line
+  FROM edits e LEFT JOIN ready r ON r.conv IS NOT DISTINCT FROM e.conv AND r.i = e.i
+  WHERE edit <> 'D'
+), hashes AS (SELECT conv, sha256(string_agg(line, chr(10) ORDER BY p)) AS told FROM repaired GROUP BY conv
+), counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+         count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+         count_if(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+       coalesce(best.a, '') AS audit, coalesce(told, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv IS NOT DISTINCT FROM o.conv_id LEFT JOIN hashes h ON h.conv IS NOT DISTINCT FROM o.conv_id"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_url_filter": _url_filter(),
     "op3_quality_rules": _quality(),
@@ -249,4 +365,6 @@ ORACLE_SQL: dict[str, str] = {
     "op9_merkle_fingerprints": _merkle(),
     "op10_license_scan": _licenses(),
     "op11_substring_dedup": _substring(),
+    "op12_spelling_variants": _spelling(),
+    "op13_conversation_repair": _repair(),
 }

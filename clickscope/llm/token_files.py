@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from array import array
@@ -79,6 +80,9 @@ class WordEncoder:
     def __init__(self, tokenizer: str, dtype: str, cache_words: int = CACHE_WORDS):
         self._tokenizer = Tokenizer.from_str(tokenizer)
         self._apart, self._lowers, self._cuts = word_wise(self._tokenizer)
+        special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._apart = self._apart and not any(re.search(r"\s", name) for name in special)
+        self._names = [name.encode().lower() for name in special]
         self._dtype = np.dtype(dtype)
         self._code = {2: "H", 4: "I"}[self._dtype.itemsize]
         self._room = max(1, cache_words // 2)
@@ -90,8 +94,7 @@ class WordEncoder:
         if not self._apart:
             whole = self._tokenizer.encode_batch_fast([text.decode() for text in texts], add_special_tokens=False)
             return [array(self._code, e.ids).tobytes() for e in whole]
-        # Where the tokenizer lower-cases, A-Z may go first; not where that could make a special token's name.
-        split = [(text.lower() if self._lowers and b"<" not in text else text).split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
+        split = [self._folded(text).split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
         found = [list(map(self._young.get, ws)) for ws in split]
         new: dict[bytes, bytes | None] = {}
         for ws, ids in zip(split, found):
@@ -108,6 +111,13 @@ class WordEncoder:
         self._young.update(new)
         return [b"".join(ids) for ids in found]
 
+    def _folded(self, text: bytes) -> bytes:
+        """Where the tokenizer lower-cases, A-Z may go first; not where that could make, or break, a special token's name."""
+        if not self._lowers:
+            return text
+        lowered = text.lower()
+        return text if any(name in lowered for name in self._names) else lowered
+
     def _look_up(self, new: dict[bytes, bytes | None]) -> None:
         """Fill in the ids of all words in ``new``, adding the stems that it meets.
 
