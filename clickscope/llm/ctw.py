@@ -42,6 +42,7 @@ from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -55,7 +56,7 @@ DEPTH = 6
 MOST_DEPTH = 6  # a gram is one 64-bit integer
 KEY_BYTES = 3
 END = b" "  # the end token; no word has a space
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 32 << 20
 BLOCK_BYTES = 2 << 20    # text whose grams are worked out in one array
 BUCKET_BYTES = 8 << 20   # text per bucket of grams and words
 EVALUATED = 1 << 18      # grams that are evaluated in one array
@@ -106,15 +107,23 @@ def _summed(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def gram_counts(texts: list[bytes], learn: list[bool], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams of all texts in order, and how often those to learn from have them."""
-    parts = []
+    merged, parts, waiting = (np.empty(0, np.int64),) * 2, [], 0
     for wanted in (True, False):
         for block in _blocks([t for t, ok in zip(texts, learn) if ok is wanted]):
             codes, n = np.unique(gram_codes(block, depth), return_counts=True)
             parts.append((codes, n if wanted else np.zeros_like(n)))
-    if not parts:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    codes, n = _summed(*[np.concatenate(x) for x in zip(*parts)])
-    return codes, n
+            waiting += len(codes)
+            if waiting > max(1 << 20, len(merged[0])):
+                merged, parts, waiting = _summed(*[np.concatenate(x) for x in zip(merged, *parts)]), [], 0
+    return _summed(*[np.concatenate(x) for x in zip(merged, *parts)]) if parts else merged
+
+
+def turned(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Codes with the context's bytes the other way round: its last byte first, as subtrees are ordered. Its own inverse."""
+    out = codes & 255
+    for k in range(depth):
+        out |= (codes >> 8 * (k + 1) & 255) << 8 * (depth - k)
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -276,14 +285,18 @@ def _chunk_rows(ids: list, texts: list[bytes], learn: list[bool], depth: int, bu
         writer.write_batch(batch)
     rows = [("text", chunk, 0, _pack(sink.getvalue().to_pybytes(), lengths, b"".join(texts)))]
     codes, n = gram_counts(texts, learn, depth)
-    for bucket, at in _by_bucket(_gram_bucket(codes, min(KEY_BYTES, depth), buckets)):
+    codes = turned(codes, depth)  # neighbours in this order share a subtree and differ little
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    for bucket, at in _by_bucket(_gram_bucket(turned(codes, depth), min(KEY_BYTES, depth), buckets)):
         rows.append(("gram", chunk, bucket, _pack(_differences(codes[at]), n[at])))
     counts: Counter = Counter()
     for t, ok in zip(texts, learn):
         if ok:
             counts.update(_tokens(t))
         else:
-            counts.update(dict.fromkeys(set(_tokens(t)) - counts.keys(), 0))
+            for w in _tokens(t):
+                counts.setdefault(w, 0)
     words = sorted(counts)
     for bucket, at in _by_bucket(np.array([xxhash.xxh64_intdigest(w) % buckets for w in words], dtype=np.int64)):
         own = [words[i] for i in at.tolist()]
@@ -326,12 +339,12 @@ def _write_chunks(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
     return spark.read.schema("chunk bigint, bucket bigint, blob binary, kind string").parquet(path)
 
 
-def _merged_grams(blobs: list[bytes]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def _merged_grams(blobs: list[bytes], depth: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """The grams of each blob, and all distinct ones with their summed counts."""
     asked, counts = [], []
     for blob in blobs:
         steps, n = _unpack(blob, "<i8", "<i8")
-        asked.append(np.cumsum(steps))
+        asked.append(turned(np.cumsum(steps), depth))
         counts.append(n)
     return asked, *_summed(np.concatenate(asked), np.concatenate(counts))
 
@@ -348,7 +361,7 @@ def _shortest_contexts(chunks: DataFrame, depth: int) -> list[tuple[np.ndarray,
         return []
 
     def roots(table: pa.Table) -> pa.Table:
-        _, codes, counts = _merged_grams(table.column("blob").to_pylist())
+        _, codes, counts = _merged_grams(table.column("blob").to_pylist(), depth)
         found = Subtrees(codes, counts, depth, top).roots or [(np.empty(0, np.int64),) * 3 + (np.empty(0),)]
         keys, zeros, ones, weighted = (np.concatenate(x) for x in zip(*found))
         keys = keys & ((1 << 8 * top) - 1)  # drop the context's first byte: the parent's key
@@ -377,18 +390,22 @@ def _shortest_contexts(chunks: DataFrame, depth: int) -> list[tuple[np.ndarray,
     return above
 
 
-def _answers(chunks: DataFrame, depth: int, buckets: int) -> DataFrame:
-    """(chunk, kind, blob): the log10 probabilities and word counts that each chunk asked for."""
-    spark = chunks.sparkSession
+def _gram_answers(chunks: DataFrame, depth: int) -> DataFrame:
+    """(chunk, kind, blob): the grams that each chunk asked a bucket for, with their log10 probabilities."""
     top = min(KEY_BYTES, depth)
-    above = spark.sparkContext.broadcast(_shortest_contexts(chunks, depth))
+    above = chunks.sparkSession.sparkContext.broadcast(_shortest_contexts(chunks, depth))
 
     def grams(table: pa.Table) -> pa.Table:
-        asked, codes, counts = _merged_grams(table.column("blob").to_pylist())
+        asked, codes, counts = _merged_grams(table.column("blob").to_pylist(), depth)
         logs = Subtrees(codes, counts, depth, top).logs(codes, above.value).astype(np.float32)
-        blobs = [_pack(_differences(a), logs[np.searchsorted(codes, a)]) for a in asked]
+        blobs = [_pack(_differences(turned(a, depth)), logs[np.searchsorted(codes, a)]) for a in asked]
         return pa.table({"chunk": table.column("chunk"), "kind": pa.array(["gram"] * len(blobs)), "blob": pa.array(blobs, pa.binary())})
 
+    return chunks.where("kind = 'gram'").groupBy("bucket").applyInArrow(grams, "chunk bigint, kind string, blob binary")
+
+
+def _word_answers(chunks: DataFrame) -> DataFrame:
+    """(chunk, blob, kind): the words that each chunk asked a bucket for, with their counts; kind 'total' has the buckets' sums."""
     def words(table: pa.Table) -> pa.Table:
         asked, counts = [], Counter()
         for blob in table.column("blob").to_pylist():
@@ -402,10 +419,9 @@ def _answers(chunks: DataFrame, depth: int, buckets: int) -> DataFrame:
         return pa.table({"chunk": pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
                          "kind": pa.array(["word"] * len(blobs) + ["total"]), "blob": pa.array([*blobs, totals], pa.binary())})
 
-    schema = "chunk bigint, kind string, blob binary"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/lm-answers-{uuid.uuid4().hex}"
-    (chunks.where("kind = 'gram'").groupBy("bucket").applyInArrow(grams, schema)
-     .unionByName(chunks.where("kind = 'word'").groupBy("bucket").applyInArrow(words, schema))
+    spark = chunks.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lm-words-{uuid.uuid4().hex}"
+    (chunks.where("kind = 'word'").groupBy("bucket").applyInArrow(words, "chunk bigint, kind string, blob binary")
      .write.partitionBy("kind").parquet(path))
     return spark.read.schema("chunk bigint, blob binary, kind string").parquet(path)
 
@@ -420,7 +436,7 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc
     scored, each; a null id stays null. Without training documents every word
     is unknown and every bit has probability one half. An empty table gives an
     empty result. Extra columns are ignored. Runs jobs: the packed chunks, the
-    shortest contexts and the answers are written to the shared folder.
+    shortest contexts and the word counts are written to the shared folder.
     """
     if not 0 <= depth <= MOST_DEPTH:
         raise ValueError(f"the depth is 0 to {MOST_DEPTH}")
@@ -431,10 +447,10 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc
     size = rows.agg(F.coalesce(F.sum(F.length("text").cast("bigint") + 64), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(size / bucket_bytes))
     chunks = _write_chunks(rows, depth, buckets)
-    answers = _answers(chunks, depth, buckets)
+    words_told = _word_answers(chunks)
     total = distinct = 0
     # one row per bucket of words
-    for row in answers.where("kind = 'total'").select("blob").toLocalIterator():
+    for row in words_told.where("kind = 'total'").select("blob").toLocalIterator():
         part, = _unpack(bytes(row["blob"]), "<i8")
         total, distinct = total + int(part[0]), distinct + int(part[1])
     per_token = math.log10(total + 0.1 * (distinct + 1))
@@ -444,14 +460,12 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc
         for kind, blob in zip(told.column("kind").to_pylist(), told.column("blob").to_pylist()):
             if kind == "gram":
                 steps, values = _unpack(blob, "<i8", "<f4")
-                codes.append(np.cumsum(steps))
+                codes.append(turned(np.cumsum(steps), depth))
                 logs.append(values)
             else:
                 text, n = _unpack(blob, None, "<i8")
                 known.update((w, k) for w, k in zip(text.split(b"\n"), n.tolist()) if k)
-        codes, logs = np.concatenate(codes), np.concatenate(logs)
-        order = np.argsort(codes)
-        codes, logs = codes[order], logs[order].astype(np.float64)
+        place, logs = pd.Index(np.concatenate(codes)), np.concatenate(logs).astype(np.float64)  # hashed: faster than a search
         words = dict(zip(known, np.log10(np.fromiter(known.values(), np.float64, len(known)) + 0.1).tolist()))
         ids, lengths, data = _unpack(texts_.column("blob")[0].as_py(), None, "<i8", None)
         ends = np.cumsum(lengths).tolist()
@@ -466,14 +480,14 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc
             base.append(float(values[hit].sum()) + (len(tokens) - n_known[-1]) * math.log10(0.1) - len(tokens) * per_token)
         for block in _blocks(texts):
             sizes = np.array([len(t) + 1 for t in block])
-            values = logs[np.searchsorted(codes, gram_codes(block, depth))]
+            values = logs[place.get_indexer(gram_codes(block, depth))]
             scores += np.add.reduceat(values, np.cumsum(sizes) - sizes).tolist()
         bits = [-s * math.log2(10) / (len(t) + 1) for s, t in zip(scores, texts)]
         return pa.table({"id": pa.ipc.open_stream(ids).read_all().column("id"), "n_tokens": pa.array(n_tokens, pa.int64()),
                          "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()),
                          "score": pa.array(scores, pa.float64()), "bits_per_byte": pa.array(bits, pa.float64())})
 
-    told = answers.where("kind != 'total'")
+    told = words_told.where("kind = 'word'").select("chunk", "kind", "blob").unionByName(_gram_answers(chunks, depth))
     out = chunks.where("kind = 'text'").select("chunk", "blob").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         scored, f"id {id_type}, n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double")
     return out.withColumn("train_tokens", F.lit(total).cast("bigint"))
