@@ -70,6 +70,8 @@ class MergeDropout:
                 left, right = symbol(piece[:cut]), symbol(piece[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = (i, -sp.get_score(i))
+        if any(re.search(f"[^{SPACE}]{SPACE}", name) for name in names):
+            raise ValueError("a piece has a space behind a character, so words cannot be encoded one by one")
         keys = sorted(pairs)
         self._pair_keys = np.array(keys + [np.iinfo(np.int64).max], dtype=np.int64)
         self._pair_ids = np.array([pairs[k][0] for k in keys] + [0], dtype=np.int64)
@@ -179,12 +181,6 @@ class MergeDropout:
         at = np.searchsorted(self._pair_keys, keys)
         return np.where(self._pair_keys[at] == keys, self._pair_ranks[at], NEVER), self._pair_ids[at]
 
-    def _merge_rows(self, work: list[tuple[str, int]]) -> list[bytes]:
-        """Ids of units under numbered draws."""
-        base = np.array([xxhash.xxh64_intdigest(unit.encode("utf-8", "surrogatepass"), (self.seed * 1_000_003 + v) & _MASK)
-                         for unit, v in work], dtype=np.uint64)
-        return self._merged([unit for unit, _ in work], base, self._limit)[0]
-
     def _merged(self, units: list[str], base: np.ndarray, limit: int) -> tuple[list[bytes], list[bytes]]:
         """Run the agendas of several units side by side: the ids and, without a limit, the candidates in order.
 
