@@ -6,6 +6,8 @@ its settings. ``build_session`` is for local runs, tests and the benchmark.
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import SparkSession
 
 # Settings that make a local run behave like the cluster plan: AQE re-plans
@@ -49,11 +51,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     ``spark.checkpoint.dir`` where the cluster names one; only where it is
-    unset, a folder of its own beside the tables, in the session's warehouse,
-    which every executor reaches.
+    unset, a folder of its own beside the tables, in the session's warehouse.
+    A warehouse on a local disk is no shared folder, so on a cluster it is
+    refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        local = urlparse(warehouse).scheme in ("", "file") and not spark.conf.get("spark.hadoop.fs.defaultFS", "")
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share; the warehouse is a local one")
+        folder = f"{warehouse}/_checkpoints"
     spark.sparkContext.setCheckpointDir(folder)
     return folder

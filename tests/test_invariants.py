@@ -81,3 +81,22 @@ def test_half_up_matches_decimal(spark, pairs):
 def test_percent_null_total(spark):
     r = spark.range(1).select(percent_half_up(F.lit(3), F.lit(0)).alias("p")).collect()[0]
     assert r["p"] is None
+
+
+def test_a_local_warehouse_is_no_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from clickscope.session import checkpoint_dir
+
+    def session(master, **conf):
+        told = []
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k.replace(".", "_"), d)),
+                               sparkContext=SimpleNamespace(master=master, setCheckpointDir=told.append)), told
+
+    for master, conf, want in (("yarn", {"spark_checkpoint_dir": "s3://b/x"}, "s3://b/x"),
+                               ("yarn", {"spark_sql_warehouse_dir": "hdfs://n/w/"}, "hdfs://n/w/_checkpoints"),
+                               ("local[4]", {"spark_sql_warehouse_dir": "file:/w"}, "file:/w/_checkpoints")):
+        spark, told = session(master, **conf)
+        assert checkpoint_dir(spark) == want and told == [want]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session("yarn", spark_sql_warehouse_dir="file:/w")[0])
