@@ -56,8 +56,8 @@ DEPTH = 6
 MOST_DEPTH = 6  # a gram is one 64-bit integer
 KEY_BYTES = 3
 END = b" "  # the end token; no word has a space
-CHUNK_BYTES = 32 << 20
-BLOCK_BYTES = 2 << 20    # text whose grams are worked out in one array
+CHUNK_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20    # text whose grams are worked out in one array
 BUCKET_BYTES = 8 << 20   # text per bucket of grams and words
 EVALUATED = 1 << 18      # grams that are evaluated in one array
 ZSTD_LEVEL = 3
@@ -456,17 +456,17 @@ def score(docs: DataFrame, learn: Column, depth: int = DEPTH, id_col: str = "doc
     per_token = math.log10(total + 0.1 * (distinct + 1))
 
     def scored(key: tuple, texts_: pa.Table, told: pa.Table) -> pa.Table:
-        codes, logs, known = [], [], {}
-        for kind, blob in zip(told.column("kind").to_pylist(), told.column("blob").to_pylist()):
+        codes, logs, words = [], [], {}
+        for kind, value in zip(told.column("kind").to_pylist(), told.column("blob")):
+            blob = value.as_py()
             if kind == "gram":
                 steps, values = _unpack(blob, "<i8", "<f4")
                 codes.append(turned(np.cumsum(steps), depth))
                 logs.append(values)
             else:
                 text, n = _unpack(blob, None, "<i8")
-                known.update((w, k) for w, k in zip(text.split(b"\n"), n.tolist()) if k)
+                words.update((w, x) for w, x, k in zip(text.split(b"\n"), np.log10(n + 0.1).tolist(), n.tolist()) if k)
         place, logs = pd.Index(np.concatenate(codes)), np.concatenate(logs).astype(np.float64)  # hashed: faster than a search
-        words = dict(zip(known, np.log10(np.fromiter(known.values(), np.float64, len(known)) + 0.1).tolist()))
         ids, lengths, data = _unpack(texts_.column("blob")[0].as_py(), None, "<i8", None)
         ends = np.cumsum(lengths).tolist()
         texts = [data[e - n:e] for e, n in zip(ends, lengths.tolist())]
