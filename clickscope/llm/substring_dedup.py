@@ -42,16 +42,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import importable_by_workers, pick
+from clickscope.llm.common import durable, importable_by_workers, pick
 
 WINDOW = 20
 MINIMISER = 3
 BUCKET_STRINGS = 50_000     # super-k-mers that a bucket aims at
 GROUP_BYTES = 4 << 20       # text looked at together
-FLUSH_BYTES = 16 << 20      # text whose strings are packed together
+FLUSH_BYTES = 8 << 20       # text whose strings are packed together
 HASH_BYTES = 1 << 20        # bytes hashed at a time
 ZSTD_LEVEL = 6
 RUNS_A_BLOB = 1 << 16
+CUT_ROWS = 1 << 10          # documents cut together
 LEAST_ID = -(1 << 63)
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -363,14 +364,12 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMI
             yield pa.RecordBatch.from_arrays(
                 [pa.array([None, *values.tolist()], pa.int64()), pa.array([total, *n.tolist()], pa.int64())], names=["value", "n"])
 
-    counted = (texts.mapInArrow(count_minimisers, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
-               .where(F.col("n") > 0))
-    # those above the share, at most 2 / share of them; the null value has the total
-    every = counted.where("value is null").select(F.col("n").alias("every"))
-    told = (counted.join(F.broadcast(every)).where(F.col("value").isNull() | (F.col("n") >= F.col("every") * (share / 2)))
-            .select("value", "n").collect())
-    total = next((r["n"] for r in told if r["value"] is None), 0)
-    hot = np.sort(np.array([r["value"] for r in told if r["value"] is not None], dtype=np.int64).view(np.uint64))
+    counted = durable(texts.mapInArrow(count_minimisers, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n"))
+                      .where(F.col("n") > 0))
+    total = counted.where("value is null").agg(F.sum("n")).first()[0] or 0
+    # those above the share, at most 2 / share of them
+    told = counted.where(F.col("value").isNotNull() & (F.col("n") >= total * share / 2)).select("value").collect()
+    hot = np.sort(np.array([r["value"] for r in told], dtype=np.int64).view(np.uint64))
     buckets = max(8 * partitions, -(-total // BUCKET_STRINGS))
     listed = spark.sparkContext.broadcast(hot)
 
@@ -420,23 +419,27 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_removed, texts = [], [], []
-            for data, copy_, a, b in zip(*[batch.column(i).to_pylist() for i in range(1, 5)]):
-                words = data.split()  # bytes.split cuts at 0x20 and 0x09-0x0D only
-                spans = sorted(zip(a, b)) if a else []
-                if copy_ > 1 and len(words) >= window:
-                    spans = [(0, len(words))]
-                kept, at = [], 0
-                for lo, hi in spans:
-                    if lo > at:
-                        kept += words[at:lo]
-                    at = max(at, hi)
-                kept += words[at:]
-                n_words.append(len(words))
-                n_removed.append(len(words) - len(kept))
-                texts.append(b" ".join(kept).decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())],
-                names=["id", "n_words", "n_removed", "kept_text"])
+            for at in range(0, batch.num_rows, CUT_ROWS):
+                yield cut_rows(batch.slice(at, CUT_ROWS))
+
+    def cut_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n_words, n_removed, texts = [], [], []
+        for data, copy_, a, b in zip(*[batch.column(i).to_pylist() for i in range(1, 5)]):
+            words = data.split()  # bytes.split cuts at 0x20 and 0x09-0x0D only
+            spans = sorted(zip(a, b)) if a else []
+            if copy_ > 1 and len(words) >= window:
+                spans = [(0, len(words))]
+            kept, at = [], 0
+            for lo, hi in spans:
+                if lo > at:
+                    kept += words[at:lo]
+                at = max(at, hi)
+            kept += words[at:]
+            n_words.append(len(words))
+            n_removed.append(len(words) - len(kept))
+            texts.append(b" ".join(kept).decode("utf-8", "surrogatepass"))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())],
+            names=["id", "n_words", "n_removed", "kept_text"])
 
     return joined.mapInArrow(cut, f"id {id_type}, n_words bigint, n_removed bigint, kept_text string")
