@@ -20,12 +20,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 from urllib.parse import urlparse
 
 import numpy as np
@@ -39,8 +40,9 @@ from tokenizers import Tokenizer
 from clickscope.llm.common import importable_by_workers, pick
 
 NO_ID = np.iinfo(np.int64).min
-CACHE_WORDS = 800_000  # per Python worker: some 150 MB
-TEXT_BYTES = 1 << 20  # text that is encoded together
+CACHE_WORDS = 1_360_000  # per Python worker: some 260 MB
+TEXT_BYTES = 1 << 22  # text that is encoded together
+JOINED_WORDS = 100  # new words that one call of the tokenizer gets
 READ_DOCS = 4096  # documents of a part that are read together
 _MARKS, _LETTERS = b".,!?;:", b"abcdefghijklmnopqrstuvwxyz"
 
@@ -68,13 +70,29 @@ def word_wise(tokenizer: Tokenizer) -> tuple[bool, bool, bool]:
     return apart, lowers, cuts
 
 
+def spellings(tokenizer: Tokenizer) -> list[bytes]:
+    """The bytes each id stands for, its end-of-word suffix left out, by the usual alphabet of byte-level vocabularies."""
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # these bytes are written as themselves
+    byte_of = {chr(b): b for b in shown}
+    byte_of.update((chr(256 + i), b) for i, b in enumerate(sorted(set(range(256)) - set(shown))))
+    vocab = tokenizer.get_vocab(with_added_tokens=True)
+    spelled = [b""] * (max(vocab.values(), default=-1) + 1)
+    for token, i in vocab.items():
+        part = token.removesuffix(suffix)
+        known = [byte_of.get(c) for c in part]
+        spelled[i] = part.encode() if None in known else bytes(known)
+    return spelled
+
+
 class WordEncoder:
     """Ids of texts, one word at a time where the tokenizer allows it.
 
     A tokenizer that drops white space sees every run between ASCII white
     space by itself, so a word's ids are worked out once and kept in a bounded
     cache. ``word_wise`` tries that out, as it does lower-casing and the cut
-    before marks; any other tokenizer gets whole texts.
+    before marks; any other tokenizer gets whole texts. A call of the tokenizer
+    costs as much as a short word, so many new words go in one call.
     """
 
     def __init__(self, tokenizer: str, dtype: str, cache_words: int = CACHE_WORDS):
@@ -82,6 +100,8 @@ class WordEncoder:
         self._apart, self._lowers, self._cuts = word_wise(self._tokenizer)
         special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._apart = self._apart and not any(re.search(r"\s", name) for name in special)
+        self._spelled = spellings(self._tokenizer)
+        self._sizes = np.array([len(part) for part in self._spelled])
         self._names = [name.encode().lower() for name in special]
         self._dtype = np.dtype(dtype)
         self._code = {2: "H", 4: "I"}[self._dtype.itemsize]
@@ -95,21 +115,15 @@ class WordEncoder:
             whole = self._tokenizer.encode_batch_fast([text.decode() for text in texts], add_special_tokens=False)
             return [array(self._code, e.ids).tobytes() for e in whole]
         split = [self._folded(text).split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
-        found = [list(map(self._young.get, ws)) for ws in split]
-        new: dict[bytes, bytes | None] = {}
-        for ws, ids in zip(split, found):
-            if None in ids:
-                new.update((w, None) for w, x in zip(ws, ids) if x is None)
+        found = dict.fromkeys(chain.from_iterable(split))
+        found = dict(zip(found, map(self._young.get, found)))
+        new: dict[bytes, bytes | None] = {w: None for w, ids in found.items() if ids is None}
         self._look_up(new)
-        for ws, ids in zip(split, found):
-            if None in ids:
-                for i, x in enumerate(ids):
-                    if x is None:
-                        ids[i] = new[ws[i]]
+        found.update(new)
         if len(self._young) + len(new) > self._room:
             self._old, self._young = self._young, {}
         self._young.update(new)
-        return [b"".join(ids) for ids in found]
+        return [b"".join(map(found.__getitem__, ws)) for ws in split]
 
     def _folded(self, text: bytes) -> bytes:
         """Where the tokenizer lower-cases, A-Z may go first; not where that could make, or break, a special token's name."""
@@ -137,11 +151,43 @@ class WordEncoder:
                         new[part] = young.get(part) or old.get(part)
         parted = set(joined)
         missing = [w for w, ids in new.items() if ids is None and w not in parted]
-        for w, e in zip(missing, self._tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
-            new[w] = array(self._code, e.ids).tobytes()
-        for w in sorted(joined, key=len):
-            if new[w] is None:
-                new[w] = new[w[:-1]] + new[w[-1:]]
+        new.update(self._encoded(missing))
+        for w in joined:
+            new[w] = new[w[:-1]] + new[w[-1:]]
+
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The tokenizer's ids of words, many of which go in one call, with spaces between.
+
+        Words are encoded by themselves, so the ids of a group are those of its
+        words on end; they are told apart by the bytes that the ids spell.
+        Where these are not the words' own bytes, with an id's end at every
+        word's end, the group's words are encoded one by one, as are words that
+        a tokenizer often normalises.
+        """
+        out: dict[bytes, bytes] = {}
+        plain, single = [], []
+        for w in words:
+            (plain if w.isascii() or _normal(w.decode()) else single).append(w)
+        groups = [plain[low:low + JOINED_WORDS] for low in range(0, len(plain), JOINED_WORDS)]
+        texts = [b" ".join(group).decode() for group in groups]
+        for group, e in zip(groups, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=self._dtype)
+            sizes, want = self._sizes[ids], np.cumsum([len(w) for w in group])
+            ends = np.cumsum(sizes)
+            if sizes.all() and b"".join(map(self._spelled.__getitem__, e.ids)) == b"".join(group):
+                at = np.searchsorted(ends, want)
+                if (ends[at] == want).all():
+                    packed, stops = ids.tobytes(), ((at + 1) * ids.itemsize).tolist()
+                    out.update((w, packed[low:high]) for w, low, high in zip(group, [0, *stops], stops))
+                    continue
+            single += group
+        for w, e in zip(single, self._tokenizer.encode_batch_fast([w.decode() for w in single], add_special_tokens=False)):
+            out[w] = array(self._code, e.ids).tobytes()
+        return out
+
+
+def _normal(word: str) -> bool:
+    return unicodedata.is_normalized("NFC", word) and word.lower() == word
 
 
 @lru_cache(maxsize=2)

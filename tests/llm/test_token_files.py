@@ -47,6 +47,37 @@ def test_assumptions_are_tried_out_and_other_tokenizers_get_whole_texts(tokenize
             assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids, (want, text[:30])
 
 
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_many_new_words_go_in_one_call(tokenizer):
+    whole, encoder = Tokenizer.from_str(tokenizer), T.WordEncoder(tokenizer, "<u2")
+    encoder._tokenizer = counting = Counting(encoder._tokenizer)
+    text = " ".join(f"w{a}{b}\u00e9{'x' * (i % 5)}" for i, a in enumerate("abcdefghijklmnopqrst") for b in "abcdefghijklmnopqrst")
+    ids, = encoder.encode_many([text.encode()])
+    assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert counting.texts == 4  # 400 words
+
+
+def test_groups_that_do_not_spell_their_words_are_encoded_one_by_one(tokenizer):
+    told = json.loads(tokenizer)
+    told["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "qu"}, "content": "k"})
+    other = json.dumps(told)
+    whole, encoder = Tokenizer.from_str(other), T.WordEncoder(other, "<u2")
+    assert encoder._apart
+    texts = ["one quick two", "three four quqqu", "e\u0301 \u00c9 five \u0421 \u65e5\u672c a<|endoftext|>b " + " ".join(map(str, range(300)))]
+    for text, ids in zip(texts, encoder.encode_many([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids, text[:30]
+
+
 def test_files_read_back_in_id_order(spark, tokenizer, tmp_path):
     docs = edge_docs(spark, clashing=True).repartition(5)
     manifest = T.write_token_files(docs, f"file://{tmp_path}/x", tokenizer, 2)
