@@ -40,8 +40,9 @@ from clickscope.llm.common import importable_by_workers, pick
 SPACE = "▁"
 SEED = 20240111
 DROPOUT = 0.1
-CACHE_UNITS = 800_000  # per Python worker
-MATRIX_CELLS = 1 << 18
+CACHE_UNITS = 1_360_000  # per Python worker
+MATRIX_CELLS = 1 << 15  # so that a matrix stays in a core's own cache
+PAIR_SLOTS_BITS = 18
 TEXT_CHARS = 1 << 20  # characters of a batch that are encoded together
 NEVER = np.iinfo(np.int32).max
 _MARKS = r".,;:!?|#$%&*"
@@ -77,6 +78,10 @@ class MergeDropout:
         self._pair_ids = np.array([pairs[k][0] for k in keys] + [0], dtype=np.int64)
         by_cost = {c: rank for rank, c in enumerate(sorted({c for _, c in pairs.values()}))}
         self._pair_ranks = np.array([by_cost[pairs[k][1]] for k in keys] + [NEVER], dtype=np.int32)
+        slots = self._slots(self._pair_keys)
+        self._in_slot = np.full(1 << PAIR_SLOTS_BITS, len(keys), dtype=np.int32)  # the last stands for no pair
+        self._in_slot[slots] = np.arange(len(slots))
+        self._crowded = np.bincount(slots, minlength=1 << PAIR_SLOTS_BITS) > 1
         self._of_char = np.arange(0x110000, dtype=np.int64) + self._size
         for piece, i in names.items():
             if len(piece) == 1 and piece != SPACE:
@@ -120,20 +125,40 @@ class MergeDropout:
         place = np.arange(len(units)) - np.repeat(np.array(ends) - counts, counts)
         base = self._mixed(np.repeat(np.array(starts, dtype=np.uint64), counts)
                            + (place + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-        plain = self._plain(units)
-        out = [ids for _, ids in plain]
+        known = dict.fromkeys(units)
+        plain = self._plain(list(known))
+        known.update(zip(known, range(len(known))))
+        which = np.fromiter(map(known.__getitem__, units), np.int64, len(units))  # each unit's place in plain
+        ids = [unit_ids for _, unit_ids in plain]
         if self._limit and units:
             chains = [chain for chain, _ in plain]
-            sizes = np.fromiter(map(len, chains), np.int64, len(chains)) // 8
+            merges, sizes = self._gathered(np.frombuffer(b"".join(chains), dtype="<u8"), self._counts(chains, 8), which)
             owner = np.repeat(np.arange(len(units)), sizes)
-            drawn = self._mixed(base[owner] + np.frombuffer(b"".join(chains), dtype="<u8") * np.uint64(0x9E3779B97F4A7C15))
-            hit = np.unique(owner[drawn < np.uint64(self._limit)])
-            hit = sorted(hit.tolist(), key=lambda i: len(units[i]))
-            for low, high in self._like_lengths([units[i] for i in hit]):
+            drawn = self._mixed(base[owner] + merges * np.uint64(0x9E3779B97F4A7C15))
+            skips = np.zeros(len(units), dtype=bool)
+            skips[owner[drawn < np.uint64(self._limit)]] = True
+            hit = np.flatnonzero(skips)
+            hit_lengths = np.fromiter(map(len, known), np.int64, len(known))[which[hit]]
+            order = np.argsort(hit_lengths, kind="stable")
+            hit, hit_lengths = hit[order], hit_lengths[order]
+            which[hit] = len(ids) + np.arange(len(hit))
+            for low, high in self._like_lengths(hit_lengths):
                 at = hit[low:high]
-                for i, ids in zip(at, self._merged([units[i] for i in at], base[at], self._limit)[0]):
-                    out[i] = ids
-        return [np.frombuffer(b"".join(out[low:high]), dtype="<i4") for low, high in zip([0, *ends], ends)]
+                ids += self._merged([units[i] for i in at.tolist()], base[at], self._limit)[0]
+        flat, sizes = self._gathered(np.frombuffer(b"".join(ids), dtype="<i4"), self._counts(ids, 4), which)
+        stops = np.concatenate([[0], np.cumsum(sizes)])[[0, *ends]].tolist()
+        return [flat[low:high] for low, high in zip(stops, stops[1:])]
+
+    @staticmethod
+    def _counts(rows: list[bytes], width: int) -> np.ndarray:
+        return np.fromiter(map(len, rows), np.int64, len(rows)) // width
+
+    @staticmethod
+    def _gathered(flat: np.ndarray, counts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows ``which`` on end and their sizes; row i is the next ``counts[i]`` values of ``flat``."""
+        starts, sizes = (np.cumsum(counts) - counts)[which], counts[which]
+        ends = np.cumsum(sizes)
+        return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ``ids``: the pieces' bytes, without the space that encoding puts in front."""
@@ -145,28 +170,22 @@ class MergeDropout:
         return self._blob[places].tobytes()[1:].decode("utf-8", "surrogatepass")
 
     @staticmethod
-    def _like_lengths(units: list[str]) -> Iterator[tuple[int, int]]:
-        """Ranges of units (sorted by length) of like lengths, each for one bounded matrix."""
+    def _like_lengths(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of units, of these ascending lengths, of like lengths, each for one bounded matrix."""
         low = 0
-        while low < len(units):
-            width = len(units[low])
-            high = low + 1
-            while high < len(units) and len(units[high]) <= width + 3 and (high - low) * width < MATRIX_CELLS:
-                high += 1
+        while low < len(lengths):
+            width = int(lengths[low])
+            high = min(int(np.searchsorted(lengths, width + 3, side="right")), low + -(-MATRIX_CELLS // width))
             yield low, high
             low = high
 
     def _plain(self, units: list[str]) -> list[tuple[bytes, bytes]]:
-        """Candidates and ids without dropout of all ``units``; new ones go to the young half of the cache."""
+        """Candidates and ids without dropout of distinct ``units``; new ones go to the young half of the cache."""
         found = list(map(self._young.get, units))
-        if None not in found:
-            return found
-        new = {}
-        for i, known in enumerate(found):
-            if known is None:
-                new[units[i]] = self._old.get(units[i])
+        missing = [unit for unit, known in zip(units, found) if known is None]
+        new = dict(zip(missing, map(self._old.get, missing)))
         work = sorted((unit for unit, known in new.items() if known is None), key=len)
-        for low, high in self._like_lengths(work):
+        for low, high in self._like_lengths(np.fromiter(map(len, work), np.int64, len(work))):
             part = work[low:high]
             ids, chains = self._merged(part, np.zeros(len(part), dtype=np.uint64), 0)
             new.update(zip(part, zip(chains, ids)))
@@ -178,9 +197,17 @@ class MergeDropout:
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of merging symbol pairs (``NEVER`` where there is no such piece) and the piece made."""
         keys = left << 32 | right
-        at = np.searchsorted(self._pair_keys, keys)
+        slots = self._slots(keys)
+        at = self._in_slot[slots]
+        odd = np.flatnonzero(self._crowded[slots])
+        at[odd] = np.searchsorted(self._pair_keys, keys[odd])
         return np.where(self._pair_keys[at] == keys, self._pair_ranks[at], NEVER), self._pair_ids[at]
 
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        """The slot of each pair in a table that most pairs have to themselves."""
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_SLOTS_BITS)).view(np.int64)
+
     def _merged(self, units: list[str], base: np.ndarray, limit: int) -> tuple[list[bytes], list[bytes]]:
         """Run the agendas of several units side by side: the ids and, without a limit, the candidates in order.
 

@@ -103,6 +103,33 @@ def test_every_occurrence_draws_its_own(model):
     assert len(set(words)) > 8 and len(parts) > 400 and codec.decode(S.np.array(parts)) == " internationalisation" * 400
 
 
+def test_every_pair_is_found_in_its_slot_or_beside_it(model):
+    codec = S.MergeDropout(model)
+    keys = codec._pair_keys[:-1]
+    rank, made = codec._ranks(keys >> 32, keys & 0xFFFFFFFF)
+    assert rank.tolist() == codec._pair_ranks[:-1].tolist() and made.tolist() == codec._pair_ids[:-1].tolist()
+    assert codec._crowded.any() and not codec._crowded.all()  # both ways are taken
+    other = S.np.setdiff1d(S.np.concatenate([keys + 1, keys + (1 << 32)]), keys)
+    assert (codec._ranks(other >> 32, other & 0xFFFFFFFF)[0] == S.NEVER).all()
+
+
+def test_distinct_units_are_looked_up_once_and_still_draw_their_own(model, monkeypatch):
+    codec, looked = S.MergeDropout(model, 0.25), []
+    plain = codec._plain
+    monkeypatch.setattr(codec, "_plain", lambda units: looked.append(list(units)) or plain(units))
+    texts = [PARAGRAPH * 20, None, "", "internationalisation \U0001f389 " * 300, PARAGRAPH]
+    many = codec.encode_many(texts, ["3", "4", "5", "6", "3"], [0, 0, 0, 2, 0])
+    assert len(looked) == 1 and len(looked[0]) == len(set(looked[0]))  # not one look-up an occurrence
+    alone = S.MergeDropout(model, 0.25, cache_units=8)
+    for text, key, copy, ids in zip(texts, ["3", "4", "5", "6", "3"], [0, 0, 0, 2, 0], many):
+        units = alone._unit.findall(" " + text) if text else []
+        start = S.xxhash.xxh64_intdigest(f"{copy}:{key}".encode(), alone.seed & S._MASK)
+        base = alone._mixed(S.np.uint64(start) + S.np.arange(1, len(units) + 1).astype(S.np.uint64) * S.np.uint64(0xD1342543DE82EF95))
+        want = b"".join(alone._merged([u], base[i:i + 1], alone._limit)[0][0] for i, u in enumerate(units))
+        assert ids.tobytes() == want and codec.decode(ids) == (text or "")
+    assert [len(ids) for ids in many[1:3]] == [0, 0] and codec.encode_many([], []) == []
+
+
 def test_draws_of_the_cached_merges_are_those_of_the_agenda(model):
     codec = S.MergeDropout(model, 0.25)
     units = [u for u in codec._unit.findall(" " + PARAGRAPH) if u != "\n"]
