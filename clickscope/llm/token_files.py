@@ -114,23 +114,38 @@ class WordEncoder:
         if not self._apart:
             whole = self._tokenizer.encode_batch_fast([text.decode() for text in texts], add_special_tokens=False)
             return [array(self._code, e.ids).tobytes() for e in whole]
-        split = [self._folded(text).split() for text in texts]  # bytes: 0x20 and 0x09-0x0D
-        found = dict.fromkeys(chain.from_iterable(split))
-        found = dict(zip(found, map(self._young.get, found)))
-        new: dict[bytes, bytes | None] = {w: None for w, ids in found.items() if ids is None}
+        # ASCII white space is 0x20 and 0x09-0x0D; large types, as a slice may hold one text of any size
+        split = pc.ascii_split_whitespace(self._folded(pa.array(texts, pa.large_binary())).view(pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        ids = pa.array(self._ids(words.dictionary), pa.large_binary()).take(words.indices)
+        stops = np.frombuffer(ids.buffers()[1], "<i8")[split.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        flat = memoryview(ids.buffers()[2] or b"")
+        return [bytes(flat[low:high]) for low, high in zip(stops, stops[1:])]
+
+    def _ids(self, distinct: pa.Array) -> list[bytes]:
+        """The ids of each of these words, which are distinct and not null; new ones go to the young half of the cache."""
+        # no word has a space, so one split makes them all; a space at either end of a text leaves an empty word
+        row = pa.ListArray.from_arrays([0, len(distinct)], distinct.view(pa.large_binary()))
+        words = pc.binary_join(row, pa.scalar(b" ", pa.large_binary()))[0].as_py().split(b" ")
+        ids = list(map(self._young.get, words))
+        new: dict[bytes, bytes | None] = {w: None for w, known in zip(words, ids) if known is None}
+        new.pop(b"", None)
         self._look_up(new)
-        found.update(new)
         if len(self._young) + len(new) > self._room:
             self._old, self._young = self._young, {}
         self._young.update(new)
-        return [b"".join(map(found.__getitem__, ws)) for ws in split]
+        return [(new[w] if w else b"") if known is None else known for w, known in zip(words, ids)]
 
-    def _folded(self, text: bytes) -> bytes:
+    def _folded(self, texts: pa.Array) -> pa.Array:
         """Where the tokenizer lower-cases, A-Z may go first; not where that could make, or break, a special token's name."""
         if not self._lowers:
-            return text
-        lowered = text.lower()
-        return text if any(name in lowered for name in self._names) else lowered
+            return texts
+        lowered = pc.ascii_lower(texts.view(pa.large_string())).view(pa.large_binary())
+        for name in self._names:
+            texts_with = pc.match_substring(lowered, name)
+            if pc.any(texts_with).as_py():
+                lowered = pc.if_else(texts_with, texts, lowered)
+        return lowered
 
     def _look_up(self, new: dict[bytes, bytes | None]) -> None:
         """Fill in the ids of all words in ``new``, adding the stems that it meets.

@@ -1,5 +1,6 @@
 import json
 import os
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -67,6 +68,30 @@ def test_many_new_words_go_in_one_call(tokenizer):
     assert counting.texts == 4  # 400 words
 
 
+def test_occurrences_of_known_words_are_no_python_objects(tokenizer):
+    """Only the distinct words of a slice are: half a million of seven words need less than twice the text and ids."""
+    encoder = T.WordEncoder(tokenizer, "<u2")
+    text = "the of it's \u00e9t\u00e9 end. THE\x0b\f x; " * 75_000
+    encoder.encode_many([text[:100].encode()])
+    tracemalloc.start()
+    try:
+        ids, = encoder.encode_many([text.encode()])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    once, = encoder.encode_many([text[:len(text) // 75_000].encode()])
+    assert ids == once * 75_000
+    assert peak < 2 * (len(text.encode()) + len(ids))
+
+
+def test_white_space_at_the_ends_and_empty_slices(tokenizer):
+    whole, encoder = Tokenizer.from_str(tokenizer), T.WordEncoder(tokenizer, "<u2")
+    texts = ["", "\t\n", " a", "a\r", "\x0b\x0ca  b\n", "\xa0a\x85b\x1c c", "", "<|ENDOFTEXT|> A", "A <|endoftext|>B C", "D"]
+    for part in (texts, texts[:2], texts[:1], []):
+        ids = encoder.encode_many([t.encode() for t in part])
+        assert [np.frombuffer(i, "<u2").tolist() for i in ids] == [whole.encode(t, add_special_tokens=False).ids for t in part]
+
+
 def test_groups_that_do_not_spell_their_words_are_encoded_one_by_one(tokenizer):
     told = json.loads(tokenizer)
     told["normalizer"]["normalizers"].append({"type": "Replace", "pattern": {"String": "qu"}, "content": "k"})
