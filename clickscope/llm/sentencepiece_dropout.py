@@ -293,9 +293,9 @@ class MergeDropout:
 
 
 @lru_cache(maxsize=2)
-def _codec(model: bytes, dropout: float, seed: int) -> MergeDropout:
+def _codec(model: bytes, dropout: float, seed: int, cache_units: int = CACHE_UNITS) -> MergeDropout:
     """One codec, with its cache, per Python worker and setting."""
-    return MergeDropout(model, dropout, seed)
+    return MergeDropout(model, dropout, seed, cache_units)
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -318,7 +318,7 @@ def read_model(path: str) -> bytes:
 
 def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, seed: int = SEED,
                      id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
-                     copy_col: str | None = None) -> DataFrame:
+                     copy_col: str | None = None, cache_units: int = CACHE_UNITS) -> DataFrame:
     """(id, kept columns, token_ids, n_tokens, decoded_sha256, lossless) per row of ``docs``.
 
     ``token_ids`` is an array of ints; ``decoded_sha256`` the digest of the
@@ -326,7 +326,9 @@ def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, se
     text is encoded like an empty one: no ids. A null id draws like an
     empty id. Rows of the same id and text get equal ids, unless ``copy_col``
     (integers) numbers them: then each copy draws its own. Names in ``keep`` must not clash
-    with the four new columns; other columns are ignored.
+    with the four new columns; other columns are ignored. A worker outlives its
+    task and keeps its cache, some 350 bytes for each of ``cache_units``, while
+    other stages run; fewer cost repeated work, never another result.
     """
     importable_by_workers(docs.sparkSession)
     columns = [id_col, *[c for c in keep if c != id_col]]
@@ -338,7 +340,7 @@ def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, se
                         "decoded_sha256 string", "lossless boolean"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model, dropout, seed)
+        codec = _codec(model, dropout, seed, cache_units)
         for batch in batches:
             parts, lengths, digests, same = [], [0], [], []
             keys = ["" if key is None else str(key) for key in batch.column(0).to_pylist()]

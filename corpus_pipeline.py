@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from clickscope.llm import mixing, quality, sentencepiece_dropout, simhash
 from clickscope.session import checkpoint_dir
 
+# Per Python worker. Workers keep this cache beside the heap that the other stages' sorts and text functions fill.
+CACHE_UNITS = 200_000
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go.
@@ -61,7 +64,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = sentencepiece_dropout.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     like = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.col("source").asc_nulls_first(), F.col("lang").asc_nulls_first())
     numbered = docs.select("doc_id", "text", "source", "lang").withColumn("copy", F.row_number().over(like))
-    return sentencepiece_dropout.encode_documents(numbered, model, keep=("source", "lang"), copy_col="copy")
+    return sentencepiece_dropout.encode_documents(numbered, model, keep=("source", "lang"), copy_col="copy",
+                                                  cache_units=CACHE_UNITS)
 
 
 STAGES = [

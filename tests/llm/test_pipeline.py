@@ -1,3 +1,5 @@
+import inspect
+import tracemalloc
 import zlib
 
 import public_tokenizers
@@ -64,6 +66,36 @@ def test_encoding_like_one_document_at_a_time(spark):
     assert len({str(x[3]) for x in want if x[0] == 1}) > 1  # copies differ
 
 
+def test_workers_of_the_encoding_keep_little_for_other_stages(spark, monkeypatch):
+    """What a full cache of the codec would hold: workers live on, and so does the cache, beside the next stages' heap."""
+    seen, whole = {}, sentencepiece_dropout.encode_documents
+
+    def watched(docs, model, *args, **options):
+        seen.update(inspect.signature(whole).bind(docs, model, *args, **options).arguments, model=model)
+        return whole(docs, model, *args, **options)
+
+    monkeypatch.setattr(sentencepiece_dropout, "encode_documents", watched)
+    P.encoding(spark, edge_docs(spark), "")
+    units = seen.get("cache_units", sentencepiece_dropout.CACHE_UNITS)
+    codec = sentencepiece_dropout.MergeDropout(seen["model"], cache_units=units)
+    words = [f"{zlib.crc32(bytes([i // 256, i % 256])):08x}".translate(str.maketrans("0123456789", "etaoinshrd")) for i in range(10_000)]
+    tracemalloc.start()
+    try:
+        codec.encode(" ".join(words))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert len(codec._young) > 9_000
+    assert held / len(codec._young) * units < 150e6
+
+
+def test_encoding_with_a_cache_of_any_size(spark):
+    docs = edge_docs(spark)
+    model = sentencepiece_dropout.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    every = [sorted(map(str, sentencepiece_dropout.encode_documents(docs, model, cache_units=n).collect())) for n in (4, 100_000)]
+    assert every[0] == every[1] and len(every[0]) == docs.count()
+
+
 def test_stages_take_empty_tables_and_further_columns(spark):
     for _, stage in P.STAGES:
         assert stage(spark, empty_docs(spark), "").collect() == []
