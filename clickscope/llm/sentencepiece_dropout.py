@@ -327,7 +327,7 @@ def encode_documents(docs: DataFrame, model: bytes, dropout: float = DROPOUT, se
     empty id. Rows of the same id and text get equal ids, unless ``copy_col``
     (integers) numbers them: then each copy draws its own. Names in ``keep`` must not clash
     with the four new columns; other columns are ignored. A worker outlives its
-    task and keeps its cache, some 350 bytes for each of ``cache_units``, while
+    task and keeps its cache, some 250 bytes for each of ``cache_units``, while
     other stages run; fewer cost repeated work, never another result.
     """
     importable_by_workers(docs.sparkSession)
